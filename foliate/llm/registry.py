@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from foliate.llm.bpe import op9_bpe
+from foliate.llm.sharding import op6_sharding
 from foliate.llm.url_filter import OP8_SQL, op8_url_filter
 
 QUERIES = {
+    "op6_sharding": op6_sharding,
     "op8_url_filter": op8_url_filter,
+    "op9_bpe": op9_bpe,
 }
 ORACLES = {
     "op8_url_filter": OP8_SQL,
