@@ -146,7 +146,7 @@ class ByteBpe:
                 if special is not None:
                     said.append(str(special))
                     raw.append(self.table[special])
-                elif pieces != [""]:
+                elif pieces and pieces != [""]:
                     ids, back = zip(*map(kept, pieces), strict=True)
                     said += ids
                     raw += back
