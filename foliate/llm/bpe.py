@@ -113,7 +113,7 @@ class ByteBpe:
     def pieces(text: str) -> list[str]:
         """The text cut before each space that a non-space follows."""
         if _UNSAFE.search(text):
-            return _CUT.split(text)
+            return [x for x in _CUT.split(text) if x]
         first, *rest = text.split(" ")
         return [first, *[" " + x for x in rest]] if first else [" " + x for x in rest]
 
@@ -126,7 +126,7 @@ class ByteBpe:
             pieces = self.pieces(part)
             self.cache.trim()
             self._learn(pieces)
-            for p in filter(None, pieces):
+            for p in pieces:
                 ids += map(int, self.cache.young[p][0].split(","))
         return ids
 
@@ -146,7 +146,7 @@ class ByteBpe:
                 if special is not None:
                     said.append(str(special))
                     raw.append(self.table[special])
-                elif pieces and pieces != [""]:
+                elif pieces:
                     ids, back = zip(*map(kept, pieces), strict=True)
                     said += ids
                     raw += back
