@@ -5,13 +5,17 @@ from __future__ import annotations
 from foliate.llm.bpe import op9_bpe
 from foliate.llm.near_dup import op5_near_dup
 from foliate.llm.packing import op2_packing
+from foliate.llm.pii import op3_pii
 from foliate.llm.quality import op1_quality
 from foliate.llm.sharding import op6_sharding
+from foliate.llm.toxicity import op4_toxicity
 from foliate.llm.url_filter import OP8_SQL, op8_url_filter
 
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
+    "op3_pii": op3_pii,
+    "op4_toxicity": op4_toxicity,
     "op5_near_dup": op5_near_dup,
     "op6_sharding": op6_sharding,
     "op8_url_filter": op8_url_filter,
