@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from foliate.llm.bpe import op9_bpe
+from foliate.llm.html_extract import op7_html_text
 from foliate.llm.near_dup import op5_near_dup
 from foliate.llm.packing import op2_packing
 from foliate.llm.pii import op3_pii
@@ -18,6 +19,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_near_dup": op5_near_dup,
     "op6_sharding": op6_sharding,
+    "op7_html_text": op7_html_text,
     "op8_url_filter": op8_url_filter,
     "op9_bpe": op9_bpe,
 }
