@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from foliate.llm.ann import op10_ann
 from foliate.llm.bpe import op9_bpe
 from foliate.llm.html_extract import op7_html_text
 from foliate.llm.near_dup import op5_near_dup
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_html_text": op7_html_text,
     "op8_url_filter": op8_url_filter,
     "op9_bpe": op9_bpe,
+    "op10_ann": op10_ann,
 }
 ORACLES = {
     "op8_url_filter": OP8_SQL,
