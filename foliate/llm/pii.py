@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliate.llm.boosting import BoostedTrees
-from foliate.llm.common import prepare, table, text_or_empty
+from foliate.llm.common import prepare, table
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 #: Kinds that only the trees add, in the order of the output.
@@ -282,14 +282,17 @@ def _joined(spans: list[Span]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-def detect_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digests: bool = False) -> DataFrame:
+def detect_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digests: bool = False, carry: list[str] | None = None) -> DataFrame:
     """Spans of every whole text: doc_id, n_email, n_ip, n_card, n_phone (base spans), then
     spans array<struct<kind, start, end>> and redacted, or with digests=True base_sha256 and spans.
 
     Offsets count code points, the end is exclusive. A null text is empty and has no spans;
     repeated rows are judged each for itself; an empty table gives an empty result; very long texts
-    are scanned whole in linear time. Other columns are neither read nor returned. No shuffle.
+    are scanned whole in linear time. redacted is null where the text is. Other columns than those
+    named in `carry`, which are returned as _c0, _c1 and so on, aren't read. No shuffle.
     """
+    carry = carry or []
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     prepare(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     trees, limits = model()
@@ -298,20 +301,22 @@ def detect_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            found = [find_spans(t, trees, limits) for t in texts]
+            found = [find_spans(t or "", trees, limits) for t in texts]
             columns = [batch.column(0)] + [pa.array([sum(s[0] == k for s in base) for base, _ in found], pa.int64()) for k in BASE_KINDS]
             if digests:
                 columns += [pa.array([hashlib.sha256(_joined(base).encode()).hexdigest() for base, _ in found], pa.string()), pa.array([_joined(s) for _, s in found], pa.string())]
                 names = ["base_sha256", "spans"]
             else:
                 struct = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-                columns += [pa.array([[dict(kind=k, start=a, end=b) for k, a, b in s] for _, s in found], struct), pa.array([redact(t, s) for t, (_, s) in zip(texts, found, strict=True)], pa.string())]
+                columns += [pa.array([[dict(kind=k, start=a, end=b) for k, a, b in s] for _, s in found], struct), pa.array([t and redact(t, s) for t, (_, s) in zip(texts, found, strict=True)], pa.string())]
                 names = ["spans", "redacted"]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *counts, *names])
+            columns += [batch.column(2 + k) for k in range(len(carry))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *counts, *names, *(f"_c{k}" for k in range(len(carry)))])
 
     out = "base_sha256 string, spans string" if digests else "spans array<struct<kind: string, start: int, end: int>>, redacted string"
-    source = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return source.mapInArrow(run, f"doc_id {kind}, {', '.join(f'{c} long' for c in counts)}, {out}")
+    extra = "".join(f", _c{k} {kinds[c]}" for k, c in enumerate(carry))
+    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"_c{k}") for k, c in enumerate(carry)])
+    return source.mapInArrow(run, f"doc_id {kind}, {', '.join(f'{c} long' for c in counts)}, {out}{extra}")
 
 
 def op3_pii(spark, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ changes which rows are kept, only how much is computed.
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -73,72 +73,99 @@ def n_repeat_words(words: Column, window: int = WINDOW) -> Column:
 
 
 @dataclass(frozen=True)
-class Rule:
-    """A rule rejects where `fails` is true; it sees the measures of BASE as columns."""
+class Measures:
+    """Expressions of a text's measures."""
+
+    text: Column
+    n_words: Column
+    word_chars: Column
+    n_symbols: Column
+    n_dup_lines: Column
+    n_repeat_words: Column
+
+    @classmethod
+    def of(cls, text: Column, words: Column) -> Measures:
+        return cls(
+            text,
+            F.size(words).cast("long"),
+            F.length(without(text, SPACES)).cast("long"),
+            (F.length(text) - F.length(without(text, SYMBOLS))).cast("long"),
+            n_dup_lines(text),
+            n_repeat_words(words),
+        )
+
+    @classmethod
+    def columns(cls, text: Column) -> Measures:
+        return cls(text, *[F.col(n) for n in NAMES])
 
-    name: str
-    fails: Column
 
+NAMES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
-def measures(text: Column, words: Column) -> dict[str, Column]:
-    return {
-        "n_words": F.size(words).cast("long"),
-        "word_chars": F.length(without(text, SPACES)).cast("long"),
-        "n_symbols": (F.length(text) - F.length(without(text, SYMBOLS))).cast("long"),
-        "n_dup_lines": n_dup_lines(text),
-        "n_repeat_words": n_repeat_words(words),
-    }
+
+@dataclass(frozen=True)
+class Rule:
+    """A rule rejects where `fails`, an expression over the measures, is true."""
+
+    name: str
+    fails: Callable[[Measures], Column]
 
 
 def default_rules() -> list[Rule]:
     """The base rules (too short, too repetitive) and four more."""
-    m = {n: F.col(n) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")}
     return [
-        Rule("too_short", m["n_words"] < 10),
-        Rule("repeated_windows", 100 * m["n_repeat_words"] > 20 * m["n_words"]),
-        Rule("symbols", 100 * m["n_symbols"] > 30 * m["n_words"]),
-        Rule("word_length", (m["word_chars"] < 2 * m["n_words"]) | (m["word_chars"] > 25 * m["n_words"])),
-        Rule("repeated_lines", m["n_dup_lines"] * 10 > 5 * (1 + F.length("text") - F.length(without(F.col("text"), "\n")))),
-        Rule("shouting", F.coalesce(F.regexp_count("text", F.lit(r"\p{Lu}")) * 2 > F.col("word_chars"), F.lit(False))),
+        Rule("too_short", lambda m: m.n_words < 10),
+        Rule("repeated_windows", lambda m: 100 * m.n_repeat_words > 20 * m.n_words),
+        Rule("symbols", lambda m: 100 * m.n_symbols > 30 * m.n_words),
+        Rule("word_length", lambda m: (m.word_chars < 2 * m.n_words) | (m.word_chars > 25 * m.n_words)),
+        Rule("repeated_lines", lambda m: m.n_dup_lines * 10 > 5 * (1 + F.length(m.text) - F.length(without(m.text, "\n")))),
+        Rule("shouting", lambda m: F.regexp_count(m.text, F.lit(r"\p{Lu}")) * 2 > m.word_chars),
     ]
 
 
-def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with a words column and the five measures; a null text is empty."""
-    text = text_or_empty(text_col)
-    staged = docs.withColumn("words", words_of(text))
-    return staged.withColumns(measures(text, F.col("words")))
-
-
 def order_rules(docs: DataFrame, rules: Sequence[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """Rules by estimated rejections per second on a sample, best first.
+    """Rules by estimated rejections per second on a sample, best first; docs has a column text.
 
     The sample is the first sample_rows rows, so that estimating doesn't cost a scan.
     """
-    sample = docs.limit(sample_rows).coalesce(1).cache()
+    text = text_or_empty()
+    sample = docs.select("text").limit(sample_rows).coalesce(1).cache()
     try:
-        if not sample.take(1):
+        n = sample.count()
+        if not n:
             return list(rules)
-        whole = measured(sample)
-        got = whole.agg(F.count("*").alias("rows"), *[F.count_if(r.fails).alias(r.name) for r in rules]).first()
         worth = []
         for r in rules:
             began = time.perf_counter()
-            whole.agg(F.count_if(r.fails)).collect()  # Catalyst prunes the measures the rule doesn't use
-            worth.append((got[r.name] / max(1e-6, time.perf_counter() - began), r))
+            failed = sample.where(_with_words(text, lambda t, w, r=r: r.fails(Measures.of(t, w)))).count()
+            worth.append((failed / max(1e-6, time.perf_counter() - began), r))
     finally:
         sample.unpersist()
     return [r for _, r in sorted(worth, key=lambda x: -x[0])]
 
 
-def cascade(rules: Sequence[Rule]) -> Column:
+def _with_words(text: Column, body: Callable[[Column, Column], Column]) -> Column:
+    """body(text, words) with both bound to variables, so that neither is worked out more than once."""
+    return F.transform(F.array(F.struct(text.alias("t"), words_of(text).alias("w"))), lambda x: body(x["t"], x["w"]))[0]
+
+
+def cascade(rules: Sequence[Rule], measures: Measures) -> Column:
     """Name of the first rule that rejects, else null. CASE stops at the first that holds."""
     said = F.lit(None).cast("string")
     for r in reversed(rules):
-        said = F.when(r.fails, F.lit(r.name)).otherwise(said)
+        said = F.when(r.fails(measures), F.lit(r.name)).otherwise(said)
     return said
 
 
+def keep_good(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] | None = None, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """The rows of docs that no rule rejects, with their columns as they are.
+
+    One expression in a filter: measures of rules behind the first that rejects aren't computed.
+    Nulls, repeated rows and empty tables as in apply_rules.
+    """
+    ordered = order_rules(docs.select(F.col(text_col).alias("text")), rules or default_rules(), sample_rows)
+    return docs.where(_with_words(text_or_empty(text_col), lambda t, w: cascade(ordered, Measures.of(t, w))).isNull())
+
+
 def apply_rules(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] | None = None, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """Measures and verdict for every row: n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, kept, rejected_by; the columns of docs of these names give way.
@@ -147,15 +174,17 @@ def apply_rules(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] |
     itself; an empty table gives an empty result. Very long texts are measured whole. DataFrame
     functions only, no shuffle.
     """
-    own = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rejected_by", "words"]
-    docs = docs.drop(*[c for c in docs.columns if c in own and c != text_col])
-    if text_col != "text":
-        docs = docs.withColumn("text", F.col(text_col))
-    ordered = order_rules(docs.select("text"), rules or default_rules(), sample_rows)
+    own = [*NAMES, "base_failed", "kept", "rejected_by", "words"]
+    text = text_or_empty(text_col)
+    ordered = order_rules(docs.select(F.col(text_col).alias("text")), rules or default_rules(), sample_rows)
+    staged = docs.drop(*[c for c in docs.columns if c in own and c != text_col]).withColumn("words", words_of(text))
+    m = Measures.of(text, F.col("words"))
+    measured = staged.withColumns({n: getattr(m, n) for n in NAMES})
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return measured(docs).withColumn("rejected_by", cascade(ordered)).withColumn("base_failed", base).withColumn("kept", ~F.col("base_failed") & F.col("rejected_by").isNull()).drop("words")
+    judged = measured.withColumn("rejected_by", cascade(ordered, Measures.columns(text))).withColumn("base_failed", base)
+    return judged.withColumn("kept", ~F.col("base_failed") & F.col("rejected_by").isNull()).drop("words")
 
 
 def op1_quality(spark, sf_dir: str) -> DataFrame:
     judged = apply_rules(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return judged.select("doc_id", *NAMES, "base_failed", "kept")
