@@ -6,10 +6,11 @@
    sigma(x) + k for k = 0, 1, ...: each circular shift gives one more signature coordinate.
 3. ROWS coordinates form a band, BANDS bands a signature. Classes that share a band are a bucket.
    Two classes at the threshold share none with probability (1 - 0.75**4)**32 < 6e-6.
-4. Each class of a bucket is compared with the bucket's first class only; verified links give
-   components. Where a bucket still spans several components, the classes outside its largest one
-   are compared with those of the other components, until no unverified pair is left that could
-   join two components. Buckets of mutual copies thus cost one comparison a member.
+4. Each class of a bucket is compared with the bucket's pivot only; verified links give components.
+   Where a bucket still spans several components, the classes outside its largest one are compared
+   with those of the other components: first signatures and then, of classes that these leave, full
+   sets, in blocks inside a task. A block gives one link to each component at most, so no stage
+   makes more rows than classes. Buckets of mutual copies cost one comparison a member.
 5. A comparison first looks at set sizes and signatures (a link estimated under EST_FLOOR is more
    than five standard deviations off), then intersects the full sets of shingle hashes.
 6. Components by alternating large-star and small-star joins, in rounds that are written out.
@@ -140,9 +141,7 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, t
         .select("a", "b", "ida", "idb")
     )
     near = materialize(near, "near-pairs")
-    needed = near.select(F.explode(F.array("ida", "idb")).alias("id")).distinct()
-    source = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")).join(needed, "id").select("text")
-    sets = materialize(_sets(source).dropDuplicates(["key"]), "near-sets")
+    sets = _needed_sets(near.select(F.explode(F.array("ida", "idb")).alias("id")).distinct(), docs, id_col, text_col)
     joined = (
         near.select("a", "b")
         .join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa")), "a")
@@ -173,12 +172,103 @@ def components(links: DataFrame) -> DataFrame:
     return ends.select(F.col("u").alias("key"), "component").union(ends.select(F.col("component").alias("key"), "component").distinct())
 
 
+def _open(placed: DataFrame, bucket: list[str]) -> DataFrame:
+    """Rows of the buckets that span several components, with the bucket's largest one."""
+    sizes = placed.groupBy(*bucket, "component").count()
+    largest = sizes.groupBy(*bucket).agg(F.max(F.struct("count", "component")).alias("top"), F.count("*").alias("k")).where("k > 1").select(*bucket, F.col("top.component").alias("largest"))
+    return placed.join(largest, bucket)
+
+
+def _block_pairs(rows: DataFrame, payload: str, block: int, body, schema: str) -> DataFrame:
+    """Run body over pairs of blocks of each group g: classes outside the largest component x all.
+
+    rows: g, key, component, outside and the payload. A block has about `block` classes by hash;
+    every pair of blocks is a row of its own, dealt by the pair, so a large group is shared out.
+    """
+    sized = rows.join(rows.groupBy("g").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("parts")), "g")
+    cell = F.struct("key", "component", "outside", F.col(payload).alias("data"))
+    part = F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")
+    blocks = materialize(sized.groupBy("g", part.alias("part")).agg(F.collect_list(cell).alias("cells"), F.bool_or("outside").alias("asks")), "near-blocks")
+    asking = blocks.where("asks").select("g", F.col("part").alias("q"), F.filter("cells", lambda c: c["outside"]).alias("asked"))
+    pairs = asking.join(blocks.select("g", "part", "cells"), "g")
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pairs.repartition(parts, "g", "q", "part").select("g", "asked", "cells").mapInArrow(body, schema)
+
+
+def _columns(cells: list[dict]) -> tuple[list[bytes], np.ndarray, list[bytes]]:
+    return [c["key"] for c in cells], np.array([c["component"] for c in cells], dtype=object), [c["data"] for c in cells]
+
+
+def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The classes of block pairs whose signatures allow a link to another component."""
+    for batch in batches:
+        out: set[tuple[bytes, bytes]] = set()
+        for g, asked, cells in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+            (ka, ca, xa), (kb, cb, xb) = _columns(asked), _columns(cells)
+            a, b = (np.frombuffer(b"".join(x), dtype="<u2").reshape(len(x), -1) for x in (xa, xb))
+            for i in range(len(ka)):
+                hits = np.flatnonzero(((b == a[i]).sum(axis=1) >= int(EST_FLOOR * COORDINATES)) & (cb != ca[i]))
+                if len(hits):
+                    out.add((g, ka[i]))
+                    out.update((g, kb[k]) for k in hits.tolist())
+        columns = list(zip(*out, strict=True)) if out else [(), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], names=["g", "key"])
+
+
+def shared_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets in a with all in b."""
+    pool = np.concatenate(a + b)
+    values, counts = np.unique(pool, return_counts=True)
+    values = values[counts > 1]
+    if len(values) * (len(a) + len(b)) > 40_000_000:
+        return np.array([[len(np.intersect1d(x, y, assume_unique=True)) for y in b] for x in a])
+
+    def table(sets: list[np.ndarray]) -> np.ndarray:
+        out = np.zeros((len(sets), len(values)), dtype=np.float32)
+        for k, s in enumerate(sets):
+            at = np.searchsorted(values, s)
+            at[at == len(values)] = 0
+            out[k, at[values[at] == s] if len(values) else []] = 1
+        return out
+
+    return np.rint(table(a) @ table(b).T).astype(np.int64)
+
+
+def _exact(threshold: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple[bytes, bytes]] = []
+            for asked, cells in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                (ka, ca, xa), (kb, cb, xb) = _columns(asked), _columns(cells)
+                a, b = ([np.frombuffer(x, dtype=np.uint64) for x in xs] for xs in (xa, xb))
+                both = shared_counts(a, b)
+                na, nb = np.array([len(x) for x in a]), np.array([len(x) for x in b])
+                linked = 100 * both >= threshold * (na[:, None] + nb[None, :] - both)
+                for i in range(len(ka)):
+                    met: set[bytes] = set()  # one link to a component will do
+                    for k in np.flatnonzero(linked[i] & (cb != ca[i])).tolist():
+                        if cb[k] not in met:
+                            met.add(cb[k])
+                            out.append((ka[i], kb[k]))
+            columns = list(zip(*out, strict=True)) if out else [(), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], names=["a", "b"])
+
+    return run
+
+
+def _needed_sets(needed: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """key and shingles of the documents whose id is in needed, written out."""
+    source = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")).join(needed, "id").select("text")
+    return materialize(_sets(source).dropDuplicates(["key"]), "near-sets")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
     """One row for each row of docs: doc_id, n_shingles, component_id, kept.
 
     A null text, or one without words, has no shingles and is linked with nothing: its
-    component_id is its own doc_id. component_id is the least doc_id of the group; rows with a null
-    doc_id take part, and a group of nothing else has a null component_id; kept compares null-safe.
+    component_id is its own doc_id. component_id is the least doc_id of the group; a row with a null
+    doc_id joins those with an equal word sequence only, and has a null component_id where none of
+    them has an id; kept compares null-safe.
     Repeated rows share their group, and all rows with its least doc_id are kept. Very long texts
     are hashed whole. An empty table gives an empty result. Other columns are not read.
     """
@@ -189,22 +279,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda j: F.substring(F.col("sig"), j * (2 * ROWS) + 1, F.lit(2 * ROWS)))
     parts = classes.where("id IS NOT NULL").select("key", F.posexplode(bands).alias("j", "band"))
-    buckets = parts.groupBy("j", "band").agg(F.min("key").alias("first"), F.count("*").alias("n")).where("n > 1").select("j", "band", "first")
-    members = materialize(parts.join(buckets, ["j", "band"]).select("j", "band", "first", "key"), "near-members")
-
-    tried = materialize(members.where("key <> first").select(F.col("first").alias("a"), F.col("key").alias("b")).distinct(), "near-tried")
+    buckets = parts.groupBy("j", "band").agg(F.count("*").alias("n")).where("n > 1")
+    members = materialize(parts.join(buckets, ["j", "band"]).select("j", "band", "n", "key"), "near-members")
+
+    # A bucket's pivot is the class that meets most others in all its buckets: of a group of edited
+    # copies that is the text they were made from, which they are closer to than to each other.
+    degrees = members.groupBy("key").agg(F.sum("n").alias("degree"))
+    pivots = members.join(degrees, "key").groupBy("j", "band").agg(F.max(F.struct("degree", "key")).alias("top")).select("j", "band", F.col("top.key").alias("pivot"))
+    tried = members.join(pivots, ["j", "band"]).where("key <> pivot").select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).distinct()
+    tried = materialize(tried, "near-tried")
     links = verify(tried, classes, docs, id_col, text_col, threshold)
     groups = materialize(components(links), "near-groups")
 
-    # Buckets that still span several components: those outside the largest one against the others.
+    # Buckets that still span several components, gathered by their largest one: the classes outside
+    # it meet all others, block by block.
     placed = members.join(groups, "key", "left").select("j", "band", "key", F.coalesce("component", "key").alias("component"))
-    sizes = placed.groupBy("j", "band", "component").count()
-    largest = sizes.groupBy("j", "band").agg(F.max(F.struct("count", "component")).alias("top"), F.count("*").alias("n")).where("n > 1").select("j", "band", F.col("top.component").alias("largest"))
-    open_ = materialize(placed.join(largest, ["j", "band"]), "near-open")
-    left = open_.where("component <> largest").select("j", "band", F.col("key").alias("k"), F.col("component").alias("c"))
-    met = open_.join(left, ["j", "band"]).where("component <> c AND (component = largest OR key < k)")
-    more = met.select(F.least("key", "k").alias("a"), F.greatest("key", "k").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    links = links.union(verify(more, classes, docs, id_col, text_col, threshold))
+    open_ = _open(materialize(placed, "near-placed"), ["j", "band"])
+    rows_ = open_.select(F.col("largest").alias("g"), "key", "component", (F.col("component") != F.col("largest")).alias("outside")).distinct()
+    near = materialize(_block_pairs(rows_.join(classes.select("key", "sig"), "key"), "sig", 256, _likely, "g binary, key binary").distinct(), "near-likely")
+    sets = _needed_sets(near.join(classes, "key").select("id").distinct(), docs, id_col, text_col)
+    full = near.join(rows_, ["g", "key"]).join(sets, "key")
+    found_links = _block_pairs(full, "shingles", 128, _exact(threshold), "a binary, b binary")
+    links = links.union(materialize(found_links, "near-links"))
     groups = components(links)
 
     found = classes.select("key", "id").join(groups, "key", "left").select("key", "id", F.coalesce("component", "key").alias("component"))
