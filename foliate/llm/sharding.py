@@ -102,8 +102,10 @@ def shard_documents(
     )
     cells = placed.where("linked").groupBy("fragment", "start").agg(F.count("*").alias("n")).withColumn("shard", F.col("start"))
     cells = propagate(materialize(cells, "shard-cells").select("fragment", "start", "shard", "n"), shards, SLACK * share, rounds)
-    labels = cells.select("fragment", "start", F.col("shard").alias("label"))
-    labelled = placed.join(labels, ["fragment", "start"], "left").select("doc_id", "size", "text_crc32", "fragment", "salt", F.coalesce("label", "start").alias("label"))
+    # What a full shard has turned away follows the rest of its fragment; rounding restores the quotas.
+    here = cells.groupBy("fragment", "shard").agg(F.sum("n").alias("n"))
+    labels = here.groupBy("fragment").agg((-F.max(F.struct("n", (-F.col("shard")).alias("first")))["first"]).cast("int").alias("label"))
+    labelled = placed.join(labels, "fragment", "left").select("doc_id", "size", "text_crc32", "fragment", "salt", F.coalesce("label", "start").alias("label"))
     return _round(labelled, total, shards)
 
 

@@ -1,0 +1,287 @@
+"""Operators on small fixtures and against brute force: nulls, empty and long texts, ties, repeated rows, empty tables, clashing names."""
+
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+
+from foliate.llm import ann, bpe, html_extract, near_dup, packing, pii, quality, sharding, toxicity, url_filter  # noqa: E402
+
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+DOCS = "doc_id bigint, text string, kept string, n_words int"
+
+
+def docs(spark, texts, ids=None):
+    rows = [(i if ids is None else ids[i], t, "x", 1) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, DOCS)
+
+
+def odd_texts():
+    r = random.Random(1)
+    words = [" ".join(r.choice("abc") + str(r.randint(0, 3)) for _ in range(r.randint(1, 60))) for _ in range(20)]
+    return [None, "", " \n\t ", "one", "a b c d e", "a b c d e " * 40, "x" * 30_000, "é 😀 <|endoftext|> \x1c  z", *words, words[0], words[0].upper()]
+
+
+def test_quality_measures(spark):
+    texts = odd_texts() + ["# $ same line\nsame line\nsame line\n\n"]
+    for r in quality.apply_rules(docs(spark, texts)).collect():
+        t = texts[r.doc_id] or ""
+        w = WORDS.findall(t)
+        seen, covered = {}, set()
+        for k in range(len(w) - 4):
+            seen.setdefault(tuple(w[k : k + 5]), []).append(k)
+        for at in seen.values():
+            if len(at) > 1:
+                covered.update(p for k in at for p in range(k, k + 5))
+        lines = [x for x in t.split("\n") if WORDS.search(x)]
+        want = (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(covered))
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want, t[:50]
+        assert r.base_failed == (len(w) < 10 or 100 * len(covered) > 20 * len(w)) and (not r.base_failed or not r.kept)
+    kept = quality.keep_good(docs(spark, texts))
+    assert kept.columns == ["doc_id", "text", "kept", "n_words"]
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in quality.apply_rules(docs(spark, texts)).where("kept").collect()}
+    assert quality.apply_rules(docs(spark, [])).count() == 0
+
+
+def test_packing_is_an_exact_partition(spark):
+    from tokenizers import Tokenizer
+
+    texts = odd_texts() + ["word " * 3000]
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = packing.pack_documents(docs(spark, texts), path).collect()
+    t = Tokenizer.from_file(path)
+    got, sequences = {}, {}
+    for r in rows:
+        assert zlib.crc32(packing.pack_ids(r.ids)) == r.ids_crc32 and len(r.ids) == r.length
+        got.setdefault(r.doc_id, []).append((r.start, r.ids))
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for i, text in enumerate(texts):
+        assert [x for _, ids in sorted(got[i]) for x in ids] == t.encode(text or "", add_special_tokens=False).ids + [1]
+    for s in sequences.values():
+        at = 0
+        for offset, n in sorted(s):
+            assert offset == at
+            at += n
+        assert at <= 2048 and at & (at - 1) == 0
+    assert packing.pack_documents(docs(spark, []), path).count() == 0
+
+
+def test_pii_base_spans_match_the_patterns():
+    r = random.Random(3)
+    email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+    ip, card, phone = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), re.compile(r"[0-9]([\x20-]?[0-9])+"), re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+    parts = ["a", "b.", "@", "1", "22", "255", ".", "-", " ", "+", "(", ")", "é", "_", "4485054524820571", "x@y.z"]
+    for _ in range(5000):
+        t = "".join(r.choice(parts) for _ in range(r.randint(0, 25)))
+        want = [("email", *m.span()) for m in email.finditer(t)] + [("ip", *m.span()) for m in ip.finditer(t) if all(int(x) <= 255 for x in m[0].split("."))]
+        digits = lambda m: re.sub("[^0-9]", "", m[0])
+        want += [("card", *m.span()) for m in card.finditer(t) if 16 <= len(digits(m)) <= 19 and pii.luhn(digits(m))]
+        want += [("phone", *m.span()) for m in phone.finditer(t) if 8 <= len(digits(m)) <= 15]
+        assert pii.base_spans(t) == want
+
+
+def test_pii_model_and_redaction(spark):
+    texts = ["mail a.b@c.de now", "password=Xk93jfK20dkfjsl3kd0", "2024-01-02 version 10.20.30", None, "", "a" * 200_000 + "@" + "1" * 50_000, "call +1 (555) 123-4567", "+1 (578) 555-6437 4918187128635271"]
+    got = {r.doc_id: r for r in pii.detect_pii(docs(spark, texts)).collect()}
+    assert got[0].redacted == "mail <EMAIL> now" and got[1].redacted == "<SECRET>" and got[2].spans == []
+    assert got[3].redacted is None and got[4].redacted == "" and got[6].redacted == "call <PHONE>"
+    assert [s.kind for s in got[7].spans] == ["card", "phone"]
+    trees, limits = pii.model()
+    r = random.Random(99)
+    right = sum((trees.scores(np.array([pii.span_features(*x)]))[0] >= limits[k]) == good for k, good, x in ((k, good, (lambda e: (e[0], k, e[1], e[2]))(pii._example(r, k, good))) for k in pii.KINDS for good in (True, False) for _ in range(30)))
+    assert right >= 0.93 * 60 * len(pii.KINDS)
+
+
+def _segments_by_definition(s):
+    def best(a, b):
+        top = None
+        for i in range(a, b):
+            total = 0.0
+            for j in range(i, b):
+                total += s[j]
+                if total > 0 and (top is None or total > top[2] + 1e-12):
+                    top = (i, j + 1, total)
+        return [] if top is None else best(a, top[0]) + [top] + best(top[1], b)
+
+    return best(0, len(s))
+
+
+def test_maximal_segments():
+    r = random.Random(1)
+    for _ in range(800):
+        s = [r.choice([-3, -2, -1, -0.5, 0.7, 1, 2, 3.1]) + r.random() * 1e-3 for _ in range(r.randint(0, 14))]
+        assert [x[:2] for x in toxicity.maximal_segments(np.array(s))] == [x[:2] for x in _segments_by_definition(s)]
+
+
+def test_toxicity_held_out(spark):
+    sf = "/root/testdata/sf0.1"
+    d, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = toxicity.train(d, labels)
+    got = toxicity.score_toxicity(d, model).join(labels, "doc_id").where(toxicity.held_out(F.col("doc_id"))).collect()
+    good = sum(1.0 for a in got for b in got if a.toxic and not b.toxic and a.score > b.score)
+    pairs = sum(r.toxic for r in got) * sum(1 - r.toxic for r in got)
+    assert good / pairs > 0.95
+    odd = toxicity.score_toxicity(docs(spark, odd_texts()), model).collect()
+    assert len(odd) == len(odd_texts()) and all(0 <= r.score <= 1 for r in odd)
+    assert toxicity.train(d, labels.where("toxic = 9")).words == {}
+
+
+def _groups(texts):
+    sets, parent = {}, {}
+
+    def find(a):
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    for i, t in enumerate(texts):
+        w = WORDS.findall((t or "").translate(low))
+        parent[i] = i
+        sets[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()}
+    for i in sets:
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if sets[i] and sets[j] and 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = sorted((find(i), find(j)))
+                parent[b] = a
+    return {i: (len(sets[i]), find(i)) for i in sets}
+
+
+def test_near_duplicates_match_brute_force(spark):
+    r = random.Random(8)
+    texts = odd_texts()
+    for _ in range(12):
+        base = [r.choice("abcdefgh") + str(r.randint(0, 99)) for _ in range(r.randint(5, 90))]
+        for _ in range(r.randint(2, 9)):
+            w = list(base)
+            for _ in range(r.randint(0, 3)):
+                w[r.randrange(len(w))] = "edit" + str(r.randint(0, 9))
+            texts.append(r.choice((" ", "\n", "  ")).join(w))
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in near_dup.near_duplicates(docs(spark, texts)).collect()}
+    assert got == _groups(texts)
+    assert near_dup.near_duplicates(docs(spark, [])).count() == 0
+    twice = near_dup.near_duplicates(docs(spark, ["a b c", "a b c"], [None, 7])).collect()
+    assert {(x.doc_id, x.component_id, x.kept) for x in twice} == {(None, 7, False), (7, 7, True)}
+
+
+def test_shared_counts():
+    r = np.random.default_rng(0)
+    a, b = ([np.unique(r.integers(0, 60, r.integers(0, 30))).astype(np.uint64) for _ in range(5)] for _ in range(2))
+    assert near_dup.shared_counts(a, b).tolist() == [[len(np.intersect1d(x, y)) for y in b] for x in a]
+
+
+@pytest.mark.parametrize("n", [0, 3, 200])
+def test_sharding_is_even_and_gapless(spark, n):
+    texts = (["hot"] * (n // 3) + odd_texts() * 9)[:n] if n else []
+    rows = sharding.shard_documents(docs(spark, texts), shards=7).collect()
+    assert len(rows) == n
+    by = {}
+    for r in rows:
+        t = texts[r.doc_id] or ""
+        assert (r.size, r.text_crc32) == (len(t.encode()) + 16, zlib.crc32(t.encode()))
+        by.setdefault(r.shard, []).append(r.slot)
+    sizes = [len(by.get(s, [])) for s in range(7)]
+    assert max(sizes) - min(sizes) <= 1 and all(sorted(v) == list(range(len(v))) for v in by.values())
+
+
+def test_sharding_keeps_groups_together(spark):
+    texts = [f"text {k // 4}" for k in range(400)]
+    rows = sharding.shard_documents(docs(spark, texts), shards=5).collect()
+    split = sum(len({r.shard for r in rows if texts[r.doc_id] == t}) > 1 for t in set(texts))
+    assert split <= 4  # a group is cut at the end of a shard's quota only
+
+
+PAGES = [
+    ("<html><head><title>t</title><script>var x='</p>';</script></head><body><nav><a>m</a></nav><div class='cookie-notice'>c</div><article><h1>T &amp; U</h1><p><b>A<br><p>b  c</p><ul><li>x<li>y</ul><section class='comments'><p>no</p></section></article><footer>f</footer>", "T & U\nA\nb c\nx\ny"),
+    ("<p>plain<p>text<aside>no</aside><form>no</form>", "plain\ntext"), (None, ""), ("", ""), ("<article></article>", ""), ("<article>" + "<p>w</p>" * 3000 + "</article>", "\n".join(["w"] * 3000)), ("a<script>unclosed", "a"), ("1 < 2 &lt; 3 <!-- x -->", "1 < 2 < 3"),
+]
+
+
+def test_html_text(spark):
+    rows = [(i, f"http://h{i}.example.org/", h, "x") for i, (h, _) in enumerate(PAGES)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")
+    for r in html_extract.extract_pages(df).collect():
+        assert (r.text, r.n_chars) == (PAGES[r.page_id][1], len(PAGES[r.page_id][1]))
+    assert html_extract.extract_pages(df.where("page_id < 0")).count() == 0
+
+
+def test_html_template_is_taken_out(spark):
+    rows = [(i, "http://one.example.org/%d" % i, f"<div><p>Welcome to the site</p><p>story {i}</p><p>All rights reserved</p></div>") for i in range(6)]
+    got = html_extract.extract_pages(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert {r.text for r in got} == {f"story {i}" for i in range(6)}
+
+
+def test_url_filter(spark):
+    urls = {"http://a.Example.NET/en/x": ("a.example.net", "example.net/en/", "allow"), "http://a.example.net/fr/": ("a.example.net", "net/", "block"), "http://example.com/de/x": ("example.com", "example.com/de/", "block"),
+            "http://x.org/fr/?a": ("x.org", "org/fr/", "allow"), "http://casino.io/": ("casino.io", None, "block"), "http://casinos4.io/": ("casinos4.io", None, "allow"), "http://free.io/bets": ("free.io", None, "block"),
+            "http://free.io/free": ("free.io", None, "allow"), "nothing": ("", None, "allow"), "http://a.net": ("a.net", None, "allow"), None: ("", None, "allow")}
+    df = spark.createDataFrame([(i, u, "x") for i, u in enumerate(urls)], "page_id bigint, url string, host string")
+    got = {list(urls)[r.page_id]: (r.host, r.rule, r.verdict) for r in url_filter.filter_urls(df).collect()}
+    assert got == urls
+
+
+def test_bpe_is_exact(spark):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    own, t = bpe.ByteBpe(path, leaf=16), Tokenizer.from_file(path)
+    r = random.Random(1)
+    parts = ["a", "b", "the", "ing", " ", "  ", "\n", "\t", "é", "ß", "'s", "'", "1", "22", "!", "<|endoftext|>", "中", "\xa0", "\x1c", "😀", "\r\n", ".", "<|endo"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 30))) for _ in range(3000)]
+    texts += ["".join(r.choice(["a", "b", "th", "e", "r", "ing", "aa", "é"]) for _ in range(r.randint(50, 400))) for _ in range(200)] + ["a" * 5000, "=" * 4097, " " * 3000, "ab" * 3000]
+    for x in texts:
+        ids = t.encode(x, add_special_tokens=False).ids
+        assert own.encode(x) == ids and own.decode(ids) == t.decode(ids, skip_special_tokens=False)
+    odd = odd_texts()
+    for x in bpe.encode_texts(docs(spark, odd), path).collect():
+        assert x.ids == t.encode(odd[x.doc_id] or "", add_special_tokens=False).ids and x.n_tokens == len(x.ids) and x.decoded == (odd[x.doc_id] or "")
+
+
+def test_nearest_neighbours(spark):
+    r = np.random.default_rng(4)
+    x = r.normal(size=(600, 16)).astype(np.float32)
+    x[100:140] = x[100]  # ties
+    rows = [(i, [float(v) for v in row], 0) for i, row in enumerate(x)] + [(900, None, 0), (901, [0.0] * 16, 0), (902, [float("nan")] * 16, 0), (903, [None] * 16, 0), (950, [1.0, 2.0], 0)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, score int")
+    got = ann.nearest(df, df.where("vec_id % 50 = 0"), 5, shard_nodes=200).collect()
+    n = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    hit = 0
+    for q in range(0, 600, 50):
+        s = n @ n[q]
+        s[q] = -9
+        want = np.lexsort((np.arange(600), -np.round(s, 12)))[:5].tolist()
+        have = [g.vec_id for g in sorted((g for g in got if g.query_id == q), key=lambda g: g.rank)]
+        assert len(have) == 5
+        hit += len(set(want) & set(have))
+        if q == 100:
+            assert have == [101, 102, 103, 104, 105]
+    assert hit >= 0.95 * 60 and not [g for g in got if g.query_id >= 900]
+    assert ann.nearest(df.where("vec_id < 0"), df.where("vec_id < 0"), 5).count() == 0
+
+
+def test_robust_prune_keeps_diverse_edges():
+    x = ann.unit(np.array([[1, 0], [0.99, 0.1], [0.98, 0.12], [0, 1]]))
+    assert ann.robust_prune(x, 0, np.array([1, 2, 3, -1, 0])).tolist() == [1, 3]
+
+
+def test_pipeline_matches_its_stages(spark):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    sf = "/root/testdata/sf0.001"
+    rows = pipeline.run(spark, sf).collect()
+    docs_ = spark.read.parquet(f"{sf}/documents.parquet")
+    good = {r.doc_id for r in quality.apply_rules(docs_).where("kept").collect()}
+    ids = {r.doc_id for r in rows}
+    assert ids <= good and len(ids) > 0.5 * len(good)
+    odd = docs(spark, odd_texts()).withColumn("n_chars", F.lit(1)).withColumn("_c0", F.lit("y"))
+    for name, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, odd, sf)
+        assert out.columns == odd.columns, name
+        assert stage(spark, odd.where("false"), sf).count() == 0, name
+        out.count()
+    assert pipeline.near_dup(spark, docs(spark, ["a b c d e f"] * 3, [4, 4, 9]), sf).count() == 1
