@@ -5,6 +5,8 @@ Plain Parquet has no transactions: one writer at a time is assumed.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +45,13 @@ def _read(df: DataFrame, path: str) -> DataFrame:
         return df.sparkSession.createDataFrame([], df.schema)
 
 
+def _keep(statuses: DataFrame, path: str) -> DataFrame:
+    """Statuses written beside the table, since writing the table drops what is cached from it."""
+    kept = f"{path}_status/{uuid.uuid4().hex}"
+    statuses.write.parquet(kept)
+    return statuses.sparkSession.read.schema(statuses.schema).parquet(kept)
+
+
 def write_once(df: DataFrame, path: str, keys: list[str], partition_by: list[str] | None = None) -> DataFrame:
     """Append rows with new keys; same rows are left alone, other rows under a known key are an error.
 
@@ -54,8 +63,9 @@ def write_once(df: DataFrame, path: str, keys: list[str], partition_by: list[str
     clash = judged.where("status = 'conflict'").select(*keys).take(1)
     if clash:
         raise ValueError(f"stored with other content: {clash[0].asDict()}")
+    statuses = _keep(judged.select(*keys, "status"), path)
     judged.where("status = 'stored'").select(*df.columns).write.mode("append").partitionBy(*(partition_by or [])).parquet(path)
-    return judged.select(*keys, "status")
+    return statuses
 
 
 def regenerate(df: DataFrame, path: str, partition: str) -> DataFrame:
@@ -66,7 +76,7 @@ def regenerate(df: DataFrame, path: str, partition: str) -> DataFrame:
     old = _read(df, path)
     digest = content_hash(df, [partition])
     judged = upsert_status(df.withColumn("_h", digest), old.withColumn("_h", digest), [partition], "_h").persist()
-    judged.count()
+    statuses = _keep(judged.select(partition, "status"), path)
     changed = judged.where("status <> 'unchanged'").select(*df.columns)
     changed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
-    return judged.select(partition, "status")
+    return statuses
