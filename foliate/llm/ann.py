@@ -23,7 +23,7 @@ from foliate.llm.common import materialize, prepare, table
 SHARD_NODES = 2048
 DEGREE = 48
 BUILD_BEAM = 72
-SEARCH_BEAM = 128
+SEARCH_BEAM = 96
 #: Slots of each node besides DEGREE, for edges to nodes that no path reaches.
 SPARE = 8
 ALPHA = 1.2
