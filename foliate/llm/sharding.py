@@ -1,16 +1,19 @@
 """Balanced label propagation: documents move towards the shards of the documents linked to them.
 
 Documents are linked by a group key (equal texts, unless the caller names another column). A
-group larger than half a shard is first cut into fragments by a hash of its rows, so no fragment
-can fill a shard and no key carries a large share of the rows. Rounds of joins then move cells,
-that is all rows of one fragment in one shard, to the shard where most of the fragment lives, as
-far as that shard's quota goes. What the rounds leave is rounded to exact quotas: rows are ranked
-by (label, fragment), and equal ranges of that rank become the shards, so counts differ by one at
-most and a fragment is cut only where a quota ends.
+group larger than a shard is first cut into fragments by a hash of its rows. In each round the
+rows of a group vote for the shard where most of them live; the fragments of one group ask for it
+and the shards after it, or for a shard with room where it has none. A fragment is admitted whole
+and settles, as far as the shard's capacity goes. What is not settled after the rounds stays with
+most of its rows. Then labels are rounded to exact quotas: a shard keeps the rows of its label,
+settled fragments first and unlinked rows last, up to its quota, and the rest fills the shards
+that have too few. Counts differ by one at most.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -19,46 +22,61 @@ from foliate.llm.common import materialize, table, text_or_empty
 
 SHARDS = 40
 ROUNDS = 3
-#: A shard may hold so many times its even share while labels move.
+#: Settled fragments may fill a shard to so many times its even share in the last round.
 SLACK = 1.1
-#: Movers to a shard are admitted by the hash of their fragment, in so many steps.
+#: Other fragments are admitted to a shard by their hash, in so many steps.
 STEPS = 256
+#: Fragments of at least a share divided by this are large.
+LARGE = 16
 #: Bytes counted for each document besides its text.
 OVERHEAD = 16
 
 
-def _quota_steps(moves: DataFrame, loads: dict[int, int], shards: int, capacity: float) -> list[tuple[int, int]]:
-    """For each shard, the first admission step that no longer fits (at most shards x STEPS sums are read)."""
-    wanted: dict[int, dict[int, int]] = {}
-    for target, step, n in moves.groupBy("target", "step").agg(F.sum("n")).collect():
-        wanted.setdefault(target, {})[step] = n
-    limits = []
-    for shard in range(shards):
-        room, step = capacity - loads.get(shard, 0), 0
-        while step < STEPS and room >= (n := wanted.get(shard, {}).get(step, 0)):
-            room -= n
-            step += 1
-        limits.append((shard, step))
-    return limits
-
-
-def propagate(cells: DataFrame, shards: int, capacity: float, rounds: int) -> DataFrame:
-    """Move cells (fragment, start, shard, n) for some rounds; start stays, shard is the label."""
-    spark = cells.sparkSession
+def _open_steps(moves: DataFrame, room: list[float]) -> list[tuple[int, int]]:
+    """The (shard, admission step) pairs that fit, in order of steps (at most shards x STEPS sums are read)."""
+    wanted = sorted((step, target, n) for target, step, n in moves.groupBy("target", "step").agg(F.sum("n")).collect())
+    left, fit = list(room), []
+    for step, target, n in wanted:
+        if n <= left[target]:
+            left[target] -= n
+            fit.append((target, step))
+    return fit
+
+
+def propagate(fragments: DataFrame, shards: int, share: int, capacity: float, rounds: int) -> DataFrame:
+    """Settle fragments (link, fragment, part, n, held, shard) for some rounds.
+
+    held has the shards and counts of the rows, shard is null until the fragment is settled. Only
+    the last round fills a shard beyond its share, up to the capacity.
+    """
+    spark = fragments.sparkSession
     for k in range(rounds):
-        loads = {s: n for s, n in cells.groupBy("shard").agg(F.sum("n")).collect()}
-        here = cells.groupBy("fragment", "shard").agg(F.sum("n").alias("n"))
-        best = here.groupBy("fragment").agg(F.max(F.struct("n", (-F.col("shard")).alias("first"))).alias("best"))
-        asked = cells.join(best, "fragment").select("fragment", "start", "shard", "n", (-F.col("best.first")).cast("int").alias("target"))
-        asked = asked.withColumn("step", F.pmod(F.xxhash64("fragment", F.lit(k)), F.lit(STEPS)).cast("int"))
-        moves = asked.where("target <> shard")
-        limits = spark.createDataFrame(_quota_steps(moves, loads, shards, capacity), "target int, open int")
-        admitted = asked.join(F.broadcast(limits), "target")  # one row for each shard
-        cells = materialize(
-            admitted.select("fragment", "start", F.when(F.col("step") < F.col("open"), F.col("target")).otherwise(F.col("shard")).alias("shard"), "n"),
-            "shard-cells",
-        )
-    return cells
+        loads = {s: n for s, n in fragments.where("shard IS NOT NULL").groupBy("shard").agg(F.sum("n")).collect()}
+        limit = capacity if k + 1 == rounds else min(share, capacity)
+        room = [limit - loads.get(s, 0) for s in range(shards)]
+        votes = fragments.select("link", "part", F.explode("held").alias("h")).groupBy("link", F.pmod(F.col("h.shard") - F.col("part"), F.lit(shards)).alias("base")).agg(F.sum("h.n").alias("n"))
+        base = votes.groupBy("link").agg((-F.max(F.struct("n", (-F.col("base")).alias("first")))["first"]).alias("base"))
+        asked = fragments.join(base, "link").withColumn("first", F.pmod(F.col("base") + F.col("part"), F.lit(shards)).cast("int")).drop("base")
+        asked = asked.withColumn("large", F.col("n") * LARGE >= share)
+        settled = []
+        # Large fragments, at most LARGE x shards of them, are placed one by one before the others.
+        for fragment, n, target in sorted(asked.where("shard IS NULL AND large").select("fragment", "n", "first").collect(), key=lambda r: (-r[1], r[0])):
+            if room[target] < n:
+                target = max(range(shards), key=room.__getitem__)
+            if room[target] >= n:
+                room[target] -= n
+                settled.append((fragment, target))
+        roomy = sorted(range(shards), key=lambda s: (-room[s], s))[: max(1, shards // 4)]
+        second = F.get(F.array(*[F.lit(s) for s in roomy]), F.pmod(F.xxhash64("fragment", F.lit(k)), F.lit(len(roomy))).cast("int"))
+        fits = F.get(F.array(*[F.lit(float(x)) for x in room]), F.col("first")) >= F.col("n")
+        asked = asked.withColumns({"target": F.when(fits, F.col("first")).otherwise(second), "step": F.pmod(F.xxhash64("fragment", F.lit(k), F.lit("step")), F.lit(STEPS)).cast("int")})
+        fit = spark.createDataFrame(_open_steps(asked.where("shard IS NULL AND NOT large"), room), "target int, step int").withColumn("open", F.lit(True))
+        placed = spark.createDataFrame(settled, "fragment long, chosen int")
+        admitted = asked.join(F.broadcast(fit), ["target", "step"], "left").join(F.broadcast(placed), "fragment", "left")
+        admitted = admitted.withColumn("shard", F.coalesce("shard", "chosen", F.when(F.col("open") & ~F.col("large"), F.col("target"))))
+        held = F.when(F.col("shard").isNotNull(), F.array(F.struct("shard", "n"))).otherwise(F.col("held"))
+        fragments = materialize(admitted.select("link", "fragment", "part", "n", held.alias("held"), "shard"), "shard-fragments")
+    return fragments
 
 
 def shard_documents(
@@ -89,49 +107,71 @@ def shard_documents(
     )
     total = nodes.count()
     share = max(1, -(-total // shards))
-    # Groups of at least two rows; each is cut into fragments of about half a shard.
+    # Groups of at least two rows; each is cut into fragments of a shard at most.
     groups = (
         nodes.groupBy("link").agg(F.count("*").alias("rows")).where("rows > 1")
-        .select("link", F.ceil(F.col("rows") * 2 / F.lit(share)).cast("long").alias("parts"))
+        .select("link", F.ceil(F.col("rows") / F.lit(share)).cast("long").alias("parts"))
     )
     start = F.pmod(F.xxhash64("salt", F.lit("start")), F.lit(shards)).cast("int")
-    fragment = F.xxhash64("link", F.pmod(F.xxhash64("salt", F.lit("part")), F.coalesce("parts", F.lit(1))))
+    part = F.pmod(F.xxhash64("salt", F.lit("part")), F.coalesce("parts", F.lit(1)))
     placed = materialize(
-        nodes.join(groups, "link", "left").select("doc_id", "size", "text_crc32", "salt", F.col("parts").isNotNull().alias("linked"), fragment.alias("fragment"), start.alias("start")),
+        nodes.join(groups, "link", "left").withColumn("part", part)
+        .select("doc_id", "size", "text_crc32", "salt", "link", F.col("parts").isNotNull().alias("linked"), "part", F.xxhash64("link", "part").alias("fragment"), start.alias("start")),
         "shard-placed",
+    )
+    cells = placed.where("linked").groupBy("link", "fragment", "part", F.col("start").alias("shard")).agg(F.count("*").alias("n"))
+    fragments = cells.groupBy("link", "fragment", "part").agg(F.sum("n").alias("n"), F.array_sort(F.collect_list(F.struct("shard", "n"))).alias("held"))  # at most one cell for each shard
+    fragments = propagate(materialize(fragments.withColumn("shard", F.lit(None).cast("int")), "shard-fragments"), shards, total // shards, SLACK * share, rounds)
+    # What no shard has admitted follows most of its rows and yields to settled fragments.
+    most = -F.array_max(F.transform("held", lambda h: F.struct(h["n"], (-h["shard"]).alias("first"))))["first"]
+    labels = fragments.select("fragment", F.coalesce("shard", most).cast("int").alias("label"), F.col("shard").isNull().cast("int").alias("loose"), (-F.col("n")).alias("least"))
+    labelled = placed.join(labels, "fragment", "left").select(
+        "doc_id", "size", "text_crc32", "fragment", "salt", F.coalesce("label", "start").alias("label"), F.coalesce("loose", F.lit(2)).alias("loose"), F.coalesce("least", F.lit(0)).alias("least")
     )
-    cells = placed.where("linked").groupBy("fragment", "start").agg(F.count("*").alias("n")).withColumn("shard", F.col("start"))
-    cells = propagate(materialize(cells, "shard-cells").select("fragment", "start", "shard", "n"), shards, SLACK * share, rounds)
-    # What a full shard has turned away follows the rest of its fragment; rounding restores the quotas.
-    here = cells.groupBy("fragment", "shard").agg(F.sum("n").alias("n"))
-    labels = here.groupBy("fragment").agg((-F.max(F.struct("n", (-F.col("shard")).alias("first")))["first"]).cast("int").alias("label"))
-    labelled = placed.join(labels, "fragment", "left").select("doc_id", "size", "text_crc32", "fragment", "salt", F.coalesce("label", "start").alias("label"))
     return _round(labelled, total, shards)
 
 
+def _longs(values: list[int]) -> Column:
+    return F.array(*[F.lit(v).cast("long") for v in values])
+
+
 def _round(labelled: DataFrame, total: int, shards: int) -> DataFrame:
-    """Cut the order (label, fragment, salt) into shards whose counts are at most one apart."""
+    """Give each shard the first rows of its label in the order (loose, least, fragment, salt), up to
+    its quota, and fill the others with what is left; quotas are at most one apart."""
     spark = labelled.sparkSession
-    order = ["label", "fragment", "salt", "doc_id"]
+    order = ["label", "loose", "least", "fragment", "salt", "doc_id"]
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // 1_000_000)
     # Ranges are written before they are counted, so that counts and ranks see the same ranges.
-    ranged = materialize(labelled.repartitionByRange(parts, *order[:3]).withColumn("part", F.spark_partition_id()), "shard-ranges")
-    counts = sorted(tuple(r) for r in ranged.groupBy("part").count().collect())  # one row for each range
+    ranged = materialize(labelled.repartitionByRange(parts, *order[:-1]).withColumn("part", F.spark_partition_id()), "shard-ranges")
+    in_part, in_label = Counter(), Counter()
+    for part, label, n in ranged.groupBy("part", "label").count().collect():  # ranges follow labels: ranges + shards rows
+        in_part[part] += n
+        in_label[label] += n
     before, firsts = 0, []
-    for part, n in counts:
+    for part, n in sorted(in_part.items()):
         firsts.append((part, before))
         before += n
+    small, more = divmod(total, shards)
+    at, over, hole, quotas, holes = 0, 0, 0, [], []
+    for s in range(shards):
+        quota, n = small + (s < more), in_label[s]
+        quotas.append((s, at, quota, over))
+        at += n
+        over += max(0, n - quota)
+        if n < quota:
+            holes.append((hole, s, n))
+            hole += quota - n
+    starts, where, have = (_longs(list(c)) for c in zip(*(holes or [(0, 0, 0)]), strict=True))
     offsets = F.broadcast(spark.createDataFrame(firsts, "part int, before long"))  # one row for each range
+    of_label = F.broadcast(spark.createDataFrame(quotas, "label int, at long, quota long, over long"))  # one row for each shard
     rank = F.row_number().over(W.partitionBy("part").orderBy(*order)) - 1 + F.col("before")
-    small, more = divmod(total, shards)
-    # The first `more` shards hold small + 1 rows, the others small.
-    edge = more * (small + 1)
-    in_large = F.col("rank") < edge
-    shard = F.when(in_large, F.floor(F.col("rank") / (small + 1))).otherwise(more + F.floor((F.col("rank") - edge) / max(1, small)))
-    slot = F.when(in_large, F.pmod("rank", F.lit(small + 1))).otherwise(F.pmod(F.col("rank") - edge, F.lit(max(1, small))))
-    return ranged.join(offsets, "part").withColumn("rank", rank).select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), shard.cast("int").alias("shard"), slot.cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "fragment"
-    )
+    ranked = ranged.join(offsets, "part").join(of_label, "label").withColumn("place", rank - F.col("at"))
+    extra = F.col("over") + F.col("place") - F.col("quota")
+    ranked = ranked.withColumn("extra", F.when(F.col("place") >= F.col("quota"), extra)).withColumn("hole", F.size(F.filter(starts, lambda h: h <= F.col("extra"))) - 1)
+    stays = F.col("extra").isNull()
+    shard = F.when(stays, F.col("label")).otherwise(F.get(where, F.col("hole")))
+    slot = F.when(stays, F.col("place")).otherwise(F.get(have, F.col("hole")) + F.col("extra") - F.get(starts, F.col("hole")))
+    return ranked.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), shard.cast("int").alias("shard"), slot.cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "fragment")
 
 
 def op6_sharding(spark, sf_dir: str) -> DataFrame:

@@ -197,6 +197,26 @@ def test_sharding_keeps_groups_together(spark):
     assert split <= 4  # a group is cut at the end of a shard's quota only
 
 
+def _spread(spark, texts, **how):
+    """Shards that the groups of equal texts lie in beyond the fewest that can hold them."""
+    rows = sharding.shard_documents(docs(spark, texts), **how).collect()
+    share, where = -(-len(texts) // how["shards"]), {}
+    for r in rows:
+        where.setdefault(texts[r.doc_id], []).append(r.shard)
+    return sum(len(set(v)) + -len(v) // share for v in where.values()), where
+
+
+def test_sharding_is_decided_by_rounds_and_capacity(spark, monkeypatch):
+    # Groups of 0.8 and 2.6 shares, small groups, and rows of their own: 800 rows in 8 shards of 100.
+    texts = ["a"] * 80 + ["b"] * 80 + ["c"] * 260 + [f"pair {k // 2}" for k in range(180)] + [f"own {k}" for k in range(200)]
+    settled, where = _spread(spark, texts, shards=8)
+    assert len(set(where["a"])) == len(set(where["b"])) == 1
+    unmoved, _ = _spread(spark, texts, shards=8, rounds=0)
+    monkeypatch.setattr(sharding, "SLACK", 0.1)
+    narrow, _ = _spread(spark, texts, shards=8)
+    assert settled < unmoved and settled < narrow
+
+
 PAGES = [
     ("<html><head><title>t</title><script>var x='</p>';</script></head><body><nav><a>m</a></nav><div class='cookie-notice'>c</div><article><h1>T &amp; U</h1><p><b>A<br><p>b  c</p><ul><li>x<li>y</ul><section class='comments'><p>no</p></section></article><footer>f</footer>", "T & U\nA\nb c\nx\ny"),
     ("<p>plain<p>text<aside>no</aside><form>no</form>", "plain\ntext"), (None, ""), ("", ""), ("<article></article>", ""), ("<article>" + "<p>w</p>" * 3000 + "</article>", "\n".join(["w"] * 3000)), ("a<script>unclosed", "a"), ("1 < 2 &lt; 3 <!-- x -->", "1 < 2 < 3"),
