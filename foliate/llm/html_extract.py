@@ -2,7 +2,7 @@
 
 1. A page becomes tokens: its tags with their path and class, and its blocks of text with theirs.
 2. On all pages of a host, tokens that occur the same number of times on each page of the host
-   share an occurrence vector. Vectors are compared by a sum of hashes of (page, count), which
+   share an occurrence vector. Copies of a page count once. Vectors are compared by a sum of hashes of (page, count), which
    is built by ordinary partial aggregation, so a host with many pages costs no more per row and
    nothing is gathered. Tokens with the same vector on enough pages form an equivalence class.
 3. A class is valid where its tokens nest in the same order on the pages; the template of a host
@@ -167,7 +167,8 @@ def text_of(parts: list[tuple[str, str, bool]], classes: list[list[int]]) -> str
     """What stands in the slots of a page once the classes of its host's template are taken out.
 
     A class is taken out where its tokens stand in the template's order; on other pages it is no
-    template and stays.
+    template and stays. Where nothing would be left of the article, the main region or, without
+    them, of the page, all of it stays.
     """
     first: dict[int, int] = {}
     marks = [token(path, text) for path, text, _ in parts]
@@ -178,12 +179,14 @@ def text_of(parts: list[tuple[str, str, bool]], classes: list[list[int]]) -> str
         at = [first[t] for t in members if t in first]
         if at == sorted(at):
             fixed.update(members)
-    kept = [(path, text) for (path, text, bad), t in zip(parts, marks, strict=True) if not bad and t not in fixed]
+    content = [(path, text, t in fixed) for (path, text, bad), t in zip(parts, marks, strict=True) if not bad]
     for root in ("article", "main"):
-        inside = [t for path, t in kept if in_root(path, (root,))]
+        inside = [c for c in content if in_root(c[0], (root,))]
         if inside:
-            return "\n".join(inside)
-    return "\n".join(t for _, t in kept)
+            content = inside
+            break
+    kept = [text for _, text, out in content if not out]
+    return "\n".join(kept or [text for _, text, _ in content])
 
 
 def token(path: str, text: str) -> int:
@@ -195,11 +198,13 @@ def token(path: str, text: str) -> int:
 def template_of(tokens: DataFrame, hosts: DataFrame) -> DataFrame:
     """host and its classes array<array<long>>: tokens with equal occurrence vectors, in page order.
 
-    tokens: host, token, n (occurrences on the page), page, place, body; hosts: host of every page.
+    tokens: host, token, n (occurrences on the page), page, place, body; hosts: host and page (a hash
+    of its html) of every row. Rows with equal html are one page.
     """
+    tokens = tokens.dropDuplicates(["host", "token", "page"])
     vector = F.sum(F.pmod(F.xxhash64("page", "n"), F.lit(1 << 31)))
     seen = tokens.groupBy("host", "token").agg(F.count("*").alias("pages"), vector.alias("vector"), F.avg("place").alias("place"), F.max("body").alias("body"))
-    sizes = hosts.groupBy("host").agg(F.count("*").alias("of"))
+    sizes = hosts.distinct().groupBy("host").agg(F.count("*").alias("of"))
     enough = (F.col("pages") >= F.when(F.col("body"), BODY_PAGES).otherwise(LEAST_PAGES)) & (F.col("pages") >= F.when(F.col("body"), BODY_SHARE).otherwise(SHARE) * F.col("of"))
     # At most a page's blocks / SHARE tokens of a host get here, however many pages it has.
     classes = seen.where(F.col("pages") >= LEAST_PAGES).join(sizes, "host").where(enough).groupBy("host", "vector").agg(F.array_sort(F.collect_list(F.struct("place", "token"))).alias("members"))
@@ -242,7 +247,7 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
     host = url_host(F.col("url"))
     made = source.select(host.alias("host"), "html").mapInArrow(tokens, "host string, token long, n int, page long, place int, body boolean")
-    template = materialize(template_of(made, source.select(host.alias("host"))), "html-template")
+    template = materialize(template_of(made, source.select(host.alias("host"), F.xxhash64("html").alias("page"))), "html-template")
     size = template.agg(F.coalesce(F.sum(F.aggregate("classes", F.lit(0), lambda a, c: a + F.size(c))), F.lit(0))).first()[0]
     hosted = source.withColumn("host", host)
     if size <= BROADCAST_CLASSES:

@@ -237,6 +237,20 @@ def test_html_template_is_taken_out(spark):
     assert {r.text for r in got} == {f"story {i}" for i in range(6)}
 
 
+def test_html_copies_keep_their_text(spark):
+    article = "<main><article><h1>Title</h1><p>first part</p><p>last part</p></article></main>"
+    rows = [(i, "http://copies.example.org/%d" % i, article) for i in range(25)] + [(0, "http://copies.example.org/0", article)] * 5
+    rows += [(100 + i, "http://plain.example.org/%d" % i, "<div><p>only</p><p>text</p></div>") for i in range(4)]
+    # Different pages with the same article, and a copied page among others of its host.
+    rows += [(200 + i, "http://same.example.org/%d" % i, f"<div>{i}</div>{article}") for i in range(25)]
+    rows += [(300 + i, "http://mixed.example.org/%d" % i, f"<div><p>Welcome</p><p>story {max(0, i - 5)}</p></div>") for i in range(9)]
+    got = html_extract.extract_pages(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        text = "only\ntext" if 100 <= r.page_id < 200 else f"story {max(0, r.page_id - 305)}" if r.page_id >= 300 else "Title\nfirst part\nlast part"
+        assert (r.text, r.n_chars) == (text, len(text))
+
+
 def test_url_filter(spark):
     urls = {"http://a.Example.NET/en/x": ("a.example.net", "example.net/en/", "allow"), "http://a.example.net/fr/": ("a.example.net", "net/", "block"), "http://example.com/de/x": ("example.com", "example.com/de/", "block"),
             "http://x.org/fr/?a": ("x.org", "org/fr/", "allow"), "http://casino.io/": ("casino.io", None, "block"), "http://casinos4.io/": ("casinos4.io", None, "allow"), "http://free.io/bets": ("free.io", None, "block"),
