@@ -202,3 +202,18 @@ def test_stream_stores_blocks_once(spark, tmp_path):
         query = ingest_blocks(page_stream(spark, source, "page_id bigint, html string"), str(tmp_path / "out"), str(tmp_path / f"state{k}"))
         query.awaitTermination(60)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+@pytest.mark.parametrize("short", [False, True])
+def test_quotes_are_found_the_same_way_at_any_size(spark, tmp_path, monkeypatch, short):
+    from foliate.plans import queries
+
+    texts = ["one alpha beta gamma delta", "alphabet betamax", "alpha beta", "  alpha\nbeta  gamma", "", None]
+    docs = [(i, t) for i, t in enumerate(texts)] + [(1, "other alpha beta gamma"), (None, "alpha beta gamma")]
+    quotes = ["alpha", "lph", "alpha bet", "alpha beta gamma", "beta gam", "beta  gamma", "alpha beta gamma", " ", "a", "nowhere", "no such words"]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(k if k != 6 else 3, q) for k, q in enumerate(quotes)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = lambda: sorted(map(repr, queries._quotes(spark, str(tmp_path), short).collect()))
+    small = found()
+    monkeypatch.setattr(queries, "QUOTE_BYTES", 10)
+    assert found() == small and len(small) > 20
