@@ -150,10 +150,11 @@ def connect(x: np.ndarray, graph: np.ndarray, start: int, spare: int = SPARE) ->
 
 
 def nodes_of(vectors: DataFrame, id_col: str, vector_col: str, keep: int) -> DataFrame:
-    """Distinct vectors with their `keep` least ids; ids of one vector are thinned under a salt first."""
+    """Distinct vectors with their `keep` least distinct ids; ids of one vector are thinned under a salt first."""
     v = F.col(vector_col)
     rows = vectors.where(F.col(id_col).isNotNull() & usable(v)).select(F.col(id_col).cast("long").alias("id"), v.cast("array<double>").alias("vector"))
     rows = rows.withColumns({"h": F.xxhash64("vector"), "g": F.xxhash64("vector", F.lit(1)), "salt": F.pmod(F.xxhash64("id"), F.lit(64))})
+    rows = rows.groupBy("h", "g", "salt", "id").agg(F.first("vector").alias("vector"))
     for key in (["h", "g", "salt"], ["h", "g"]):
         rows = rows.withColumn("r", F.row_number().over(W.partitionBy(*key).orderBy("id"))).where(F.col("r") <= keep).drop("r")
     return rows.groupBy("h", "g").agg(F.array_sort(F.collect_list("id")).alias("ids"), F.first("vector").alias("vector"))
@@ -200,15 +201,22 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_i
                     found, sims = beam_search(x, graph, start, unit(q[at : at + _SEARCHED]), max(beam, k + 1))
                     for w, vec, near, sim in zip(want[at : at + _SEARCHED], q[at : at + _SEARCHED], found, sims, strict=True):
                         # Rounding of single precision can swap near ties: more than k + 1 are scored exactly.
-                        near = near[np.argsort(-sim, kind="stable")][: 4 * (k + 1)]
+                        near = near[np.argsort(-sim, kind="stable")]
                         near = near[near >= 0]
+                        if len({i for c in near[: 4 * (k + 1)].tolist() for i in ids[c]}) > k:  # an id may have several vectors
+                            near = near[: 4 * (k + 1)]
                         scores = (original[near] @ vec) / (norms[near] * np.sqrt((vec * vec).sum()))
-                        rows = [(-s, i) for c, s in zip(near.tolist(), scores.tolist(), strict=True) for i in ids[c] if i != w["id"]]
-                        out += [(w["id"], i, -s) for s, i in sorted(rows)[:k]]
+                        best: dict[int, float] = {}
+                        for c, s in zip(near.tolist(), scores.tolist(), strict=True):
+                            for i in ids[c]:
+                                if i != w["id"]:
+                                    best[i] = max(s, best.get(i, s))
+                        out += [(w["id"], i, -s) for s, i in sorted((-s, i) for i, s in best.items())[:k]]
                 columns = list(zip(*out, strict=True)) if out else [()] * 3
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query_id", "vec_id", "score"])
 
     best = pairs.select("width", "vectors", "graph", "ids", "start", "asked").mapInArrow(search, "query_id long, vec_id long, score double")
+    best = best.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

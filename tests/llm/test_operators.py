@@ -299,6 +299,23 @@ def test_nearest_neighbours(spark):
     assert ann.nearest(df.where("vec_id < 0"), df.where("vec_id < 0"), 5).count() == 0
 
 
+def test_nearest_neighbours_of_repeated_rows(spark):
+    r = np.random.default_rng(5)
+    x = r.normal(size=(60, 8)).astype(np.float32)
+    x[10:20] = x[10]  # ten ids with one vector
+    rows = [(i, [float(v) for v in row]) for i, row in enumerate(x) for _ in range(9 if i in (10, 11, 30) else 1)]
+    rows += [(40, [float(v) for v in x[41] * 3])]  # a second vector of one id
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got = ann.nearest(df, df.where("vec_id IN (10, 12, 30, 41)"), 5, shard_nodes=20).orderBy("query_id", "rank").collect()
+    n = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    for q in (10, 12, 30, 41):
+        s = n @ n[q]
+        s[40] = max(s[40], n[41] @ n[q])
+        s[q] = -9
+        have = [g for g in got if g.query_id == q]
+        assert [g.vec_id for g in have] == np.lexsort((np.arange(60), -np.round(s, 6)))[:5].tolist() and [g.rank for g in have] == [1, 2, 3, 4, 5]
+
+
 def test_robust_prune_keeps_diverse_edges():
     x = ann.unit(np.array([[1, 0], [0.99, 0.1], [0.98, 0.12], [0, 1]]))
     assert ann.robust_prune(x, 0, np.array([1, 2, 3, -1, 0])).tolist() == [1, 3]
