@@ -22,12 +22,15 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from foliate.llm.common import prepare, table, text_or_empty
+from foliate.llm.common import materialize, prepare, table, text_or_empty
 
 #: Most labelled rows of each class that the model is fitted on.
 SAMPLE_PER_CLASS = 3000
+#: Most bytes of text of each class in that sample.
+SAMPLE_BYTES = 32 << 20
 #: Strength of each prior in the chain of prefixes, in occurrences.
 PRIOR = 6.0
 PREFIXES = (2, 3, 4, 5, 6, 7, 8)
@@ -109,57 +112,74 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(a, b, high - low) for a, b, low, high, _ in stack]
 
 
-def _counts(texts: list[str], toxic: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """The words, and for each the distinct neighbourhoods in which it stands in toxic and in other text."""
-    code: dict[str, int] = {"": 0}
-    streams = [np.fromiter((code.setdefault(w, len(code)) for w in _WORD.findall(t.lower())), dtype=np.int64) for t in texts]
-    word, around, label = [], [], []
-    for s, y in zip(streams, toxic.tolist(), strict=True):
-        padded = np.concatenate(([0], s, [0]))
-        word.append(s)
-        around.append(padded[:-2] * np.int64(0x9E3779B1) + padded[2:] * np.int64(0x85EBCA77))
-        label.append(np.full(len(s), y, dtype=np.int64))
-    w, a, y = (np.concatenate(x) if x else np.empty(0, dtype=np.int64) for x in (word, around, label))
-    key = ((w * np.int64(0x27D4EB2F165667C5)) ^ a) * 2 + y
-    _, one = np.unique(key, return_index=True)
-    w, y = w[one], y[one]
-    return list(code), np.bincount(w[y == 1], minlength=len(code)), np.bincount(w[y == 0], minlength=len(code))
-
-
-def _log_odds(texts: list[str], toxic: np.ndarray) -> tuple[dict[str, float], dict[str, float]]:
-    words, bad, good = _counts(texts, toxic)
-    total_bad, total_good = float(bad.sum()), float(good.sum())
-    root = (total_bad + 1) / (total_bad + total_good + 2)
-    sums: dict[str, list[float]] = {}
-    for w, b, g in zip(words, bad.tolist(), good.tolist(), strict=True):
-        for n in PREFIXES:
-            if len(w) >= n:
-                s = sums.setdefault(w[:n], [0.0, 0.0])
-                s[0] += b
-                s[1] += g
-
-    def posterior(word: str, b: float, g: float) -> float:
-        """Down the chain of prefixes without the word's own counts (b, g), so that nothing counts twice."""
-        p, seen = root, None
-        for n in PREFIXES:
-            if len(word) < n:
-                break
-            s = sums[word[:n]]
-            rest = (s[0] - b, s[1] - g)
-            if rest != seen:  # the same words as one letter before: no news
-                p = (rest[0] + PRIOR * p) / (rest[0] + rest[1] + PRIOR)
-            seen = rest
-        return p
+def _occurrences(sample: DataFrame) -> DataFrame:
+    """word and, for toxic and other text of all rows and of each half, the distinct neighbourhoods
+    in which it stands: bad, good, bad0, good0, bad1, good1. Counted on executors with partial sums."""
 
-    def score(p: float) -> float:
-        return math.log(p / (1 - p)) - math.log(root / (1 - root)) - DRIFT
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
 
-    prefixes = {p: score(posterior(p, 0.0, 0.0)) for p in sums}
-    out = {}
-    for w, b, g in zip(words, bad.tolist(), good.tolist(), strict=True):
-        if w:
-            out[w] = score((b + PRIOR * posterior(w, b, g)) / (b + g + PRIOR))
-    return out, prefixes
+        for batch in batches:
+            code: dict[str, int] = {"": 0}
+            streams = [np.fromiter((code.setdefault(w, len(code)) for w in _WORD.findall(t.lower())), dtype=np.int64) for t in batch.column(0).to_pylist()]
+            names = list(code)
+            hashes = np.fromiter((xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in names), dtype=np.uint64, count=len(names))
+            for s, y, fold in zip(streams, batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                h = hashes[np.concatenate(([0], s, [0]))]
+                around = (h[:-2] * np.uint64(0x9E3779B97F4A7C15) + h[2:] * np.uint64(0xC2B2AE3D27D4EB4F)).view(np.int64)
+                order = np.lexsort((around, s))
+                s, around = s[order], around[order]
+                new = np.append(True, (np.diff(s) != 0) | (np.diff(around) != 0))[: len(s)]
+                n = int(new.sum())
+                columns = [pa.array([names[k] for k in s[new].tolist()], pa.string()), pa.array(around[new]), pa.array(np.full(n, y, dtype=np.int32)), pa.array(np.full(n, 1 << fold, dtype=np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, names=["word", "around", "toxic", "half"])
+
+    once = sample.select("text", "toxic", "fold").mapInArrow(run, "word string, around long, toxic int, half int").groupBy("word", "around", "toxic").agg(F.bit_or("half").alias("half"))
+    counts = {}
+    for name, half in (("", 3), ("0", 1), ("1", 2)):
+        there = F.col("half").bitwiseAND(half) > 0
+        counts |= {f"bad{name}": F.count_if(there & (F.col("toxic") == 1)), f"good{name}": F.count_if(there & (F.col("toxic") == 0))}
+    return once.groupBy("word").agg(*[c.alias(n) for n, c in counts.items()])
+
+
+def log_odds(words: list[str], bad: np.ndarray, good: np.ndarray) -> tuple[dict[str, float], dict[str, float]]:
+    """Scores of words and of prefixes; words are sorted, bad and good are their occurrences.
+
+    A word whose own score says no more than its prefixes do, and a prefix with the same words as
+    the one before it, are left out.
+    """
+    there = np.flatnonzero(bad + good > 0)
+    words, bad, good = [words[k] for k in there.tolist()], bad[there], good[there]
+    root = (bad.sum() + 1) / (bad.sum() + good.sum() + 2)
+    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    starts = np.array([w[: PREFIXES[-1]] for w in words], dtype=f"U{PREFIXES[-1]}")
+    p, seen = np.full(len(words), root), np.full((2, len(words)), np.nan)  # of words, without their own counts
+    level, above = np.full(len(words), root), np.full((2, len(words)), np.nan)  # of each word's prefix at this length
+    prefixes: dict[str, float] = {}
+
+    def score(x: np.ndarray) -> np.ndarray:
+        return np.log(x / (1 - x)) - math.log(root / (1 - root)) - DRIFT
+
+    for n in PREFIXES:
+        own = np.flatnonzero(sizes >= n)
+        if not len(own):
+            break
+        cut = starts[own].astype(f"U{n}")  # words with a common prefix are neighbours
+        first = np.flatnonzero(np.append(True, cut[1:] != cut[:-1]))
+        group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(own))))
+        total = np.stack([np.add.reduceat(c[own].astype(float), first)[group] for c in (bad, good)])
+        news = (total != above[:, own]).any(axis=0)
+        level[own] = np.where(news, (total[0] + PRIOR * level[own]) / (total.sum(axis=0) + PRIOR), level[own])
+        above[:, own] = total
+        for k in first[news[first]].tolist():
+            prefixes[str(cut[k])] = float(score(level[own[k]]))
+        rest = total - np.stack([bad[own], good[own]])
+        moved = (rest != seen[:, own]).any(axis=0)
+        p[own] = np.where(moved, (rest[0] + PRIOR * p[own]) / (rest.sum(axis=0) + PRIOR), p[own])
+        seen[:, own] = rest
+    scores = score((bad + PRIOR * p) / (bad + good + PRIOR))
+    backed = np.where(sizes >= PREFIXES[0], score(level), -DRIFT)
+    return {words[k]: float(scores[k]) for k in np.flatnonzero(np.abs(scores - backed) > 0.02).tolist()}, prefixes
 
 
 def segments_of(text: str, scores: dict[str, float]) -> tuple[list[tuple[int, int, float]], int]:
@@ -172,63 +192,97 @@ def segments_of(text: str, scores: dict[str, float]) -> tuple[list[tuple[int, in
     return maximal_segments(values), len(words)
 
 
-def fit(texts: list[str], toxic: list[int], prevalence: float) -> Model:
-    """Fit on texts with labels; prevalence is the share of toxic rows among all labelled rows."""
-    y = np.array(toxic, dtype=np.int64)
-    if not len(y) or y.min() == y.max():
-        return Model()
-    fold = np.arange(len(y)) % 2
-    best, held, sizes, labels = [], [], [], []
-    for k in (0, 1):  # segment statistics of each half under the counts of the other
-        part = Model(*_log_odds([t for t, f in zip(texts, fold, strict=True) if f != k], y[fold != k]))
-        scores = _Scores(part)
-        for t, f, label in zip(texts, fold.tolist(), y.tolist(), strict=True):
-            if f == k:
-                segments, n = segments_of(t, scores)
-                held.append(segments)
-                sizes.append(n)
-                labels.append(label)
-                best.append(max((s for _, _, s in segments), default=0.0))
-    model = Model(*_log_odds(texts, y))
-    clean = np.array([b for b, label in zip(best, labels, strict=True) if not label])
-    length = np.array([max(1, n) for n, label in zip(sizes, labels, strict=True) if not label], dtype=float)
-    # Extreme-value law: P(max < s) = exp(-K n exp(-scale s)); two quantiles give both constants.
-    middle, high = np.quantile(clean, [0.5, 0.95])
-    model.scale = float(np.clip((math.log(math.log(2)) - math.log(-math.log(0.95))) / max(high - middle, 1e-3), 0.5, 4.0))
-    model.log_k = float(np.median(model.scale * clean - np.log(length)) + math.log(math.log(2)))
-    z = np.array([model.evidence(s, n) for s, n in zip(held, sizes, strict=True)])
-    t = np.array(labels, dtype=float)
-    # The logistic curve passes THRESHOLD where F1, at the labelled prevalence, is best on unseen rows.
-    order = np.argsort(-z, kind="stable")
-    hits = np.cumsum(t[order]) * prevalence / max(1.0, t.sum())
-    false = np.cumsum(1 - t[order]) * (1 - prevalence) / max(1.0, (1 - t).sum())
-    f1 = np.where(np.append(np.diff(z[order]) < 0, True), 2 * hits / (hits + false + prevalence), 0)
-    k = int(f1.argmax())
-    cut = (z[order][k] + z[order][min(k + 1, len(z) - 1)]) / 2
-    model.intercept = math.log(THRESHOLD / (1 - THRESHOLD)) - model.slope * float(cut)
-    model.words = {w: s for w, s in model.words.items() if abs(s - model.backed_off(w)) > 0.02}
-    return model
-
-
 def held_out(id_: Column) -> Column:
     """Rows whose labels are never read: crc32 of the id as text leaves 1 when divided by 3."""
     return F.coalesce(F.crc32(id_.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_class: int = SAMPLE_PER_CLASS) -> Model:
-    """Fit on at most per_class labelled rows of each class, those with the least hashes of their ids."""
-    usable = labels.where(F.col(id_col).isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col(id_col))).select(F.col(id_col).alias("id"), "toxic")
+def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, per_class: int, class_bytes: int) -> tuple[DataFrame | None, float]:
+    """text, toxic and fold (0 or 1) of the labelled rows that are fitted on, written out, and the
+    share of toxic rows among all labelled ones.
+
+    Of each class the per_class rows with the least hashes of their ids, as far as they have
+    class_bytes together; texts beyond a 64th of that, and repeats of a text, are left out.
+    """
+    usable = labels.where(F.col(id_col).isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col(id_col))).select(F.col(id_col).alias("id"), F.col("toxic").cast("int").alias("toxic"))
     counts = {r["toxic"]: r["count"] for r in usable.groupBy("toxic").count().collect()}
     if len(counts) < 2:
-        return Model()
+        return None, 0.0
     order = F.xxhash64("id")
-    sample = usable.where("toxic = 1").orderBy(order, "id").limit(per_class).union(usable.where("toxic = 0").orderBy(order, "id").limit(per_class))
-    rows = (
-        docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
-        .join(F.broadcast(sample), "id").select("id", "text", "toxic").toPandas()  # 2 * per_class rows at most, unless ids repeat
-    )
-    rows = rows.sort_values(["id", "text"]).drop_duplicates("text")
-    return fit(rows["text"].tolist(), rows["toxic"].tolist(), counts[1] / sum(counts.values()))
+    ids = usable.where("toxic = 1").orderBy(order, "id").limit(per_class).union(usable.where("toxic = 0").orderBy(order, "id").limit(per_class))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.octet_length("text") <= class_bytes // 64)
+    rows = materialize(rows.join(F.broadcast(ids), "id").groupBy("text").agg(F.min(F.struct("id", "toxic")).alias("x")).select("x.*", "text"), "toxic-rows")  # 2 * per_class ids
+    so_far = F.sum(F.octet_length("text")).over(W.orderBy(order, "id", "text").rowsBetween(W.unboundedPreceding, 0))
+    of_class = [rows.where(F.col("toxic") == y).orderBy(order, "id", "text").limit(per_class).withColumn("bytes", so_far).where(F.col("bytes") <= class_bytes) for y in (0, 1)]
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sample = of_class[0].union(of_class[1]).select("text", "toxic", F.pmod(F.xxhash64("id", F.lit("fold")), F.lit(2)).cast("int").alias("fold"))
+    return materialize(sample.repartition(min(parts, 64)), "toxic-sample"), counts[1] / sum(counts.values())
+
+
+def _segment_table(sample: DataFrame, halves: list[Model]) -> DataFrame:
+    """toxic, n (tokens) and segments (scores) of each text under the counts of the other half."""
+    shared = sample.sparkSession.sparkContext.broadcast(halves)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores = [_Scores(m) for m in shared.value]
+        for batch in batches:
+            found = [segments_of(t, scores[1 - fold]) for t, fold in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            columns = [batch.column(1), pa.array([n for _, n in found], pa.int64()), pa.array([[s for _, _, s in x] for x, _ in found], pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["toxic", "n", "segments"])
+
+    out = materialize(sample.mapInArrow(run, "toxic int, n long, segments array<double>"), "toxic-segments")
+    shared.destroy()  # the table is written
+    return out
+
+
+def _calibrate(model: Model, segments: DataFrame, prevalence: float) -> None:
+    """Set the constants of the extreme-value law and of the logistic curve; at most a few numbers
+    for each sampled row come to the driver."""
+    best = F.coalesce(F.array_max("segments"), F.lit(0.0))
+    clean = segments.where("toxic = 0").select(best.alias("best"), F.greatest("n", F.lit(1)).alias("n")).toPandas()
+    if not len(clean):
+        return
+    # Extreme-value law: P(max < s) = exp(-K n exp(-scale s)); two quantiles give both constants.
+    middle, high = np.quantile(clean["best"], [0.5, 0.95])
+    model.scale = float(np.clip((math.log(math.log(2)) - math.log(-math.log(0.95))) / max(high - middle, 1e-3), 0.5, 4.0))
+    model.log_k = float(np.median(model.scale * clean["best"] - np.log(clean["n"])) + math.log(math.log(2)))
+    # Model.evidence as an expression over the kept segments.
+    logs = F.transform("segments", lambda s: F.lit(model.scale) * s - F.lit(model.log_k) - F.log(F.greatest("n", F.lit(1)).cast("double")))
+    summed = F.aggregate(F.filter(logs, lambda x: x > 0), F.lit(0.0), lambda a, x: a + x)
+    z = F.when(F.size("segments") == 0, F.lit(-8.0)).when(summed > 0, summed).otherwise(F.greatest(F.lit(-8.0), F.array_max(logs)))
+    held = segments.select(z.alias("z"), "toxic").toPandas().sort_values("z", ascending=False)
+    z, t = held["z"].to_numpy(), held["toxic"].to_numpy(dtype=float)
+    # The logistic curve passes THRESHOLD where F1, at the labelled prevalence, is best on unseen rows.
+    hits = np.cumsum(t) * prevalence / max(1.0, t.sum())
+    false = np.cumsum(1 - t) * (1 - prevalence) / max(1.0, (1 - t).sum())
+    k = int(np.where(np.append(np.diff(z) < 0, True), 2 * hits / (hits + false + prevalence), 0).argmax())
+    cut = (z[k] + z[min(k + 1, len(z) - 1)]) / 2
+    model.intercept = math.log(THRESHOLD / (1 - THRESHOLD)) - model.slope * float(cut)
+
+
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_class: int = SAMPLE_PER_CLASS, class_bytes: int = SAMPLE_BYTES) -> Model:
+    """Fit on at most per_class labelled rows and class_bytes of each class (see labelled_sample).
+
+    Texts stay on executors: they count words and score halves; the driver gets the sample's words
+    with their counts and two numbers a row. Without rows of both classes the model is empty.
+    """
+    prepare(docs.sparkSession)
+    sample, prevalence = labelled_sample(docs, labels, id_col, text_col, per_class, class_bytes)
+    if sample is None:
+        return Model()
+    counted = _occurrences(sample).toArrow().sort_by("word")
+    words = counted.column("word").to_pylist()
+    counts = {c: counted.column(c).to_numpy() for c in counted.column_names[1:]}
+    del counted
+    if not len(words) or not counts["bad"].sum() or not counts["good"].sum():
+        return Model()
+    halves = [Model(*log_odds(words, counts[f"bad{k}"], counts[f"good{k}"])) for k in (0, 1)]
+    segments = _segment_table(sample, halves)
+    del halves
+    model = Model(*log_odds(words, counts["bad"], counts["good"]))
+    del words, counts
+    _calibrate(model, segments, prevalence)
+    return model
 
 
 def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", passages: bool = True, carry: list[str] | None = None) -> DataFrame:

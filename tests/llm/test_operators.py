@@ -118,6 +118,62 @@ def test_maximal_segments():
         assert [x[:2] for x in toxicity.maximal_segments(np.array(s))] == [x[:2] for x in _segments_by_definition(s)]
 
 
+def _log_odds_by_definition(rows):
+    """Scores of words and of any prefix: counts of distinct (word, neighbours, label), a chain of priors along prefixes."""
+    once = set()
+    for text, toxic in rows:
+        w = ["", *toxicity._WORD.findall(text.lower()), ""]
+        once |= {(w[k], w[k - 1], w[k + 1], toxic) for k in range(1, len(w) - 1)}
+    count = {}
+    for w, _, _, toxic in once:
+        count.setdefault(w, [0, 0])[1 - toxic] += 1
+    total = [sum(c[k] for c in count.values()) for k in (0, 1)]
+    root = (total[0] + 1) / (sum(total) + 2)
+
+    def chain(word, own):
+        p, seen = root, None
+        for n in toxicity.PREFIXES:
+            if len(word) >= n:
+                rest = [sum(c[k] for w, c in count.items() if w[:n] == word[:n]) - own[k] for k in (0, 1)]
+                if rest != seen:
+                    p = (rest[0] + toxicity.PRIOR * p) / (sum(rest) + toxicity.PRIOR)
+                seen = rest
+        return p
+
+    score = lambda p: np.log(p / (1 - p)) - np.log(root / (1 - root)) - toxicity.DRIFT
+    return {w: score((c[0] + toxicity.PRIOR * chain(w, c)) / (sum(c) + toxicity.PRIOR)) for w, c in count.items()}, lambda p: score(chain(p, [0, 0]))
+
+
+def test_toxicity_counts_match_their_definition(spark):
+    r = random.Random(6)
+    word = lambda bad: "".join(r.choice("abc" if bad else "abcd") for _ in range(r.randint(1, 10)))
+    rows = [(" ".join(word(k % 3 == 0) for _ in range(r.randint(0, 40))) + r.choice(("", " Été 1 x_y")), int(k % 3 == 0), k % 2) for k in range(60)]
+    df = spark.createDataFrame(rows, "text string, toxic int, fold int").repartition(3)
+    table = toxicity._occurrences(df).toArrow().sort_by("word")
+    words = table.column("word").to_pylist()
+    for half, kept in (("", rows), ("0", [x for x in rows if x[2] == 0]), ("1", [x for x in rows if x[2] == 1])):
+        scores, prefixes = toxicity.log_odds(words, table.column(f"bad{half}").to_numpy(), table.column(f"good{half}").to_numpy())
+        model = toxicity.Model(scores, prefixes)
+        want, of_prefix = _log_odds_by_definition([x[:2] for x in kept])
+        for w, s in want.items():
+            backed = of_prefix(w[:8]) if len(w) >= 2 else -toxicity.DRIFT
+            assert abs(model.backed_off(w) - backed) < 1e-9
+            assert abs(scores.get(w, backed) - s) < (1e-9 if w in scores else 0.021)
+
+
+def test_toxicity_of_odd_tables(spark):
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, toxic int")
+    texts = [None if k == 3 else "bad words here" * (k % 2) + f" text {k}" for k in range(40)]
+    model = toxicity.train(docs(spark, texts + texts, [*range(40)] * 2), labels)
+    assert model.prefixes and toxicity.train(docs(spark, []), labels).words == {} and toxicity.train(docs(spark, texts), labels.where("false")).words == {}
+    assert toxicity.score_toxicity(docs(spark, []), model).count() == 0
+    twice = toxicity.score_toxicity(docs(spark, ["bad words", "bad words"], [1, 1]), model).collect()
+    assert len(twice) == 2 and twice[0].score == twice[1].score
+    # A bound on bytes leaves long texts out of the fit, whatever their ids.
+    sample, _ = toxicity.labelled_sample(docs(spark, ["x" * 2000 if k % 4 == 0 else f"t {k}" for k in range(40)]), labels, "doc_id", "text", 30, 64 * 100)
+    assert {len(r.text) for r in sample.collect()} <= {3, 4}
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.1"
     d, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
