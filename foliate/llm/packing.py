@@ -13,14 +13,17 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from foliate.llm.bpe import CACHE, TwoGenerations, encode_many
+from foliate.llm.bpe import CACHE, TwoGenerations
 from foliate.llm.common import prepare, table, text_or_empty
 
 #: Context sizes, longest first; each a power of two.
@@ -41,7 +44,7 @@ class WordIds:
         spec = json.load(open(path, encoding="utf-8"))
         self.tokenizer = Tokenizer.from_str(json.dumps(spec | {"truncation": None, "padding": None}))
         added = spec["added_tokens"]
-        self.specials = [t["content"] for t in added]
+        self.special = re.compile("|".join(re.escape(t["content"]) for t in added))
         self.sep, self.sep_id = added[-1]["content"], added[-1]["id"]
         self.cache = TwoGenerations(2 * CACHE)
 
@@ -52,18 +55,26 @@ class WordIds:
         young = self.cache.young
         young[""] = b""
         gone = self.cache.missing(set().union(*cut))
-        plain = [p for p in gone if not any(s in p for s in self.specials)]
-        for p, ids in zip(plain, encode_many(self.tokenizer, self.sep, self.sep_id, plain), strict=True):
-            young[p] = pack_ids(ids)
+        plain = [p for p in gone if not self.special.search(p)]
+        young.update(zip(plain, self._packed(plain), strict=True))
         for p in set(gone).difference(plain):
             young[p] = pack_ids(self.tokenizer.encode(p, add_special_tokens=False).ids)
         for pieces in cut:
             yield b"".join(map(young.__getitem__, pieces))
 
 
-def pack_ids(ids: list[int]) -> bytes:
-    import numpy as np
+    def _packed(self, pieces: list[str], joined: int = 1000) -> Iterator[bytes]:
+        """Ids of each piece for itself; many share a call, set apart by a special token that none holds."""
+        texts = [self.sep.join(pieces[k : k + joined]) + self.sep for k in range(0, len(pieces), joined)]
+        for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            ids, start = np.array(e.ids, dtype="<u4"), 0
+            raw = ids.tobytes()
+            for end in (4 * np.flatnonzero(ids == self.sep_id)).tolist():
+                yield raw[start:end]
+                start = end + 4
+
 
+def pack_ids(ids: list[int]) -> bytes:
     return np.array(ids, dtype="<u4").tobytes()
 
 
@@ -129,6 +140,15 @@ def _tail(pool: list[Piece]) -> list[tuple[int, list[Piece]]]:
     return out
 
 
+def trimmed(held: dict[int, tuple[object, bytes, int]], pool: list[Piece]) -> dict[int, tuple[object, bytes, int]]:
+    """Of the held documents (id, ids as bytes, where these start) only what the pool's pieces need."""
+    out = {}
+    for n, doc, start in pool:  # a document has one piece here at most
+        key, data, first = held[doc]
+        out[doc] = (key, data if len(data) == 4 * n else data[4 * (start - first) : 4 * (start - first + n)], start)
+    return out
+
+
 def step_groups(sequences: list[tuple[int, list[Piece]]], step: int = STEP) -> list[int]:
     """A group for each sequence: same context, step / context sequences, even attention costs."""
     group, first = [0] * len(sequences), 0
@@ -164,7 +184,7 @@ def pack_documents(
     unless with_ids=False, ids array<int>. Each partition is packed for itself, so nothing is
     shuffled and no task holds more than BUFFER tokens and one batch; sequence ids carry the
     partition's number. A null text is empty and still has its end id; a very long text gives many
-    full sequences; repeated rows are packed each for itself; an empty table gives an empty
+    full sequences, which leave with its batch, so that only its rest is held; repeated rows are packed each for itself; an empty table gives an empty
     result. Other columns are neither read nor returned.
     """
     prepare(docs.sparkSession)
@@ -179,7 +199,7 @@ def pack_documents(
         words = load(path)
         base = TaskContext.get().partitionId() << 36
         counts = {"sequence": 0, "group": 0}
-        held: dict[int, tuple[object, bytes, int]] = {}  # document: id, bytes from some start on, that start
+        held: dict[int, tuple[object, bytes, int]] = {}  # document: id, ids as bytes from some start on, that start
         totals: dict[int, int] = {}
         pool: list[Piece] = []
         kept, number, id_type = 0, 0, None
@@ -190,8 +210,8 @@ def pack_documents(
             for (context, pieces), group in zip(sequences, groups, strict=True):
                 offset = 0
                 for n, doc, start in pieces:
-                    key, data, _ = held[doc]
-                    own = data[4 * start : 4 * (start + n)]
+                    key, data, first = held[doc]
+                    own = data[4 * (start - first) : 4 * (start - first + n)]
                     values = (key, start, n, zlib.crc32(own), totals[doc], base + counts["sequence"], offset, context, base + counts["group"] + group)
                     for column, value in zip(columns, values, strict=False):
                         column.append(value)
@@ -227,13 +247,9 @@ def pack_documents(
                 done, pool = pack(pool, tiers, last=False)
                 yield from rows(done)
                 kept = sum(p[0] for p in pool)
-                alive = {p[1] for p in pool}
-                held = {k: v for k, v in held.items() if k in alive}
-                totals = {k: v for k, v in totals.items() if k in alive}
+            held, totals = trimmed(held, pool), {p[1]: totals[p[1]] for p in pool}
         yield from rows(pack(pool, tiers)[0])
 
-    from foliate.llm.common import F
-
     source = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     return source.mapInArrow(run, schema + (", ids array<int>" if with_ids else ""))
 

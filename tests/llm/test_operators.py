@@ -71,6 +71,28 @@ def test_packing_is_an_exact_partition(spark):
     assert packing.pack_documents(docs(spark, []), path).count() == 0
 
 
+def test_packing_holds_no_more_than_its_pool(spark):
+    held = {k: (k, bytes(4 * 5000), 0) for k in range(3)}
+    pool = [(904, 0, 4096), (100, 2, 4900)]
+    left = packing.trimmed(held, pool)
+    assert {k: (len(v[1]) // 4, v[2]) for k, v in left.items()} == {0: (904, 4096), 2: (100, 4900)}
+    assert packing.trimmed(left, [(50, 2, 4950)])[2] == (2, bytes(4 * 50), 4950)
+    # Several batches and rounds of packing give every id once.
+    texts = [f"w{k} " * (k % 700) for k in range(1200)]
+    path = public_tokenizers.path("word_bpe_49k.json")
+    old, packing.BUFFER = packing.BUFFER, 4096
+    try:
+        rows = packing.pack_documents(docs(spark, texts).coalesce(1), path).collect()
+    finally:
+        packing.BUFFER = old
+    words = packing.load(path)
+    got = {}
+    for r in rows:
+        got.setdefault(r.doc_id, []).append((r.start, r.ids))
+    for k, ids in enumerate(words.ids(texts)):
+        assert packing.pack_ids([x for _, part in sorted(got[k]) for x in part]) == ids + packing.pack_ids([1])
+
+
 def test_pii_base_spans_match_the_patterns():
     r = random.Random(3)
     email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
