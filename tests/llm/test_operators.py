@@ -48,6 +48,21 @@ def test_quality_measures(spark):
     assert quality.apply_rules(docs(spark, [])).count() == 0
 
 
+def test_quality_rules_are_ordered_by_rejections_per_cost(spark):
+    texts = ["a b"] * 60 + ["w%d " % k * 3 + "x" * 1500 for k in range(40)]
+    dear = quality.Rule("dear", lambda m: F.length(F.regexp_replace(m.text, "x*y", "")) < 4)
+    cheap = quality.Rule("cheap", lambda m: m.n_words < 3)
+    idle = quality.Rule("idle", lambda m: m.n_words < 0)
+    null = quality.Rule("null", lambda m: F.lit(None).cast("boolean"))
+    rules = [idle, dear, null, cheap]
+    (n_idle, _), (n_dear, t_dear), (n_null, _), (n_cheap, t_cheap) = quality.rule_statistics(docs(spark, texts).select("text"), rules)
+    assert (n_idle, n_null) == (0, 0) and n_dear == n_cheap == 60 and t_dear > t_cheap > 0
+    assert [r.name for r in quality.order_rules(docs(spark, texts), rules)][:2] == ["cheap", "dear"]
+    assert quality.order_rules(docs(spark, []), rules) == rules
+    small = quality.rule_statistics(docs(spark, texts * 50), rules, sample_rows=100)
+    assert 20 < small[3][0] < 95  # of about 100 rows that are no prefix
+
+
 def test_packing_is_an_exact_partition(spark):
     from tokenizers import Tokenizer
 
