@@ -41,11 +41,14 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept")).distinct()
-    marked = docs.withColumn("_text", F.xxhash64("text"))
-    named = marked.join(kept, marked["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id", "_text"])
-    nameless = marked.where("doc_id IS NULL").dropDuplicates(["_text"])
-    return named.union(nameless).drop("_text")
+    kept = near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("kept_id")).distinct()
+    # Columns go by their places here, so that no column of docs can clash with a helper.
+    places = {n: f"c{k}" for k, n in enumerate(docs.columns)}
+    rows = docs.select(*[F.col(f"`{n}`").alias(c) for n, c in places.items()]).withColumn("same", F.md5(F.col(places["text"]).cast("binary")))
+    key = places["doc_id"]
+    named = rows.join(kept, rows[key] == kept["kept_id"], "left_semi").dropDuplicates([key, "same"])
+    nameless = rows.where(F.col(key).isNull()).dropDuplicates(["same"])
+    return named.union(nameless).select(*[F.col(c).alias(n) for n, c in places.items()])
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
