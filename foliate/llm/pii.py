@@ -88,8 +88,7 @@ def base_spans(text: str) -> list[Span]:
 
 
 _AT = re.compile(r"\s?(?:\(at\)|\[at\]|\{at\})\s?|\s(?:AT|at)\s(?=[\w-]+\s(?:dot|DOT)\s)|@", re.ASCII)
-_AFTER_AT = re.compile(r"[\w-]{1,63}(?:(?:\s?(?:\(dot\)|\[dot\]|\{dot\})\s?|\s(?:dot|DOT)\s|\.)[\w-]{1,63}){1,8}", re.ASCII)
-_BEFORE_AT = re.compile(r"[\w.%+-]{1,64}\Z", re.ASCII)
+_AFTER_AT = re.compile(r"[\w-]+(?:(?:\s?(?:\(dot\)|\[dot\]|\{dot\})\s?|\s(?:dot|DOT)\s|\.)[\w-]+)+", re.ASCII)
 _GENERATORS = (
     ("phone", re.compile(r"(?<![\w.-])(?:\+|00)?\(?[0-9]{1,4}\)?(?:[ .-]\(?[0-9]{2,4}\)?){2,5}(?![\w-])")),
     ("ssn", re.compile(r"(?<![\w.-])[0-9]{3}[- ][0-9]{2}[- ][0-9]{4}(?![\w-])")),
@@ -105,9 +104,12 @@ def candidates(text: str) -> list[Span]:
     out: list[Span] = []
     if "@" in text or "at" in text or "AT" in text:
         for m in _AT.finditer(text):
-            before, after = _BEFORE_AT.search(text[max(0, m.start() - 64) : m.start()]), _AFTER_AT.match(text, m.end())
-            if before and after:
-                out.append(("email", m.start() - len(before[0]), after.end()))
+            first = m.start()
+            while first and text[first - 1] in _LOCAL:
+                first -= 1
+            after = _AFTER_AT.match(text, m.end()) if first < m.start() else None
+            if after:
+                out.append(("email", first, after.end()))
     if _DIGIT.search(text):
         for kind, pattern in _GENERATORS:
             out += [(kind, *m.span()) for m in pattern.finditer(text) if kind != "secret" or _DIGIT.search(m[0])]
@@ -284,7 +286,8 @@ def _joined(spans: list[Span]) -> str:
 
 def detect_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digests: bool = False, carry: list[str] | None = None) -> DataFrame:
     """Spans of every whole text: doc_id, n_email, n_ip, n_card, n_phone (base spans), then
-    spans array<struct<kind, start, end>> and redacted, or with digests=True base_sha256 and spans.
+    spans array<struct<kind, start, end>> and redacted, or with digests=True base_sha256, spans and
+    n_spans (how many spans there are of any kind).
 
     Offsets count code points, the end is exclusive. A null text is empty and has no spans;
     repeated rows are judged each for itself; an empty table gives an empty result; very long texts
@@ -305,7 +308,8 @@ def detect_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             columns = [batch.column(0)] + [pa.array([sum(s[0] == k for s in base) for base, _ in found], pa.int64()) for k in BASE_KINDS]
             if digests:
                 columns += [pa.array([hashlib.sha256(_joined(base).encode()).hexdigest() for base, _ in found], pa.string()), pa.array([_joined(s) for _, s in found], pa.string())]
-                names = ["base_sha256", "spans"]
+                columns.append(pa.array([len(s) for _, s in found], pa.int64()))
+                names = ["base_sha256", "spans", "n_spans"]
             else:
                 struct = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
                 columns += [pa.array([[dict(kind=k, start=a, end=b) for k, a, b in s] for _, s in found], struct), pa.array([t and redact(t, s) for t, (_, s) in zip(texts, found, strict=True)], pa.string())]
@@ -313,7 +317,7 @@ def detect_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             columns += [batch.column(2 + k) for k in range(len(carry))]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *counts, *names, *(f"_c{k}" for k in range(len(carry)))])
 
-    out = "base_sha256 string, spans string" if digests else "spans array<struct<kind: string, start: int, end: int>>, redacted string"
+    out = "base_sha256 string, spans string, n_spans long" if digests else "spans array<struct<kind: string, start: int, end: int>>, redacted string"
     extra = "".join(f", _c{k} {kinds[c]}" for k, c in enumerate(carry))
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"_c{k}") for k, c in enumerate(carry)])
     return source.mapInArrow(run, f"doc_id {kind}, {', '.join(f'{c} long' for c in counts)}, {out}{extra}")
