@@ -56,9 +56,10 @@ def jaccard(a: Column, b: Column) -> Column:
 
 
 def overlap(start1: Column, end1: Column, start2: Column, end2: Column) -> Column:
-    """Shared length of two spans over the shorter one's; 0 where that is empty."""
+    """Shared length of two spans over the shorter one's; 0 where that is empty or a span is absent."""
     shared = F.greatest(F.lit(0), F.least(end1, end2) - F.greatest(start1, start2))
-    return F.coalesce(F.try_divide(shared.cast("double"), F.least(end1 - start1, end2 - start2).cast("double")), F.lit(0.0))
+    there = start1.isNotNull() & end1.isNotNull() & start2.isNotNull() & end2.isNotNull()
+    return F.coalesce(F.when(there, F.try_divide(shared.cast("double"), F.least(end1 - start1, end2 - start2).cast("double"))), F.lit(0.0))
 
 
 def sha256(x: Column) -> Column:

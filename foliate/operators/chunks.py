@@ -15,69 +15,81 @@ MIN_CHARS = 1_000
 PARAGRAPH = r"(?s)[^\n](?:.*?[^\n])?(?=\n{2,}|\z)"
 
 
-def paragraph_spans(text: Column) -> Column:
-    """array<struct<start, end, raw>> of the paragraphs that hold more than white space."""
-    found = F.regexp_extract_all(text, F.lit(PARAGRAPH), F.lit(0))
-    empty = F.array().cast("array<struct<start: int, end: int, raw: string>>")
-    start = F.struct(F.lit(0).cast("int").alias("at"), empty.alias("out"))
+def _pieces(text: Column) -> Column:
+    """array<struct<gap, raw>> of the paragraphs, with what stands between each and the one before."""
+    raw = F.regexp_extract_all(text, F.lit(PARAGRAPH), F.lit(0))
+    return F.filter(F.arrays_zip(F.split(text, PARAGRAPH).alias("gap"), raw.alias("raw")), lambda p: p["raw"].isNotNull())
 
-    def step(state: Column, raw: Column) -> Column:
-        first = (F.call_function("locate", raw, text, state["at"] + 1) - 1).cast("int")
-        end = (first + F.length(raw)).cast("int")
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(F.struct(first.alias("start"), end.alias("end"), raw.alias("raw")))).alias("out"))
 
-    return F.filter(F.aggregate(found, start, step)["out"], lambda p: F.regexp_like(p["raw"], F.lit(r"(?U)[^\s\x1c-\x1f]")))
+def paragraphs(sections: DataFrame, key: str = "doc", text: str = "text", carry: tuple[Column, ...] = ()) -> DataFrame:
+    """One row for each paragraph that holds more than white space: key, idx, start, end, raw,
+    paragraph (stripped), gap (what stands before it) and the columns to carry.
 
-
-def paragraphs(sections: DataFrame, key: str = "doc", text: str = "text") -> DataFrame:
-    """One row for each paragraph: key, idx, start, end, raw, paragraph (stripped)."""
-    rows = sections.select(key, F.posexplode(paragraph_spans(F.col(text))).alias("idx", "p"))
-    return rows.select(key, "idx", "p.start", "p.end", "p.raw", strip(F.col("p.raw")).alias("paragraph"))
+    Offsets are a running sum over a section's rows, which carry their own text only.
+    """
+    rows = sections.select(key, *carry, F.posexplode(_pieces(F.col(text))).alias("piece", "p")).select("*", "p.gap", "p.raw").drop("p")
+    w = W.partitionBy(key).orderBy("piece")
+    end = F.sum(F.length("gap") + F.length("raw")).over(w.rowsBetween(W.unboundedPreceding, 0)).cast("int")
+    rows = rows.withColumn("end", end).withColumn("start", (F.col("end") - F.length("raw")).cast("int"))
+    # A paragraph of white space only is no row, but part of the gap before the next one.
+    blank = ~F.regexp_like("raw", F.lit(r"(?U)[^\s\x1c-\x1f]"))
+    rows = rows.withColumn("rank", F.count_if(~blank).over(w.rowsBetween(W.unboundedPreceding, -1)))
+    before = F.array_join(F.collect_list(F.when(blank, F.concat("gap", "raw"))).over(W.partitionBy(key, "rank").orderBy("piece").rowsBetween(W.unboundedPreceding, -1)), "")
+    rows = rows.withColumn("gap", F.concat(before, "gap")).where(~blank).withColumn("idx", F.col("rank").cast("int")).drop("piece", "rank")
+    return rows.withColumn("paragraph", strip(F.col("raw")))
 
 
 def with_headings(rows: DataFrame, key: str = "doc") -> DataFrame:
-    """Heading flag, period flag, and the last three headings since the last period heading, the own one included."""
+    """Heading flag, period flag, and the last three headings since the last period heading, the own one included.
+
+    Each heading knows the two before it; other rows look back at the last heading, so nothing grows with a document.
+    """
     w = W.partitionBy(key).orderBy("idx")
     flagged = rows.withColumns({"is_period": is_period(F.col("paragraph")), "heading": F.when(is_heading(F.col("paragraph")), F.col("paragraph"))})
     flagged = flagged.withColumn("epoch", F.count_if(F.col("is_period") & F.col("heading").isNotNull()).over(w))
-    so_far = F.collect_list("heading").over(W.partitionBy(key, "epoch").orderBy("idx").rowsBetween(W.unboundedPreceding, 0))
-    return flagged.withColumn("_l", so_far).withColumn("heading_context", F.slice("_l", F.greatest(F.size("_l") - 2, F.lit(1)), F.lit(3))).drop("_l", "epoch")
+    among = W.partitionBy(key, "epoch", F.col("heading").isNotNull()).orderBy("idx")
+    own = F.filter(F.array(F.lag("heading", 2).over(among), F.lag("heading", 1).over(among), F.col("heading")), lambda h: h.isNotNull())
+    flagged = flagged.withColumn("_own", F.when(F.col("heading").isNotNull(), own))
+    so_far = F.last("_own", ignorenulls=True).over(W.partitionBy(key, "epoch").orderBy("idx").rowsBetween(W.unboundedPreceding, 0))
+    return flagged.withColumn("heading_context", F.coalesce(so_far, F.array().cast("array<string>"))).drop("_own", "epoch")
 
 
-def chunk_numbers(items: Column, limit: Column) -> Column:
-    """For paragraphs (start, end, is_period) in order, the number of the chunk of each.
+def chunk_starts(items: Column, limit: Column) -> Column:
+    """Of paragraphs (start, end, is_period) in order, the places of those that begin a chunk.
 
     A new chunk begins at a period heading, or where start of chunk to end of paragraph would
     exceed the limit; a paragraph is never cut.
     """
-    zero = F.struct(F.lit(-1).alias("n"), F.lit(0).cast("int").alias("first"), F.array().cast("array<int>").alias("out"))
+    zero = F.struct(F.lit(0).alias("at"), F.lit(0).cast("int").alias("first"), F.array().cast("array<int>").alias("out"))
 
     def step(s: Column, p: Column) -> Column:
-        fresh = (s["n"] < 0) | p["is_period"] | (p["end"] - s["first"] > limit)
-        n = F.when(fresh, s["n"] + 1).otherwise(s["n"])
-        return F.struct(n.alias("n"), F.when(fresh, p["start"]).otherwise(s["first"]).cast("int").alias("first"), F.concat(s["out"], F.array(n)).alias("out"))
+        fresh = (s["at"] == 0) | p["is_period"] | (p["end"] - s["first"] > limit)
+        return F.struct((s["at"] + 1).alias("at"), F.when(fresh, p["start"]).otherwise(s["first"]).cast("int").alias("first"), F.when(fresh, F.concat(s["out"], F.array(s["at"]))).otherwise(s["out"]).alias("out"))
 
     return F.aggregate(items, zero, step)["out"]
 
 
 def chunks(sections: DataFrame, key: str = "doc", text: str = "text", limit: Column | int = MAX_CHARS, prefix: Column | str = "item2-chunk-") -> DataFrame:
-    """key, chunk_id, chunk_no, character_start, character_end, heading_context, text; offsets within the section."""
+    """key, chunk_id, chunk_no, character_start, character_end, heading_context, text; offsets within the section.
+
+    A chunk's text is put together from its own paragraphs; paragraphs of a section meet in one
+    row, as the section itself does, and no row repeats a section's text.
+    """
     if isinstance(limit, int) and limit < MIN_CHARS:
         raise ValueError(f"a chunk has {MIN_CHARS} characters at least")
     limit = F.lit(limit) if isinstance(limit, int) else limit
     prefix = F.lit(prefix) if isinstance(prefix, str) else prefix
-    rows = with_headings(paragraphs(sections, key, text), key)
-    ordered = F.array_sort(F.collect_list(F.struct("idx", "start", "end", "is_period", "heading_context")))
-    packed = rows.groupBy(key).agg(ordered.alias("items")).join(sections.select(key, F.col(text).alias("section_text"), limit.alias("limit"), prefix.alias("prefix")), key)
-    numbered = packed.withColumn("numbers", chunk_numbers(F.col("items"), F.col("limit")))
-    flat = numbered.select(key, F.explode(F.arrays_zip("items", "numbers")).alias("z"), "section_text", "prefix")
-    built = flat.groupBy(key, F.col("z.numbers").alias("chunk_no")).agg(
-        F.min("z.items.start").alias("character_start"), F.max("z.items.end").alias("character_end"), F.min_by("z.items.heading_context", "z.items.idx").alias("heading_context"),
-        F.first("section_text").alias("section_text"), F.first("prefix").alias("prefix"),
-    )
-    return built.select(
-        key, F.concat("prefix", pad_number(F.col("chunk_no") + 1)).alias("chunk_id"), "chunk_no", "character_start", "character_end", "heading_context",
-        F.substring(F.col("section_text"), F.col("character_start") + 1, F.col("character_end") - F.col("character_start")).alias("text"),
+    rows = with_headings(paragraphs(sections, key, text, carry=(limit.cast("int").alias("_limit"), prefix.alias("_prefix"))), key)
+    ordered = F.array_sort(F.collect_list(F.struct("idx", "start", "end", "is_period", "heading_context", "gap", "raw")))
+    packed = rows.groupBy(key).agg(ordered.alias("items"), F.first("_limit").alias("_limit"), F.first("_prefix").alias("_prefix"))
+    starts = F.transform("items", lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"), p["is_period"].alias("is_period")))
+    packed = packed.withColumn("starts", chunk_starts(starts, F.col("_limit")))
+    cut = F.transform("starts", lambda s, k: F.slice("items", s + 1, F.coalesce(F.get("starts", k + 1), F.size("items")) - s))
+    flat = packed.select(key, "_prefix", F.posexplode(cut).alias("chunk_no", "own"))
+    first, body = F.element_at("own", 1), F.transform("own", lambda p, k: F.when(k == 0, p["raw"]).otherwise(F.concat(p["gap"], p["raw"])))
+    return flat.select(
+        key, F.concat("_prefix", pad_number(F.col("chunk_no") + 1)).alias("chunk_id"), "chunk_no", first["start"].alias("character_start"), F.element_at("own", -1)["end"].alias("character_end"),
+        first["heading_context"].alias("heading_context"), F.array_join(body, "").alias("text"),
     )
 
 

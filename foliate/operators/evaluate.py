@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliate.functions.text import f1, find, jaccard, mean_of_present, overlap, ratio, tokens
+from foliate.sources.shared import materialize
 
 OVERLAP, STATEMENT, FIELD = 0.8, 0.72, 0.6
 KEYS = ("source_content_sha256", "text_content_sha256", "section_id")
@@ -18,56 +19,132 @@ def evidence_start(text: Column, quote: Column, scope: Column) -> Column:
     return F.when(start >= 0, start)
 
 
-def score_candidates(pairs: DataFrame) -> DataFrame:
-    """Method and score of pairs with columns exact, evidence_overlap, statement_similarity, field_similarity; others go."""
-    exact, e, s, f = F.col("exact"), F.col("evidence_overlap"), F.col("statement_similarity"), F.col("field_similarity")
-    by_field = (s >= STATEMENT) & (f >= FIELD)
-    method = F.when(exact, "exact_evidence").when(e >= OVERLAP, "evidence_overlap").when(by_field, "field_similarity")
-    score = F.when(exact, F.lit(1.0)).when(e >= OVERLAP, F.lit(0.85) * e + F.lit(0.15) * s).when(by_field, F.lit(0.7) * s + F.lit(0.3) * f)
-    return pairs.withColumns({"method": method, "score": F.least(score, F.lit(1.0))}).where("method IS NOT NULL")
+def _let(value: Column, body) -> Column:
+    """body(value) with the value worked out once, however often body names it."""
+    return F.transform(F.array(value), body)[0]
 
 
-def similarity(a: Column, b: Column) -> Column:
-    return F.when(a.isNotNull() & b.isNotNull(), jaccard(tokens(a), tokens(b)))
+def scored(exact: Column, evidence_overlap: Column, statement: Column, field: Column) -> Column:
+    """struct<method, score, evidence_overlap, statement_similarity, field_similarity>; the method is null where none accepts."""
 
+    def judge(x: Column) -> Column:
+        o, s, f = x["o"], x["s"], x["f"]
+        by_field = (s >= STATEMENT) & (f >= FIELD)
+        method = F.when(x["exact"], "exact_evidence").when(o >= OVERLAP, "evidence_overlap").when(by_field, "field_similarity")
+        score = F.when(x["exact"], F.lit(1.0)).when(o >= OVERLAP, F.lit(0.85) * o + F.lit(0.15) * s).when(by_field, F.lit(0.7) * s + F.lit(0.3) * f)
+        return F.struct(method.alias("method"), F.least(score, F.lit(1.0)).alias("score"), o.alias("evidence_overlap"), s.alias("statement_similarity"), f.alias("field_similarity"))
 
-def candidates(predicted: DataFrame, expected: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    """Pairs of verified predictions and expected claims of the same case.
+    return _let(F.struct(exact.alias("exact"), evidence_overlap.alias("o"), statement.alias("s"), field.alias("f")), judge)
 
-    predicted: keys, p_index, evidence_status and claim fields; expected: keys, e_index, section_text and
-    claim fields. An equi-join on provenance; only cases are squared, never the table.
+
+def located(claims: DataFrame, cases: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """The claims with start, end and span_problem of their evidence in the case's text, and the
+    case's longest quote's class (see _class) as top.
+
+    The claims of a case meet its text in one row, so a text is read once a case and never stands
+    beside a claim. span_problem: scope_absent, evidence_absent or null.
     """
-    fields = ("claim_type", "statement", "evidence_quote", "scope_quote", "metric", "value", "period")
-    p = predicted.where("evidence_status = 'verified'").select(*keys, "p_index", *[F.col(c).alias(f"p_{c}") for c in fields])
-    e = expected.select(*keys, "e_index", "section_text", *[F.col(c).alias(f"e_{c}") for c in fields])
-    both = p.join(e, list(keys))
+    rest = [c for c in claims.columns if c not in keys]
+    packed = claims.groupBy(*keys).agg(F.collect_list(F.struct(*rest)).alias("claims")).join(cases.select(*keys, "section_text"), list(keys))
     text = F.col("section_text")
-    both = both.withColumns({"p_start": evidence_start(text, F.col("p_evidence_quote"), F.col("p_scope_quote")), "e_start": evidence_start(text, F.col("e_evidence_quote"), F.col("e_scope_quote"))})
-    scored = both.withColumns({
-        "exact": F.col("p_evidence_quote") == F.col("e_evidence_quote"),
-        "evidence_overlap": F.coalesce(overlap(F.col("p_start"), F.col("p_start") + F.length("p_evidence_quote"), F.col("e_start"), F.col("e_start") + F.length("e_evidence_quote")), F.lit(0.0)),
-        "statement_similarity": F.coalesce(similarity(F.col("p_statement"), F.col("e_statement")), F.lit(0.0)),
-        "field_similarity": mean_of_present(*[similarity(F.col(f"p_{c}"), F.col(f"e_{c}")) for c in ("metric", "value", "period")]),
-    })
-    return score_candidates(scored)
+    placed = F.transform("claims", lambda c: F.struct(
+        c.alias("c"), evidence_start(text, c["evidence_quote"], c["scope_quote"]).cast("int").alias("start"),
+        (c["scope_quote"].isNotNull() & (find(text, c["scope_quote"]) < 0)).alias("lost"),
+    ))
+    top = _class(F.greatest(F.lit(1), F.array_max(F.transform("claims", lambda c: F.length(c["evidence_quote"])))))
+    rows = packed.select(*keys, top.alias("top"), F.explode(placed).alias("p"))
+    problem = F.when(F.col("p.lost"), "scope_absent").when(F.col("p.start").isNull(), "evidence_absent")
+    return rows.select(*keys, *[F.col(f"p.c.{c}").alias(c) for c in rest], "top", "p.start", (F.col("p.start") + F.length("p.c.evidence_quote")).alias("end"), problem.alias("span_problem"))
+
+
+def _class(length: Column) -> Column:
+    """The least n with 2 ** n >= length."""
+    return F.ceil(F.log2(length.cast("double"))).cast("int")
+
+
+def _covering(name: str) -> Column:
+    """Grid keys of the one or two cells of a span's own class that it lies in."""
+    own = _class(F.col("end") - F.col("start"))
+    size = F.pow(F.lit(2.0), own)
+    cells = F.sequence(F.floor(F.col("start") / size), F.floor((F.col("end") - 1) / size))
+    return F.when(F.col("end") > F.col("start"), F.transform(cells, lambda c: F.xxhash64(F.lit(name), own, c.cast("long"))))
+
+
+def _middle(name: str) -> Column:
+    """Grid keys of the middle of a span in the cells of its own and all longer classes of the case."""
+    own = _class(F.col("end") - F.col("start"))
+    middle = F.floor((F.col("start") + F.col("end")) / 2)
+    return F.when(F.col("end") > F.col("start"), F.transform(F.sequence(own, F.greatest(own, F.col("top"))), lambda g: F.xxhash64(F.lit(name), g, F.floor(middle / F.pow(F.lit(2.0), g)).cast("long"))))
+
+
+def prefix_tokens(words: Column, least: float) -> Column:
+    """So many of a token set's rarest (longest) tokens that any two sets of that similarity share one."""
+    ordered = F.transform(F.array_sort(F.transform(words, lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w")))), lambda x: x["w"])
+    size = F.size(words)
+    return F.slice(ordered, F.lit(1), F.greatest(F.lit(0), size - F.ceil(F.lit(least) * size - 1e-9).cast("int") + 1))
+
+
+def candidate_pairs(p: DataFrame, e: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, p_index and e_index of all pairs that one of the three methods may accept, by one equi-join.
+
+    Exact: on the quote. Overlap: at OVERLAP or more the longer span covers the shorter one's
+    middle, so a cell of the longer one's class holds both. Field similarity: at STATEMENT or more
+    the prefixes of both statements' ordered tokens share a token. Keys are hashes: a collision
+    gives a pair that scoring drops.
+    """
+
+    def keyed(side: DataFrame, index: str, covering: str, middle: str) -> DataFrame:
+        words = F.transform(prefix_tokens(F.coalesce("statement_tokens", F.array().cast("array<string>")), STATEMENT), lambda w: F.xxhash64(F.lit("token"), w))
+        of = [F.when(F.col("evidence_quote").isNotNull(), F.array(F.xxhash64(F.lit("quote"), F.col("evidence_quote")))), _covering(covering), _middle(middle), words]
+        none = F.array().cast("array<bigint>")
+        return side.select(*keys, index, F.explode(F.array_distinct(F.concat(*[F.coalesce(x, none) for x in of]))).alias("key"))
+
+    return keyed(p, "p_index", "long p", "long e").join(keyed(e, "e_index", "long e", "long p"), [*keys, "key"]).select(*keys, "p_index", "e_index").distinct()
+
+
+def candidates(predicted: DataFrame, expected: DataFrame, cases: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """Pairs of verified predictions and expected claims of the same case that a method accepts.
+
+    predicted: keys, p_index, evidence_status and claim fields; expected: keys, e_index and claim
+    fields; cases: keys and section_text. Indexes are unique in a case. No case is squared: pairs
+    come from an equi-join (see candidate_pairs) and are then scored. A claim whose evidence is
+    absent overlaps nothing; located() names it.
+    """
+    fields = ("claim_type", "statement", "evidence_quote", "scope_quote", "metric", "value", "period")
+    own = list(keys)
+    p = predicted.where("evidence_status = 'verified'").select(*own, F.lit("p").alias("side"), F.col("p_index").alias("index"), *fields)
+    e = expected.select(*own, F.lit("e").alias("side"), F.col("e_index").alias("index"), *fields)
+    words = {f"{c}_tokens": F.when(F.col(c).isNotNull(), tokens(F.col(c))) for c in ("statement", "metric", "value", "period")}
+    # Written once, as pairing and scoring read both sides several times.
+    both = materialize(located(p.union(e).withColumns(words), cases, keys), "located-claims")
+    p, e = (both.where(F.col("side") == s).withColumnRenamed("index", f"{s}_index") for s in ("p", "e"))
+    named = lambda df, side: df.select(*own, f"{side}_index", *[F.col(c).alias(f"{side}_{c}") for c in (*fields, *words, "start", "end")])
+    paired = candidate_pairs(p, e, own).join(named(p, "p"), [*own, "p_index"]).join(named(e, "e"), [*own, "e_index"])
+    alike = lambda c: F.when(F.col(f"p_{c}").isNotNull() & F.col(f"e_{c}").isNotNull(), jaccard(F.col(f"p_{c}"), F.col(f"e_{c}")))
+    judged = scored(
+        F.coalesce(F.col("p_evidence_quote") == F.col("e_evidence_quote"), F.lit(False)), overlap(F.col("p_start"), F.col("p_end"), F.col("e_start"), F.col("e_end")),
+        F.coalesce(alike("statement_tokens"), F.lit(0.0)), mean_of_present(*[alike(f"{c}_tokens") for c in ("metric", "value", "period")]),
+    )
+    return paired.withColumn("_s", judged).where("_s.method IS NOT NULL").select("*", "_s.*").drop("_s", *[f"{s}_{c}" for s in "pe" for c in words])
 
 
 def greedy_match(found: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
     """One-to-one matches, best score first, ties to the smaller indexes; one fold for each case."""
-    row = F.struct((-F.col("score")).alias("less"), "p_index", "e_index", "method", "score", "evidence_overlap", "statement_similarity", "field_similarity")
+    details = ("method", "score", "evidence_overlap", "statement_similarity", "field_similarity")
+    row = F.struct((-F.col("score")).alias("less"), "p_index", "e_index", *details)
     grouped = found.groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias("rows"))
-    kind = dict(grouped.dtypes)["rows"]
-    zero = F.struct(F.array().cast("array<int>").alias("p"), F.array().cast("array<int>").alias("e"), F.array().cast(kind).alias("out"))
+    none = F.array().cast("array<int>")
+    zero = F.struct(F.lit(0).alias("at"), none.alias("p"), none.alias("e"), none.alias("out"))
 
     def step(s: Column, c: Column) -> Column:
         free = ~F.array_contains(s["p"], c["p_index"]) & ~F.array_contains(s["e"], c["e_index"])
-        return F.struct(
-            F.when(free, F.concat(s["p"], F.array(c["p_index"]))).otherwise(s["p"]).alias("p"), F.when(free, F.concat(s["e"], F.array(c["e_index"]))).otherwise(s["e"]).alias("e"),
-            F.when(free, F.concat(s["out"], F.array(c))).otherwise(s["out"]).alias("out"),
-        )
+        more = lambda name, x: F.when(free, F.concat(s[name], F.array(x))).otherwise(s[name]).alias(name)
+        return F.struct((s["at"] + 1).alias("at"), more("p", c["p_index"].cast("int")), more("e", c["e_index"].cast("int")), more("out", s["at"]))
 
-    matched = grouped.select(*keys, F.explode(F.aggregate("rows", zero, step)["out"]).alias("m"))
-    return matched.select(*keys, *[f"m.{c}" for c in ("p_index", "e_index", "method", "score", "evidence_overlap", "statement_similarity", "field_similarity")])
+    slim = F.transform("rows", lambda r: F.struct(r["p_index"].alias("p_index"), r["e_index"].alias("e_index")))
+    taken = F.transform(F.aggregate(slim, zero, step)["out"], lambda k: F.get("rows", k))
+    matched = grouped.select(*keys, F.explode(taken).alias("m"))
+    return matched.select(*keys, *[f"m.{c}" for c in ("p_index", "e_index", *details)])
 
 
 def report(cases: DataFrame, predicted: DataFrame, expected: DataFrame, matches: DataFrame, keys: tuple[str, ...]) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from foliate.functions.text import sha256, strip_right
 
-#: A heading that names the current part, and one that starts an item.
+#: A heading that names the current part, and one that starts an item (fixed values).
 PART = r"(?iU)^PART\s+([IVX]+)\b"
 ITEM = r"(?iU)^Item\s+(\d+[A-Z]?)\.\s*(.*)$"
 PART_LENGTH = 160
@@ -49,22 +49,24 @@ def with_parts(blocks: DataFrame, key: str = "doc", order: str = "idx", part: st
 def sections(blocks: DataFrame, key: str = "doc", order: str = "idx", part: str = PART, item: str = ITEM) -> DataFrame:
     """Sections between item headings: section_id, part, item_number, heading, order, character_start, character_end, text.
 
-    Text before the first item heading belongs to none; a part heading never starts an item.
+    Text before the first item heading belongs to none; a part heading never starts an item. A
+    running count of the headings numbers each block's section; a section is put together from its
+    own blocks, so no row ever carries more text than one section, and work follows the text.
     """
     placed = with_parts(with_offsets(blocks, key, order), key, order, part)
     number = F.when(F.col("own_part").isNull() & (F.length("text") <= ITEM_LENGTH), F.nullif(F.regexp_extract("text", item, 1), F.lit("")))
-    markers = placed.withColumn("item_number", F.upper(number)).where("item_number IS NOT NULL")
-    w = W.partitionBy(key).orderBy(order)
-    texts = document_text(blocks, key, order)
-    cut = markers.join(texts, key).withColumn("order", F.row_number().over(w) - 1)
-    cut = cut.withColumn("next", F.lead("start").over(w)).withColumn("next", F.coalesce("next", F.length("doc_text")))
+    running = F.count("item_number").over(W.partitionBy(key).orderBy(order).rowsBetween(W.unboundedPreceding, 0))
+    numbered = placed.withColumn("item_number", F.upper(number)).withColumn("order", (running - 1).cast("int")).where("order >= 0")
+    of_heading = [F.max(F.when(F.col("item_number").isNotNull(), F.col(c))).alias(c) for c in ("item_number", "part", "start")]
+    heading = F.max(F.when(F.col("item_number").isNotNull(), F.col("text"))).alias("heading")
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col("text").alias("t")))), lambda x: x["t"]), "\n\n")
+    cut = numbered.groupBy(key, "order").agg(*of_heading, heading, strip_right(whole).alias("text"))
     base = F.concat(F.coalesce(F.concat(F.lit("part-"), F.lower("part"), F.lit("-")), F.lit("")), F.lit("item-"), F.lower("item_number"))
     cut = cut.withColumn("base_id", base).withColumn("nth", F.row_number().over(W.partitionBy(key, "base_id").orderBy("order")))
-    body = strip_right(F.substring(F.col("doc_text"), F.col("start") + 1, F.col("next") - F.col("start")))
-    return cut.withColumn("body", body).select(
+    return cut.select(
         key,
         F.when(F.col("nth") == 1, F.col("base_id")).otherwise(F.concat("base_id", F.lit("-"), "nth")).alias("section_id"),
-        "part", "item_number", F.col("text").alias("heading"), "order", F.col("start").alias("character_start"), (F.col("start") + F.length("body")).alias("character_end"), F.col("body").alias("text"),
+        "part", "item_number", "heading", "order", F.col("start").alias("character_start"), (F.col("start") + F.length("text")).alias("character_end"), "text",
     )
 
 

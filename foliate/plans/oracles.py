@@ -32,7 +32,7 @@ placed AS (
 )"""
 _FILINGS = """
 raw AS (
-  SELECT doc_id, source, list_concat(
+  SELECT doc_id, source || '-' || CAST(doc_id // 100 AS VARCHAR) AS source, list_concat(
     CASE WHEN doc_id % 7 = 0 THEN [CASE WHEN doc_id % 2 = 0 THEN 'PART I' ELSE 'PART II' END] ELSE [] END,
     ['Item ' || CAST(doc_id % 9 + 1 AS VARCHAR) || '. ' || lang], string_split(text, chr(10))) AS l
   FROM documents
@@ -107,26 +107,37 @@ def _jaccard(a: str, b: str) -> str:
 
 _CLAIMS = """
 cut AS (SELECT doc_id, lang, text, string_split(replace(text, chr(10), ' '), '. ') AS l FROM documents WHERE text <> ''),
-sentences AS (SELECT doc_id, lang, text, CAST(i - 1 AS INT) AS i, l[i] AS x FROM cut, unnest(range(1, least(len(l), 6) + 1)) u(i) WHERE length(l[i]) >= 12),
+sentences AS (SELECT doc_id, lang, text, CAST(i - 1 AS INT) AS i, l[i] AS x FROM cut, unnest(range(1, len(l) + 1)) u(i) WHERE length(l[i]) >= 12),
 p AS (
-  SELECT doc_id, i AS p_index, CASE WHEN contains(text, left(x, 12)) AND i <> 3 THEN 'verified' ELSE 'not_found' END AS status, CASE WHEN i % 3 = 0 THEN 'risk' ELSE 'business_driver' END AS kind,
-    x AS statement, left(x, 12) AS quote, lang AS metric, string_split(x, ' ')[1] AS value, CASE WHEN i % 2 = 0 THEN lang END AS period FROM sentences WHERE i < 5
+  SELECT doc_id, i AS p_index, text, CASE WHEN contains(text, left(x, 12)) AND i <> 3 THEN 'verified' ELSE 'not_found' END AS status, CASE WHEN i % 3 = 0 THEN 'risk' ELSE 'business_driver' END AS kind,
+    x AS statement, left(x, 12) AS quote, CASE WHEN i % 5 = 1 THEN left(text, 8) END AS scope, lang AS metric, string_split(x, ' ')[1] AS value, CASE WHEN i % 2 = 0 THEN lang END AS period FROM sentences
 ),
-moved AS (SELECT doc_id, lang, text, i, CASE WHEN i % 2 = 0 THEN x ELSE array_to_string(string_split(x, ' ')[2:101], ' ') END AS y, x FROM sentences),
+moved AS (SELECT doc_id, lang, text, i, CASE WHEN i % 2 = 0 THEN x ELSE substr(x, strpos(x, ' ') + 1) END AS y, x FROM sentences),
 e AS (
-  SELECT doc_id, i AS e_index, text, CASE WHEN i % 3 = 0 THEN 'risk' ELSE 'business_driver' END AS kind, y AS statement, left(y, 12) AS quote, lang AS metric, string_split(y, ' ')[1] AS value,
-    CASE WHEN i % 2 = 0 THEN lang END AS period FROM moved WHERE length(y) >= 12 AND contains(text, left(y, 12)) AND i <> 1
+  SELECT doc_id, i AS e_index, text, CASE WHEN i % 3 = 0 THEN 'risk' ELSE 'business_driver' END AS kind, y AS statement, left(y, 12) AS quote, CASE WHEN i % 5 = 1 THEN left(text, 8) END AS scope,
+    lang AS metric, string_split(y, ' ')[1] AS value, CASE WHEN i % 2 = 0 THEN lang END AS period FROM moved WHERE length(y) >= 12 AND contains(text, left(y, 12)) AND i <> 1
 )"""
+_AT = """CASE WHEN scope IS NULL THEN nullif(strpos(text, quote), 0) WHEN strpos(text, scope) > 0 AND strpos(substr(text, strpos(text, scope) + length(scope)), quote) > 0
+    THEN strpos(text, scope) + length(scope) - 1 + strpos(substr(text, strpos(text, scope) + length(scope)), quote) END"""
+
+
+def _of(ta: str, tb: str) -> str:
+    return f"CASE WHEN len({ta}) = 0 OR len({tb}) = 0 THEN 0.0::DOUBLE ELSE CAST(len(list_intersect({ta}, {tb})) AS DOUBLE) / len(list_distinct(list_concat({ta}, {tb}))) END"
+
+
 _CANDIDATES = (
     _CLAIMS + f""",
+pt AS MATERIALIZED (SELECT *, {_AT} AS ps, {_TOKENS.format(x='statement')} AS tp FROM p WHERE status = 'verified'),
+et AS MATERIALIZED (SELECT *, {_AT} AS es, {_TOKENS.format(x='statement')} AS te FROM e),
 pairs AS (
-  SELECT doc_id, p_index, e_index, p.quote = e.quote AS exact, strpos(e.text, p.quote) AS ps, strpos(e.text, e.quote) AS es, {_jaccard('p.statement', 'e.statement')} AS st,
+  SELECT doc_id, p_index, e_index, p.quote = e.quote AS exact, ps, es, {_of('tp', 'te')} AS st,
     {_jaccard('p.metric', 'e.metric')} AS f1, {_jaccard('p.value', 'e.value')} AS f2, CASE WHEN p.period IS NOT NULL AND e.period IS NOT NULL THEN {_jaccard('p.period', 'e.period')} END AS f3,
-    p.kind = e.kind AS type_equal, p.kind = e.kind AND p.statement = e.statement AND p.quote = e.quote AND p.metric = e.metric AND p.value = e.value AND p.period IS NOT DISTINCT FROM e.period AS exact_claim
-  FROM p JOIN e USING (doc_id) WHERE p.status = 'verified'
+    p.kind = e.kind AS type_equal, p.kind = e.kind AND p.statement = e.statement AND p.quote = e.quote AND p.scope IS NOT DISTINCT FROM e.scope AND p.metric = e.metric AND p.value = e.value AND p.period IS NOT DISTINCT FROM e.period AS exact_claim
+  FROM pt p JOIN et e USING (doc_id)
 ),
 sims AS (
-  SELECT *, greatest(0, least(ps, es) + 12 - greatest(ps, es)) / 12.0::DOUBLE AS ov, CASE WHEN f3 IS NULL THEN (0.0 + f1 + f2) / 2.0::DOUBLE ELSE (0.0 + f1 + f2 + f3) / 3.0::DOUBLE END AS fs FROM pairs
+  SELECT *, coalesce(greatest(0, least(ps, es) + 12 - greatest(ps, es)) / 12.0::DOUBLE, 0.0::DOUBLE) AS ov, CASE WHEN f3 IS NULL THEN (0.0 + f1 + f2) / 2.0::DOUBLE ELSE (0.0 + f1 + f2 + f3) / 3.0::DOUBLE END AS fs
+  FROM (SELECT * REPLACE (CASE WHEN es IS NOT NULL THEN ps END AS ps, CASE WHEN ps IS NOT NULL THEN es END AS es) FROM pairs) t
 ),
 cands AS (
   SELECT *, CASE WHEN exact THEN 'exact_evidence' WHEN ov >= 0.8 THEN 'evidence_overlap' WHEN st >= 0.72 AND fs >= 0.6 THEN 'field_similarity' END AS method,
@@ -149,7 +160,7 @@ pick AS (
 m AS (SELECT ranked.* FROM ranked JOIN pick USING (doc_id, r) WHERE took)"""
 )
 _REVIEWS = """
-rows_ AS (SELECT doc_id, source AS doc, quality, toxic, left(text, 30) AS statement FROM documents LEFT JOIN labels USING (doc_id)),
+rows_ AS (SELECT doc_id, source AS doc, quality, toxic, text AS statement FROM documents LEFT JOIN labels USING (doc_id)),
 reviewed AS (SELECT doc, doc_id, CASE WHEN quality = 1 THEN 'accepted' WHEN toxic = 1 THEN 'rejected' ELSE 'needs_edit' END AS decision, statement FROM rows_ WHERE quality IS NOT NULL)"""
 _HALF = """
 WITH f AS (SELECT doc_id, item_id, d.text AS t, left(b.text, 12) AS q, left(d.text, 8) AS sc, CAST(floor(length(d.text) / 2) AS INT) AS h
@@ -169,7 +180,7 @@ ORACLES: dict[str, str] = {
     "blocks_dedup": "WITH " + _LINES + "," + _KEPT + " SELECT doc, idx, block, text FROM kept",
     "blocks_offsets": "WITH " + _LINES + "," + _KEPT + "," + _PLACED + ' SELECT doc, block, s AS "start", CAST(s + length(text) AS INT) AS "end" FROM placed',
     "document_texts": "WITH " + _LINES + "," + _KEPT + ", w AS (SELECT doc, string_agg(text, chr(10) || chr(10) ORDER BY block) AS t FROM kept GROUP BY doc) SELECT doc, CAST(length(t) AS INT) AS n_chars, sha256(t) AS text_content_sha256 FROM w",
-    "part_fill": "WITH " + _FILINGS + "," + _PARTS.format(rows="lines", order="idx") + " SELECT doc, idx, part FROM filled WHERE own IS NOT NULL OR idx % 10 = 0",
+    "part_fill": "WITH " + _FILINGS + "," + _PARTS.format(rows="lines", order="idx") + " SELECT doc, idx, part FROM filled",
     "sections": _SECTIONS + ' SELECT doc, section_id, part, item_number, heading, ord AS "order", character_start, character_end, sha256(body) AS text_sha256 FROM secs',
     "section_unique_check": _SECTIONS + " SELECT doc, CASE count(*) FILTER (section_id = 'part-i-item-2') WHEN 1 THEN 'ok' WHEN 0 THEN 'section_missing' ELSE 'section_repeated' END AS state FROM secs GROUP BY doc",
     "section_first": _SECTIONS + """ SELECT doc, 'item-2' AS section_id, min(ord) AS "order", arg_min(character_start, ord) AS character_start FROM secs WHERE regexp_extract(section_id, '(item-[0-9]+)', 1) = 'item-2' GROUP BY doc""",
@@ -177,7 +188,7 @@ ORACLES: dict[str, str] = {
     "headings": "WITH " + _LINES + f""", w AS (SELECT doc, idx, text, regexp_replace(array_to_string(string_split(text, ' ')[1:3], ' '), '[.,]', '', 'g') AS short FROM lines WHERE text <> '')
         SELECT doc, idx, {_HEADING.format(x='short')} AS is_heading, {_HEADING.format(x='text')} AS line_is_heading FROM w""",
     "heading_context": "WITH " + _LINES + """, w AS (
-          SELECT doc, idx, idx % 5 = 4 AS period, CASE WHEN idx % 5 = 4 THEN 'Three Months Ended ' || CAST(idx AS VARCHAR) || ' Compared with ' || CAST(doc AS VARCHAR) ELSE 'Heading ' || upper(left(replace(text, 'ß', 's'), 3)) END AS h FROM lines WHERE idx < 40
+          SELECT doc, idx, idx % 5 = 4 AS period, CASE WHEN idx % 5 = 4 THEN 'Three Months Ended ' || CAST(idx AS VARCHAR) || ' Compared with ' || CAST(doc AS VARCHAR) ELSE 'Heading ' || upper(left(replace(text, 'ß', 's'), 3)) END AS h FROM lines
         ), h AS (SELECT *, CASE WHEN period THEN h WHEN right(h, 1) IN ('.', ':', ';') THEN NULL WHEN upper(h) = h AND lower(h) <> h THEN h
             WHEN len(list_filter(string_split(h, ' '), lambda x: x <> '' AND NOT (regexp_matches(x, '^[\\p{Lu}\\p{Lt}]') OR lower(x) IN ('and', 'of', 'the')))) = 0 THEN h END AS heading FROM w),
         n AS (SELECT *, count(*) FILTER (period) OVER (PARTITION BY doc ORDER BY idx) AS epoch FROM h),
@@ -190,15 +201,17 @@ ORACLES: dict[str, str] = {
     "checkpoint_hits": "SELECT doc_id FROM documents WHERE sha256(text) IN (SELECT sha256(text) FROM documents WHERE doc_id % 2 = 0)",
     "checkpoint_misses": "SELECT doc_id FROM documents WHERE sha256(text) NOT IN (SELECT sha256(text) FROM documents WHERE doc_id % 2 = 0)",
     "usage_null_sum": "SELECT conv_id, CASE WHEN bool_or(role = 'system') THEN NULL ELSE CAST(sum(length(text)) AS BIGINT) END AS tokens FROM conversations GROUP BY conv_id",
-    "single_model_check": "SELECT conv_id, CASE WHEN count(DISTINCT role) = 1 THEN max(role) END AS model FROM conversations WHERE conv_id % 3 = 0 OR role = 'user' GROUP BY conv_id",
+    "single_model_check": "SELECT conv_id, CASE WHEN count(DISTINCT m) = 1 THEN max(m) END AS model FROM (SELECT conv_id, CASE WHEN conv_id % 3 = 0 THEN role ELSE 'm' || CAST(conv_id % 5 AS VARCHAR) END AS m FROM conversations) t GROUP BY conv_id",
     "claim_dedup": "WITH g AS (" + _ground(_FOUND_SHORT) + """), q AS (SELECT item_id, left(text, 12) AS q FROM benchmark),
         r AS (SELECT doc_id, item_id, CASE WHEN item_id % 2 = 0 THEN 'risk' ELSE 'business_driver' END AS claim_type, evidence_character_start AS s, evidence_character_end AS e, q FROM g JOIN q USING (item_id)),
         n AS (SELECT *, row_number() OVER (PARTITION BY doc_id % 16, s, e, claim_type, CASE WHEN s IS NULL THEN q END ORDER BY doc_id, item_id) AS k FROM r)
         SELECT doc_id, item_id, claim_type FROM n WHERE k = 1""",
-    "token_jaccard_pairs": "WITH t AS (SELECT doc_id, left(text, 20) AS head, list_sort(" + _TOKENS.format(x="text") + """) AS t FROM documents WHERE left(text, 20) <> ''),
-        o AS (SELECT head, t, min(doc_id) AS doc_id FROM t GROUP BY head, t),
-        s AS (SELECT x.doc_id AS a, y.doc_id AS b, CASE WHEN len(x.t) = 0 OR len(y.t) = 0 THEN 0.0::DOUBLE ELSE CAST(len(list_intersect(x.t, y.t)) AS DOUBLE) / len(list_distinct(list_concat(x.t, y.t))) END AS similarity FROM o x JOIN o y ON x.head = y.head AND x.doc_id < y.doc_id)
-        SELECT a, b, round(similarity, 9) AS similarity FROM s WHERE similarity >= 0.72""",
+    "token_jaccard_pairs": "WITH t AS (SELECT doc_id, list_sort(" + _TOKENS.format(x="coalesce(text, '')") + """) AS t FROM documents),
+        o AS (SELECT t, min(doc_id) AS class FROM t WHERE len(t) > 0 GROUP BY t),
+        k AS (SELECT x.class AS a, y.class AS b FROM o x JOIN o y ON x.class < y.class AND len(x.t) >= 0.719 * len(y.t) AND len(y.t) >= 0.719 * len(x.t)
+          WHERE CAST(len(list_intersect(x.t, y.t)) AS DOUBLE) / (len(x.t) + len(y.t) - len(list_intersect(x.t, y.t))) >= 0.72::DOUBLE),
+        n AS (SELECT c, count(*) AS links FROM (SELECT a AS c FROM k UNION ALL SELECT b FROM k) u GROUP BY c)
+        SELECT t.doc_id, coalesce(o.class, t.doc_id) AS class_id, coalesce(links, 0) AS links FROM t LEFT JOIN o ON t.t = o.t LEFT JOIN n ON n.c = o.class""",
     "span_overlap": "WITH g AS (" + _ground(_FOUND) + """) SELECT doc_id, evidence_character_start AS s,
         round(coalesce(CAST(greatest(0, least(evidence_character_end, evidence_character_start + 140) - greatest(evidence_character_start, evidence_character_start + 40)) AS DOUBLE) / nullif(least(evidence_character_end - evidence_character_start, 100), 0), 0.0), 9) AS overlap,
         0.0::DOUBLE AS "none" FROM g""",
@@ -220,9 +233,9 @@ ORACLES: dict[str, str] = {
         SELECT bucket, coalesce(format('{:.1f}%', 100 * CAST(t AS DOUBLE) / nullif(q, 0)), 'n/a') AS shown FROM b""",
     "review_template": "WITH " + _CLAIMS + " SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY p_index) - 1 AS INT) AS claim_index, 'pending' AS decision, statement, true AS uncorrected FROM p",
     "review_decisions": "WITH " + _REVIEWS + """, both_ AS (
-          SELECT doc, 0 AS part, doc_id, CASE WHEN decision = 'accepted' THEN statement ELSE upper(statement) END AS claim FROM reviewed WHERE decision <> 'rejected'
+          SELECT doc, 0 AS part, doc_id, CASE WHEN decision = 'accepted' THEN statement ELSE 'corrected: ' || statement END AS claim FROM reviewed WHERE decision <> 'rejected'
           UNION ALL SELECT doc, 1, doc_id, statement FROM rows_ WHERE quality IS NULL)
-        SELECT doc, CAST(row_number() OVER (PARTITION BY doc ORDER BY part, doc_id) - 1 AS INT) AS ord, claim FROM both_ WHERE claim IS NOT NULL""",
+        SELECT doc, CAST(row_number() OVER (PARTITION BY doc ORDER BY part, doc_id) - 1 AS INT) AS ord, sha256(claim) AS claim_sha256 FROM both_ WHERE claim IS NOT NULL""",
     "review_summary": "WITH " + _REVIEWS + """ SELECT doc, count(*) FILTER (quality = 1) AS accepted, count(*) FILTER (quality IS NOT NULL AND quality <> 1 AND toxic = 1) AS rejected,
         count(*) FILTER (quality IS NOT NULL AND quality <> 1 AND toxic <> 1) AS needs_edit, count(*) FILTER (quality IS NULL) AS missed FROM rows_ GROUP BY doc""",
     "review_violations": "WITH " + _CLAIMS + """, n AS (SELECT doc_id AS doc, count(*) AS n FROM p GROUP BY doc_id)

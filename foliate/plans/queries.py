@@ -1,11 +1,14 @@
 """Registered queries over the driver's tables. Each takes (spark, sf_dir).
 
 A "synthetic filing" has one block `Item {doc_id % 9 + 1}. {lang}` before each document's lines and
-a `PART I` or `PART II` block where doc_id % 7 = 0; filings are sources, the order is (doc_id, line).
+a `PART I` or `PART II` block where doc_id % 7 = 0. A filing has the documents of one source in one
+block of 100 ids, so no filing grows with the table; the order is (doc_id, line).
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -32,13 +35,14 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _filings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw blocks of the synthetic filings: doc (the source), idx, text."""
-    docs = _t(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.split("text", "\n").alias("lines"))
+    """Raw blocks of the synthetic filings: doc (source and block of ids), idx, text."""
+    filing = F.concat_ws("-", "source", F.floor(F.col("doc_id") / 100).cast("string"))
+    docs = _t(spark, sf_dir, "documents").select("doc_id", filing.alias("doc"), "lang", F.split("text", "\n").alias("lines"))
     part = F.when(F.col("doc_id") % 7 == 0, F.array(F.when(F.col("doc_id") % 2 == 0, F.lit("PART I")).otherwise(F.lit("PART II")))).otherwise(F.array().cast("array<string>"))
     item = F.array(F.concat(F.lit("Item "), (F.col("doc_id") % 9 + 1).cast("string"), F.lit(". "), "lang"))
-    rows = docs.select("source", "doc_id", F.posexplode(F.concat(part, item, "lines")).alias("line", "text"))
-    order = F.row_number().over(W.partitionBy("source").orderBy("doc_id", "line"))
-    return rows.select(F.col("source").alias("doc"), (order - 1).alias("idx"), "text")
+    rows = docs.select("doc", "doc_id", F.posexplode(F.concat(part, item, "lines")).alias("line", "text"))
+    order = F.row_number().over(W.partitionBy("doc").orderBy("doc_id", "line"))
+    return rows.select("doc", (order - 1).alias("idx"), "text")
 
 
 def _sections(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,7 +118,7 @@ def document_texts(spark, sf_dir):
 
 
 def part_fill(spark, sf_dir):
-    return S.with_parts(_filings(spark, sf_dir)).where("own_part IS NOT NULL OR idx % 10 = 0").select("doc", "idx", "part")
+    return S.with_parts(_filings(spark, sf_dir)).select("doc", "idx", "part")
 
 
 def sections(spark, sf_dir):
@@ -146,7 +150,7 @@ def headings(spark, sf_dir):
 
 def heading_context(spark, sf_dir):
     """Headings are the words-only starts of every line; a period heading resets them on each fifth line."""
-    lines = _lines(spark, sf_dir).where("idx < 40")
+    lines = _lines(spark, sf_dir)
     period = F.concat(F.lit("Three Months Ended "), F.col("idx"), F.lit(" Compared with "), F.col("doc"))
     shown = F.when(F.col("idx") % 5 == 4, period).otherwise(F.concat(F.lit("Heading "), F.upper(F.left(F.replace("text", F.lit("ß"), F.lit("s")), F.lit(3)))))
     return C.with_headings(lines.select("doc", "idx", shown.alias("paragraph"))).select("doc", "idx", F.array_join("heading_context", "|").alias("context"))
@@ -188,7 +192,9 @@ def usage_null_sum(spark, sf_dir):
 
 
 def single_model_check(spark, sf_dir):
-    return X.single_model(_t(spark, sf_dir, "conversations").select("conv_id", F.col("role").alias("model")).where("conv_id % 3 = 0 OR role = 'user'"), "conv_id")
+    """Conversations whose turns name one model; in two of three, all turns are given the same one."""
+    model = F.when(F.col("conv_id") % 3 == 0, F.col("role")).otherwise(F.concat(F.lit("m"), (F.col("conv_id") % 5).cast("string")))
+    return X.single_model(_t(spark, sf_dir, "conversations").select("conv_id", model.alias("model")), "conv_id")
 
 
 def claim_dedup(spark, sf_dir):
@@ -201,13 +207,35 @@ def claim_dedup(spark, sf_dir):
 
 
 def token_jaccard_pairs(spark, sf_dir):
-    """Pairs of documents with the same first 20 characters, as tokens."""
-    docs = _t(spark, sf_dir, "documents").select("doc_id", F.left(F.col("text"), F.lit(20)).alias("head"), T.tokens(F.col("text")).alias("tokens")).where("head <> ''")
-    # One row for each distinct head and token set: copies need no comparison with each other.
-    one = docs.groupBy("head", F.array_sort("tokens").alias("tokens")).agg(F.min("doc_id").alias("doc_id"))
-    a, b = (one.select("head", F.col("doc_id").alias(n), F.col("tokens").alias(f"t{n}")) for n in ("a", "b"))
-    both = a.join(b, "head").where("a < b").withColumn("similarity", T.jaccard(F.col("ta"), F.col("tb")))
-    return both.where("similarity >= 0.72").select("a", "b", F.round("similarity", 9).alias("similarity"))
+    """Similarity join of documents by their token sets, at E.STATEMENT: one row for each document with
+    the least doc_id of its token set (class) and the class's number of links to other classes.
+
+    Sets are ordered by how rare their tokens are; two sets of that similarity share a token among
+    the rarest few of each, and their sizes are close. A token that very many prefixes hold is split
+    by size classes, as only sets of about one size can be linked.
+    """
+    sets = _t(spark, sf_dir, "documents").select("doc_id", F.array_sort(T.tokens(F.coalesce("text", F.lit("")))).alias("tokens"))
+    sets = sets.select("doc_id", F.sha2(F.array_join("tokens", " "), 256).alias("key"), "tokens")
+    classes = sets.groupBy("key").agg(F.min("doc_id").alias("class"), F.first("tokens").alias("tokens")).where(F.size("tokens") > 0)
+    exploded = classes.select("class", F.size("tokens").alias("size"), F.explode("tokens").alias("token"))
+    counts = exploded.groupBy("token").agg(F.count("*").alias("n"))
+    ranked = exploded.join(counts.where("n > 1"), "token").withColumn("rank", F.struct("n", "token"))
+    # Tokens of one set only can't be shared: they come first in the order and use up the prefix.
+    ordered = ranked.groupBy("class", "size").agg(F.array_sort(F.collect_list("rank")).alias("ranks"))
+    left = F.col("size") - F.ceil(F.lit(E.STATEMENT) * F.col("size") - 1e-9).cast("int") + 1 - (F.col("size") - F.size("ranks"))
+    # Sizes of linked sets differ by a factor of 1 / E.STATEMENT at most: the same or the next power of it.
+    step = F.floor(F.log(F.col("size").cast("double")) / -math.log(E.STATEMENT) + 1e-9).cast("int")
+    keyed = ordered.where(left > 0).select("class", "size", step.alias("step"), F.explode(F.slice("ranks", F.lit(1), F.greatest(left, F.lit(0)))).alias("r"))
+    keyed = keyed.select("class", "size", "step", F.col("r.token").alias("token"))
+    a, b = keyed.select("token", "step", F.col("class").alias("a"), F.col("size").alias("na")), keyed.select("token", F.explode(F.array(F.col("step"), F.col("step") - 1)).alias("step"), F.col("class").alias("b"), F.col("size").alias("nb"))
+    close = F.least("na", "nb") >= E.STATEMENT * F.greatest("na", "nb") - 1e-9
+    pairs = a.join(b, ["token", "step"]).where((F.col("a") != F.col("b")) & close).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    of = lambda side: classes.select(F.col("class").alias(side), F.col("tokens").alias(f"t{side}"))
+    links = pairs.join(of("a"), "a").join(of("b"), "b").where(T.jaccard(F.col("ta"), F.col("tb")) >= E.STATEMENT).select("a", "b")
+    degree = links.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count("*").alias("links"))
+    named = classes.select("key", "class").join(degree, "class", "left")
+    alone = F.coalesce("class", F.col("doc_id"))
+    return sets.select("doc_id", "key").join(named, "key", "left").select("doc_id", alone.alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("links"))
 
 
 def span_overlap(spark, sf_dir):
@@ -216,18 +244,25 @@ def span_overlap(spark, sf_dir):
     return found.select("doc_id", "s", F.round(T.overlap(F.col("s"), F.col("e"), other, other + 100), 9).alias("overlap"), F.round(T.overlap(F.col("s"), F.col("e"), F.col("e"), F.col("e")), 9).alias("none"))
 
 
-#: Sentences of a document stand for claims: predictions are the even ones and every ninth, gold are those of the document without its first word.
 def _claims(spark, sf_dir):
+    """Sentences of a document stand for claims: all are predicted, the fourth without evidence; gold are
+    those of the document, every other without its first word. A fifth has the text's start as scope."""
     docs = _t(spark, sf_dir, "documents").where("text <> ''")
-    sentences = docs.select("doc_id", "lang", F.col("text").alias("section_text"), F.posexplode(F.slice(F.split(F.regexp_replace("text", "\n", " "), r"\. "), 1, 6)).alias("i", "sentence")).where("length(sentence) >= 12")
-    words = F.split("sentence", " ")
-    claim = [F.when(F.col("i") % 3 == 0, "risk").otherwise("business_driver").alias("claim_type"), F.col("sentence").alias("statement"), F.left(F.col("sentence"), F.lit(12)).alias("evidence_quote"),
-             F.lit(None).cast("string").alias("scope_quote"), F.col("lang").alias("metric"), F.get(words, F.lit(0)).alias("value"), F.when(F.col("i") % 2 == 0, F.col("lang")).alias("period")]
-    there = F.contains(F.col("section_text"), F.left(F.col("sentence"), F.lit(12)))
-    predicted = sentences.where(F.col("i") < 5).select("doc_id", F.col("i").cast("int").alias("p_index"), F.when(there & (F.col("i") != 3), "verified").otherwise("not_found").alias("evidence_status"), *claim)
-    shifted = sentences.withColumn("sentence", F.when(F.col("i") % 2 == 0, F.col("sentence")).otherwise(F.array_join(F.slice(words, 2, 100), " "))).where("length(sentence) >= 12")
-    expected = shifted.where(there & (F.col("i") != 1)).select("doc_id", F.col("i").cast("int").alias("e_index"), "section_text", *claim)
-    return predicted, expected
+    cases = docs.select("doc_id", F.col("text").alias("section_text"))
+    split = F.split(F.regexp_replace("text", "\n", " "), r"\. ")
+    there = lambda x: F.contains(F.col("text"), F.left(x, F.lit(12)))
+    moved = lambda x, i: F.when(i % 2 == 0, x).otherwise(F.substring(x, F.call_function("locate", F.lit(" "), x) + 1, F.length(x)))
+    # Whether a start of 12 characters is in the text is asked here, where the text is at hand.
+    marked = F.transform(split, lambda x, i: F.struct(x.alias("sentence"), there(x).alias("there"), moved(x, i).alias("moved"), there(moved(x, i)).alias("moved_there")))
+    rows = docs.select("doc_id", "lang", F.left("text", F.lit(8)).alias("start"), F.posexplode(marked).alias("i", "s")).select("*", "s.*").drop("s").where("length(sentence) >= 12")
+
+    def claim(x):
+        return [F.when(F.col("i") % 3 == 0, "risk").otherwise("business_driver").alias("claim_type"), F.col(x).alias("statement"), F.left(F.col(x), F.lit(12)).alias("evidence_quote"),
+                F.when(F.col("i") % 5 == 1, F.col("start")).alias("scope_quote"), F.col("lang").alias("metric"), F.get(F.split(x, " "), F.lit(0)).alias("value"), F.when(F.col("i") % 2 == 0, F.col("lang")).alias("period")]
+
+    predicted = rows.select("doc_id", F.col("i").cast("int").alias("p_index"), F.when(F.col("there") & (F.col("i") != 3), "verified").otherwise("not_found").alias("evidence_status"), *claim("sentence"))
+    expected = rows.where((F.length("moved") >= 12) & F.col("moved_there") & (F.col("i") != 1)).select("doc_id", F.col("i").cast("int").alias("e_index"), *claim("moved"))
+    return predicted, expected, cases
 
 
 def candidate_scores(spark, sf_dir):
@@ -241,8 +276,8 @@ def greedy_match(spark, sf_dir):
 
 
 def evaluation_report(spark, sf_dir):
-    predicted, expected = _claims(spark, sf_dir)
-    found = E.candidates(predicted, expected, keys=("doc_id",)).withColumn("score", F.round("score", 9))
+    predicted, expected, cases = _claims(spark, sf_dir)
+    found = E.candidates(predicted, expected, cases, keys=("doc_id",)).withColumn("score", F.round("score", 9))
     matches = E.greedy_match(found, ("doc_id",))
     p = predicted.select("doc_id", "p_index", F.struct(*R.PROPOSED).alias("p"))
     e = expected.select("doc_id", "e_index", F.struct(*R.PROPOSED).alias("e"))
@@ -262,7 +297,7 @@ def _claim_fields():
 
 
 def review_template(spark, sf_dir):
-    predicted, _ = _claims(spark, sf_dir)
+    predicted, *_ = _claims(spark, sf_dir)
     fields = _claim_fields()
     grouped = predicted.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("p_index", F.struct(*fields).alias("c")))), lambda x: x["c"]).alias("claims"))
     rows = grouped.select("doc_id", F.explode(R.template(F.col("claims"), fields)).alias("r"))
@@ -271,15 +306,15 @@ def review_template(spark, sf_dir):
 
 def _reviews(spark, sf_dir):
     docs, labels = _t(spark, sf_dir, "documents"), _t(spark, sf_dir, "labels")
-    rows = docs.join(labels, "doc_id", "left").select("doc_id", "source", "quality", "toxic", F.left(F.col("text"), F.lit(30)).alias("statement"))
+    rows = docs.join(labels, "doc_id", "left").select("doc_id", "source", "quality", "toxic", F.col("text").alias("statement"))
     decision = F.when(F.col("quality") == 1, "accepted").when(F.col("toxic") == 1, "rejected").otherwise("needs_edit")
-    reviewed = rows.where("quality IS NOT NULL").select(F.col("source").alias("doc"), F.col("doc_id").alias("claim_index"), decision.alias("decision"), F.col("statement").alias("claim"), F.upper("statement").alias("corrected"))
+    reviewed = rows.where("quality IS NOT NULL").select(F.col("source").alias("doc"), F.col("doc_id").alias("claim_index"), decision.alias("decision"), F.col("statement").alias("claim"), F.concat(F.lit("corrected: "), "statement").alias("corrected"))
     missed = rows.where("quality IS NULL").select(F.col("source").alias("doc"), F.col("doc_id").alias("pos"), F.col("statement").alias("claim"))
     return reviewed, missed
 
 
 def review_decisions(spark, sf_dir):
-    return R.gold_claims(*_reviews(spark, sf_dir)).select("doc", "ord", "claim")
+    return R.gold_claims(*_reviews(spark, sf_dir)).select("doc", "ord", T.sha256(F.col("claim")).alias("claim_sha256"))
 
 
 def review_summary(spark, sf_dir):
@@ -288,7 +323,7 @@ def review_summary(spark, sf_dir):
 
 def review_violations(spark, sf_dir):
     """Some reviews drop, repeat or change a claim, by doc_id."""
-    predicted, _ = _claims(spark, sf_dir)
+    predicted, *_ = _claims(spark, sf_dir)
     claims = predicted.select(F.col("doc_id").alias("doc"), F.row_number().over(W.partitionBy("doc_id").orderBy("p_index")).alias("i"), "statement").withColumn("claim_index", F.col("i") - 1)
     proposed = claims.select("doc", "claim_index", F.col("statement").alias("claim"), T.sha256(F.col("statement")).alias("fingerprint"))
     case = F.col("doc") % 7
