@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliate.sources.shared import materialize, shared_folder
+
+__all__ = ["materialize", "prepare", "shared_folder", "table", "text_or_empty"]
+
 #: Most rows of one Arrow batch; texts may be long, so a worker holds few of them at once.
 ARROW_ROWS = 500
 #: Spark's own default of that setting, which is replaced; any other value is the user's and stays.
@@ -22,30 +22,6 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set(key, str(ARROW_ROWS))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir.
-
-    Only where that is unset, as in tests on one machine, a temporary folder is used.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = "file://" + os.path.join(tempfile.gettempdir(), "foliate-checkpoints")
-    return folder.rstrip("/")
-
-
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write df as Parquet into the shared folder and read it back.
-
-    This cuts the lineage, so a lost executor costs a reread and not a recomputation.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/foliate/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
