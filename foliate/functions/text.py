@@ -66,6 +66,22 @@ def sha256(x: Column) -> Column:
     return F.sha2(x, 256)
 
 
+def json_string(x: Column) -> Column:
+    """A JSON string in ASCII: quotes, backslashes and controls escaped, others as \\u and four lower-case digits, in pairs above the BMP."""
+    short = {'"': '\\"', "\\": "\\\\", "\n": "\\n", "\r": "\\r", "\t": "\\t", "\b": "\\b", "\f": "\\f"}
+    four = lambda n: F.concat(F.lit("\\u"), F.lpad(F.lower(F.hex(n)), 4, F.lit("0")))
+
+    def escaped(c: Column) -> Column:
+        n = F.ascii(c)
+        out = F.when((n >= 32) & (n < 127), c).when(n < 0x10000, four(n)).otherwise(F.concat(four(F.lit(0xD7C0) + F.floor(n / 1024)), four(F.lit(0xDC00) + n % 1024)))
+        for k, v in short.items():
+            out = F.when(c == k, F.lit(v)).otherwise(out)
+        return out
+
+    plain = F.regexp_like(x, F.lit(r'\A[ !#-\[\]-~]*\z'))
+    return F.concat(F.lit('"'), F.when(plain, x).otherwise(F.array_join(F.transform(F.filter(F.split(x, ""), lambda c: c != ""), escaped), "")), F.lit('"'))
+
+
 def pad_number(n: Column, width: int = 3) -> Column:
     """Zero-padded to the width, longer numbers in full."""
     s = n.cast("string")

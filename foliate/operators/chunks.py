@@ -116,7 +116,9 @@ def resplit(parents: DataFrame, key: str = "chunk_key", limit: Column | int = SP
     )
 
 
-def user_prompt(heading_context: Column, text: Column, section: str = "Item 2") -> Column:
-    """What the extractor is asked about a chunk."""
+def user_prompt(section_id: Column, chunk_id: Column, heading_context: Column, text: Column, section: str = "Item 2") -> Column:
+    """What the extractor is asked about a chunk (a fixed format)."""
     heading = F.coalesce(F.nullif(F.array_join(heading_context, " > "), F.lit("")), F.lit(section))
-    return F.concat_ws("\n", F.concat(F.lit("Heading: "), heading), F.lit("Text:"), text)
+    return F.concat_ws(
+        "\n", F.concat(F.lit("Section ID: "), section_id), F.concat(F.lit("Chunk ID: "), chunk_id), F.concat(F.lit("Heading context: "), heading), F.lit("FILING SLICE START"), text, F.lit("FILING SLICE END")
+    )

@@ -14,10 +14,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliate.functions.text import sha256, sum_if_all
+from foliate.functions.text import json_string, sha256, sum_if_all
 from foliate.operators.chunks import MIN_CHARS, SPLIT_CHARS, adaptive_limit, resplit
 
-IDENTITY = ("chunk_key", "chunk_id", "character_start", "character_end", "prompt_version", "prompt_sha256", "source_content_sha256", "text_content_sha256")
+#: What a checkpoint must agree on with a chunk to be its answer.
+IDENTITY = ("chunk_text_sha256", "chunk_id", "character_start", "character_end", "prompt_version", "prompt_sha256", "source_content_sha256", "text_content_sha256")
 EFFORTS = ("none", "minimal", "low", "medium", "high", "xhigh")
 MIN_OUTPUT_TOKENS = 1024
 #: What an extractor returns for one prompt.
@@ -46,9 +47,15 @@ def diagnostics(status: Column, reason: Column, input_tokens: Column, output_tok
 
 
 def checkpoint_id(df: DataFrame) -> DataFrame:
-    """Add the 16-digit id of a chunk's checkpoint: a hash of all that determines its answer."""
-    named = F.to_json(F.struct(*[F.col(c) for c in sorted(("chunk_text_sha256", *IDENTITY[1:]))]), {"ignoreNullFields": "false"})
-    return df.withColumn("chunk_text_sha256", sha256(F.col("text"))).withColumn("checkpoint_id", F.left(sha256(named), F.lit(16)))
+    """Add chunk_text_sha256 and the 16-digit id of a chunk's checkpoint: a hash of all that
+    determines its answer, as JSON with sorted keys (a fixed format)."""
+    named = (
+        ("chunk_end", "character_end"), ("chunk_id", "chunk_id"), ("chunk_start", "character_start"), ("chunk_text_sha256", "chunk_text_sha256"), ("prompt_sha256", "prompt_sha256"),
+        ("prompt_version", "prompt_version"), ("source_content_sha256", "source_content_sha256"), ("text_content_sha256", "text_content_sha256"),
+    )
+    value = lambda c: F.col(c).cast("string") if c.startswith("character_") else json_string(F.col(c))
+    parts = [F.concat(F.lit(f'"{n}": '), value(c)) for n, c in named]
+    return df.withColumn("chunk_text_sha256", sha256(F.col("text"))).withColumn("checkpoint_id", F.left(sha256(F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))), F.lit(16)))
 
 
 def split_work(chunks: DataFrame, checkpoints: DataFrame, keys: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
@@ -56,8 +63,9 @@ def split_work(chunks: DataFrame, checkpoints: DataFrame, keys: tuple[str, ...])
     return chunks.join(checkpoints, list(keys), "left_semi"), chunks.join(checkpoints, list(keys), "left_anti")
 
 
-def ask(pending: DataFrame, extractor: Extractor, parallelism: int | None = None) -> DataFrame:
-    """Call extractor(chunk_id, prompt) for each row and add its answer; parallelism bounds the calls at once."""
+def ask(pending: DataFrame, extractor: Extractor, parallelism: int | None = None, prompt: Column | None = None) -> DataFrame:
+    """Call extractor(chunk_id, prompt) for each row and add its answer; parallelism bounds the calls
+    at once; the prompt is the text, unless another expression over pending is given."""
     names = [c.split()[0] for c in ANSWER.split(", ")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pending.schema.fields) + ", " + ANSWER
     if parallelism:
@@ -65,7 +73,8 @@ def ask(pending: DataFrame, extractor: Extractor, parallelism: int | None = None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            answers = [extractor(i, t) for i, t in zip(batch.column("chunk_id").to_pylist(), batch.column("text").to_pylist(), strict=True)]
+            answers = [extractor(i, t) for i, t in zip(batch.column("chunk_id").to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True)]
+            batch = batch.select(batch.schema.names[:-1])
             extra = []
             for n in names:
                 values = [a.get(n) for a in answers]
@@ -74,7 +83,7 @@ def ask(pending: DataFrame, extractor: Extractor, parallelism: int | None = None
                 extra.append(pa.array(values, pa.int64() if n.endswith("_tokens") else pa.string()))
             yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=[*batch.schema.names, *names])
 
-    return pending.mapInArrow(run, schema)
+    return pending.withColumn("_prompt", F.col("text") if prompt is None else prompt).mapInArrow(run, schema)
 
 
 def children_of(parents: DataFrame, split_chars: int = SPLIT_CHARS) -> DataFrame:
@@ -86,7 +95,7 @@ def children_of(parents: DataFrame, split_chars: int = SPLIT_CHARS) -> DataFrame
     return both.withColumn("parent_key", F.col("chunk_key")).withColumn("chunk_key", F.concat_ws("/", "chunk_key", "chunk_id"))
 
 
-def run_rounds(pending: DataFrame, extractor: Extractor, save: Callable[[DataFrame, int], DataFrame], split_chars: int = SPLIT_CHARS, max_rounds: int = 24) -> list[DataFrame]:
+def run_rounds(pending: DataFrame, extractor: Extractor, save: Callable[[DataFrame, int], DataFrame], split_chars: int = SPLIT_CHARS, max_rounds: int = 24, prompt: Column | None = None) -> list[DataFrame]:
     """Ask in rounds until nothing is pending; each round's saved answers, first to last.
 
     save(df, round) writes a round's rows and returns them as read back. A filtered chunk that
@@ -96,7 +105,7 @@ def run_rounds(pending: DataFrame, extractor: Extractor, save: Callable[[DataFra
     base = ["chunk_key", "chunk_id", "character_start", "heading_context", "text"]
     rounds: list[DataFrame] = []
     for k in range(max_rounds):
-        answered = save(ask(pending, extractor), k)
+        answered = save(ask(pending, extractor, prompt=prompt), k)
         open_ = answered.where(F.col("outcome").isin("truncated", "content_filtered"))
         children = save(children_of(open_.select(*base), split_chars), 1000 + k)
         cut = children.select(F.col("parent_key").alias("chunk_key")).distinct().withColumn("was_cut", F.lit(True))
@@ -125,6 +134,25 @@ def roll_up(children: DataFrame, parent: str = "parent_key") -> DataFrame:
     )
 
 
+def united(rounds: list[DataFrame], claims: str) -> DataFrame:
+    """One final answer for each chunk of the first round; cut chunks have their children's, rolled up
+    from the last round to the first. claims is the type of the parsed claims."""
+    fields = ["raw_response", "claims", "input_tokens", "output_tokens", "model", "status", "failure_reason", "response_id"]
+    rolled = None
+    for k in range(len(rounds) - 1, -1, -1):
+        filtered = F.col("outcome") == "content_filtered"
+        rows = rounds[k].withColumns({
+            "claims": F.coalesce(F.from_json("claims", claims), F.array().cast(claims)), "status": F.when(filtered, "content_filtered").otherwise(F.col("outcome")),
+            "failure_reason": F.when(filtered, F.lit("content_filter")).when(F.col("outcome") != "completed", F.col("outcome")),
+        })
+        place = ["chunk_key", "chunk_id"] + ["parent_key"] * (k > 0)
+        final = rows.where("NOT was_cut").select(*place, *fields)
+        if rolled is not None:
+            final = final.unionByName(rows.where("was_cut").select(*place).join(rolled, "chunk_key").select(*place, *fields))
+        rolled = roll_up(final).withColumnRenamed("parent_key", "chunk_key") if k else final
+    return rolled
+
+
 def single_model(responses: DataFrame, key: str) -> DataFrame:
     """The model of each case, null where answers come from none or several."""
     return responses.groupBy(key).agg(F.when(F.count_distinct("model") == 1, F.max("model")).alias("model"))

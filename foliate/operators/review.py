@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from foliate.functions.text import count_of, find, sha256
+from foliate.functions.text import count_of, find, json_string, sha256
 
+NUMBERS = ("evidence_character_start", "evidence_character_end", "scope_character_start", "scope_character_end")
 PROPOSED = ("claim_type", "statement", "evidence_quote", "scope_quote", "metric", "value", "period")
 #: Labels of the provenance comparison and the columns they compare (fixed values).
 PROVENANCE = (
@@ -22,15 +23,12 @@ def as_proposed(claim: Column) -> Column:
 
 
 def fingerprint(claim: Column, fields: list[str]) -> Column:
-    """SHA-256 of the claim as JSON with sorted keys; null scope fields are left out, other nulls stay."""
-    always = sorted(f for f in fields if not f.startswith("scope_"))
-    scoped = sorted(f for f in fields if f.startswith("scope_"))
+    """SHA-256 of the claim as ASCII JSON with sorted keys; null scope fields are left out, other nulls stay."""
     parts = []
     for f in sorted(fields):
-        text = F.to_json(F.struct(claim[f].alias(f)), {"ignoreNullFields": "false"})
-        inner = F.substring(text, F.lit(2), F.length(text) - 2)
-        parts.append(F.when(claim[f].isNotNull(), inner) if f in scoped else inner)
-    assert len(always) + len(scoped) == len(fields)
+        value = json_string(claim[f].cast("string")) if f not in NUMBERS else claim[f].cast("string")
+        inner = F.concat(F.lit(f'"{f}":'), F.coalesce(value, F.lit("null")))
+        parts.append(F.when(claim[f].isNotNull(), inner) if f.startswith("scope_") else inner)
     return sha256(F.concat(F.lit("{"), F.array_join(F.array_compact(F.array(*parts)), ","), F.lit("}")))
 
 

@@ -5,12 +5,11 @@ Plain Parquet has no transactions: one writer at a time is assumed.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliate.functions.text import sha256
+from foliate.sources.shared import materialize
 
 
 def content_hash(df: DataFrame, keys: list[str]) -> Column:
@@ -36,7 +35,7 @@ def upsert_status(incoming: DataFrame, existing: DataFrame, keys: list[str], dig
     return incoming.join(old, keys, "left").withColumn("status", status).drop("_old", "_there")
 
 
-def _read(df: DataFrame, path: str) -> DataFrame:
+def read_or_empty(df: DataFrame, path: str) -> DataFrame:
     try:
         return df.sparkSession.read.schema(df.schema).parquet(path)
     except Exception as error:
@@ -45,38 +44,39 @@ def _read(df: DataFrame, path: str) -> DataFrame:
         return df.sparkSession.createDataFrame([], df.schema)
 
 
-def _keep(statuses: DataFrame, path: str) -> DataFrame:
-    """Statuses written beside the table, since writing the table drops what is cached from it."""
-    kept = f"{path}_status/{uuid.uuid4().hex}"
-    statuses.write.parquet(kept)
-    return statuses.sparkSession.read.schema(statuses.schema).parquet(kept)
-
-
-def write_once(df: DataFrame, path: str, keys: list[str], partition_by: list[str] | None = None) -> DataFrame:
-    """Append rows with new keys; same rows are left alone, other rows under a known key are an error.
+def write_once(df: DataFrame, path: str, keys: list[str], partition_by: list[str] | None = None, digest: Column | None = None, check: Column | None = None) -> DataFrame:
+    """Append rows with new keys; same rows are left alone, other rows under a known key are an error,
+    as are stored rows for which check isn't true.
 
-    Returns keys and status. Atomic for each call by Spark's commit protocol.
+    Rows are the same where digest is (default: all columns but the keys). Returns keys and status.
+    Judged rows are written out first, so a lost executor never reads the table that is appended to.
+    Atomic for each call by Spark's commit protocol.
     """
-    old = _read(df, path)
-    rows = df.withColumn("_h", content_hash(df, keys))
-    judged = write_once_status(rows, old.withColumn("_h", content_hash(df, keys)), keys, "_h").persist()
-    clash = judged.where("status = 'conflict'").select(*keys).take(1)
+    digest = content_hash(df, keys) if digest is None else digest
+    old = read_or_empty(df, path).withColumn("_h", digest).withColumn("_ok", F.lit(True) if check is None else check)
+    judged = materialize(write_once_status(df.withColumn("_h", digest), old, keys, "_h", F.col("_ok")), "write-once")
+    clash = judged.where("status IN ('conflict', 'corrupt')").select(*keys, "status").take(1)
     if clash:
         raise ValueError(f"stored with other content: {clash[0].asDict()}")
-    statuses = _keep(judged.select(*keys, "status"), path)
     judged.where("status = 'stored'").select(*df.columns).write.mode("append").partitionBy(*(partition_by or [])).parquet(path)
-    return statuses
+    return judged.select(*keys, "status")
 
 
 def regenerate(df: DataFrame, path: str, partition: str) -> DataFrame:
     """Overwrite those partitions whose rows are new or differ; returns partition and status.
 
-    df holds one row for each value of the partition column.
+    df holds one row for each value of the partition column. Judged rows are written out and read
+    back before the table is touched.
     """
-    old = _read(df, path)
+    old = read_or_empty(df, path)
     digest = content_hash(df, [partition])
-    judged = upsert_status(df.withColumn("_h", digest), old.withColumn("_h", digest), [partition], "_h").persist()
-    statuses = _keep(judged.select(partition, "status"), path)
+    judged = materialize(upsert_status(df.withColumn("_h", digest), old.withColumn("_h", digest), [partition], "_h"), "regenerate")
     changed = judged.where("status <> 'unchanged'").select(*df.columns)
     changed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
-    return statuses
+    return judged.select(partition, "status")
+
+
+def export_json(df: DataFrame, path: str, omit: tuple[str, ...] = ()) -> None:
+    """One JSON object a row; columns in omit are left out where null, other nulls are written."""
+    kept = [F.when(F.col(c).isNotNull() if c in omit else F.lit(True), F.substring(F.to_json(F.struct(F.col(c)), {"ignoreNullFields": "false"}), F.lit(2), F.length(F.to_json(F.struct(F.col(c)), {"ignoreNullFields": "false"})) - 2)) for c in df.columns]
+    df.select(F.concat(F.lit("{"), F.array_join(F.array_compact(F.array(*kept)), ","), F.lit("}")).alias("value")).write.text(path)
