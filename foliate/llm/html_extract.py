@@ -1,21 +1,23 @@
 """Main text of web pages by template deduction from equivalence classes of tokens.
 
-1. A page becomes tokens: its tags with their path and class, and its blocks of text with theirs.
-2. On all pages of a host, tokens that occur the same number of times on each page of the host
-   share an occurrence vector. Copies of a page count once. Vectors are compared by a sum of hashes of (page, count), which
-   is built by ordinary partial aggregation, so a host with many pages costs no more per row and
-   nothing is gathered. Tokens with the same vector on enough pages form an equivalence class.
-3. A class is valid where its tokens nest in the same order on the pages; the template of a host
-   is the tags and fixed texts of its valid classes. Fixed texts (menus, notices) leave the page;
-   what stands between the tags of the template are its slots.
-4. A slot is named by the path of its tags. Slots under article, or where the host has none under
-   its main region, that are not under a boilerplate element, give the text.
+1. A page becomes tokens: the starts of its block elements, named by their path of tags and classes,
+   and its blocks of text, named by path and text.
+2. Tokens that occur equally often on each page of a host share an occurrence vector; copies of a
+   page count once. Vectors are compared by a sum of hashes of (page, count), which is built by
+   ordinary partial aggregation, so a host with many pages costs no more per row and nothing is
+   gathered. Tokens with the same vector on enough pages form an equivalence class.
+3. On a page, a class is valid where its tokens stand in the class's order and nest with the larger
+   valid classes: in one of their slots, outside or around them. Valid classes, nested, are the
+   page's template; what is no token of theirs stands in its slots.
+4. Slots under article, or where the page has none under its main region, that are not under a
+   boilerplate element (by tag or by the words in MARKED) give the text.
 """
 
 from __future__ import annotations
 
 import html as html_lib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -77,14 +79,61 @@ def _label(tag: str, attributes: str) -> tuple[str, bool]:
     return f"{tag}.{found['class'].strip().lower()}" if found.get("class", "").strip() else tag, bad
 
 
-def blocks(page: str) -> list[tuple[str, str, bool]]:
-    """The blocks of a page in order: path of labels, text, and whether an element around it is boilerplate.
+#: A place: hash of the labels from the root, and bits for article (1) and main (2) among them.
+Place = tuple[int, int]
+_SEED = (0x9E3779B97F4A7C15, 0)
+
+
+class _Open:
+    """The open elements. Each knows by number what holds for it and all elements around it, so no
+    step looks at the whole stack and memory is in proportion to depth."""
+
+    def __init__(self) -> None:
+        # tag, path hash, roots, nearest block (its index here, or -1), blocks so far, marked, marked inline, in a header
+        self.rows: list[tuple[str, int, int, int, int, bool, bool, bool]] = []
+        self.at: dict[str, list[int]] = {}
+
+    def push(self, tag: str, label: str, bad: bool) -> int:
+        _, path, roots, block, blocks, marked, inline, header = self.rows[-1] if self.rows else ("", *_SEED, -1, 0, False, False, False)
+        path = hash_of(f"{path}/{label}")
+        is_block = tag in _blocks
+        root = 1 if tag == "article" else 2 if tag == "main" else 0
+        self.at.setdefault(tag, []).append(len(self.rows))
+        self.rows.append((tag, path, roots | root, len(self.rows) if is_block else block, blocks + is_block, marked or bad, inline or bad and not is_block, header or tag == "header"))
+        return path
+
+    def cut(self, k: int) -> None:
+        while len(self.rows) > k:
+            self.at[self.rows.pop()[0]].pop()
+
+    def last(self, tags) -> int:
+        """Place of the innermost open element with one of the tags, or -1."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=-1)
+
+    def first_after(self, tags, k: int) -> int:
+        """Place of the outermost open element with one of the tags behind place k, or -1."""
+        found = [own[i] for t in tags if (own := self.at.get(t)) and (i := bisect_right(own, k)) < len(own)]
+        return min(found, default=-1)
+
+    def blocks_from(self, k: int) -> int:
+        return self.rows[-1][4] - (self.rows[k - 1][4] if k else 0)
+
+
+def hash_of(x: str) -> int:
+    import xxhash
+
+    return xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+def blocks(page: str, tags: list[tuple[int, int, bool]] | None = None) -> list[tuple[Place, str, bool]]:
+    """The blocks of a page in order: place, text, and whether an element around it is boilerplate.
 
     Unclosed p, li, dd, dt, tr, td and th end where HTML ends them; a block's own text and the text
-    after an inner block are blocks for themselves; br is white space.
+    after an inner block are blocks for themselves; br is white space. tags, where given, takes the
+    block elements' starts: how many blocks came before, hash of the path, and whether it is marked.
     """
-    out: list[tuple[str, str, bool]] = []
-    stack: list[tuple[str, str, bool]] = []  # tag, path, boilerplate
+    out: list[tuple[Place, str, bool]] = []
+    stack = _Open()
     pieces: list[str] = []
     skip_to: str | None = None
     at, n = 0, len(page)
@@ -95,9 +144,9 @@ def blocks(page: str) -> list[tuple[str, str, bool]]:
             pieces.clear()
             if text:
                 # The path of the nearest block; inline elements don't make a slot.
-                place = next((s for s in reversed(stack) if s[0] in _blocks), ("", "", False))
-                bad = any(s[2] for s in stack) or (place[0] not in HEADINGS and any(s[0] == "header" for s in stack))
-                out.append((place[1], text, bad))
+                top = stack.rows[-1] if stack.rows else ("", *_SEED, -1, 0, False, False, False)
+                tag, path, roots = stack.rows[top[3]][:3] if top[3] >= 0 else ("", *_SEED)
+                out.append(((path, roots), text, top[5] or (tag not in HEADINGS and top[7])))
 
     while at < n:
         if skip_to is not None:  # raw text ends at its own end tag only
@@ -109,19 +158,19 @@ def blocks(page: str) -> list[tuple[str, str, bool]]:
         at = m.end()
         tag = m[2]
         if tag is None:
-            if (m[0][0] != "<" or m[0] == "<") and not any(b and t not in _blocks for t, _, b in stack):
+            if (m[0][0] != "<" or m[0] == "<") and not (stack.rows and stack.rows[-1][6]):
                 pieces.append(m[0])
             continue
         tag = tag.lower()
         if m[1]:
-            if tag in ("p",) and not any(s[0] == "p" for s in stack):
-                flush()
-            elif any(s[0] == tag for s in stack):
-                k = max(i for i, s in enumerate(stack) if s[0] == tag)
-                if tag in _blocks or not any(s[0] in _blocks for s in stack[k:]):
-                    if any(s[0] in _blocks for s in stack[k:]):
-                        flush()
-                    del stack[k:]
+            k = stack.last((tag,))
+            if k < 0:
+                if tag == "p":
+                    flush()
+            elif tag in _blocks or not stack.blocks_from(k):
+                if stack.blocks_from(k):
+                    flush()
+                stack.cut(k)
             continue
         if tag in _void:
             if tag == "hr":
@@ -131,57 +180,82 @@ def blocks(page: str) -> list[tuple[str, str, bool]]:
             continue
         if tag in _blocks:
             flush()
-            for k in range(len(stack) - 1, -1, -1):  # a block start closes an open p
-                if stack[k][0] == "p":
-                    del stack[k:]
-                    break
-                if stack[k][0] in _blocks:
-                    break
+            block = stack.rows[-1][3] if stack.rows else -1
+            if block >= 0 and stack.rows[block][0] == "p":  # a block start closes an open p
+                stack.cut(block)
             if tag in CLOSES:
                 ends, stop = CLOSES[tag]
-                cut = None
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] in stop:
-                        break
-                    if stack[k][0] in ends:
-                        cut = k
-                if cut is not None:
-                    del stack[cut:]
+                k = stack.first_after(ends, stack.last(stop))
+                if k >= 0:
+                    stack.cut(k)
         if tag in _raw and not m[0].endswith("/>"):
             if tag in RAW_CDATA:
                 skip_to = tag
                 continue
         label, bad = _label(tag, m[3] or "")
-        if bad and tag == "header" and any(s[0] == "article" for s in stack):
+        if bad and tag == "header" and stack.at.get("article"):
             bad = False  # an article's own header: its headings are text
-        stack.append((tag, f"{stack[-1][1]}/{label}" if stack else label, bad or tag in _raw))
+        path = stack.push(tag, label, bad or tag in _raw)
+        if tags is not None and tag in _blocks:
+            tags.append((len(out), path, stack.rows[-1][5]))
     flush()
     return out
 
 
-def in_root(path: str, roots: tuple[str, ...] = ("article", "main")) -> bool:
-    return any(x.split(".")[0] in roots for x in path.split("/"))
+def token(place: Place, text: str) -> int:
+    return hash_of(f"{place[0]}\x00{text}")
+
 
+def tokens_of(page: str) -> tuple[list[tuple[Place, str, bool]], list[int]]:
+    """The blocks of a page, and all its tokens in order: starts of block elements and texts."""
+    tags: list[tuple[int, int, bool]] = []
+    parts = blocks(page, tags)
+    marks, k = [], 0
+    for i, (place, text, _) in enumerate(parts):
+        while k < len(tags) and tags[k][0] <= i:
+            marks.append(tags[k][1])
+            k += 1
+        marks.append(token(place, text))
+    return parts, marks + [t[1] for t in tags[k:]]
 
-def text_of(parts: list[tuple[str, str, bool]], classes: list[list[int]]) -> str:
-    """What stands in the slots of a page once the classes of its host's template are taken out.
 
-    A class is taken out where its tokens stand in the template's order; on other pages it is no
-    template and stays. Where nothing would be left of the article, the main region or, without
-    them, of the page, all of it stays.
+def nested(classes: list[list[int]], first: dict[int, int]) -> list[list[int]]:
+    """The classes that are valid on a page, given the place of each token's first occurrence.
+
+    A class is valid where its tokens stand in the template's order and where it nests: against
+    every valid class of more tokens it lies in one slot of that class, outside it, or around it.
     """
+    valid: list[list[int]] = []
+    spans: list[list[int]] = []
+    for members in sorted(classes, key=lambda c: (-len(c), c)):
+        at = [first[t] for t in members if t in first]
+        if not at or any(x >= y for x, y in zip(at, at[1:], strict=False)):
+            continue
+        if all(_nests(at, other) for other in spans):
+            valid.append(members)
+            spans.append(at)
+    return valid
+
+
+def _nests(inner: list[int], outer: list[int]) -> bool:
+    """Whether all of one class stands between two neighbouring tokens of the other, or before or behind it."""
+    return bisect_left(outer, inner[0]) == bisect_left(outer, inner[-1]) or bisect_left(inner, outer[0]) == bisect_left(inner, outer[-1])
+
+
+def text_of(page: str, classes: list[list[int]]) -> str:
+    """What stands in the slots of a page: the texts that are no token of a valid class.
+
+    On pages where a class isn't valid it is no template and its texts stay. Where nothing would be
+    left of the article, the main region or, without them, of the page, all of it stays.
+    """
+    parts, marks = tokens_of(page)
     first: dict[int, int] = {}
-    marks = [token(path, text) for path, text, _ in parts]
     for k, t in enumerate(marks):
         first.setdefault(t, k)
-    fixed: set[int] = set()
-    for members in classes:
-        at = [first[t] for t in members if t in first]
-        if at == sorted(at):
-            fixed.update(members)
-    content = [(path, text, t in fixed) for (path, text, bad), t in zip(parts, marks, strict=True) if not bad]
-    for root in ("article", "main"):
-        inside = [c for c in content if in_root(c[0], (root,))]
+    fixed = {t for members in nested(classes, first) for t in members}
+    content = [(place, text, token(place, text) in fixed) for place, text, bad in parts if not bad]
+    for root in (1, 2):
+        inside = [c for c in content if c[0][1] & root]
         if inside:
             content = inside
             break
@@ -189,12 +263,6 @@ def text_of(parts: list[tuple[str, str, bool]], classes: list[list[int]]) -> str
     return "\n".join(kept or [text for _, text, _ in content])
 
 
-def token(path: str, text: str) -> int:
-    import xxhash
-
-    return xxhash.xxh3_64_intdigest(f"{path}\x00{text}".encode("utf-8", "surrogatepass")) - (1 << 63)
-
-
 def template_of(tokens: DataFrame, hosts: DataFrame) -> DataFrame:
     """host and its classes array<array<long>>: tokens with equal occurrence vectors, in page order.
 
@@ -206,7 +274,7 @@ def template_of(tokens: DataFrame, hosts: DataFrame) -> DataFrame:
     seen = tokens.groupBy("host", "token").agg(F.count("*").alias("pages"), vector.alias("vector"), F.avg("place").alias("place"), F.max("body").alias("body"))
     sizes = hosts.distinct().groupBy("host").agg(F.count("*").alias("of"))
     enough = (F.col("pages") >= F.when(F.col("body"), BODY_PAGES).otherwise(LEAST_PAGES)) & (F.col("pages") >= F.when(F.col("body"), BODY_SHARE).otherwise(SHARE) * F.col("of"))
-    # At most a page's blocks / SHARE tokens of a host get here, however many pages it has.
+    # At most a page's tokens / SHARE of a host get here, however many pages it has.
     classes = seen.where(F.col("pages") >= LEAST_PAGES).join(sizes, "host").where(enough).groupBy("host", "vector").agg(F.array_sort(F.collect_list(F.struct("place", "token"))).alias("members"))
     return classes.groupBy("host").agg(F.collect_list(F.transform("members", lambda m: m["token"])).alias("classes"))
 
@@ -225,16 +293,17 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     source = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), text_or_empty(html_col).alias("html"))
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         for batch in batches:
             rows: list[tuple] = []
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                parts, marks = tokens_of(page)
+                of_text = {token(place, text): (place, bad) for place, text, bad in parts}
                 seen: dict[int, list] = {}
-                for k, (path, text, bad) in enumerate(blocks(page)):
+                for k, t in enumerate(marks):
+                    place, bad = of_text.get(t, (_SEED, False))
                     if not bad:
-                        seen.setdefault(token(path, text), [0, k, in_root(path)])[0] += 1
-                key = xxhash.xxh3_64_intdigest(page.encode("utf-8", "surrogatepass")) - (1 << 63)
+                        seen.setdefault(t, [0, k, place[1] > 0])[0] += 1
+                key = hash_of(page)
                 rows += [(host, t, n, key, k, body) for t, (n, k, body) in seen.items()]
             columns = list(zip(*rows, strict=True)) if rows else [()] * 6
             types = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.bool_()]
@@ -242,7 +311,7 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [text_of(blocks(page), classes or []) for page, classes in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            texts = [text_of(page, classes or []) for page, classes in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     host = url_host(F.col("url"))

@@ -382,6 +382,63 @@ def test_html_copies_keep_their_text(spark):
         assert (r.text, r.n_chars) == (text, len(text))
 
 
+def _classes_by_definition(pages):
+    """Per host: tokens grouped by their counts on each distinct page, where a class is frequent enough."""
+    seen, of = {}, {}
+    for host, page in set(pages):
+        of.setdefault(host, set()).add(page)
+        parts, marks = html_extract.tokens_of(page)
+        bad = {html_extract.token(p, t) for p, t, b in parts if b}
+        body = {html_extract.token(p, t) for p, t, b in parts if p[1]}
+        for t in set(marks) - bad:
+            seen.setdefault((host, t), {})[page] = (marks.count(t), marks.index(t), t in body)
+    out = {}
+    for (host, t), on in seen.items():
+        least, share = (html_extract.BODY_PAGES, html_extract.BODY_SHARE) if any(x[2] for x in on.values()) else (html_extract.LEAST_PAGES, html_extract.SHARE)
+        if len(on) >= least and len(on) >= share * len(of[host]):
+            vector = frozenset((page, x[0]) for page, x in on.items())
+            out.setdefault(host, {}).setdefault(vector, []).append((sum(x[1] for x in on.values()) / len(on), t))
+    return {host: sorted([t for _, t in sorted(c)] for c in found.values()) for host, found in out.items()}
+
+
+def test_html_classes_match_their_definition(spark):
+    r = random.Random(2)
+    rows = []
+    for k in range(90):
+        items = "".join(f"<li>{r.choice('abc')}</li>" for _ in range(r.randint(0, 3)))
+        notice = "<div class='x'><p>Sale today</p></div>" if k % 3 else ""
+        rows.append((k, f"http://h{k % 4}.example.org/{k}", f"<div><p>Welcome</p>{notice}<ul>{items}</ul><p>story {k // 8}</p><p>Contact</p></div>"))
+    df = spark.createDataFrame(rows + rows[:20], "page_id bigint, url string, html string")
+    made = {}
+    for id_, url, page in rows:
+        made.setdefault(url.split("/")[2], []).append(page)
+    want = _classes_by_definition([(h, p) for h, ps in made.items() for p in ps])
+    assert any(len(c) > 1 for cs in want.values() for c in cs)
+    got = {x.page_id: x.text for x in html_extract.extract_pages(df).collect()}
+    for id_, url, page in rows:
+        assert got[id_] == html_extract.text_of(page, want.get(url.split("/")[2], []))
+        assert "Welcome" not in got[id_] and "Contact" not in got[id_] and f"story {id_ // 8}" in got[id_]
+
+
+def test_html_classes_nest():
+    outer, inside, beside, crossing = [1, 2, 3], [4, 5], [6, 7], [8, 9]
+    first = {1: 0, 4: 1, 5: 2, 8: 3, 2: 4, 9: 5, 3: 6, 6: 7, 7: 8}
+    assert html_extract.nested([crossing, inside, beside, outer], first) == [outer, inside, beside]
+    assert html_extract.nested([[2, 1]], first) == [] and html_extract.nested([[11]], first) == []
+
+
+def test_html_of_deep_pages():
+    import tracemalloc
+
+    peaks = []
+    for n in (5_000, 50_000):
+        tracemalloc.start()
+        assert [x[1] for x in html_extract.blocks("<div>" * n + "deep" + "</div>" * n + "<li>" * 100 + "end")] == ["deep", "end"]
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 20 * peaks[0] < 400e6
+
+
 def test_url_filter(spark):
     urls = {"http://a.Example.NET/en/x": ("a.example.net", "example.net/en/", "allow"), "http://a.example.net/fr/": ("a.example.net", "net/", "block"), "http://example.com/de/x": ("example.com", "example.com/de/", "block"),
             "http://x.org/fr/?a": ("x.org", "org/fr/", "allow"), "http://casino.io/": ("casino.io", None, "block"), "http://casinos4.io/": ("casinos4.io", None, "allow"), "http://free.io/bets": ("free.io", None, "block"),
