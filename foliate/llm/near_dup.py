@@ -38,6 +38,8 @@ EST_FLOOR = 0.52
 #: Shingles whose coordinates are computed at once.
 _BLOCK = 256
 _MAX_ROUNDS = 60
+#: Shares that a large group's rows are dealt into where they meet the group's size.
+SALTS = 32
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
@@ -183,9 +185,12 @@ def _block_pairs(rows: DataFrame, payload: str, block: int, body, schema: str) -
     """Run body over pairs of blocks of each group g: classes outside the largest component x all.
 
     rows: g, key, component, outside and the payload. A block has about `block` classes by hash;
-    every pair of blocks is a row of its own, dealt by the pair, so a large group is shared out.
+    every pair of blocks is a row of its own, dealt by the pair, so a large group is shared out. A
+    group of more than one block learns its size by a salted join, so its rows never meet in a task.
     """
-    sized = rows.join(rows.groupBy("g").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("parts")), "g")
+    sizes = rows.groupBy("g").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("parts")).where("parts > 1")
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("key", F.lit("salt")), F.lit(SALTS)).cast("int"))
+    sized = salted.join(sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["g", "salt"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     cell = F.struct("key", "component", "outside", F.col(payload).alias("data"))
     part = F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")
     blocks = materialize(sized.groupBy("g", part.alias("part")).agg(F.collect_list(cell).alias("cells"), F.bool_or("outside").alias("asks")), "near-blocks")

@@ -301,6 +301,21 @@ def test_near_duplicates_match_brute_force(spark):
     assert {(x.doc_id, x.component_id, x.kept) for x in twice} == {(None, 7, False), (7, 7, True)}
 
 
+def test_block_pairs_meet_once(spark):
+    rows = [(g, b"k%d" % k, b"c", k % 3 == 0, b"x") for g, n in ((b"hot", 23), (b"small", 3), (b"calm", 2)) for k in range(1, n)]
+    df = spark.createDataFrame(rows, "g binary, key binary, component binary, outside boolean, data binary")
+
+    def body(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            met = [(a["key"], c["key"]) for asked, cells in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True) for a in asked for c in cells]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in (zip(*met, strict=True) if met else ((), ()))], names=["a", "b"])
+
+    got = sorted((bytes(r.a), bytes(r.b)) for r in near_dup._block_pairs(df, "data", 2, body, "a binary, b binary").collect())
+    assert got == sorted((x[1], y[1]) for x in rows for y in rows if x[0] == y[0] and x[3])
+
+
 def test_shared_counts():
     r = np.random.default_rng(0)
     a, b = ([np.unique(r.integers(0, 60, r.integers(0, 30))).astype(np.uint64) for _ in range(5)] for _ in range(2))
@@ -524,3 +539,61 @@ def test_pipeline_matches_its_stages(spark):
         assert stage(spark, odd.where("false"), sf).count() == 0, name
         out.count()
     assert pipeline.near_dup(spark, docs(spark, ["a b c d e f"] * 3, [4, 4, 9]), sf).count() == 1
+
+
+def _pipeline_by_definition(spark, rows, labels):
+    """Kept ids and redacted texts by plain Python: each rule, score, group and span for itself."""
+    kept = {}
+    for i, t in rows:
+        w = WORDS.findall(t or "")
+        at = {}
+        for k in range(len(w) - 4):
+            at.setdefault(tuple(w[k : k + 5]), []).append(k)
+        repeated = len({p for v in at.values() if len(v) > 1 for k in v for p in range(k, k + 5)})
+        lines = [x for x in (t or "").split("\n") if WORDS.search(x)]
+        chars, symbols, capitals = sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t or "")), sum(c.isupper() for c in t or "")
+        bad = len(w) < 10 or 100 * repeated > 20 * len(w) or 100 * symbols > 30 * len(w) or chars < 2 * len(w) or chars > 25 * len(w)
+        if not (bad or 10 * (len(lines) - len(set(lines))) > 5 * (1 + (t or "").count("\n")) or 2 * capitals > chars):
+            kept[i] = t
+    model = toxicity.train(spark.createDataFrame(list(kept.items()), "doc_id long, text string"), labels)
+    scores = toxicity._Scores(model)
+    kept = {i: t for i, t in kept.items() if model.probability(model.evidence(*toxicity.segments_of(t, scores))) < toxicity.THRESHOLD}
+    ids = sorted(kept)
+    groups = _groups([kept[i] for i in ids])
+    kept = {i: kept[i] for k, i in enumerate(ids) if groups[k][1] == k}
+    return {i: pii.redact(t, pii.find_spans(t, *pii.model())[1]) for i, t in kept.items()}
+
+
+def test_pipeline_matches_brute_force(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    pipeline = pytest.importorskip("corpus_pipeline")
+    r = random.Random(12)
+    clean, rude = [f"word{k}" for k in range(300)], [f"vile{k}" for k in range(40)]
+    texts = []
+    for k in range(160):
+        w = [r.choice(clean) for _ in range(r.randint(5, 80))]
+        if k % 5 == 0:
+            w[3:3] = [r.choice(rude) for _ in range(25)]
+        if k % 7 == 0:
+            w.append("mail a%d@b.de or password=Xk93jfK20dkfjsl3kd%d" % (k, k))
+        texts.append(" ".join(w))
+    texts += [texts[1], texts[2] + " more", " ".join(texts[3].split()[:-1] + ["edit"]), "a b " * 30, "", None, "# $ " * 20, "SHOUT " * 3 + " ".join(c.upper() for c in clean[:30])]
+    rows = list(enumerate(texts))
+    spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars int").write.parquet(f"{tmp_path}/documents.parquet")
+    labels = spark.createDataFrame([(i, 1, int(i % 5 == 0)) for i in range(120)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    want = _pipeline_by_definition(spark, rows, labels)
+    assert 40 < len(want) < 150 and any("<EMAIL>" in t and "<SECRET>" in t for t in want.values())
+    assert sum(i % 5 == 0 for i in want if i < 160) < 10
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    ids = {i: tokenizer.encode(t, add_special_tokens=False).ids + [1] for i, t in want.items()}
+    got, sequences = {}, {}
+    for x in pipeline.run(spark, str(tmp_path)).collect():
+        assert zlib.crc32(packing.pack_ids(ids[x.doc_id][x.start : x.start + x.length])) == x.ids_crc32 and x.doc_tokens == len(ids[x.doc_id])
+        got.setdefault(x.doc_id, []).append((x.start, x.length))
+        sequences.setdefault(x.sequence_id, []).append((x.offset, x.length))
+    assert set(got) == set(want)
+    for i, pieces in got.items():
+        assert [s for s, _ in sorted(pieces)] == [0, *np.cumsum([n for _, n in sorted(pieces)]).tolist()[:-1]] and sum(n for _, n in pieces) == len(ids[i])
+    assert all(sum(n for _, n in s) <= 2048 for s in sequences.values())
