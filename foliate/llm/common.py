@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliate.sources.shared import materialize, shared_folder
 
-__all__ = ["materialize", "prepare", "shared_folder", "table", "text_or_empty"]
+__all__ = ["materialize", "prepare", "release_memory", "shared_folder", "table", "text_or_empty"]
 
 #: Most rows of one Arrow batch; texts may be long, so a worker holds few of them at once.
 ARROW_ROWS = 500
@@ -22,6 +26,15 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set(key, str(ARROW_ROWS))
 
 
+def release_memory() -> None:
+    """Give what a fit has freed back to the system; the allocators would keep it for the session."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from foliate.llm.common import materialize, prepare, table, text_or_empty
+from foliate.llm.common import materialize, prepare, release_memory, table, text_or_empty
 
 #: Most labelled rows of each class that the model is fitted on.
 SAMPLE_PER_CLASS = 3000
@@ -282,6 +282,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     model = Model(*log_odds(words, counts["bad"], counts["good"]))
     del words, counts
     _calibrate(model, segments, prevalence)
+    release_memory()
     return model
 
 
