@@ -15,15 +15,20 @@ __all__ = ["materialize", "prepare", "release_memory", "shared_folder", "table",
 
 #: Most rows of one Arrow batch; texts may be long, so a worker holds few of them at once.
 ARROW_ROWS = 500
-#: Spark's own default of that setting, which is replaced; any other value is the user's and stays.
-_ARROW_DEFAULT = "10000"
+#: Most bytes of one, unless a single row is larger: tasks hold it in the JVM and in Python.
+ARROW_BYTES = 4 << 20
+#: The settings with Spark's own defaults, which are replaced; any other value is the user's and stays.
+_ARROW = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", str(ARROW_ROWS)),
+    "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", f"{ARROW_BYTES}b"),
+}
 
 
 def prepare(spark: SparkSession) -> None:
-    """Bound the rows of an Arrow batch, unless the user has set a bound."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key) == _ARROW_DEFAULT:
-        spark.conf.set(key, str(ARROW_ROWS))
+    """Bound the rows and bytes of an Arrow batch, unless the user has set bounds."""
+    for key, (default, bound) in _ARROW.items():
+        if spark.conf.get(key) == default:
+            spark.conf.set(key, bound)
 
 
 def release_memory() -> None:

@@ -38,6 +38,10 @@ EST_FLOOR = 0.52
 #: Shingles whose coordinates are computed at once.
 _BLOCK = 256
 _MAX_ROUNDS = 60
+#: Most bytes, on average, of a block of classes that are compared inside a task.
+BLOCK_BYTES = 1 << 20
+#: Cells of the membership tables that such a comparison holds at once.
+_CELLS = 2_000_000
 #: Shares that a large group's rows are dealt into where they meet the group's size.
 SALTS = 32
 
@@ -121,7 +125,7 @@ def _linked(pairs: DataFrame, threshold: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            for _, _, x, y in _row_by_row(batch):
                 a, b = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 keep.append(100 * both >= threshold * (len(a) + len(b) - both))
@@ -184,11 +188,12 @@ def _open(placed: DataFrame, bucket: list[str]) -> DataFrame:
 def _block_pairs(rows: DataFrame, payload: str, block: int, body, schema: str) -> DataFrame:
     """Run body over pairs of blocks of each group g: classes outside the largest component x all.
 
-    rows: g, key, component, outside and the payload. A block has about `block` classes by hash;
-    every pair of blocks is a row of its own, dealt by the pair, so a large group is shared out. A
-    group of more than one block learns its size by a salted join, so its rows never meet in a task.
+    rows: g, key, component, outside and the payload. A block has about `block` classes by hash, or
+    fewer where their payloads are large, so that a pair of blocks stays within a few MB; every pair
+    is a row of its own, dealt by the pair, so a large group is shared out. A group of more than one
+    block learns its size by a salted join, so its rows never meet in a task.
     """
-    sizes = rows.groupBy("g").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("parts")).where("parts > 1")
+    sizes = rows.groupBy("g").agg(F.ceil(F.greatest(F.count("*") / F.lit(block), F.sum(F.octet_length(payload)) / F.lit(BLOCK_BYTES))).cast("int").alias("parts")).where("parts > 1")
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("key", F.lit("salt")), F.lit(SALTS)).cast("int"))
     sized = salted.join(sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["g", "salt"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     cell = F.struct("key", "component", "outside", F.col(payload).alias("data"))
@@ -200,6 +205,12 @@ def _block_pairs(rows: DataFrame, payload: str, block: int, body, schema: str) -
     return pairs.repartition(parts, "g", "q", "part").select("g", "asked", "cells").mapInArrow(body, schema)
 
 
+def _row_by_row(batch: pa.RecordBatch) -> Iterator[list]:
+    """The rows of a batch, one at a time: only one row's sets are Python objects."""
+    for i in range(batch.num_rows):
+        yield [column[i].as_py() for column in batch.columns]
+
+
 def _columns(cells: list[dict]) -> tuple[list[bytes], np.ndarray, list[bytes]]:
     return [c["key"] for c in cells], np.array([c["component"] for c in cells], dtype=object), [c["data"] for c in cells]
 
@@ -208,7 +219,7 @@ def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The classes of block pairs whose signatures allow a link to another component."""
     for batch in batches:
         out: set[tuple[bytes, bytes]] = set()
-        for g, asked, cells in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+        for g, asked, cells in _row_by_row(batch):
             (ka, ca, xa), (kb, cb, xb) = _columns(asked), _columns(cells)
             a, b = (np.frombuffer(b"".join(x), dtype="<u2").reshape(len(x), -1) for x in (xa, xb))
             for i in range(len(ka)):
@@ -221,29 +232,32 @@ def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def shared_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
-    """Sizes of the intersections of all sets in a with all in b."""
-    pool = np.concatenate(a + b)
-    values, counts = np.unique(pool, return_counts=True)
+    """Sizes of the intersections of all sorted sets in a with all in b, some common values at a time."""
+    values, counts = np.unique(np.concatenate(a + b), return_counts=True)
     values = values[counts > 1]
-    if len(values) * (len(a) + len(b)) > 40_000_000:
-        return np.array([[len(np.intersect1d(x, y, assume_unique=True)) for y in b] for x in a])
+    del counts
+    out = np.zeros((len(a), len(b)), dtype=np.int64)
 
-    def table(sets: list[np.ndarray]) -> np.ndarray:
-        out = np.zeros((len(sets), len(values)), dtype=np.float32)
+    def table(sets: list[np.ndarray], some: np.ndarray) -> np.ndarray:
+        made = np.zeros((len(sets), len(some)), dtype=np.float32)
         for k, s in enumerate(sets):
-            at = np.searchsorted(values, s)
-            at[at == len(values)] = 0
-            out[k, at[values[at] == s] if len(values) else []] = 1
-        return out
+            s = s[np.searchsorted(s, some[0]) : np.searchsorted(s, some[-1], "right")]
+            at = np.searchsorted(some, s)
+            made[k, at[some[at] == s]] = 1
+        return made
 
-    return np.rint(table(a) @ table(b).T).astype(np.int64)
+    step = max(1, _CELLS // (len(a) + len(b)))
+    for first in range(0, len(values), step):
+        some = values[first : first + step]
+        out += np.rint(table(a, some) @ table(b, some).T).astype(np.int64)
+    return out
 
 
 def _exact(threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple[bytes, bytes]] = []
-            for asked, cells in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for _, asked, cells in _row_by_row(batch):
                 (ka, ca, xa), (kb, cb, xb) = _columns(asked), _columns(cells)
                 a, b = ([np.frombuffer(x, dtype=np.uint64) for x in xs] for xs in (xa, xb))
                 both = shared_counts(a, b)
