@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from foliate.sources.shared import materialize, shared_folder
 
-__all__ = ["materialize", "prepare", "release_memory", "shared_folder", "table", "text_or_empty"]
+__all__ = ["materialize", "prepare", "release_memory", "releasing", "shared_folder", "table", "text_or_empty"]
 
 #: Most rows of one Arrow batch; texts may be long, so a worker holds few of them at once.
 ARROW_ROWS = 500
@@ -31,15 +32,29 @@ def prepare(spark: SparkSession) -> None:
             spark.conf.set(key, bound)
 
 
-def release_memory() -> None:
-    """Give what a fit has freed back to the system; the allocators would keep it for the session."""
-    gc.collect()
+def _trim() -> None:
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
     if trim:
         trim(0)
 
 
+def release_memory() -> None:
+    """Give what a fit has freed back to the system; the allocators would keep it for the session."""
+    gc.collect()
+    _trim()
+
+
+def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """run, for mapInArrow, giving back what it has freed at a task's end: workers outlive their tasks."""
+
+    def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        _trim()
+
+    return body
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

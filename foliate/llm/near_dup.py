@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliate.llm.common import materialize, prepare, table, text_or_empty
+from foliate.llm.common import materialize, prepare, releasing, table, text_or_empty
 
 SHINGLE = 5
 THRESHOLD = 75
@@ -105,7 +105,7 @@ def features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             )
 
     source = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return source.mapInArrow(run, f"doc_id {kind}, key binary, n_shingles long, sig binary")
+    return source.mapInArrow(releasing(run), f"doc_id {kind}, key binary, n_shingles long, sig binary")
 
 
 def _sets(texts: DataFrame) -> DataFrame:
@@ -116,7 +116,7 @@ def _sets(texts: DataFrame) -> DataFrame:
             found = [shingle_set(t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.binary()), pa.array([s.tobytes() for _, s in found], pa.binary())], names=["key", "shingles"])
 
-    return texts.mapInArrow(run, "key binary, shingles binary")
+    return texts.mapInArrow(releasing(run), "key binary, shingles binary")
 
 
 def _linked(pairs: DataFrame, threshold: int) -> DataFrame:
@@ -131,7 +131,7 @@ def _linked(pairs: DataFrame, threshold: int) -> DataFrame:
                 keep.append(100 * both >= threshold * (len(a) + len(b) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.select("a", "b", "sa", "sb").mapInArrow(run, "a binary, b binary")
+    return pairs.select("a", "b", "sa", "sb").mapInArrow(releasing(run), "a binary, b binary")
 
 
 def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, threshold: int) -> DataFrame:
@@ -202,7 +202,7 @@ def _block_pairs(rows: DataFrame, payload: str, block: int, body, schema: str) -
     asking = blocks.where("asks").select("g", F.col("part").alias("q"), F.filter("cells", lambda c: c["outside"]).alias("asked"))
     pairs = asking.join(blocks.select("g", "part", "cells"), "g")
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return pairs.repartition(parts, "g", "q", "part").select("g", "asked", "cells").mapInArrow(body, schema)
+    return pairs.repartition(parts, "g", "q", "part").select("g", "asked", "cells").mapInArrow(releasing(body), schema)
 
 
 def _row_by_row(batch: pa.RecordBatch) -> Iterator[list]:

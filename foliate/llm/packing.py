@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliate.llm.bpe import CACHE, TwoGenerations
-from foliate.llm.common import prepare, table, text_or_empty
+from foliate.llm.common import prepare, releasing, table, text_or_empty
 
 #: Context sizes, longest first; each a power of two.
 TIERS = (2048, 1024, 512, 256)
@@ -251,7 +251,7 @@ def pack_documents(
         yield from rows(pack(pool, tiers)[0])
 
     source = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return source.mapInArrow(run, schema + (", ids array<int>" if with_ids else ""))
+    return source.mapInArrow(releasing(run), schema + (", ids array<int>" if with_ids else ""))
 
 
 def op2_packing(spark, sf_dir: str) -> DataFrame:

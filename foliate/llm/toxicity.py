@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from foliate.llm.common import materialize, prepare, release_memory, table, text_or_empty
+from foliate.llm.common import materialize, prepare, release_memory, releasing, table, text_or_empty
 
 #: Most labelled rows of each class that the model is fitted on.
 SAMPLE_PER_CLASS = 3000
@@ -134,7 +134,7 @@ def _occurrences(sample: DataFrame) -> DataFrame:
                 columns = [pa.array([names[k] for k in s[new].tolist()], pa.string()), pa.array(around[new]), pa.array(np.full(n, y, dtype=np.int32)), pa.array(np.full(n, 1 << fold, dtype=np.int32))]
                 yield pa.RecordBatch.from_arrays(columns, names=["word", "around", "toxic", "half"])
 
-    once = sample.select("text", "toxic", "fold").mapInArrow(run, "word string, around long, toxic int, half int").groupBy("word", "around", "toxic").agg(F.bit_or("half").alias("half"))
+    once = sample.select("text", "toxic", "fold").mapInArrow(releasing(run), "word string, around long, toxic int, half int").groupBy("word", "around", "toxic").agg(F.bit_or("half").alias("half"))
     counts = {}
     for name, half in (("", 3), ("0", 1), ("1", 2)):
         there = F.col("half").bitwiseAND(half) > 0
@@ -230,7 +230,7 @@ def _segment_table(sample: DataFrame, halves: list[Model]) -> DataFrame:
             columns = [batch.column(1), pa.array([n for _, n in found], pa.int64()), pa.array([[s for _, _, s in x] for x, _ in found], pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(columns, names=["toxic", "n", "segments"])
 
-    out = materialize(sample.mapInArrow(run, "toxic int, n long, segments array<double>"), "toxic-segments")
+    out = materialize(sample.mapInArrow(releasing(run), "toxic int, n long, segments array<double>"), "toxic-segments")
     shared.destroy()  # the table is written
     return out
 
@@ -321,7 +321,7 @@ def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
     extra = "".join(f", _c{k} {kinds[c]}" for k, c in enumerate(carry))
     schema = f"doc_id {kinds[id_col]}, score double, predicted int" + (", passages array<struct<start: int, end: int, score: double>>" if passages else "") + extra
     source = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"), *[F.col(c).alias(f"_c{k}") for k, c in enumerate(carry)])
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(releasing(run), schema)
 
 
 def op4_toxicity(spark, sf_dir: str) -> DataFrame:

@@ -597,3 +597,23 @@ def test_pipeline_matches_brute_force(spark, tmp_path):
     for i, pieces in got.items():
         assert [s for s, _ in sorted(pieces)] == [0, *np.cumsum([n for _, n in sorted(pieces)]).tolist()[:-1]] and sum(n for _, n in pieces) == len(ids[i])
     assert all(sum(n for _, n in s) <= 2048 for s in sequences.values())
+
+
+def test_prepare_bounds_arrow_batches(spark):
+    from foliate.llm.common import ARROW_BYTES, ARROW_ROWS, prepare
+
+    prepare(spark)
+    rows, size = (spark.conf.get(f"spark.sql.execution.arrow.{k}") for k in ("maxRecordsPerBatch", "maxBytesPerBatch"))
+    assert (rows, size) == (str(ARROW_ROWS), f"{ARROW_BYTES}b")
+
+
+def test_shared_counts_in_parts(monkeypatch):
+    import numpy as np
+
+    from foliate.llm import near_dup
+
+    random = np.random.default_rng(5)
+    for cells in (7, 50, 2_000_000):
+        monkeypatch.setattr(near_dup, "_CELLS", cells)
+        a, b = ([np.unique(random.integers(0, 60, n).astype(np.uint64)) for n in sizes] for sizes in ((0, 1, 20, 45), (30, 0, 50)))
+        assert near_dup.shared_counts(a, b).tolist() == [[len(np.intersect1d(x, y)) for y in b] for x in a]
