@@ -4,8 +4,8 @@ Equal vectors become one node that keeps its least ids. Nodes are dealt to shard
 SHARD_NODES by hash. In a shard, nodes enter a graph in growing batches: a greedy beam search
 from the medoid proposes neighbours, robust pruning keeps a proposal only while no kept
 neighbour is closer to it by the factor ALPHA, and edges are added both ways, pruned again where
-a node has more than DEGREE. Each block of queries is beam-searched on every shard's graph; the
-best of each shard are scored exactly and merged.
+a node has more than DEGREE. Queries go in rounds of bounded bytes to all tasks, each of which
+beam-searches them on the graphs of its shards; the best are scored exactly and merged.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from foliate.llm.common import materialize, prepare, table
+from foliate.llm.common import materialize, prepare, releasing, table
 
 SHARD_NODES = 2048
 DEGREE = 48
@@ -29,6 +29,8 @@ SPARE = 8
 ALPHA = 1.2
 #: Queries that are searched together.
 BLOCK = 2048
+#: Most bytes of queries that are broadcast at once; they never stand beside every shard in a table.
+ROUND_BYTES = 8 << 20
 _SEARCHED = 256
 
 
@@ -177,15 +179,19 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_i
     index = materialize(_index(nodes, shards), "ann-index")
     v = F.col(vector_col)
     asked = queries.where(F.col(id_col).isNotNull() & usable(v)).select(F.col(id_col).cast("long").alias("id"), v.cast("array<double>").alias("vector")).dropDuplicates(["id"])
-    blocks = max(1, -(-asked.count() // BLOCK))
+    size = asked.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("vector")), F.lit(0)).alias("numbers")).first()
+    # A block has BLOCK queries, or fewer if their vectors are so long that it would exceed a round.
+    blocks, rounds = max(1, -(-size["n"] // BLOCK)), max(1, -(-(8 * size["numbers"] + 48 * size["n"]) // ROUND_BYTES))
+    blocks = -(-blocks // rounds) * rounds
     packed = (
         asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).groupBy("block", F.size("vector").alias("width"))
         .agg(F.collect_list(F.struct("id", "vector")).alias("asked"))  # about BLOCK queries
     )
-    everywhere = packed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    pairs = index.join(everywhere, ["shard", "width"])
+    packed = materialize(packed, "ann-asked")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Of each query the task's k best rows, as (-score, id): at most a round's queries.
+        merged: dict[int, list[tuple[float, int]]] = {}
         for batch in batches:
             for r in range(batch.num_rows):
                 one = batch.slice(r, 1)
@@ -196,7 +202,6 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_i
                 want = one.column("asked")[0].as_py()
                 x, q = unit(original), np.array([w["vector"] for w in want], dtype=np.float64)
                 norms = np.sqrt((original * original).sum(axis=1))
-                out: list[tuple[int, int, float]] = []
                 for at in range(0, len(q), _SEARCHED):
                     found, sims = beam_search(x, graph, start, unit(q[at : at + _SEARCHED]), max(beam, k + 1))
                     for w, vec, near, sim in zip(want[at : at + _SEARCHED], q[at : at + _SEARCHED], found, sims, strict=True):
@@ -206,17 +211,23 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_i
                         if len({i for c in near[: 4 * (k + 1)].tolist() for i in ids[c]}) > k:  # an id may have several vectors
                             near = near[: 4 * (k + 1)]
                         scores = (original[near] @ vec) / (norms[near] * np.sqrt((vec * vec).sum()))
-                        best: dict[int, float] = {}
+                        best = {i: -s for s, i in merged.get(w["id"], ())}
                         for c, s in zip(near.tolist(), scores.tolist(), strict=True):
                             for i in ids[c]:
                                 if i != w["id"]:
                                     best[i] = max(s, best.get(i, s))
-                        out += [(w["id"], i, -s) for s, i in sorted((-s, i) for i, s in best.items())[:k]]
-                columns = list(zip(*out, strict=True)) if out else [()] * 3
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query_id", "vec_id", "score"])
-
-    best = pairs.select("width", "vectors", "graph", "ids", "start", "asked").mapInArrow(search, "query_id long, vec_id long, score double")
-    best = best.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+                        merged[w["id"]] = sorted((-s, i) for i, s in best.items())[:k]
+        out = [(q, i, -s) for q, near in merged.items() for s, i in near]
+        columns = list(zip(*out, strict=True)) if out else [()] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query_id", "vec_id", "score"])
+
+    # A round ends before the next begins, so the driver holds one round's queries, however many there are.
+    found = None
+    for turn in range(rounds):
+        pairs = index.join(F.broadcast(packed.where(F.col("block") % rounds == turn)), "width")
+        got = materialize(pairs.select("width", "vectors", "graph", "ids", "start", "asked").mapInArrow(releasing(search), "query_id long, vec_id long, score double"), "ann-found")
+        found = got if found is None else found.union(got)
+    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -519,6 +519,34 @@ def test_nearest_neighbours_of_repeated_rows(spark):
         assert [g.vec_id for g in have] == np.lexsort((np.arange(60), -np.round(s, 6)))[:5].tolist() and [g.rank for g in have] == [1, 2, 3, 4, 5]
 
 
+def test_nearest_neighbours_in_rounds_of_bounded_broadcasts(spark, monkeypatch):
+    r = np.random.default_rng(6)
+    rows = [(i, [float(v) for v in row]) for i, row in enumerate(r.normal(size=(400, 8)))]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    written = []
+
+    def spy(frame, tag, real=ann.materialize):
+        out = real(frame, tag)
+        written.append((tag, out, frame._jdf.queryExecution().analyzed().toString()))
+        return out
+
+    monkeypatch.setattr(ann, "materialize", spy)
+    want = sorted(map(tuple, ann.nearest(df, df.where("vec_id % 4 = 0"), 5, shard_nodes=20).collect()))
+    assert len(want) == 500 and len([t for t, _, _ in written if t == "ann-found"]) == 1
+    monkeypatch.setattr(ann, "BLOCK", 10)
+    monkeypatch.setattr(ann, "ROUND_BYTES", 3000)
+    written.clear()
+    assert sorted(map(tuple, ann.nearest(df, df.where("vec_id % 4 = 0"), 5, shard_nodes=20).collect())) == want
+    # Queries are never multiplied by the 20 shards, and each round broadcasts a part of them.
+    (asked,) = [out for t, out, _ in written if t == "ann-asked"]
+    assert asked.select(F.sum(F.size("asked"))).first()[0] == 100
+    found = [(out, plan) for t, out, plan in written if t == "ann-found"]
+    assert len(found) == 4 and all("broadcast" in plan and "Generate" not in plan for _, plan in found)
+    assert sum(out.select("query_id").distinct().count() for out, _ in found) == 100
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_robust_prune_keeps_diverse_edges():
     x = ann.unit(np.array([[1, 0], [0.99, 0.1], [0.98, 0.12], [0, 1]]))
     assert ann.robust_prune(x, 0, np.array([1, 2, 3, -1, 0])).tolist() == [1, 3]
