@@ -13,17 +13,19 @@ from __future__ import annotations
 
 import heapq
 import json
+import os
 import re
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliate.llm.bpe import CACHE, TwoGenerations
+from foliate.llm.bpe import CACHE, TwoGenerations, byte_alphabet
 from foliate.llm.common import prepare, releasing, table, text_or_empty
 
 #: Context sizes, longest first; each a power of two.
@@ -35,6 +37,12 @@ BUFFER = 1 << 20
 STEP = 1 << 15
 
 
+#: What the word splitter of these files does (fixed by the format): no word mixes letters with anything else.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_SPLIT = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+
+
 class WordIds:
     """Ids of a text under a vocabulary file whose pre-tokenizer drops white space, as little-endian bytes."""
 
@@ -42,11 +50,18 @@ class WordIds:
         from tokenizers import Tokenizer
 
         spec = json.load(open(path, encoding="utf-8"))
-        self.tokenizer = Tokenizer.from_str(json.dumps(spec | {"truncation": None, "padding": None}))
+        spec |= {"truncation": None, "padding": None}
+        self.tokenizer = Tokenizer.from_str(json.dumps(spec))
         added = spec["added_tokens"]
         self.special = re.compile("|".join(re.escape(t["content"]) for t in added))
         self.sep, self.sep_id = added[-1]["content"], added[-1]["id"]
         self.cache = TwoGenerations(2 * CACHE)
+        # Where each word ends with a marked id, pieces need no special token between them.
+        self.bare, self.ends = None, np.zeros(1 + max(spec["model"]["vocab"].values()), dtype=bool)
+        if _ends_marked(spec):
+            self.bare = Tokenizer.from_str(json.dumps(spec | {"added_tokens": []}))
+            suffix = spec["model"]["end_of_word_suffix"]
+            self.ends[[i for t, i in spec["model"]["vocab"].items() if t.endswith(suffix)]] = True
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         # Spaces and line feeds part words for certain; other white space stays inside a piece.
@@ -54,14 +69,33 @@ class WordIds:
         self.cache.trim()
         young = self.cache.young
         young[""] = b""
-        gone = self.cache.missing(set().union(*cut))
-        plain = [p for p in gone if not self.special.search(p)]
-        young.update(zip(plain, self._packed(plain), strict=True))
+        gone = self.cache.missing(set().union(*cut).difference(young))
+        plain = rest = [p for p in gone if not self.special.search(p)]
+        if self.bare:
+            words, counts, rest = counted(plain)
+            young.update(zip(words, self._packed_words(words, counts), strict=True))
+        young.update(zip(rest, self._packed(rest), strict=True))
         for p in set(gone).difference(plain):
             young[p] = pack_ids(self.tokenizer.encode(p, add_special_tokens=False).ids)
         for pieces in cut:
             yield b"".join(map(young.__getitem__, pieces))
 
+    def _packed_words(self, pieces: list[str], counts: list[int], joined: int = 1000) -> Iterator[bytes]:
+        """Ids of each piece for itself, given the fewest words that it can have; many share a call, set apart by spaces.
+
+        No piece has fewer words than said, so if all together have no more, each has just as many.
+        """
+        parts = [pieces[k : k + joined] for k in range(0, len(pieces), joined)]
+        for k, e in enumerate(self.bare.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False)):
+            ids, last = np.array(e.ids, dtype="<u4"), np.cumsum(counts[k * joined : (k + 1) * joined])
+            ends = np.flatnonzero(self.ends[ids])
+            if len(ends) != last[-1]:
+                yield from self._packed(parts[k])
+                continue
+            raw, start = ids.tobytes(), 0
+            for end in (4 * (ends[last - 1] + 1)).tolist():
+                yield raw[start:end]
+                start = end
 
     def _packed(self, pieces: list[str], joined: int = 1000) -> Iterator[bytes]:
         """Ids of each piece for itself; many share a call, set apart by a special token that none holds."""
@@ -74,6 +108,37 @@ class WordIds:
                 start = end + 4
 
 
+def _ends_marked(spec: dict) -> bool:
+    """Whether words are split as in _SPLIT and the last id of each, and no other, bears the suffix."""
+    model = spec["model"]
+    suffix, vocab = model.get("end_of_word_suffix"), model["vocab"]
+    return bool(
+        suffix and spec["normalizer"] == _NORMALIZER and spec["pre_tokenizer"] == {"type": "Sequence", "pretokenizers": [_SPLIT, _BYTES]}
+        and model["type"] == "BPE" and not model.get("dropout") and all(c in vocab and c + suffix in vocab for c in byte_alphabet())
+    )
+
+
+def counted(pieces: list[str]) -> tuple[list[str], list[int], list[str]]:
+    """The pieces of letters, or of letters and ASCII punctuation behind them; the fewest words of each (1, 2); the other pieces.
+
+    Punctuation parts from a letter that both Python and the library know: Latin, Greek, Cyrillic.
+    """
+    words, counts, rest = [], [], []
+    for p in pieces:
+        letters = p.rstrip(punctuation)
+        if not letters.isalpha():
+            rest.append(p)
+        elif len(letters) == len(p):
+            words.append(p)
+            counts.append(1)
+        elif letters[-1] < "\u0530":
+            words.append(p)
+            counts.append(2)
+        else:
+            rest.append(p)
+    return words, counts, rest
+
+
 def pack_ids(ids: list[int]) -> bytes:
     return np.array(ids, dtype="<u4").tobytes()
 
@@ -82,6 +147,8 @@ _loaded: dict[str, WordIds] = {}
 
 
 def load(path: str) -> WordIds:
+    """One encoder for each file and process. A task has one core: threads of the library would only contend for it."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if path not in _loaded:
         _loaded[path] = WordIds(path)
     return _loaded[path]

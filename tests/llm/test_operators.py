@@ -1,7 +1,11 @@
 """Operators on small fixtures and against brute force: nulls, empty and long texts, ties, repeated rows, empty tables, clashing names."""
 
+import json
+import os
 import random
 import re
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -108,6 +112,57 @@ def test_packing_holds_no_more_than_its_pool(spark):
         assert packing.pack_ids([x for _, part in sorted(got[k]) for x in part]) == ids + packing.pack_ids([1])
 
 
+class _Sent:
+    """A tokenizer that notes the texts it gets."""
+
+    def __init__(self, inner):
+        self.inner, self.texts = inner, []
+
+    def encode(self, text, **options):
+        return self.inner.encode(text, **options)
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += texts
+        return self.inner.encode_batch_fast(texts, **options)
+
+
+def test_packing_sets_words_apart_without_special_tokens(tmp_path):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    words = packing.WordIds(path)
+    words.tokenizer = sent = _Sent(words.tokenizer)
+    odd = ["3rd", "don't", "...", "Ж\u0301x", "\u0415\u0301.", "\U00031350.", "a\tb", "x\x00y", "p<|endoftext|>q", "<|endoftext|>", "</w>", "a</w>"]
+    # Letters that become several words or whose lower case has a mark; the call that holds one is done again.
+    several = ["\u0130", "\u0130.", "a\u0130b!", "\u0958", "a\U00031350b"]
+    plain = ["Word", "word", "word.", "Straße,", "ciónÁ&&&", "dogs'", "Жук?!", "Σας.", "漢字", "\u212bx"] + [f"{a}{b}{c}" for a in "abcdefgh" for b in "ijklmnop" for c in "qrstuvwxyz"] * 2
+    want = Tokenizer.from_file(path)
+    ids = lambda t: packing.pack_ids(want.encode(t, add_special_tokens=False).ids)
+    assert list(words.ids([" ".join(plain)])) == [ids(" ".join(plain))]
+    assert "".join(sent.texts) == ""  # before: each new word with a special token behind it
+    assert list(words.ids(plain + odd + several)) == [ids(t) for t in plain + odd + several]
+    assert any("\u0130" in t for t in sent.texts)
+    # A file that splits words otherwise: every piece is set apart by a special token.
+    spec = json.loads(want.to_str()) | {"pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}}
+    (tmp_path / "other.json").write_text(json.dumps(spec))
+    other, want = packing.WordIds(str(tmp_path / "other.json")), Tokenizer.from_str(json.dumps(spec))
+    assert list(other.ids(plain + odd + several)) == [ids(t) for t in plain + odd + several]
+
+
+def test_packing_encodes_in_its_own_thread():
+    code = """
+import os, sys
+from foliate.llm import packing
+words = packing.load(sys.argv[1])
+before = len(os.listdir("/proc/self/task"))
+assert len(list(words.ids([f"w{k} {'a' * (k % 40)}{k} x" for k in range(4000)]))) == 4000
+print(len(os.listdir("/proc/self/task")) - before)
+"""
+    env = {k: v for k, v in os.environ.items() if k != "TOKENIZERS_PARALLELISM"} | {"RAYON_NUM_THREADS": "3"}
+    got = subprocess.run([sys.executable, "-c", code, public_tokenizers.path("word_bpe_49k.json")], env=env, capture_output=True, text=True, timeout=120)
+    assert got.returncode == 0 and int(got.stdout) == 0, got.stderr
+
+
 def test_pii_base_spans_match_the_patterns():
     r = random.Random(3)
     email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
