@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from foliate.sources.shared import materialize, shared_folder
 
-__all__ = ["materialize", "prepare", "release_memory", "releasing", "shared_folder", "table", "text_or_empty"]
+__all__ = ["materialize", "one_thread", "prepare", "release_memory", "releasing", "shared_folder", "table", "text_or_empty"]
 
 #: Most rows of one Arrow batch; texts may be long, so a worker holds few of them at once.
 ARROW_ROWS = 500
@@ -32,6 +33,11 @@ def prepare(spark: SparkSession) -> None:
             spark.conf.set(key, bound)
 
 
+def one_thread() -> None:
+    """Tokenizers encode in the task's own thread, unless the user has chosen: a task has one core."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
+
 def _trim() -> None:
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
