@@ -76,7 +76,7 @@ def base_spans(text: str) -> list[Span]:
     out: list[Span] = list(_emails(text)) if "@" in text else []
     if _DIGIT.search(text):
         # A match ends with a whole run of digits, and a run that fails from its start fails from inside.
-        out += [("ip", *m.span()) for m in _DIGIT_RUN_BEFORE_DOT.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+        out += [("ip", *m.span()) for m in _DIGIT_RUN_BEFORE_DOT.finditer(text) if all(len(p) <= 3 and int(p or "0") <= 255 for p in (x.lstrip("0") for x in m[0].split(".")))]
         for m in _CARD.finditer(text):
             if m.end() - m.start() >= 16:
                 digits = _NOT_DIGIT.sub("", m[0])
@@ -319,7 +319,7 @@ def detect_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     out = "base_sha256 string, spans string, n_spans long" if digests else "spans array<struct<kind: string, start: int, end: int>>, redacted string"
     extra = "".join(f", _c{k} {kinds[c]}" for k, c in enumerate(carry))
-    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"_c{k}") for k, c in enumerate(carry)])
+    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *[F.col(f"`{c}`").alias(f"_c{k}") for k, c in enumerate(carry)])
     return source.mapInArrow(run, f"doc_id {kind}, {', '.join(f'{c} long' for c in counts)}, {out}{extra}")
 
 

@@ -177,6 +177,15 @@ def test_pii_base_spans_match_the_patterns():
         assert pii.base_spans(t) == want
 
 
+def test_pii_of_long_digit_runs(spark):
+    n = 5000
+    texts = [x.replace("0", "0" * n, 1) for x in ("0.1.2.3", "1.0.2.3", "0256.1.2.3", "+0 11", "0 1234", "a0@b.c", "DE0", "key=0", "0-00-0000", "(0) 12 34", "::0", "0.0")] + ["9" * n, "9" * n + ".1.2.3", "1.2.3." + "0" * n + "4"]
+    got = {r.doc_id: r for r in pii.detect_pii(docs(spark, texts)).collect()}
+    assert len(got) == len(texts)
+    spans = [pii.base_spans(t) for t in texts]
+    assert spans[0] == [("ip", 0, n + 6)] and spans[1] == [("ip", 0, n + 6)] and spans[2] == [] and spans[14] == [("ip", 0, n + 7)] and not any(k == "ip" for k, *_ in spans[13])
+
+
 def test_pii_model_and_redaction(spark):
     texts = ["mail a.b@c.de now", "password=Xk93jfK20dkfjsl3kd0", "2024-01-02 version 10.20.30", None, "", "a" * 200_000 + "@" + "1" * 50_000, "call +1 (555) 123-4567", "+1 (578) 555-6437 4918187128635271"]
     got = {r.doc_id: r for r in pii.detect_pii(docs(spark, texts)).collect()}
@@ -432,6 +441,27 @@ def test_html_text(spark):
     assert html_extract.extract_pages(df.where("page_id < 0")).count() == 0
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ('<p title="a hidden gem">text</p>', "text"), ('<p class="a hidden b">text</p>', "text"), ('<p data-x="not hidden here">text</p>', "text"), ("<p hidden>no</p><p HIDDEN=''>no</p><p style='Display : none'>no</p>", ""),
+        ("<p title=it's>hello</p><p>world</p><p>it's</p>", "hello\nworld\nit's"), ('<a href="x"">hello</a><p>world</p><p title="q">z</p>', "hello\nworld\nz"), ("<!-->shown<p>more</p>", "shown\nmore"), ("<!--->a<!-- b --!>c", "ac"),
+        ('<article><h2 id="related-work">Related</h2><section id="share"><p>split it</p></section></article>', "Related\nsplit it"), ("<article><p>where <math><mi>x</mi></math> is</p></article>", "where x is"),
+        ('<article><p>a</p><div class="related-posts">no</div><div id="comments"><p>no</p></div><div class="social share-buttons">no</div><div class="related-work">b</div></article>', "a\nb"),
+        ('<p a=1 b="2>3" c=\'4>"5\' / d>x</p>', "x"), ("<p title=\"open>lost", ""), ('<a title="x"/y="z>">t</a>', "t"),
+    ],
+)
+def test_html_attributes_and_marks(page, text):
+    assert html_extract.text_of(page, []) == text
+
+
+@pytest.mark.parametrize("n", [19, 30])
+def test_html_article_keeps_what_repeats(spark, n):
+    rows = [(i, f"http://one.example.org/{i}", f"<div>Site</div><article><h1>T{i}</h1><p>By our staff</p><p>story {i}</p></article>") for i in range(n)]
+    got = html_extract.extract_pages(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert {r.text for r in got} == {f"T{i}\nBy our staff\nstory {i}" for i in range(n)}
+
+
 def test_html_template_is_taken_out(spark):
     rows = [(i, "http://one.example.org/%d" % i, f"<div><p>Welcome to the site</p><p>story {i}</p><p>All rights reserved</p></div>") for i in range(6)]
     got = html_extract.extract_pages(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
@@ -464,8 +494,7 @@ def _classes_by_definition(pages):
             seen.setdefault((host, t), {})[page] = (marks.count(t), marks.index(t), t in body)
     out = {}
     for (host, t), on in seen.items():
-        least, share = (html_extract.BODY_PAGES, html_extract.BODY_SHARE) if any(x[2] for x in on.values()) else (html_extract.LEAST_PAGES, html_extract.SHARE)
-        if len(on) >= least and len(on) >= share * len(of[host]):
+        if not any(x[2] for x in on.values()) and len(on) >= html_extract.LEAST_PAGES and len(on) >= html_extract.SHARE * len(of[host]):
             vector = frozenset((page, x[0]) for page, x in on.items())
             out.setdefault(host, {}).setdefault(vector, []).append((sum(x[1] for x in on.values()) / len(on), t))
     return {host: sorted([t for _, t in sorted(c)] for c in found.values()) for host, found in out.items()}
@@ -615,7 +644,7 @@ def test_pipeline_matches_its_stages(spark):
     good = {r.doc_id for r in quality.apply_rules(docs_).where("kept").collect()}
     ids = {r.doc_id for r in rows}
     assert ids <= good and len(ids) > 0.5 * len(good)
-    odd = docs(spark, odd_texts()).withColumn("n_chars", F.lit(1)).withColumn("_c0", F.lit("y"))
+    odd = docs(spark, odd_texts()).withColumn("n_chars", F.lit(1)).withColumn("_c0", F.lit("y")).withColumn("a.b", F.lit("z"))
     for name, stage in pipeline.STAGES[:-1]:
         out = stage(spark, odd, sf)
         assert out.columns == odd.columns, name
