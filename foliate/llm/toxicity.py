@@ -320,7 +320,7 @@ def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
 
     extra = "".join(f", _c{k} {kinds[c]}" for k, c in enumerate(carry))
     schema = f"doc_id {kinds[id_col]}, score double, predicted int" + (", passages array<struct<start: int, end: int, score: double>>" if passages else "") + extra
-    source = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"), *[F.col(c).alias(f"_c{k}") for k, c in enumerate(carry)])
+    source = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"), *[F.col(f"`{c}`").alias(f"_c{k}") for k, c in enumerate(carry)])
     return source.mapInArrow(releasing(run), schema)
 
 
