@@ -30,15 +30,12 @@ from foliate.llm.url_filter import url_host
 #: A fixed text must stand on so many pages of a host and on this share of them to be template.
 LEAST_PAGES = 3
 SHARE = 0.6
-#: Inside article or main, where copies of a text also repeat, more is asked for.
-BODY_PAGES = 20
-BODY_SHARE = 0.95
 #: Most template tokens (8 bytes each) that are broadcast, and the salts of the join used beyond that.
 BROADCAST_CLASSES = 500_000
 SALTS = 16
 
 #: Elements whose content is not text (fixed values).
-RAW = ("script", "style", "noscript", "template", "svg", "iframe", "textarea", "title", "xmp", "noembed", "object", "canvas", "math")
+RAW = ("script", "style", "noscript", "template", "svg", "iframe", "textarea", "title", "xmp", "noembed", "object", "canvas")
 RAW_CDATA = ("script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes")
 VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr")
 #: Elements that never hold main text.
@@ -60,22 +57,61 @@ CLOSES = {
 }
 
 HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
-
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)|[^<]+|<", re.S)
-_ATTRIBUTE = re.compile(r"""([^\s"'=<>/]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+#: Elements that words mark inside an article too; its headings and paragraphs are its text.
+CONTAINERS = ("div", "section", "ul", "ol", "dl", "span", "table", "figure", "details", "p")
+#: Words that say nothing beside those of MARKED.
+FILLERS = ("area", "bar", "block", "bottom", "box", "button", "buttons", "container", "content", "form", "inner", "item", "items", "left", "link", "links", "list", "outer", "panel", "post", "posts", "right", "section", "site", "slot", "top", "unit", "wrap", "wrapper")
+#: Ids that mark an element of an article by themselves.
+MARKED_IDS = ("comment", "comments", "disqus", "replies", "respond")
+
+# An attribute by HTML's states: a quote opens a value behind = only.
+_VALUE = r"""(?:"{0}[^"]*{1}(?:"|\Z)|'{0}[^']*{1}(?:'|\Z)|{0}[^\s>"'][^\s>]*+{1})"""
+_NAMED = r"""[^\s/>][^\s/>=]*+"""
+_TOKEN = re.compile(rf"""<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]++|{_NAMED}(?:\s*=\s*{_VALUE.format("", "")}?)?)*+)(?:>|\Z)|<[!?][^>]*(?:>|\Z)|[^<]+|<""", re.S)
+_ATTRIBUTE = re.compile(rf"""({_NAMED})(?:\s*=\s*{_VALUE.format("(", ")")}?)?""", re.S)
 _SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"[a-z0-9]+")
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _blocks, _void, _raw, _boiler, _marked = set(BLOCKS), set(VOID), set(RAW), set(BOILERPLATE), set(MARKED)
+_containers, _fillers, _marked_ids = set(CONTAINERS), set(FILLERS), set(MARKED_IDS)
+
+
+def attributes_of(text: str) -> dict[str, str]:
+    """Names in lower case and values; the first of several with one name counts."""
+    found: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(text):
+        found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return found
+
+
+def _words(name: str) -> list[str]:
+    return _NAME.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower())
 
 
-def _label(tag: str, attributes: str) -> tuple[str, bool]:
-    """Tag with class, and whether the element is marked as boilerplate."""
+def _says_so(name: str) -> bool:
+    """Whether one of the names is made of marked words, with fillers or numbers beside them at most."""
+    for one in name.split():
+        words = _words(one)
+        if any(w in _marked for w in words) and all(w in _marked or w in _fillers or w.isdigit() for w in words):
+            return True
+    return False
+
+
+def _label(tag: str, attributes: str, inside: bool = False) -> tuple[str, bool]:
+    """Tag with class, and whether the element is marked as boilerplate.
+
+    inside: in article or main, where only containers are marked, and only by a name that has no
+    other words (related-posts does, related-work doesn't); an id alone marks reader comments.
+    """
     if not attributes or "=" not in attributes and "hidden" not in attributes.lower():
         return tag, tag in _boiler
-    found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
-    words = {w for name in ("class", "id", "role", "aria-label") for w in _NAME.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", found.get(name, "")).lower())}
-    bad = tag in _boiler or (tag not in ("html", "body", "article", "main") and bool(words & _marked)) or bool(_HIDDEN.search(attributes)) and tag not in ("html", "body")
+    found = attributes_of(attributes)
+    if inside:
+        marked = tag in _containers and (any(_says_so(found.get(n, "")) for n in ("class", "role", "aria-label")) or bool(_marked_ids & set(_words(found.get("id", "")))))
+    else:
+        marked = bool(_marked & {w for name in ("class", "id", "role", "aria-label") for w in _words(found.get(name, ""))})
+    hidden = "hidden" in found or bool(_HIDDEN.search(found.get("style", "")))
+    bad = tag in _boiler or (tag not in ("html", "body", "article", "main") and marked) or hidden and tag not in ("html", "body")
     return f"{tag}.{found['class'].strip().lower()}" if found.get("class", "").strip() else tag, bad
 
 
@@ -192,7 +228,7 @@ def blocks(page: str, tags: list[tuple[int, int, bool]] | None = None) -> list[t
             if tag in RAW_CDATA:
                 skip_to = tag
                 continue
-        label, bad = _label(tag, m[3] or "")
+        label, bad = _label(tag, m[3] or "", bool(stack.rows and stack.rows[-1][2]))
         if bad and tag == "header" and stack.at.get("article"):
             bad = False  # an article's own header: its headings are text
         path = stack.push(tag, label, bad or tag in _raw)
@@ -267,13 +303,14 @@ def template_of(tokens: DataFrame, hosts: DataFrame) -> DataFrame:
     """host and its classes array<array<long>>: tokens with equal occurrence vectors, in page order.
 
     tokens: host, token, n (occurrences on the page), page, place, body; hosts: host and page (a hash
-    of its html) of every row. Rows with equal html are one page.
+    of its html) of every row. Rows with equal html are one page. What stands in an article or main
+    region (body) is text on however many pages.
     """
     tokens = tokens.dropDuplicates(["host", "token", "page"])
     vector = F.sum(F.pmod(F.xxhash64("page", "n"), F.lit(1 << 31)))
     seen = tokens.groupBy("host", "token").agg(F.count("*").alias("pages"), vector.alias("vector"), F.avg("place").alias("place"), F.max("body").alias("body"))
     sizes = hosts.distinct().groupBy("host").agg(F.count("*").alias("of"))
-    enough = (F.col("pages") >= F.when(F.col("body"), BODY_PAGES).otherwise(LEAST_PAGES)) & (F.col("pages") >= F.when(F.col("body"), BODY_SHARE).otherwise(SHARE) * F.col("of"))
+    enough = ~F.col("body") & (F.col("pages") >= SHARE * F.col("of"))
     # At most a page's tokens / SHARE of a host get here, however many pages it has.
     classes = seen.where(F.col("pages") >= LEAST_PAGES).join(sizes, "host").where(enough).groupBy("host", "vector").agg(F.array_sort(F.collect_list(F.struct("place", "token"))).alias("members"))
     return classes.groupBy("host").agg(F.collect_list(F.transform("members", lambda m: m["token"])).alias("classes"))
