@@ -26,10 +26,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from foliate.llm.bpe import byte_alphabet
-from foliate.llm.common import materialize, one_thread, prepare, releasing, table, text_or_empty
+from foliate.llm.common import materialize, one_thread, prepare, releasing, session_settings, table, text_or_empty
 
 #: Characters of text of a block: bounds a task's memory.
-BLOCK_CHARS = 8 << 20
+BLOCK_CHARS = 32 << 20
 #: The mark that piece vocabularies have for a space (fixed by the file format).
 MARK = "▁"
 _RAGGED = re.compile(r"\s ")
@@ -37,6 +37,15 @@ _CUT = re.compile(r"(?<=\S)(?= )")
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>\Z")
 #: What a document or a stretch is summed up by.
 COUNTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
+#: Characters of stretches that are encoded in one string.
+JOINED = 1 << 13
+#: Joins and windows on a stretch reuse its partitioning, and a table's shuffles go once it is written.
+_SETTINGS = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+def _write(df: DataFrame, tag: str) -> DataFrame:
+    with session_settings(df.sparkSession, _SETTINGS):
+        return materialize(df, tag)
 
 
 def stretches(text: str) -> list[str]:
@@ -66,18 +75,55 @@ class TokenPair:
         self.b_bytes = [bytes([int(m[1], 16)]) if (m := _BYTE.match(x)) else x.replace(MARK, " ").encode() for x in names]
         self.space = self.pieces.piece_to_id(MARK)
 
-    def encode(self, keys: list[str]) -> Iterator[tuple[list[int], list[int], list[int], list[int]] | None]:
-        """A ids, their lengths, B ids, their lengths of each stretch; None where the joined bytes aren't the stretch's."""
-        a_all = self.byte_bpe.encode_batch_fast([" " + x for x in keys], add_special_tokens=False)
-        b_all = self.pieces.encode(keys, num_threads=1)
-        for key, a, b in zip(keys, a_all, b_all, strict=True):
-            own, a = (" " + key).encode(), a.ids
-            b = b if key else [self.space]  # nothing is encoded as nothing, without the space before it
-            a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-            if b"".join(a_parts) == own == b"".join(b_parts):
-                yield a, list(map(len, a_parts)), b, list(map(len, b_parts))
-            else:
-                yield None
+        self.a_lengths = np.zeros(max(self.a_bytes) + 1, dtype=np.int32)
+        self.a_lengths[list(self.a_bytes)] = [len(x) for x in self.a_bytes.values()]
+        self.b_lengths = np.array([len(x) for x in self.b_bytes], dtype=np.int32)
+
+    def _ids(self, text: str) -> tuple[list[int], list[int]]:
+        """Ids of a space and the text."""
+        b = self.pieces.encode(text, num_threads=1) if text else [self.space]  # nothing is encoded as nothing, without the space before it
+        return self.byte_bpe.encode(" " + text, add_special_tokens=False).ids, b
+
+    def _sound(self, text: str, a: list[int], b: list[int]) -> bool:
+        own = (" " + text).encode()
+        return b"".join([self.a_bytes[i] for i in a]) == own == b"".join([self.b_bytes[i] for i in b])
+
+    def encode(self, keys: list[str]) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+        """Of stretches: whether both sides' bytes are the stretch's; then for A and B all ids one after
+        the other, and how many each stretch has (none where the bytes differ).
+
+        Stretches share a string, as their ids stay apart there; those that end in white space, or
+        share a string whose bytes differ, are encoded alone.
+        """
+        sound = np.zeros(len(keys), dtype=bool)
+        ids: list[list[np.ndarray]] = [[], []]
+        sizes = [np.zeros(len(keys), dtype=np.int32) for _ in range(2)]
+        first = 0
+        while first < len(keys):
+            last, chars = first, 0
+            while last < len(keys) and (chars < JOINED or last == first) and keys[last] and not keys[last][-1].isspace():
+                chars += len(keys[last]) + 1
+                last += 1
+            last = max(last, first + 1)
+            text = " ".join(keys[first:last])
+            both = self._ids(text)
+            if self._sound(text, *both):
+                ends = np.cumsum([len(k.encode()) + 1 for k in keys[first:last]])
+                for side, (own, lengths) in enumerate(zip(both, (self.a_lengths, self.b_lengths), strict=True)):
+                    flat = np.array(own, dtype=np.int32)
+                    ids[side].append(flat)
+                    sizes[side][first:last] = np.diff(np.searchsorted(np.cumsum(lengths[flat]), ends) + 1, prepend=0)
+                sound[first:last] = True
+            elif last > first + 1:
+                for k in range(first, last):
+                    both = self._ids(keys[k])
+                    if self._sound(keys[k], *both):
+                        sound[k] = True
+                        for side in range(2):
+                            ids[side].append(np.array(both[side], dtype=np.int32))
+                            sizes[side][k] = len(both[side])
+            first = last
+        return sound, [np.concatenate(x or [np.empty(0, dtype=np.int32)]) for x in ids], sizes
 
 
 _loaded: dict[tuple[str, str], TokenPair] = {}
@@ -110,35 +156,42 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, block_chars: int) -> Dat
         id_type = None
         for batch in batches:
             id_type = batch.column(0).type
-            for k, text in enumerate(batch.column(1).to_pylist()):
+            of, own, closed = [], [], []
+            for text in batch.column(1).to_pylist():
                 if chars and chars + len(text) > block_chars:
-                    yield from listed(id_type)
+                    closed += listed(id_type)
                     places, block, chars = {}, block + 1, 0
                 chars += len(text)
-                own = np.fromiter((places.setdefault(x, len(places)) for x in stretches(text)), dtype=np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block]), batch.column(0).slice(k, 1), pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), pa.array(own)), pa.nulls(1, pa.int32()), pa.nulls(1, pa.string())], names=names
-                )
+                of.append(block)
+                own.append(np.fromiter((places.setdefault(x, len(places)) for x in stretches(text)), dtype=np.int32))
+            n = len(own)
+            ends = np.concatenate(([0], np.cumsum(list(map(len, own))))).astype(np.int32)
+            held = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(own) if own else np.empty(0, dtype=np.int32)))
+            yield pa.RecordBatch.from_arrays([pa.array(of, pa.int64()), batch.column(0), held, pa.nulls(n, pa.int32()), pa.nulls(n, pa.string())], names=names)
+            yield from closed
         if places:
             yield from listed(id_type)
 
     source = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return materialize(source.mapInArrow(releasing(run), f"block long, doc_id {kind}, places array<int>, place int, stretch string"), "alignment-blocks")
+    return _write(source.mapInArrow(releasing(run), f"block long, doc_id {kind}, places array<int>, place int, stretch string"), "alignment-blocks")
 
 
 def tokenized(distinct: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
-    """sid, stretch and a, a_len, b, b_len (null where bytes differ) of distinct stretches."""
+    """sid, stretch, sound (whether both sides' bytes are the stretch's) and a, a_len, b, b_len of distinct stretches."""
     lists = ("a", "a_len", "b", "b_len")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = load(byte_path, piece_path)
         for batch in batches:
-            found = [x or (None,) * 4 for x in pair.encode(batch.column(1).to_pylist())]
-            columns = [pa.array([x[k] for x in found], pa.list_(pa.int32())) for k in range(4)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["sid", "stretch", *lists])
+            sound, ids, sizes = pair.encode(batch.column(1).to_pylist())
+            columns = []
+            for own, size, lengths in zip(ids, sizes, (pair.a_lengths, pair.b_lengths), strict=True):
+                ends = pa.array(np.concatenate(([0], np.cumsum(size))).astype(np.int32))
+                columns += [pa.ListArray.from_arrays(ends, pa.array(own)), pa.ListArray.from_arrays(ends, pa.array(lengths[own]))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sound), *columns], names=["sid", "stretch", "sound", *lists])
 
     numbered = distinct.withColumn("sid", F.monotonically_increasing_id()).select("sid", "stretch")
-    return materialize(numbered.mapInArrow(releasing(run), "sid long, stretch string, " + ", ".join(f"{c} array<int>" for c in lists)), "alignment-tokens")
+    return _write(numbered.mapInArrow(releasing(run), "sid long, stretch string, sound boolean, " + ", ".join(f"{c} array<int>" for c in lists)), "alignment-tokens")
 
 
 def token_ends(tokens: DataFrame, ids: str, lengths: str, key: str = "sid") -> DataFrame:
@@ -168,8 +221,8 @@ def aligned(tokens: DataFrame, key: str = "sid") -> DataFrame:
     """
     found = groups(tokens, key)
     text = F.concat(F.array_join(F.col("a").cast("array<string>"), ","), F.lit("|"), F.array_join(F.col("b").cast("array<string>"), ","))
-    times = lambda c, x: F.when(F.size(c) == 1, F.lit(1)).otherwise(F.size(F.filter(c, lambda y: y == x))).cast("long")
-    pairs = F.flatten(F.transform(F.array_distinct("a"), lambda a: F.transform(F.array_distinct("b"), lambda b: F.struct(pair_key(a, b).alias("pair"), (times("a", a) * times("b", b)).alias("times")))))
+    times = lambda c, x: F.when(F.size(c) == 1, F.lit(1)).otherwise(F.size(F.filter(c, lambda y: y == x)))
+    pairs = F.flatten(F.transform(F.array_distinct("a"), lambda a: F.transform(F.array_distinct("b"), lambda b: F.struct(pair_key(a, b).alias("pair"), (times("a", a).cast("long") * times("b", b)).alias("times")))))
     rows = found.select(key, "g", text.alias("text"), F.size("a").cast("long").alias("na"), F.size("b").cast("long").alias("nb"), pairs.alias("pairs"))
     return rows.groupBy(key).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("g", "text"))), lambda x: x["text"]), ";").alias("groups"), F.sum("na").alias("n_a"), F.sum("nb").alias("n_b"), F.count("*").alias("n_groups"),
@@ -236,13 +289,13 @@ def align(docs: DataFrame, byte_path: str, piece_path: str, id_col: str = "doc_i
     made = blocks(docs, id_col, text_col, block_chars)
     held, listed = made.where("place IS NULL").select("block", "doc_id", "places"), made.where("place IS NOT NULL").select("block", "place", "stretch")
     tokens = tokenized(listed.select("stretch").distinct(), byte_path, piece_path)
-    own = materialize(aligned(tokens.where("a IS NOT NULL").select("sid", "a", "a_len", "b", "b_len").repartition("sid")), "alignment-stretches")
-    listed = materialize(listed.join(tokens.select("sid", "stretch", F.col("a").isNotNull().alias("sound")), "stretch").select("block", "place", "sid", "sound"), "alignment-places")
+    own = _write(aligned(tokens.where("sound").select("sid", "a", "a_len", "b", "b_len").repartition("sid")), "alignment-stretches")
+    listed = _write(listed.join(tokens.select("sid", "stretch", "sound"), "stretch").select("block", "place", "sid", "sound"), "alignment-places")
 
     pairs = listed.join(own.select("sid", F.transform("pairs", lambda p: p["pair"]).alias("pairs")), "sid", "left")
     pairs = pairs.select("block", "place", F.col("sound").cast("byte").alias("sound"), F.coalesce("pairs", F.array().cast("array<long>")).alias("pairs"))
     counted = held.select("block", "places").groupBy("block").cogroup(pairs.groupBy("block")).applyInArrow(_count_pairs, "pair long, docs long")
-    counts = materialize(counted.groupBy("pair").agg(F.sum("docs").alias("docs")), "alignment-counts")
+    counts = _write(counted.groupBy("pair").agg(F.sum("docs").alias("docs")), "alignment-counts")
     a = F.shiftright("pair", 32).cast("int")
     top = counts.groupBy(a.alias("a")).agg(F.max("docs").alias("top"))
     links = counts.withColumn("a", a).join(top, "a").select("pair", "a", F.col("pair").bitwiseAND((1 << 32) - 1).cast("int").alias("b"), "docs", (F.col("docs") == F.col("top")).alias("best"))

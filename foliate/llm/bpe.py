@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from foliate.llm.common import prepare, table, text_or_empty
+from foliate.llm.common import one_thread, prepare, table, text_or_empty
 
 #: A piece of more characters (bytes, for the merges) is encoded by tree concatenation.
 LEAF = 512
@@ -217,6 +217,7 @@ _loaded: dict[str, ByteBpe] = {}
 
 def load(path: str) -> ByteBpe:
     """One encoder for each file and process."""
+    one_thread()
     if path not in _loaded:
         _loaded[path] = ByteBpe(path)
     return _loaded[path]

@@ -6,6 +6,7 @@ import ctypes
 import gc
 import os
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from foliate.sources.shared import materialize, shared_folder
 
-__all__ = ["materialize", "one_thread", "prepare", "release_memory", "releasing", "shared_folder", "table", "text_or_empty"]
+__all__ = ["materialize", "one_thread", "prepare", "release_memory", "releasing", "session_settings", "shared_folder", "table", "text_or_empty"]
 
 #: Most rows of one Arrow batch; texts may be long, so a worker holds few of them at once.
 ARROW_ROWS = 500
@@ -33,6 +34,19 @@ def prepare(spark: SparkSession) -> None:
             spark.conf.set(key, bound)
 
 
+@contextmanager
+def session_settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """The settings for what is planned inside; those of before come back."""
+    before = {key: spark.conf.get(key) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def one_thread() -> None:
     """Tokenizers encode in the task's own thread, unless the user has chosen: a task has one core."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")

@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import heapq
 import json
-import os
 import re
 import zlib
 from bisect import bisect_right, insort
@@ -26,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliate.llm.bpe import CACHE, TwoGenerations, byte_alphabet
-from foliate.llm.common import prepare, releasing, table, text_or_empty
+from foliate.llm.common import one_thread, prepare, releasing, table, text_or_empty
 
 #: Context sizes, longest first; each a power of two.
 TIERS = (2048, 1024, 512, 256)
@@ -148,7 +147,7 @@ _loaded: dict[str, WordIds] = {}
 
 def load(path: str) -> WordIds:
     """One encoder for each file and process. A task has one core: threads of the library would only contend for it."""
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    one_thread()
     if path not in _loaded:
         _loaded[path] = WordIds(path)
     return _loaded[path]
