@@ -1,8 +1,9 @@
 """Running an extractor over chunks: resume, status ladder, adaptive re-splitting, roll-up.
 
-Chunks are rows, so calls run in parallel. A round asks for the pending chunks, appends what is
-finished to a checkpoint table and makes the children of truncated or filtered chunks the next
-round's pending ones. The driver holds the round counter only.
+Chunks are rows, so calls run in parallel. Equal chunks of equal filings are one item of work. A
+round asks for the pending items, appends what is finished to a checkpoint table and makes the
+children of truncated or filtered chunks the next round's pending ones. A journal keeps every
+answer when it arrives. The driver holds the round counter only.
 """
 
 from __future__ import annotations
@@ -16,13 +17,16 @@ from pyspark.sql import functions as F
 
 from foliate.functions.text import json_string, sha256, sum_if_all
 from foliate.operators.chunks import MIN_CHARS, SPLIT_CHARS, adaptive_limit, resplit
+from foliate.sources.journal import Journal
 
 #: What a checkpoint must agree on with a chunk to be its answer.
 IDENTITY = ("chunk_text_sha256", "chunk_id", "character_start", "character_end", "prompt_version", "prompt_sha256", "source_content_sha256", "text_content_sha256")
 EFFORTS = ("none", "minimal", "low", "medium", "high", "xhigh")
 MIN_OUTPUT_TOKENS = 1024
 #: What an extractor returns for one prompt.
-ANSWER = "outcome string, model string, response_id string, input_tokens long, output_tokens long, raw_response string, claims string"
+ANSWER = "outcome string, model string, response_id string, input_tokens long, output_tokens long, raw_response string, claims string, diagnostics string"
+#: Outcomes of a call that came back; raised and not_asked, which say why there is no answer, are ask's own.
+FINISHED = ("completed", "truncated", "content_filtered")
 Extractor = Callable[[str, str], dict]
 
 
@@ -63,17 +67,48 @@ def split_work(chunks: DataFrame, checkpoints: DataFrame, keys: tuple[str, ...])
     return chunks.join(checkpoints, list(keys), "left_semi"), chunks.join(checkpoints, list(keys), "left_anti")
 
 
-def ask(pending: DataFrame, extractor: Extractor, parallelism: int | None = None, prompt: Column | None = None) -> DataFrame:
+def work_items(chunks: DataFrame) -> DataFrame:
+    """One row for each identity: that of its chunk with the least chunk_key."""
+    rest = [c for c in chunks.columns if c not in IDENTITY and c != "chunk_key"]
+    return chunks.groupBy(*IDENTITY).agg(F.min(F.struct("chunk_key", *rest)).alias("_x")).select(*IDENTITY, "_x.*")
+
+
+def ask(pending: DataFrame, extractor: Extractor, parallelism: int | None = None, prompt: Column | None = None, journal: Journal | None = None) -> DataFrame:
     """Call extractor(chunk_id, prompt) for each row and add its answer; parallelism bounds the calls
-    at once; the prompt is the text, unless another expression over pending is given."""
+    at once; the prompt is the text, unless another expression over pending is given.
+
+    An extractor that raises doesn't fail the task: its row's outcome is raised, with the error in
+    diagnostics, and the rows after it in the task aren't asked (not_asked), so all answers so far are
+    kept. A journal keeps each answer when it arrives and gives it to a task that is run again.
+    """
     names = [c.split()[0] for c in ANSWER.split(", ")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pending.schema.fields) + ", " + ANSWER
     if parallelism:
         pending = pending.repartition(parallelism)
 
+    def answer_to(chunk_id: str, text: str) -> dict:
+        key = journal.key(chunk_id, text) if journal else ""
+        kept = journal.get(key) if journal else None
+        if kept is not None:
+            return kept
+        got = extractor(chunk_id, text)
+        if journal and got.get("outcome") in FINISHED:
+            journal.put(key, got)
+        return got
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        broken = None
         for batch in batches:
-            answers = [extractor(i, t) for i, t in zip(batch.column("chunk_id").to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True)]
+            answers = []
+            for i, t in zip(batch.column("chunk_id").to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
+                if broken:
+                    answers.append({"outcome": "not_asked", "diagnostics": broken})
+                    continue
+                try:
+                    answers.append(answer_to(i, t))
+                except Exception as error:  # the answers before it must not be lost
+                    broken = f"{type(error).__name__}: {error}"
+                    answers.append({"outcome": "raised", "diagnostics": broken})
             batch = batch.select(batch.schema.names[:-1])
             extra = []
             for n in names:
@@ -95,7 +130,7 @@ def children_of(parents: DataFrame, split_chars: int = SPLIT_CHARS) -> DataFrame
     return both.withColumn("parent_key", F.col("chunk_key")).withColumn("chunk_key", F.concat_ws("/", "chunk_key", "chunk_id"))
 
 
-def run_rounds(pending: DataFrame, extractor: Extractor, save: Callable[[DataFrame, int], DataFrame], split_chars: int = SPLIT_CHARS, max_rounds: int = 24, prompt: Column | None = None) -> list[DataFrame]:
+def run_rounds(pending: DataFrame, extractor: Extractor, save: Callable[[DataFrame, int], DataFrame], split_chars: int = SPLIT_CHARS, max_rounds: int = 24, prompt: Column | None = None, journal: Journal | None = None) -> list[DataFrame]:
     """Ask in rounds until nothing is pending; each round's saved answers, first to last.
 
     save(df, round) writes a round's rows and returns them as read back. A filtered chunk that
@@ -105,7 +140,7 @@ def run_rounds(pending: DataFrame, extractor: Extractor, save: Callable[[DataFra
     base = ["chunk_key", "chunk_id", "character_start", "heading_context", "text"]
     rounds: list[DataFrame] = []
     for k in range(max_rounds):
-        answered = save(ask(pending, extractor, prompt=prompt), k)
+        answered = save(ask(pending, extractor, prompt=prompt, journal=journal), k)
         open_ = answered.where(F.col("outcome").isin("truncated", "content_filtered"))
         children = save(children_of(open_.select(*base), split_chars), 1000 + k)
         cut = children.select(F.col("parent_key").alias("chunk_key")).distinct().withColumn("was_cut", F.lit(True))

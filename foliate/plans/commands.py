@@ -24,6 +24,7 @@ from foliate.operators.ground import deduplicate, ground
 from foliate.operators.html_blocks import html_blocks
 from foliate.sources import artifacts as A
 from foliate.sources import filings as FI
+from foliate.sources.journal import Journal
 from foliate.sources.shared import materialize
 
 #: Versions in the records (fixed values).
@@ -80,7 +81,9 @@ def extract(
 
     prompt is its version and text; extractor(chunk_id, system prompt, user prompt) answers one
     chunk. Checkpoints under path/checkpoints are answers of chunks with the same identity; only
-    other chunks are asked for.
+    other chunks are asked for, once for all filings with the same bytes. Answers are kept under
+    path/answers as they arrive. Where a chunk has no usable answer its document is rejected; the
+    answers of its other chunks are stored all the same, so that a rerun asks for the rest only.
     """
     version, system = prompt
     hits = F.filter("sections", lambda s: s["section_id"] == section_id)
@@ -95,23 +98,26 @@ def extract(
 
     claims = f"array<{schemas.PROPOSED_CLAIM}>"
     shape = documents.sparkSession.createDataFrame([], ", ".join(f"`{c}` {k}" for c, k in pieces.select(*X.IDENTITY, "checkpoint_id").dtypes) + f", schema_version string, response {schemas.RESPONSE}, output struct<claims: {claims}>")
-    stored = A.read_or_empty(shape, f"{path}/checkpoints")
-    _, misses = X.split_work(pieces, stored, X.IDENTITY)
+    items = X.work_items(pieces)
+    _, misses = X.split_work(items, A.read_once(shape, f"{path}/checkpoints"), X.IDENTITY)
     asked = ["chunk_key", "chunk_id", "character_start", "heading_context", "text", "section_id"]
-    rounds = X.run_rounds(misses.select(*asked), lambda i, user: extractor(i, system, user), lambda df, k: materialize(df, f"extract-round-{k}"), split_chars, prompt=C.user_prompt(F.col("section_id"), F.col("chunk_id"), F.col("heading_context"), F.col("text")))
+    rounds = X.run_rounds(misses.select(*asked), lambda i, user: extractor(i, system, user), lambda df, k: materialize(df, f"extract-round-{k}"), split_chars, prompt=C.user_prompt(F.col("section_id"), F.col("chunk_id"), F.col("heading_context"), F.col("text")), journal=Journal(f"{path}/answers", f"{version}\n{system}"))
     answers = materialize(X.united(rounds, claims), "extract-answers")
-    failed = None
-    for r in rounds:  # an answer that can't be used, anywhere below a chunk, takes its document out
-        lost = r.where(~F.col("outcome").isin("completed", "truncated", "content_filtered")).select(F.split_part("chunk_key", F.lit("/"), F.lit(1)).alias("document_id"), F.concat(F.lit("extraction failed for "), "chunk_id").alias("reason"), F.lit("extract").alias("stage"))
-        failed = lost if failed is None else failed.union(lost)
-    answered = pieces.join(answers.drop("chunk_id"), "chunk_key").join(failed.select("document_id").distinct(), "document_id", "left_anti")
+    unusable = None
+    for r in rounds:  # an answer that can't be used, anywhere below a chunk, takes out the documents that hold the chunk
+        told = F.concat(F.lit("extraction failed for "), "chunk_id", F.coalesce(F.concat(F.lit(": "), F.nullif("diagnostics", F.lit(""))), F.lit("")))
+        lost = r.where(~F.col("outcome").isin("completed", "truncated", "content_filtered")).select(F.substring_index("chunk_key", "/", 2).alias("chunk_key"), told.alias("reason"))
+        unusable = lost if unusable is None else unusable.union(lost)
+    unusable = materialize(items.select(*X.IDENTITY, "chunk_key").join(unusable, "chunk_key"), "extract-unusable")
+    failed = pieces.select("document_id", *X.IDENTITY).join(unusable.select(*X.IDENTITY, "reason"), list(X.IDENTITY)).select("document_id", "reason", F.lit("extract").alias("stage")).distinct()
+    answered = items.join(answers.drop("chunk_id"), "chunk_key").join(unusable.select("chunk_key").distinct(), "chunk_key", "left_anti")
     response = F.struct(
         "chunk_id", (F.col("section_start") + F.col("character_start")).cast("int").alias("chunk_character_start"), (F.col("section_start") + F.col("character_end")).cast("int").alias("chunk_character_end"), "heading_context", "model",
         "response_id", "input_tokens", "output_tokens", "raw_response", F.size("claims").alias("proposed_claim_count"), F.col("status").alias("response_status"), "failure_reason",
     )
     A.write_once(answered.select(*X.IDENTITY, "checkpoint_id", F.lit(CHECKPOINT_VERSION).alias("schema_version"), response.alias("response"), F.struct("claims").alias("output")), f"{path}/checkpoints", ["checkpoint_id"])
 
-    done = pieces.select(*X.IDENTITY, "document_id", "section_id", "parser_version", "section_start", "text").join(A.read_or_empty(shape, f"{path}/checkpoints").select(*X.IDENTITY, "response", "output"), list(X.IDENTITY))
+    done = pieces.select(*X.IDENTITY, "document_id", "section_id", "parser_version", "section_start", "text").join(A.read_once(shape, f"{path}/checkpoints").select(*X.IDENTITY, "response", "output"), list(X.IDENTITY))
     done = done.join(failed.select("document_id").distinct(), "document_id", "left_anti")
     rows = done.join(own.select("document_id", "section_text"), "document_id").select("document_id", "section_start", "section_text", F.col("text").alias("chunk"), F.col("character_start").alias("chunk_ord"), F.posexplode("output.claims").alias("claim_ord", "c"))
     grounded = ground(rows.select("*", "c.*"), F.col("section_text"), F.col("section_start"), F.col("chunk"), F.col("chunk_ord"))

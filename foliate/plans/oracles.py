@@ -254,6 +254,13 @@ ORACLES: dict[str, str] = {
         r AS (SELECT doc, t, CAST(i - 1 AS INT) AS ord, l[i] AS q, CASE WHEN doc % 2 = 0 AND i = 2 THEN left(t, 5) END AS s FROM d, unnest(range(1, 5)) u(i)),
         c AS (SELECT *, row_number() OVER (PARTITION BY doc, s, q ORDER BY ord) AS nth, (length(t) - length(replace(t, s, ''))) // length(s) AS sn, CASE WHEN s IS NULL THEN t ELSE substr(t, strpos(t, s) + length(s)) END AS area FROM r)
         SELECT doc, ord, CASE WHEN nth > 1 THEN 'duplicate_evidence' WHEN s IS NOT NULL AND sn <> 1 THEN 'scope_not_unique' WHEN NOT contains(area, q) THEN 'evidence_outside_scope' END AS problem FROM c""",
+    "archive_batch_status": """
+    WITH once AS (SELECT source, n_chars % 50 AS bucket, sha256(text) AS content_sha256, count(*) AS copies FROM documents GROUP BY ALL),
+    claims AS (SELECT source, bucket, count(*) AS n FROM once GROUP BY ALL),
+    old AS (SELECT source, n_chars % 50 AS bucket, min(sha256(text)) AS h, min(doc_id) % 3 <> 0 AS sound, 1 AS there FROM documents WHERE doc_id % 5 = 0 GROUP BY ALL)
+    SELECT source, bucket, content_sha256, copies,
+      CASE WHEN there IS NULL AND n > 1 THEN 'conflict' WHEN there IS NULL THEN 'stored' WHEN NOT sound THEN 'corrupt' WHEN h = content_sha256 THEN 'unchanged' ELSE 'conflict' END AS status
+    FROM once JOIN claims USING (source, bucket) LEFT JOIN old USING (source, bucket)""",
     "archive_status": "SELECT page_id, CASE WHEN page_id % 2 <> 0 THEN 'stored' WHEN page_id % 10 = 0 THEN 'corrupt' WHEN page_id % 6 = 0 THEN 'conflict' ELSE 'unchanged' END AS status FROM pages",
     "archive_integrity": """SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'missing_metadata' WHEN page_id % 5 = 0 THEN 'hash_mismatch' ELSE 'sound' END AS status FROM pages
         UNION ALL SELECT page_id + 1000000, 'missing_file' FROM pages WHERE page_id % 7 = 0""",

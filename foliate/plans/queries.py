@@ -375,6 +375,14 @@ def archive_status(spark, sf_dir):
     return A.write_once_status(new, old, ["page_id"], check=F.col("sound")).select("page_id", "status")
 
 
+def archive_batch_status(spark, sf_dir):
+    """Documents as one batch of filings whose key is a source and a length modulo 50, so that many rows
+    share one; for a fifth of the documents the least text of each key is archived, in part with a wrong hash."""
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "source", (F.col("n_chars") % 50).alias("bucket"), T.sha256(F.col("text")).alias("content_sha256"))
+    old = docs.where("doc_id % 5 = 0").groupBy("source", "bucket").agg(F.min("content_sha256").alias("content_sha256"), (F.min("doc_id") % 3 != 0).alias("sound"))
+    return A.batch_status(docs.drop("doc_id"), old, ["source", "bucket"], check=F.col("sound")).select("source", "bucket", "content_sha256", "copies", "status")
+
+
 def archive_integrity(spark, sf_dir):
     pages = _t(spark, sf_dir, "pages").select("page_id", F.col("html").cast("binary").alias("content"))
     said = pages.where("page_id % 3 > 0").select("page_id", F.when(F.col("page_id") % 5 == 0, "0").otherwise(T.sha256(F.col("content"))).alias("content_sha256"))
@@ -446,6 +454,6 @@ def split_rounds(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     ground_quotes, ground_short_quotes, ground_scoped_quotes, blocks_dedup, blocks_offsets, document_texts, part_fill, sections, section_unique_check, section_first, paragraphs, headings, heading_context, chunks,
     chunks_resplit, content_hashes, checkpoint_hits, checkpoint_misses, usage_null_sum, single_model_check, claim_dedup, token_jaccard_pairs, span_overlap, candidate_scores, greedy_match, evaluation_report, percent_format,
-    review_template, review_decisions, review_summary, review_violations, decision_rules, provenance_mismatch, gold_violations, archive_status, archive_integrity, document_upsert_status, latest_by_form, submissions_decode,
+    review_template, review_decisions, review_summary, review_violations, decision_rules, provenance_mismatch, gold_violations, archive_status, archive_batch_status, archive_integrity, document_upsert_status, latest_by_form, submissions_decode,
     artifact_names, collapsed_text, occurrences, split_rounds,
 )} | {"html_blocks": blocks_of_pages, "page_block_offsets": page_sections}

@@ -1,6 +1,7 @@
 """Write-once and regenerated tables, with a status for each row.
 
-Plain Parquet has no transactions: one writer at a time is assumed.
+Write-once tables are ledgers: writers may run at the same time, and none stores a key that another
+has stored. Regenerated tables are plain Parquet, where one writer at a time is assumed.
 """
 
 from __future__ import annotations
@@ -9,8 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliate.functions.text import sha256
+from foliate.sources import ledger
 from foliate.sources.shared import materialize
 
+#: Attempts of a writer whose versions others take.
+ATTEMPTS = 20
+
 
 def content_hash(df: DataFrame, keys: list[str]) -> Column:
     """Hash of all columns but the keys, nulls included."""
@@ -28,6 +33,22 @@ def write_once_status(incoming: DataFrame, existing: DataFrame, keys: list[str],
     return incoming.join(old, keys, "left").withColumn("status", status).drop("_old", "_sound", "_there")
 
 
+def batch_status(incoming: DataFrame, existing: DataFrame, keys: list[str], digest: str = "content_sha256", check: Column | None = None) -> DataFrame:
+    """write_once_status for a batch that may hold a key several times: one row for each key and digest,
+    with its number of copies.
+
+    Equal rows are one row. Of a new key with several digests none can be stored: all are conflicts.
+    Copies are dropped before rows of a key meet, so a key with very many equal rows is no hot group.
+    """
+    first = [F.first(c, ignorenulls=False).alias(c) for c in incoming.columns if c not in (*keys, digest)]
+    once = incoming.groupBy(*keys, digest).agg(F.count("*").alias("copies"), *first)
+    claims = once.groupBy(*keys).agg(F.count("*").alias("_claims"))
+    same = [once[k].eqNullSafe(claims[k]) for k in keys]
+    both = once.join(claims, same).select(once["*"], "_claims")
+    judged = write_once_status(both, existing, keys, digest, check)
+    return judged.withColumn("status", F.when((F.col("status") == "stored") & (F.col("_claims") > 1), "conflict").otherwise(F.col("status"))).drop("_claims")
+
+
 def upsert_status(incoming: DataFrame, existing: DataFrame, keys: list[str], digest: str = "text_content_sha256") -> DataFrame:
     """stored, unchanged or regenerated."""
     old = existing.select(*keys, F.col(digest).alias("_old"), F.lit(True).alias("_there"))
@@ -44,22 +65,37 @@ def read_or_empty(df: DataFrame, path: str) -> DataFrame:
         return df.sparkSession.createDataFrame([], df.schema)
 
 
-def write_once(df: DataFrame, path: str, keys: list[str], partition_by: list[str] | None = None, digest: Column | None = None, check: Column | None = None) -> DataFrame:
-    """Append rows with new keys; same rows are left alone, other rows under a known key are an error,
-    as are stored rows for which check isn't true.
+def read_once(df: DataFrame, path: str, commits: list[str] | None = None) -> DataFrame:
+    """The committed rows of a write-once table with the columns of df; none where there is no table."""
+    found = ledger.read(df.sparkSession, path, df.schema, commits)
+    return df.sparkSession.createDataFrame([], df.schema) if found is None else found.select(*df.columns)
 
-    Rows are the same where digest is (default: all columns but the keys). Returns keys and status.
-    Judged rows are written out first, so a lost executor never reads the table that is appended to.
-    Atomic for each call by Spark's commit protocol.
+
+def write_once(df: DataFrame, path: str, keys: list[str], partition_by: list[str] | None = None, digest: Column | None = None, check: Column | None = None) -> DataFrame:
+    """Append rows with new keys in one commit; same rows are left alone, other rows under a known key
+    are an error, as are stored rows for which check isn't true, and keys that the batch itself holds
+    with different contents.
+
+    Rows are the same where digest is (default: all columns but the keys). Returns keys and status, a
+    row for each key. Judged rows are written out first, so a lost executor never reads the table
+    that is appended to. A writer that another one overtakes judges its rows again, against what the
+    other has committed: equal rows are then unchanged, others an error.
     """
+    spark = df.sparkSession
     digest = content_hash(df, keys) if digest is None else digest
-    old = read_or_empty(df, path).withColumn("_h", digest).withColumn("_ok", F.lit(True) if check is None else check)
-    judged = materialize(write_once_status(df.withColumn("_h", digest), old, keys, "_h", F.col("_ok")), "write-once")
-    clash = judged.where("status IN ('conflict', 'corrupt')").select(*keys, "status").take(1)
-    if clash:
-        raise ValueError(f"stored with other content: {clash[0].asDict()}")
-    judged.where("status = 'stored'").select(*df.columns).write.mode("append").partitionBy(*(partition_by or [])).parquet(path)
-    return judged.select(*keys, "status")
+    incoming = df.withColumn("_h", digest)
+    for _ in range(ATTEMPTS):
+        base, commits = ledger.snapshot(spark, path)
+        old = read_once(df, path, commits).withColumn("_h", digest).withColumn("_ok", F.lit(True) if check is None else check)
+        judged = materialize(batch_status(incoming, old, keys, "_h", F.col("_ok")), "write-once")
+        clash = judged.where("status IN ('conflict', 'corrupt')").select(*keys, "status").take(1)
+        if clash:
+            raise ValueError(f"stored with other content: {clash[0].asDict()}")
+        new = judged.where("status = 'stored'").select(*df.columns)
+        if new.isEmpty() or ledger.commit(spark, path, base, commits, ledger.stage(new, path, partition_by)):
+            return judged.select(*keys, "status")
+        incoming = judged.select(*df.columns, "_h")  # written out: df isn't computed again
+    raise RuntimeError(f"other writers took all of {ATTEMPTS} versions of {path}")
 
 
 def regenerate(df: DataFrame, path: str, partition: str) -> DataFrame:
