@@ -9,6 +9,8 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from foliate.functions.encoding import decode_html
+
 #: Elements that give blocks, and those whose subtrees go (fixed values).
 BLOCK_TAGS = ("div", "p", "li", "h1", "h2", "h3", "h4", "h5", "h6")
 REMOVED_TAGS = ("script", "style", "noscript", "svg", "table", "ix:header", "ix:hidden", "ix:references", "ix:resources")
@@ -38,7 +40,7 @@ class _Tree(HTMLParser):
             self._close("p", stop=("table", "td", "th"))
         if tag == "li":
             self._close("li", stop=("ul", "ol"))
-        style = "".join((dict(attrs).get("style") or "").split()).lower()
+        style = (dict(attrs).get("style") or "").replace(" ", "").lower()
         node = _Node(tag, tag in REMOVED_TAGS or bool(_HIDDEN.search(style)))
         self.open[-1].parts.append(node)
         if tag not in VOID_TAGS:
@@ -94,14 +96,33 @@ def block_texts(page: str) -> list[str]:
     return out
 
 
+def decoded(pages: DataFrame, key: str = "page_id", content: str = "content") -> DataFrame:
+    """key, html and encoding of pages in bytes; null content has neither."""
+    kind = pages.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(None, None) if x is None else decode_html(x) for x in batch.column(1).to_pylist()]
+            columns = [pa.array([x[k] for x in found], pa.string()) for k in range(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=[key, "html", "encoding"])
+
+    return pages.select(key, content).mapInArrow(run, f"{key} {kind}, html string, encoding string")
+
+
 def html_blocks(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """key, idx, text: the raw blocks of each page, empty ones included; a null page has none."""
+    """key, idx, text: the raw blocks of each page, empty ones included; a null page has none.
+
+    html may hold text or bytes; bytes are decoded first. A block opens the body where a page has
+    none, and what stands behind it belongs to it, as HTML parsers have it: no block is outside.
+    """
     kind = pages.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, places, texts = [], [], []
             for k, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if isinstance(page, bytes):
+                    page = decode_html(page)[0]
                 for i, t in enumerate(block_texts(page or "")):
                     keys.append(k)
                     places.append(i)

@@ -57,7 +57,7 @@ def ingest(submissions: DataFrame, fetch: Callable[[DataFrame], DataFrame], path
 def parse(archive: DataFrame, path: str, parser_version: str = PARSER_VERSION) -> tuple[DataFrame, DataFrame]:
     """Parsed documents by document_id: status, section_count and character_count, and rejected filings."""
     filings = archive.select(F.concat_ws("-", "cik", "accession_number").alias("document_id"), "cik", "accession_number", "content", "content_sha256")
-    blocks = materialize(S.narrative_blocks(html_blocks(filings.select("document_id", F.col("content").cast("string").alias("html")), "document_id"), "document_id"), "blocks")
+    blocks = materialize(S.narrative_blocks(html_blocks(filings.select("document_id", F.col("content").cast("binary").alias("html")), "document_id"), "document_id"), "blocks")
     found = S.sections(blocks, "document_id", "block")
     fields = ("section_id", "part", "item_number", "heading", "order", "character_start", "character_end", "text")
     packed = found.groupBy("document_id").agg(F.array_sort(F.collect_list(F.struct(F.col("order").alias("o"), F.struct(*fields).alias("s")))).alias("x"))

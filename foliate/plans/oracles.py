@@ -254,6 +254,12 @@ ORACLES: dict[str, str] = {
         r AS (SELECT doc, t, CAST(i - 1 AS INT) AS ord, l[i] AS q, CASE WHEN doc % 2 = 0 AND i = 2 THEN left(t, 5) END AS s FROM d, unnest(range(1, 5)) u(i)),
         c AS (SELECT *, row_number() OVER (PARTITION BY doc, s, q ORDER BY ord) AS nth, (length(t) - length(replace(t, s, ''))) // length(s) AS sn, CASE WHEN s IS NULL THEN t ELSE substr(t, strpos(t, s) + length(s)) END AS area FROM r)
         SELECT doc, ord, CASE WHEN nth > 1 THEN 'duplicate_evidence' WHEN s IS NOT NULL AND sn <> 1 THEN 'scope_not_unique' WHEN NOT contains(area, q) THEN 'evidence_outside_scope' END AS problem FROM c""",
+    "page_decoding": """
+    WITH t AS (SELECT doc_id, coalesce(text, '') AS text, doc_id % 4 AS kind, regexp_full_match(coalesce(text, ''), '(?s)[\\x{00}-\\x{FF}]*') AS fits FROM documents),
+    h AS (SELECT doc_id, CASE WHEN kind = 0 OR (kind > 1 AND NOT fits) THEN 'utf-8' WHEN kind = 1 THEN 'utf-16-le' ELSE 'cp1252' END AS encoding,
+      CASE WHEN kind = 0 THEN '<p>é' || text WHEN kind = 1 THEN '<p>' || text WHEN NOT fits THEN '<?xml version="1.0" encoding="utf-8"?><p>é' || text
+        WHEN kind = 2 THEN '<!-- <meta charset=utf-8> --><meta http-equiv=Content-Type content=''text/html; charset=ISO-8859-1''><p>é' || text ELSE '<p>é ' || text END AS html FROM t)
+    SELECT doc_id, encoding, sha256(html) AS html_sha256, CAST(length(html) AS INT) AS n_chars FROM h""",
     "archive_batch_status": """
     WITH once AS (SELECT source, n_chars % 50 AS bucket, sha256(text) AS content_sha256, count(*) AS copies FROM documents GROUP BY ALL),
     claims AS (SELECT source, bucket, count(*) AS n FROM once GROUP BY ALL),

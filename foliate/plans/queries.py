@@ -18,7 +18,7 @@ from foliate.operators import extract as X
 from foliate.operators import review as R
 from foliate.operators import sections as S
 from foliate.operators.ground import deduplicate, ground
-from foliate.operators.html_blocks import html_blocks
+from foliate.operators.html_blocks import decoded, html_blocks
 from foliate.operators.similar import similar
 from foliate.sources import artifacts as A
 from foliate.sources import filings as FI
@@ -437,6 +437,21 @@ def blocks_of_pages(spark, sf_dir):
     return html_blocks(_t(spark, sf_dir, "pages").select("page_id", "html"))
 
 
+def page_decoding(spark, sf_dir):
+    """Documents as bytes of pages, read again: by doc_id UTF-8, UTF-16 with a byte-order mark, Latin-1 with
+    a meta element, and Latin-1 without any; texts that Latin-1 can't hold are UTF-8 with an XML declaration."""
+    docs = _t(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    fits, kind, b = F.regexp_like("text", F.lit(r"\A[\x00-\xff]*\z")), F.col("doc_id") % 4, lambda x: F.lit(x).cast("binary")
+    content = (
+        F.when(kind == 0, F.concat(b("<p>é"), F.encode("text", "UTF-8"))).when(kind == 1, F.concat(F.unhex(F.lit("FFFE")), F.encode(F.concat(F.lit("<p>"), "text"), "UTF-16LE")))
+        .when(~fits, F.concat(b('<?xml version="1.0" encoding="utf-8"?><p>é'), F.encode("text", "UTF-8")))
+        .when(kind == 2, F.concat(b("<!-- <meta charset=utf-8> --><meta http-equiv=Content-Type content='text/html; charset=ISO-8859-1'><p>"), F.encode(F.concat(F.lit("é"), "text"), "ISO-8859-1")))
+        .otherwise(F.concat(b("<p>"), F.encode(F.concat(F.lit("é "), "text"), "ISO-8859-1")))
+    )
+    pages = decoded(docs.select("doc_id", content.alias("content")), "doc_id")
+    return pages.select("doc_id", "encoding", T.sha256(F.col("html")).alias("html_sha256"), F.length("html").alias("n_chars"))
+
+
 def page_sections(spark, sf_dir):
     blocks = html_blocks(_t(spark, sf_dir, "pages").select("page_id", "html"))
     return S.with_offsets(S.narrative_blocks(blocks, "page_id"), "page_id", "block").select("page_id", "block", "start", "end")
@@ -455,5 +470,5 @@ QUERIES = {f.__name__: f for f in (
     ground_quotes, ground_short_quotes, ground_scoped_quotes, blocks_dedup, blocks_offsets, document_texts, part_fill, sections, section_unique_check, section_first, paragraphs, headings, heading_context, chunks,
     chunks_resplit, content_hashes, checkpoint_hits, checkpoint_misses, usage_null_sum, single_model_check, claim_dedup, token_jaccard_pairs, span_overlap, candidate_scores, greedy_match, evaluation_report, percent_format,
     review_template, review_decisions, review_summary, review_violations, decision_rules, provenance_mismatch, gold_violations, archive_status, archive_batch_status, archive_integrity, document_upsert_status, latest_by_form, submissions_decode,
-    artifact_names, collapsed_text, occurrences, split_rounds,
+    artifact_names, collapsed_text, occurrences, split_rounds, page_decoding,
 )} | {"html_blocks": blocks_of_pages, "page_block_offsets": page_sections}
