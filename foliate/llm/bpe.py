@@ -21,8 +21,9 @@ from pyspark.sql import DataFrame
 
 from foliate.llm.common import one_thread, prepare, table, text_or_empty
 
-#: A piece of more characters (bytes, for the merges) is encoded by tree concatenation.
-LEAF = 512
+#: A piece of more characters (bytes, for the merges) is encoded by tree concatenation; long words of
+#: ordinary text are.
+LEAF = 16
 #: Ids on either side of a join that are encoded again at first.
 WINDOW = 8
 #: Pieces in each of the two generations of the cache.

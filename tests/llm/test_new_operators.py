@@ -81,6 +81,20 @@ def test_alignment_of_an_empty_table(spark):
     assert out.count() == 0 and links.count() == 0
 
 
+def test_long_words_of_the_table_are_encoded_by_the_tree(spark, sf_dir, monkeypatch):
+    """The production leaf joins halves on the registered table, and the ids are the library's."""
+    from tokenizers import Tokenizer
+
+    from foliate.llm import bpe
+
+    encoder, library, joins = bpe.ByteBpe(FILES[0]), Tokenizer.from_file(FILES[0]), []
+    plain = encoder.join
+    monkeypatch.setattr(encoder, "join", lambda a, b: joins.append(1) or plain(a, b))
+    texts = [r.text or "" for r in spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/documents.parquet").select("text").collect()]
+    assert [encoder.encode(t) for t in texts] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert len(joins) > 100
+
+
 def test_stretches_join_to_the_text():
     r = random.Random(5)
     for _ in range(300):
