@@ -17,6 +17,7 @@ from foliate.operators import evaluate as E
 from foliate.operators import extract as X
 from foliate.operators import review as R
 from foliate.operators import sections as S
+from foliate.operators.containment import containing
 from foliate.operators.ground import deduplicate, ground
 from foliate.operators.html_blocks import decoded, html_blocks
 from foliate.operators.similar import similar
@@ -49,33 +50,10 @@ def _sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.sections(S.narrative_blocks(_filings(spark, sf_dir)), order="block")
 
 
-#: Most bytes of quotes that are broadcast at once.
-QUOTE_BYTES = 8 << 20
-
-
 def _quotes(spark: SparkSession, sf_dir: str, short: bool = False) -> DataFrame:
-    """Benchmark passages found in documents. The passages are a fixed, small set: their table is
-    broadcast below a checked size. Beyond it each is looked up by its longest inner word, which
-    is a whole word of the text too; those without one are broadcast in blocks of that size."""
-    quotes = _t(spark, sf_dir, "benchmark").select("item_id", (F.left(F.col("text"), F.lit(12)) if short else F.col("text")).alias("evidence_quote")).where("evidence_quote <> ''")
-    docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
-    size = F.coalesce(F.sum(F.octet_length("evidence_quote")), F.lit(0))
-    if quotes.agg(size).first()[0] <= QUOTE_BYTES:
-        return docs.join(F.broadcast(quotes), F.contains("text", "evidence_quote"))
-    words = F.split("evidence_quote", r"\s+")
-    inner = F.slice(words, F.lit(2), F.greatest(F.size(words) - 2, F.lit(0)))
-    keyed = quotes.withColumn("w", F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"])
-    # Repeated quotes are counted here and repeated at the end, as repeated documents are found by one doc_id.
-    inside = keyed.where("w IS NOT NULL").groupBy("item_id", "evidence_quote", "w").agg(F.count("*").cast("int").alias("times"))
-    pairs = docs.select("doc_id", F.explode(F.array_distinct(F.split("text", r"\s+"))).alias("w")).join(inside, "w").select(F.col("doc_id").alias("found"), "item_id", "evidence_quote", "times").distinct()
-    out = docs.join(pairs, docs["doc_id"].eqNullSafe(pairs["found"])).where(F.contains("text", "evidence_quote"))
-    out = out.withColumn("_", F.explode(F.sequence(F.lit(1), F.col("times")))).select("doc_id", "text", "item_id", "evidence_quote")
-    rest = keyed.where("w IS NULL").drop("w")
-    blocks = -(-rest.agg(size).first()[0] // QUOTE_BYTES)
-    for k in range(blocks):
-        block = rest.where(F.pmod(F.xxhash64("evidence_quote", "item_id"), F.lit(blocks)) == k)
-        out = out.union(docs.join(F.broadcast(block), F.contains("text", "evidence_quote")))
-    return out
+    """Benchmark passages (short: their first 12 characters) in the documents that hold them."""
+    quotes = _t(spark, sf_dir, "benchmark").select("item_id", (F.left(F.col("text"), F.lit(12)) if short else F.col("text")).alias("evidence_quote"))
+    return containing(_t(spark, sf_dir, "documents").select("doc_id", "text"), quotes)
 
 
 def _grounded(rows: DataFrame, scope=None) -> DataFrame:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliate.operators import chunks as C
+from foliate.operators import containment
 from foliate.operators import evaluate as E
 from foliate.operators import extract as X
 from foliate.operators import review as R
@@ -217,10 +218,26 @@ def test_quotes_are_found_the_same_way_at_any_size(spark, tmp_path, monkeypatch,
     spark.createDataFrame([(k if k != 6 else 3, q) for k, q in enumerate(quotes)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     found = lambda: sorted(map(repr, queries._quotes(spark, str(tmp_path), short).collect()))
     small = found()
-    monkeypatch.setattr(queries, "QUOTE_BYTES", 10)
+    want = [(i, t, k if k != 6 else 3, q[:12] if short else q) for i, t in docs if t is not None for k, q in enumerate(quotes) if (q[:12] if short else q) in t]
+    assert sorted((r.doc_id or -1, r.item_id, r.evidence_quote) for r in queries._quotes(spark, str(tmp_path), short).collect()) == sorted((i or -1, k, q) for i, _, k, q in want)
+    monkeypatch.setattr(containment, "KEYS", 2)
     assert found() == small and len(small) > 20
 
 
+def test_quotes_meet_texts_by_fingerprints(spark):
+    """No loop over texts and quotes: every quote of a random text is found, by an equi-join."""
+    r = random.Random(6)
+    texts = ["".join(r.choice("ab cé𝄞") for _ in range(r.randint(0, 120))) for _ in range(60)]
+    quotes = sorted({t[k : k + n] for t in texts for k in (0, 7, max(0, len(t) - 5)) for n in (1, 2, 3, 4, 5, 11, 12, 13, 40)} - {""})
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(99, None)], "doc_id int, text string")
+    found = containment.containing(docs, spark.createDataFrame([(k, q) for k, q in enumerate(quotes)] + [(-1, ""), (-2, None)], "item_id int, evidence_quote string"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    got = [(x.doc_id, x.item_id) for x in found.collect()]
+    want = {(i, k) for i, t in enumerate(texts) for k, q in enumerate(quotes) if q in t}
+    assert len(got) == len(want) and set(got) == want
+
+
 def test_similar_sets_match_brute_force(spark, monkeypatch):
     """Only pairs that bitmaps leave meet with their words; blocks are cut by rows and by words."""
     r = random.Random(8)
