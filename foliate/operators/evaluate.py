@@ -7,9 +7,11 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from foliate.functions.text import f1, find, ratio, tokens
+from foliate.sources.shared import materialize
 
 OVERLAP, STATEMENT, FIELD = 0.8, 0.72, 0.6
 KEYS = ("source_content_sha256", "text_content_sha256", "section_id")
@@ -119,6 +121,24 @@ def matched(predicted: list[_Claim], expected: list[_Claim]) -> Iterator[tuple]:
 
 #: Cases that a worker holds as Python objects at once.
 _CASES = 100
+#: What is known of a pair, with its types.
+_PAIR = (("p_index", "int", pa.int32()), ("e_index", "int", pa.int32()), ("method", "string", pa.string()), *((c, "double", pa.float64()) for c in ("score", "evidence_overlap", "statement_similarity", "field_similarity")))
+_SIDES = ("predicted", "expected")
+
+
+def _slim(name: str, index: str) -> Column:
+    """Of the claims of one side what matching reads: index, quote, scope and the tokens of each field."""
+    words = [("statement",), ("metric",), ("value",), ("period",)]
+    return F.transform(name, lambda c: F.struct(c[index].cast("int").alias("index"), c["evidence_quote"].alias("quote"), c["scope_quote"].alias("scope"), *[F.array_join(tokens(c[w]), " ").alias(w) for (w,) in words]))
+
+
+def _cases(part: pa.RecordBatch, names: tuple[str, str]) -> Iterator[tuple[list[_Claim], list[_Claim]]]:
+    texts, sides = part.column("section_text").to_pylist(), []
+    for name in names:
+        column = part.column(name)
+        flat = zip(*[x.to_pylist() for x in column.flatten().flatten()], strict=True)
+        sides.append([[_Claim(text, *next(flat)) for _ in range(n or 0)] for text, n in zip(texts, column.value_lengths().to_pylist(), strict=True)])
+    yield from zip(*sides, strict=True)
 
 
 def candidates_of(cases: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
@@ -129,34 +149,64 @@ def candidates_of(cases: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
     shuffled or written. Indexes are unique in a case. A claim whose evidence is absent overlaps
     nothing; located() names it.
     """
-    words = ("statement", "metric", "value", "period")
-
-    def side(name: str, index: str) -> Column:
-        return F.transform(name, lambda c: F.struct(
-            c[index].cast("int").alias("index"), c["evidence_quote"].alias("quote"), c["scope_quote"].alias("scope"),
-            *[F.array_join(tokens(c[w]), " ").alias(w) for w in words],
-        )).alias(name)
-
-    names = ("p_index", "e_index", "method", "score", "evidence_overlap", "statement_similarity", "field_similarity")
-    types = (pa.int32(), pa.int32(), pa.string(), *[pa.float64()] * 4)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, _CASES):
                 part = batch.slice(at, _CASES)
-                texts, sides = part.column("section_text").to_pylist(), []
-                for name in ("predicted", "expected"):
-                    column = part.column(name)
-                    flat = zip(*[x.to_pylist() for x in column.flatten().flatten()], strict=True)
-                    sides.append([[_Claim(text, *next(flat)) for _ in range(n or 0)] for text, n in zip(texts, column.value_lengths().to_pylist(), strict=True)])
-                found = [(k, *x) for k, (p, e) in enumerate(zip(*sides, strict=True)) for x in matched(p, e)]
-                row, *rest = zip(*found, strict=True) if found else [()] * 8
+                found = [(k, *x) for k, (p, e) in enumerate(_cases(part, _SIDES)) for x in matched(p, e)]
+                row, *rest = zip(*found, strict=True) if found else [()] * (1 + len(_PAIR))
                 own = [part.column(c).take(pa.array(row, pa.int64())) for c in keys]
-                yield pa.RecordBatch.from_arrays([*own, *(pa.array(c, t) for c, t in zip(rest, types, strict=True))], names=[*keys, *names])
+                yield pa.RecordBatch.from_arrays([*own, *(pa.array(c, t) for c, (_, _, t) in zip(rest, _PAIR, strict=True))], names=[*keys, *[n for n, *_ in _PAIR]])
 
     fields = ", ".join(f"`{c}` {cases.schema[c].dataType.simpleString()}" for c in keys)
-    slim = cases.select(*keys, "section_text", side("predicted", "p_index"), side("expected", "e_index"))
-    return slim.mapInArrow(run, f"{fields}, p_index int, e_index int, method string, score double, evidence_overlap double, statement_similarity double, field_similarity double")
+    slim = cases.select(*keys, "section_text", _slim("predicted", "p_index").alias("predicted"), _slim("expected", "e_index").alias("expected"))
+    return slim.mapInArrow(run, f"{fields}, " + ", ".join(f"{n} {k}" for n, k, _ in _PAIR))
+
+
+def fold(pairs: list[tuple]) -> list[tuple]:
+    """One-to-one matches of one case: pairs (p_index, e_index, method, score, ...), best score first, ties to the smaller indexes."""
+    used_p, used_e, out = set(), set(), []
+    for x in sorted(pairs, key=lambda x: (-x[3], x[0], x[1])):
+        if x[0] not in used_p and x[1] not in used_e:
+            used_p.add(x[0])
+            used_e.add(x[1])
+            out.append(x)
+    return out
+
+
+def match_cases(cases: DataFrame, digits: int | None = None) -> DataFrame:
+    """cases with matches, an array of their one-to-one matches: candidates_of and greedy_match in the case's own row.
+
+    Of predicted, only claims whose evidence_status is verified are matched. A match also has p_at
+    and e_at, its claims' places in predicted and expected. digits: decimals that scores are rounded
+    to before they are compared.
+    """
+    rest = [c for c in cases.columns if c != "section_text"]
+    struct = pa.struct([(n, t) for n, _, t in _PAIR] + [("p_at", pa.int32()), ("e_at", pa.int32())])
+    names = [n for n, *_ in _PAIR]
+
+    def places(column: pa.ListArray, index: str) -> Iterator[dict[int, int]]:
+        flat = iter(column.flatten().field(index).to_pylist())
+        for n in column.value_lengths().to_pylist():
+            yield {next(flat): k for k in range(n or 0)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, _CASES):
+                part = batch.slice(at, _CASES)
+                rows = []
+                for (p, e), p_at, e_at in zip(_cases(part, ("_p", "_e")), places(part.column("predicted"), "p_index"), places(part.column("expected"), "e_index"), strict=True):
+                    pairs = matched(p, e)
+                    if digits is not None:
+                        pairs = ((*x[:3], round(x[3], digits), *x[4:]) for x in pairs)
+                    rows.append([dict(zip(names, x, strict=True)) | {"p_at": p_at[x[0]], "e_at": e_at[x[1]]} for x in fold(list(pairs))])
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in rest], pa.array(rows, pa.list_(struct))], names=[*rest, "matches"])
+
+    fields = ", ".join(f"`{c}` {cases.schema[c].dataType.simpleString()}" for c in rest)
+    verified = cases.withColumn("_v", F.filter("predicted", lambda c: c["evidence_status"] == "verified"))
+    made = verified.select(*rest, "section_text", _slim("_v", "p_index").alias("_p"), _slim("expected", "e_index").alias("_e"))
+    return made.mapInArrow(run, f"{fields}, matches array<struct<" + ", ".join(f"{n}: {k}" for n, k, _ in _PAIR) + ", p_at: int, e_at: int>>")
 
 
 def candidates(predicted: DataFrame, expected: DataFrame, cases: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
@@ -171,23 +221,61 @@ def candidates(predicted: DataFrame, expected: DataFrame, cases: DataFrame, keys
     return candidates_of(packed.join(cases.select(*keys, "section_text"), list(keys)), keys)
 
 
+#: Rounds of dominant pairs before what is left is folded case by case.
+ROUNDS = 8
+
+
 def greedy_match(found: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    """One-to-one matches, best score first, ties to the smaller indexes; one fold for each case."""
-    details = ("method", "score", "evidence_overlap", "statement_similarity", "field_similarity")
-    row = F.struct((-F.col("score")).alias("less"), "p_index", "e_index", *details)
-    grouped = found.groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias("rows"))
-    none = F.array().cast("array<int>")
-    zero = F.struct(F.lit(0).alias("at"), none.alias("p"), none.alias("e"), none.alias("out"))
+    """One-to-one matches, best score first, ties to the smaller indexes.
+
+    A pair that is the best one of both its claims is in the result, whatever the others are; so all
+    such pairs leave at once, with all others of their claims, in rounds over the claims' pairs. No
+    case meets in one task: a round parts rows by claim. Long chains of ever worse pairs, which give
+    a pair a round, are left after ROUNDS rounds and folded in their case's row.
+    """
+    names = [n for n, *_ in _PAIR]
+    left, done = found.select(*keys, *names), None
+    order = (F.desc("score"), F.asc("p_index"), F.asc("e_index"))
+    for k in range(ROUNDS):
+        of_p, of_e = W.partitionBy(*keys, "p_index"), W.partitionBy(*keys, "e_index")
+        best = left.withColumn("_p", F.row_number().over(of_p.orderBy(*order)) == 1).withColumn("_m", F.col("_p") & (F.row_number().over(of_e.orderBy(*order)) == 1))
+        gone = best.withColumn("_e", F.max("_m").over(of_e)).withColumn("_gone", F.col("_e") | F.max("_m").over(of_p))
+        gone = materialize(gone.select(*left.columns, "_m", "_gone"), f"greedy-{k}")
+        out = gone.where("_m").select(*left.columns)
+        done = out if done is None else done.union(out)
+        left = gone.where("NOT _gone").select(*left.columns)
+        if left.isEmpty():
+            return done
+    rows = left.groupBy(*keys).agg(F.collect_list(F.struct(*names)).alias("rows"))
+    struct = pa.struct([(n, t) for n, _, t in _PAIR])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            folded = [[dict(zip(names, x, strict=True)) for x in fold([tuple(r.values()) for r in rows])] for rows in batch.column("rows").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keys], pa.array(folded, pa.list_(struct))], names=[*keys, "rows"])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "rows")
+    rest = rows.select(*keys, "rows").mapInArrow(run, f"{fields}, rows array<struct<" + ", ".join(f"{n}: {k}" for n, k, _ in _PAIR) + ">>")
+    return done.union(rest.select(*keys, F.explode("rows").alias("m")).select(*keys, "m.*"))
+
 
-    def step(s: Column, c: Column) -> Column:
-        free = ~F.array_contains(s["p"], c["p_index"]) & ~F.array_contains(s["e"], c["e_index"])
-        more = lambda name, x: F.when(free, F.concat(s[name], F.array(x))).otherwise(s[name]).alias(name)
-        return F.struct((s["at"] + 1).alias("at"), more("p", c["p_index"].cast("int")), more("e", c["e_index"].cast("int")), more("out", s["at"]))
+def case_report(cases: DataFrame, fields: tuple[str, ...], rest: tuple[str, ...] = ()) -> DataFrame:
+    """report for cases in rows, each with all its claims: the columns rest, counts and metrics, one row a case.
 
-    slim = F.transform("rows", lambda r: F.struct(r["p_index"].alias("p_index"), r["e_index"].alias("e_index")))
-    taken = F.transform(F.aggregate(slim, zero, step)["out"], lambda k: F.get("rows", k))
-    matched = grouped.select(*keys, F.explode(taken).alias("m"))
-    return matched.select(*keys, *[f"m.{c}" for c in ("p_index", "e_index", *details)])
+    cases: predicted (all claims, with p_index and evidence_status), expected (with e_index) and
+    matches, as match_cases gives them; fields are those that equal claims agree on.
+    """
+    n_of = lambda c, test=None: F.coalesce(F.size(F.filter(c, test) if test else F.col(c)), F.lit(0))
+    pairs = F.transform("matches", lambda m: F.struct(m["method"].alias("method"), F.get("predicted", m["p_at"]).alias("p"), F.get("expected", m["e_at"]).alias("e")))
+    own = lambda x: F.struct(*[x[f].alias(f) for f in fields])
+    by_method = lambda name: lambda m: m["method"] == name
+    told = F.transform(pairs, lambda m: F.struct(m["method"].alias("method"), (m["p"]["claim_type"] == m["e"]["claim_type"]).alias("type_equal"), own(m["p"]).eqNullSafe(own(m["e"])).alias("exact_claim")))
+    out = cases.withColumn("_told", told).select(
+        *rest, n_of("predicted").alias("predicted_claim_count"), n_of("predicted", lambda c: c["evidence_status"] == "verified").alias("verified_count"), n_of("expected").alias("expected_claim_count"), n_of("_told").alias("matched_claim_count"),
+        *[n_of("_told", by_method(n)).alias(f"{n}_match_count") for n in ("exact_evidence", "evidence_overlap", "field_similarity")],
+        n_of("_told", lambda m: m["type_equal"]).alias("correct_claim_type_count"), n_of("_told", lambda m: m["exact_claim"]).alias("exact_claim_match_count"),
+    )
+    return rates(out)
 
 
 def report(cases: DataFrame, predicted: DataFrame, expected: DataFrame, matches: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -199,7 +287,11 @@ def report(cases: DataFrame, predicted: DataFrame, expected: DataFrame, matches:
         F.count("*").alias("matched_claim_count"), *[F.count_if(F.col("method") == n).alias(f"{n}_match_count") for n in ("exact_evidence", "evidence_overlap", "field_similarity")],
         F.count_if("type_equal").alias("correct_claim_type_count"), F.count_if("exact_claim").alias("exact_claim_match_count"),
     )
-    out = cases.join(p, keys_, "left").join(e, keys_, "left").join(m, keys_, "left")
+    return rates(cases.join(p, keys_, "left").join(e, keys_, "left").join(m, keys_, "left"))
+
+
+def rates(out: DataFrame) -> DataFrame:
+    """Metrics from the counts of each case; absent counts are 0."""
     counts = [c for c in out.columns if c.endswith("_count")]
     out = out.withColumns({c: F.coalesce(c, F.lit(0)).cast("long") for c in counts})
     n, k, t, v = (F.col(c) for c in ("predicted_claim_count", "expected_claim_count", "matched_claim_count", "verified_count"))

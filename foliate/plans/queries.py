@@ -242,13 +242,20 @@ def _claim(s, x, start):
             "metric": lang, "value": F.get(F.split(s[x], " "), F.lit(0)), "period": F.when(i % 2 == 0, lang)}
 
 
-def _candidates(spark, sf_dir):
-    """Candidates of the same claims, gathered by case from the start: no case leaves its row."""
+def _gathered(spark, sf_dir):
+    """The same claims as cases: predicted ones with their evidence_status, and expected ones. No case leaves its row."""
     docs, marked = _marked(spark, sf_dir)
     start = F.left("text", F.lit(8))
-    side = lambda index, x, keep: F.transform(F.filter("marked", keep), lambda s: F.struct(s["i"].alias(index), *[c.alias(n) for n, c in _claim(s, x, start).items()]))
-    cases = docs.withColumn("marked", marked).select("doc_id", F.col("text").alias("section_text"), side("p_index", "sentence", _verified).alias("predicted"), side("e_index", "moved", _gold).alias("expected"))
-    return E.candidates_of(cases, ("doc_id",))
+    side = lambda array, **more: F.transform(array, lambda s: F.struct(*[c(s).alias(n) for n, c in more.items()]))
+    of = lambda x: {n: (lambda s, n=n: _claim(s, x, start)[n]) for n in R.PROPOSED}
+    predicted = side(F.col("marked"), p_index=lambda s: s["i"], evidence_status=lambda s: F.when(_verified(s), "verified").otherwise("not_found"), **of("sentence"))
+    expected = side(F.filter("marked", _gold), e_index=lambda s: s["i"], **of("moved"))
+    return docs.withColumn("marked", marked).select("doc_id", F.col("text").alias("section_text"), predicted.alias("predicted"), expected.alias("expected"))
+
+
+def _candidates(spark, sf_dir):
+    cases = _gathered(spark, sf_dir)
+    return E.candidates_of(cases.withColumn("predicted", F.filter("predicted", lambda c: c["evidence_status"] == "verified")), ("doc_id",))
 
 
 def candidate_scores(spark, sf_dir):
@@ -262,13 +269,10 @@ def greedy_match(spark, sf_dir):
 
 
 def evaluation_report(spark, sf_dir):
-    predicted, expected, _ = _claims(spark, sf_dir)
-    found = _candidates(spark, sf_dir).withColumn("score", F.round("score", 9))
-    matches = E.greedy_match(found, ("doc_id",))
-    p = predicted.select("doc_id", "p_index", F.struct(*R.PROPOSED).alias("p"))
-    e = expected.select("doc_id", "e_index", F.struct(*R.PROPOSED).alias("e"))
-    matches = matches.join(p, ["doc_id", "p_index"]).join(e, ["doc_id", "e_index"]).withColumns({"type_equal": F.col("p.claim_type") == F.col("e.claim_type"), "exact_claim": F.col("p").eqNullSafe(F.col("e"))})
-    out = E.report(_t(spark, sf_dir, "documents").select("doc_id").distinct(), predicted, expected, matches, ("doc_id",))
+    """Documents without text have no case; they get the report of an empty one."""
+    cases = _gathered(spark, sf_dir)
+    none = _t(spark, sf_dir, "documents").where("text IS NULL OR text = ''").select("doc_id", *[F.lit(None).cast(cases.schema[c].dataType).alias(c) for c in cases.columns[1:]])
+    out = E.case_report(E.match_cases(cases.union(none), 9), R.PROPOSED, ("doc_id",))
     rates = [c for c, k in out.dtypes if k == "double"]
     return out.select("doc_id", *[c for c in out.columns if c.endswith("_count")], *[F.round(c, 9).alias(c) for c in rates])
 

@@ -290,3 +290,28 @@ def test_starts_in_python_equal_the_expression(spark):
     rows = [("aä𝄞b ab b", q, s) for q in ("b", "ä𝄞", "x", None) for s in (None, "a", "𝄞b", "x", "b b")] + [(None, "a", None)]
     got = spark.createDataFrame(rows, "t string, q string, s string").select("t", "q", "s", E.evidence_start(F.col("t"), F.col("q"), F.col("s")).alias("at")).collect()
     assert [E.found_start(r.t, r.q, r.s) for r in got] == [r["at"] for r in got]
+
+
+@pytest.mark.parametrize("rounds", [8, 1, 0])
+def test_greedy_matching_in_rounds_equals_the_fold(spark, tmp_path, monkeypatch, rounds):
+    """Ties, several cases, null keys and a chain in which each pair waits for the one before."""
+    r = random.Random(4)
+    rows = {(c, p, e): r.choice((0.6, 0.7, 0.8, 0.9, 1.0)) for c in (1, 2, None) for p in range(25) for e in r.sample(range(25), 8)}
+    rows |= {(3, k // 2, (k + 1) // 2): 1 - k / 100 for k in range(60)}
+    df = spark.createDataFrame([(*k, "m", s, 0.0, 0.0, 0.0) for k, s in rows.items()], "k int, p_index int, e_index int, method string, score double, evidence_overlap double, statement_similarity double, field_similarity double")
+    want = set()
+    for c in (1, 2, None, 3):
+        want |= {(c, p, e) for p, e, *_ in E.fold([(p, e, "m", s) for (k, p, e), s in rows.items() if k == c])}
+    monkeypatch.setattr(E, "ROUNDS", max(rounds, 1))
+    got = [(x.k, x.p_index, x.e_index) for x in E.greedy_match(df, ("k",)).collect()]
+    assert len(got) == len(want) and set(got) == want
+    assert E.greedy_match(df.limit(0), ("k",)).count() == 0
+
+
+def test_one_case_of_very_many_candidates(spark):
+    """100,000 candidates of one case: a fold over growing arrays would compare them with each other."""
+    n = 20_000
+    df = spark.range(5 * n).selectExpr("1 AS k", f"CAST(id % {n} AS INT) AS p_index", f"CAST((id * 7 + id DIV {n} * 11) % {n} AS INT) AS e_index", "'m' AS method", "round(0.6 + (hash(id) & 1023) / 4096D, 3) AS score", "0D AS evidence_overlap", "0D AS statement_similarity", "0D AS field_similarity")
+    got = {(x.p_index, x.e_index) for x in E.greedy_match(df, ("k",)).collect()}
+    rows = [(x.p_index, x.e_index, "m", x.score) for x in df.collect()]
+    assert got == {(p, e) for p, e, *_ in E.fold(rows)} and len(got) > n // 2
