@@ -23,7 +23,7 @@ from foliate.operators.html_blocks import decoded, html_blocks
 from foliate.operators.similar import similar
 from foliate.sources import artifacts as A
 from foliate.sources import filings as FI
-from foliate.sources.shared import materialize
+from foliate.sources.shared import materialize, spread
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,7 +53,7 @@ def _sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _quotes(spark: SparkSession, sf_dir: str, short: bool = False) -> DataFrame:
     """Benchmark passages (short: their first 12 characters) in the documents that hold them."""
     quotes = _t(spark, sf_dir, "benchmark").select("item_id", (F.left(F.col("text"), F.lit(12)) if short else F.col("text")).alias("evidence_quote"))
-    return containing(_t(spark, sf_dir, "documents").select("doc_id", "text"), quotes)
+    return containing(spread(_t(spark, sf_dir, "documents").select("doc_id", "text")), quotes)
 
 
 def _grounded(rows: DataFrame, scope=None) -> DataFrame:
@@ -225,7 +225,7 @@ def _marked(spark, sf_dir):
     moved = lambda x, i: F.when(i % 2 == 0, x).otherwise(F.substring(x, F.call_function("locate", F.lit(" "), x) + 1, F.length(x)))
     # Whether a start of 12 characters is in the text is asked here, where the text is at hand.
     marked = F.transform(split, lambda x, i: F.struct(i.cast("int").alias("i"), x.alias("sentence"), there(x).alias("there"), moved(x, i).alias("moved"), there(moved(x, i)).alias("moved_there")))
-    return _t(spark, sf_dir, "documents").where("text <> ''"), F.filter(marked, lambda s: F.length(s["sentence"]) >= 12)
+    return spread(_t(spark, sf_dir, "documents")).where("text <> ''"), F.filter(marked, lambda s: F.length(s["sentence"]) >= 12)
 
 
 def _verified(s):

@@ -31,3 +31,12 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     path = f"{shared_folder(spark)}/foliate/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df in as many partitions as there are cores where a scan has fewer, as that of a small file has.
+
+    It moves a table only if all of it fits fewer scan tasks than there are cores; others are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
