@@ -85,16 +85,33 @@ _HEADING = """CASE WHEN {x} IN ('PART I', 'Item 2') THEN false WHEN contains({x}
   ELSE len(list_filter(string_split({x}, ' '), lambda w: w <> '')) BETWEEN 1 AND 8 AND len(list_filter(string_split({x}, ' '), lambda w: w <> '' AND NOT (regexp_matches(w, '^[\\p{{Lu}}\\p{{Lt}}]') OR lower(w) IN ('and', 'of', 'the')))) = 0 END"""
 
 
-def _packed(limit: str, items: str) -> str:
-    """Chunk numbers of paragraphs (k, n, idx, s, e) of each text k, by a recursive walk."""
+def _packed(limit: str, items: str, nth: str = "") -> str:
+    """Chunk numbers of paragraphs (k, n, idx, s, e) of each text k, by a recursive walk; nth tells several walks apart."""
     return f"""
-walk AS (
+walk{nth} AS (
   SELECT k, idx, s, e, 0 AS no, s AS first FROM {items} WHERE idx = 0
   UNION ALL
   SELECT i.k, i.idx, i.s, i.e, CASE WHEN i.e - w.first > {limit} THEN w.no + 1 ELSE w.no END, CASE WHEN i.e - w.first > {limit} THEN i.s ELSE w.first END
-  FROM walk w JOIN {items} i ON i.k = w.k AND i.idx = w.idx + 1
+  FROM walk{nth} w JOIN {items} i ON i.k = w.k AND i.idx = w.idx + 1
 ),
-made AS (SELECT k, no, CAST(min(s) AS INT) AS a, CAST(max(e) AS INT) AS b FROM walk GROUP BY k, no)"""
+made{nth} AS (SELECT k, no, CAST(min(s) AS INT) AS a, CAST(max(e) AS INT) AS b FROM walk{nth} GROUP BY k, no)"""
+
+
+def _number(no: str) -> str:
+    return f"lpad(CAST({no} + 1 AS VARCHAR), CAST(greatest(3, length(CAST({no} + 1 AS VARCHAR))) AS INT), '0')"
+
+
+def _resplit(least: int, limit: str) -> str:
+    """Chunks of 6,000 characters, and children of those over a length: key, parent_id, chunk_id, a and b in the section, and its text."""
+    return (
+        _PARAGRAPHS.replace("WITH ", "WITH RECURSIVE ", 1) + ", items AS (SELECT section AS k, idx, s, e FROM pars)," + _packed("6000", "items") + f""",
+        parents AS (SELECT k || '/' || CAST(no AS VARCHAR) AS key, k AS section, no, b - a AS n FROM made WHERE b - a > {least}),
+        items2 AS (SELECT key AS k, CAST(row_number() OVER (PARTITION BY key ORDER BY idx) - 1 AS INT) AS idx, s, e, {limit} AS most FROM walk JOIN parents ON section = walk.k AND parents.no = walk.no),"""
+        + _packed("i.most", "items2", "2") + f""",
+        many AS (SELECT k FROM made2 GROUP BY k HAVING count(*) > 1),
+        children AS (SELECT section, section || '/item2-chunk-' || {_number("parents.no")} AS key, 'item2-chunk-' || {_number("parents.no")} AS parent_id, 'item2-chunk-' || {_number("parents.no")} || '.' || {_number("made2.no")} AS chunk_id, a, b,
+          substr(body, a + 1, b - a) AS text FROM made2 JOIN many USING (k) JOIN parents ON key = made2.k JOIN cut USING (section))"""
+    )
 
 
 _TOKENS = "list_distinct(regexp_extract_all(lower(replace(replace({x}, 'ß', 'ss'), 'ẞ', 'ss')), '[a-z0-9]+'))"
@@ -197,6 +214,13 @@ ORACLES: dict[str, str] = {
     "chunks": _PARAGRAPHS.replace("WITH ", "WITH RECURSIVE ", 1) + ", items AS (SELECT section AS k, idx, s, e FROM pars)," + _packed("1000", "items") + """
         SELECT k AS section, 'item2-chunk-' || lpad(CAST(no + 1 AS VARCHAR), CAST(greatest(3, length(CAST(no + 1 AS VARCHAR))) AS INT), '0') AS chunk_id, a AS character_start, b AS character_end, sha256(substr(body, a + 1, b - a)) AS text_sha256
         FROM made JOIN cut ON cut.section = made.k""",
+    "chunks_resplit": _resplit(1000, "greatest(1000, n // 2)") + " SELECT key AS chunk_key, chunk_id, parent_id, a AS character_start, b AS character_end FROM children",
+    "split_rounds": _resplit(2000, "1000") + """, marked AS (SELECT *, suffix(chunk_id, '3') AS gap FROM children)
+        SELECT key AS parent_key, to_json(list(left(text, 20) ORDER BY chunk_id)) AS raw_response, to_json(list(left(text, 5) ORDER BY chunk_id)) AS claims, CAST(sum(length(text)) AS BIGINT) AS input_tokens, count(*) AS output_tokens, 'm' AS model,
+          CASE WHEN bool_or(gap) THEN 'content_filtered' ELSE 'completed' END AS status, 'content_filter in ' || string_agg(chunk_id, ', ' ORDER BY chunk_id) FILTER (gap) AS failure_reason, CAST(NULL AS VARCHAR) AS response_id
+        FROM marked GROUP BY key""",
+    "record_rejects": """SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'not JSON' WHEN 1 THEN '$.lang: unknown field' WHEN 2 THEN '$.sections[0].order: no int' WHEN 3 THEN '$.source_content_sha256: no hash' WHEN 4 THEN '$.sections[1].page: unknown field' END AS reason,
+        CASE WHEN doc_id % 6 = 5 THEN sha256(text) END AS text_content_sha256, CASE WHEN doc_id % 6 = 5 THEN 2 END AS n_sections FROM documents""",
     "content_hashes": "SELECT 'document' AS kind, doc_id AS id, sha256(text) AS sha256 FROM documents UNION ALL SELECT 'page', page_id, sha256(html) FROM pages",
     "checkpoint_hits": "SELECT doc_id FROM documents WHERE sha256(text) IN (SELECT sha256(text) FROM documents WHERE doc_id % 2 = 0)",
     "checkpoint_misses": "SELECT doc_id FROM documents WHERE sha256(text) NOT IN (SELECT sha256(text) FROM documents WHERE doc_id % 2 = 0)",

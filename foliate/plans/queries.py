@@ -21,8 +21,10 @@ from foliate.operators.containment import containing
 from foliate.operators.ground import deduplicate, ground
 from foliate.operators.html_blocks import decoded, html_blocks
 from foliate.operators.similar import similar
+from foliate.schemas import PARSED_DOCUMENT
 from foliate.sources import artifacts as A
 from foliate.sources import filings as FI
+from foliate.sources import records as RD
 from foliate.sources.shared import materialize, spread
 
 
@@ -445,12 +447,26 @@ def split_rounds(spark, sf_dir):
     children = X.children_of(made.where(F.length("text") > 2000), 1000)
     rows = children.select("parent_key", "chunk_id", F.left(F.col("text"), F.lit(20)).alias("raw_response"), F.array(F.left(F.col("text"), F.lit(5))).alias("claims"), F.when(F.col("chunk_id").endswith("3"), "content_filtered").otherwise("completed").alias("status"),
                            F.length("text").cast("long").alias("input_tokens"), F.lit(1).cast("long").alias("output_tokens"), F.lit("m").alias("model"))
-    return X.roll_up(rows)
+    return X.roll_up(rows).withColumn("claims", F.to_json("claims"))
+
+
+def record_rejects(spark, sf_dir):
+    """Documents as JSON records of parsed documents, five in six with a fault: cut off, a field too many in the
+    record or in a section, a wrong type, a wrong hash."""
+    docs, kind = _t(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang"), F.col("doc_id") % 6
+    given = {"section_id": F.lit("item-1"), "part": F.lit(None).cast("string"), "item_number": F.lit("1"), "heading": F.col("lang"), "order": F.lit(0), "character_start": F.lit(0), "character_end": F.length("text"), "text": F.col("text")}
+    section = lambda **more: F.to_json(F.struct(*[c.alias(n) for n, c in (given | more).items()]), {"ignoreNullFields": "false"})
+    head = F.to_json(F.struct(F.lit("v1").alias("parser_version"), F.when(kind == 3, F.lit("0")).otherwise(T.sha256(F.lit(""))).alias("source_content_sha256"), T.sha256(F.col("text")).alias("text_content_sha256"), "text", F.when(kind == 1, F.col("lang")).alias("lang")))
+    listed = F.concat(F.when(kind == 2, section(order=F.lit("first"))).otherwise(section()), F.lit(","), F.when(kind == 4, section(page=F.lit(3))).otherwise(section()))
+    body = F.concat(F.regexp_replace(head, r"\}\z", ""), F.lit(',"sections":['), listed, F.when(kind == 0, F.lit("]")).otherwise(F.lit("]}")))
+    good, bad = RD.parse_records(docs.select("doc_id", body.alias("body")), PARSED_DOCUMENT)
+    none = F.lit(None).cast("string")
+    return bad.select("doc_id", "reason", none.alias("text_content_sha256"), F.lit(None).cast("int").alias("n_sections")).union(good.select("doc_id", none, "text_content_sha256", F.size("sections")))
 
 
 QUERIES = {f.__name__: f for f in (
     ground_quotes, ground_short_quotes, ground_scoped_quotes, blocks_dedup, blocks_offsets, document_texts, part_fill, sections, section_unique_check, section_first, paragraphs, headings, heading_context, chunks,
     chunks_resplit, content_hashes, checkpoint_hits, checkpoint_misses, usage_null_sum, single_model_check, claim_dedup, token_jaccard_pairs, span_overlap, candidate_scores, greedy_match, evaluation_report, percent_format,
     review_template, review_decisions, review_summary, review_violations, decision_rules, provenance_mismatch, gold_violations, archive_status, archive_batch_status, archive_integrity, document_upsert_status, latest_by_form, submissions_decode,
-    artifact_names, collapsed_text, occurrences, split_rounds, page_decoding,
+    artifact_names, collapsed_text, occurrences, split_rounds, page_decoding, record_rejects,
 )} | {"html_blocks": blocks_of_pages, "page_block_offsets": page_sections}
