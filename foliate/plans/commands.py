@@ -20,7 +20,7 @@ from foliate.operators import evaluate as E
 from foliate.operators import extract as X
 from foliate.operators import review as R
 from foliate.operators import sections as S
-from foliate.operators.ground import deduplicate, ground
+from foliate.operators.ground import deduplicate, ground_cases
 from foliate.operators.html_blocks import html_blocks
 from foliate.sources import artifacts as A
 from foliate.sources import filings as FI
@@ -46,7 +46,10 @@ def ingest(submissions: DataFrame, fetch: Callable[[DataFrame], DataFrame], path
     """
     latest = FI.latest_by_form(FI.decode_submissions(submissions), form_type)
     files = materialize(fetch(latest), "fetched")  # nothing is fetched twice
-    good, bad = schemas.split_rejected(files, FI.archive_problem(F.col("cik"), F.col("accession_number"), F.col("content")), "ingest")
+    problem = FI.archive_problem(F.col("cik"), F.col("accession_number"), F.col("content"))
+    if "fetch_problem" in files.columns:
+        problem = F.coalesce("fetch_problem", problem)
+    good, bad = schemas.split_rejected(files, problem, "ingest")
     filing = F.struct(*[F.col(c) for c in ("cik", "accession_number", "form_type", "filed_at", "reporting_period", "primary_document", "source_url")])
     rows = good.select(
         "cik", "accession_number", filing.alias("filing"), "content", sha256(F.col("content")).alias("content_sha256"), F.octet_length("content").cast("long").alias("content_length_bytes"), now(as_of).alias("downloaded_at")
@@ -117,11 +120,12 @@ def extract(
     )
     A.write_once(answered.select(*X.IDENTITY, "checkpoint_id", F.lit(CHECKPOINT_VERSION).alias("schema_version"), response.alias("response"), F.struct("claims").alias("output")), f"{path}/checkpoints", ["checkpoint_id"])
 
-    done = pieces.select(*X.IDENTITY, "document_id", "section_id", "parser_version", "section_start", "text").join(A.read_once(shape, f"{path}/checkpoints").select(*X.IDENTITY, "response", "output"), list(X.IDENTITY))
+    done = pieces.select(*X.IDENTITY, "document_id", "section_id", "parser_version").join(A.read_once(shape, f"{path}/checkpoints").select(*X.IDENTITY, "response", "output"), list(X.IDENTITY))
     done = done.join(failed.select("document_id").distinct(), "document_id", "left_anti")
-    rows = done.join(own.select("document_id", "section_text"), "document_id").select("document_id", "section_start", "section_text", F.col("text").alias("chunk"), F.col("character_start").alias("chunk_ord"), F.posexplode("output.claims").alias("claim_ord", "c"))
-    grounded = ground(rows.select("*", "c.*"), F.col("section_text"), F.col("section_start"), F.col("chunk"), F.col("chunk_ord"))
-    kept = deduplicate(grounded.drop("section_text", "chunk"), "document_id")
+    asked = done.select("document_id", F.col("character_start").alias("chunk_start"), F.col("character_end").alias("chunk_end"), F.col("character_start").alias("chunk_ord"), F.posexplode("output.claims").alias("claim_ord", "c")).select("document_id", F.struct("chunk_start", "chunk_end", "chunk_ord", "claim_ord", "c.*").alias("c"))
+    cases = asked.groupBy("document_id").agg(F.collect_list("c").alias("claims")).join(own.select("document_id", "section_start", "section_text"), "document_id")
+    grounded = ground_cases(cases).select("document_id", F.explode("grounded").alias("c")).select("document_id", "c.*")
+    kept = deduplicate(grounded, "document_id")
     fields = [*R.PROPOSED, "evidence_status", "evidence_character_start", "evidence_character_end", "scope_character_start", "scope_character_end"]
     listed = kept.groupBy("document_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("chunk_ord", "claim_ord", F.struct(*fields).alias("c")))), lambda x: x["c"]).alias("claims"))
     ordered = F.array_sort(F.collect_list(F.struct("character_start", "response")))

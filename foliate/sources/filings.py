@@ -130,22 +130,28 @@ class _SubmissionsReader(DataSourceReader):
 
 
 def download(filings: DataFrame, user_agent: str, timeout: float = TIMEOUT_SECONDS) -> DataFrame:
-    """filings with content; an empty body fails the task. Redirects are followed."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in filings.schema.fields) + ", content binary"
+    """filings with content and fetch_problem: why there is no content, else null. Redirects are followed.
 
-    def run(batches):
+    One url that can't be read costs its own row only; ingest rejects it with the problem.
+    """
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in filings.schema.fields) + ", content binary, fetch_problem string"
+
+    def fetch(url: str | None) -> tuple[bytes | None, str | None]:
         import urllib.request
 
+        try:
+            request = urllib.request.Request(url or "", headers={"User-Agent": user_agent, "Accept": "text/html"})
+            with urllib.request.urlopen(request, timeout=timeout) as answer:
+                body = answer.read()
+        except (OSError, ValueError) as error:  # no answer, a status that says so, or no url
+            return None, f"{type(error).__name__}: {error}"
+        return (body, None) if body else (None, "empty filing")
+
+    def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            bodies = []
-            for url in batch.column("source_url").to_pylist():
-                request = urllib.request.Request(url, headers={"User-Agent": user_agent, "Accept": "text/html"})
-                with urllib.request.urlopen(request, timeout=timeout) as answer:
-                    bodies.append(answer.read())
-                if not bodies[-1]:
-                    raise ValueError(f"empty filing: {url}")
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bodies, pa.binary())], names=[*batch.schema.names, "content"])
+            found = [fetch(url) for url in batch.column("source_url").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([b for b, _ in found], pa.binary()), pa.array([p for _, p in found], pa.string())], names=[*batch.schema.names, "content", "fetch_problem"])
 
     return filings.mapInArrow(run, schema)
