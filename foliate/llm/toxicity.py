@@ -16,8 +16,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -192,6 +194,16 @@ def segments_of(text: str, scores: dict[str, float]) -> tuple[list[tuple[int, in
     return maximal_segments(values), len(words)
 
 
+def word_spans(text: str) -> list[tuple[int, int]]:
+    """Where the words of the lower-cased text stand in the text itself; few characters get longer in lower case."""
+    lower = text.lower()
+    spans = [m.span() for m in _WORD.finditer(lower)]
+    if len(lower) == len(text):
+        return spans
+    ends = list(accumulate(len(c.lower()) for c in text))
+    return [(bisect_right(ends, a), bisect_left(ends, b) + 1) for a, b in spans]
+
+
 def held_out(id_: Column) -> Column:
     """Rows whose labels are never read: crc32 of the id as text leaves 1 when divided by 3."""
     return F.coalesce(F.crc32(id_.cast("string").cast("binary")) % 3 == 1, F.lit(False))
@@ -309,7 +321,7 @@ def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
                 if passages:
                     limit = math.log(SIGNIFICANT)
                     worth = [s for s in segments if own.scale * s[2] - own.log_k - math.log(max(1, n)) >= -limit]
-                    at = [m.span() for m in _WORD.finditer(text.lower())] if worth else []
+                    at = word_spans(text) if worth else []
                     found.append([dict(start=at[a][0], end=at[b - 1][1], score=s) for a, b, s in worth])
             columns = [batch.column(0), pa.array(said, pa.float64()), pa.array([int(s >= THRESHOLD) for s in said], pa.int32())]
             names = ["doc_id", "score", "predicted"]
