@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from foliate.llm.bpe import byte_alphabet
-from foliate.llm.common import materialize, one_thread, prepare, releasing, session_settings, table, text_or_empty
+from foliate.llm.common import discard, materialize, one_thread, prepare, releasing, session_settings, table, text_or_empty
 
 #: Characters of text of a block: bounds a task's memory.
 BLOCK_CHARS = 32 << 20
@@ -292,6 +292,8 @@ def align(docs: DataFrame, byte_path: str, piece_path: str, id_col: str = "doc_i
     own = _write(aligned(tokens.where("sound").select("sid", "a", "a_len", "b", "b_len").repartition("sid")), "alignment-stretches")
     listed = _write(listed.join(tokens.select("sid", "stretch", "sound"), "stretch").select("block", "place", "sid", "sound"), "alignment-places")
 
+    discard(tokens)  # all later tables are made from those written since
+
     pairs = listed.join(own.select("sid", F.transform("pairs", lambda p: p["pair"]).alias("pairs")), "sid", "left")
     pairs = pairs.select("block", "place", F.col("sound").cast("byte").alias("sound"), F.coalesce("pairs", F.array().cast("array<long>")).alias("pairs"))
     counted = held.select("block", "places").groupBy("block").cogroup(pairs.groupBy("block")).applyInArrow(_count_pairs, "pair long, docs long")
@@ -301,7 +303,7 @@ def align(docs: DataFrame, byte_path: str, piece_path: str, id_col: str = "doc_i
     links = counts.withColumn("a", a).join(top, "a").select("pair", "a", F.col("pair").bitwiseAND((1 << 32) - 1).cast("int").alias("b"), "docs", (F.col("docs") == F.col("top")).alias("best"))
 
     scored = own.select("sid", F.explode("pairs").alias("p")).select("sid", "p.pair", "p.times").join(links.select("pair", "docs", "best"), "pair")
-    scored = scored.groupBy("sid").agg(F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"), F.sum(F.col("times") * F.col("docs")).alias("count_sum"))
+    scored = _write(scored.groupBy("sid").agg(F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"), F.sum(F.col("times") * F.col("docs")).alias("count_sum")), "alignment-scores")
     whole = own.drop("pairs").join(scored, "sid", "left")
     rows = listed.join(whole, "sid", "left").select("block", "place", F.coalesce("sound", F.lit(False)).alias("sound"), F.coalesce("groups", F.lit("")).alias("groups"), *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in COUNTS])
     out = held.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(_assemble, f"doc_id {kind}, " + ", ".join(f"{c} long" for c in COUNTS) + ", groups_sha256 string")

@@ -12,9 +12,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliate.sources.shared import materialize, shared_folder
+from foliate.sources.shared import discard, materialize, shared_folder
 
-__all__ = ["materialize", "one_thread", "prepare", "release_memory", "releasing", "session_settings", "shared_folder", "table", "text_or_empty"]
+__all__ = ["discard", "materialize", "one_thread", "prepare", "release_memory", "releasing", "session_settings", "shared_folder", "table", "text_or_empty"]
 
 #: Most rows of one Arrow batch; texts may be long, so a worker holds few of them at once.
 ARROW_ROWS = 500
