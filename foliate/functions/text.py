@@ -129,9 +129,9 @@ def mean_of_present(*values: Column) -> Column:
     return F.coalesce(F.try_divide(F.aggregate(there, F.lit(0.0), lambda s, x: s + x), F.size(there).cast("double")), F.lit(0.0))
 
 
-#: Period headings that part the chunks of a section.
+#: Period headings that part the chunks of a section (a fixed pattern).
 PERIOD = r"(?di)\A(?:Three|Six|Nine) Months Ended .+ Compared with .+\z"
-#: Words of a heading that needn't begin upper-case.
+#: Words of a heading that needn't begin upper-case (fixed values).
 MINOR = ("and", "of", "the")
 
 

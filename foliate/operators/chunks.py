@@ -11,7 +11,7 @@ from foliate.functions.text import is_heading, is_period, pad_number, strip
 MAX_CHARS = 12_000
 SPLIT_CHARS = 6_000
 MIN_CHARS = 1_000
-#: A paragraph: from a character that is no line feed, lazily, up to blank lines or the end.
+#: A paragraph (a fixed pattern): from a character that is no line feed, lazily, up to blank lines or the end.
 PARAGRAPH = r"(?s)[^\n](?:.*?[^\n])?(?=\n{2,}|\z)"
 
 

@@ -77,7 +77,7 @@ def parse(archive: DataFrame, path: str, parser_version: str = PARSER_VERSION) -
 
 def extract(
     documents: DataFrame, prompt: tuple[str, str], extractor: Callable[[str, str, str], dict], path: str, section_id: str = "part-i-item-2",
-    max_chars: int = C.MAX_CHARS, split_chars: int = C.SPLIT_CHARS, as_of: datetime | None = None,
+    max_chars: int = C.MAX_CHARS, split_chars: int = C.SPLIT_CHARS, as_of: datetime | None = None, chunker: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Proposals by document_id: status, claim_count, verified_claim_count and filtered_response_count
     (slices that no answer covers), and rejected documents.
@@ -87,6 +87,7 @@ def extract(
     other chunks are asked for, once for all filings with the same bytes. Answers are kept under
     path/answers as they arrive. Where a chunk has no usable answer its document is rejected; the
     answers of its other chunks are stored all the same, so that a rerun asks for the rest only.
+    chunker, where given, cuts sections (document_id, text) in place of C.chunks and returns its columns.
     """
     version, system = prompt
     hits = F.filter("sections", lambda s: s["section_id"] == section_id)
@@ -94,7 +95,8 @@ def extract(
     chosen = documents.withColumn("section", F.get(hits, F.lit(0)))
     good, bad = schemas.split_rejected(chosen, reason, "extract")
     own = good.select("document_id", "source_content_sha256", "text_content_sha256", "parser_version", F.col("section.section_id").alias("section_id"), F.col("section.character_start").alias("section_start"), F.col("section.text").alias("section_text"))
-    made = C.chunks(own.select("document_id", F.col("section_text").alias("text")), "document_id", limit=max_chars)
+    texts = own.select("document_id", F.col("section_text").alias("text"))
+    made = chunker(texts) if chunker else C.chunks(texts, "document_id", limit=max_chars)
     prompted = made.join(own.drop("section_text"), "document_id").withColumns({"prompt_version": F.lit(version), "prompt_sha256": sha256(F.lit(system))})
     pieces = materialize(X.checkpoint_id(prompted.withColumn("chunk_key", F.concat_ws("/", "document_id", "chunk_id"))), "extract-chunks")
     empty = own.join(pieces.select("document_id").distinct(), "document_id", "left_anti").select("document_id", F.lit("no_chunks").alias("reason"), F.lit("extract").alias("stage"))

@@ -106,10 +106,12 @@ def test_two_writers_never_both_win(spark, tmp_path, monkeypatch, same):
 def test_rows_of_a_beaten_writer_are_never_read(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([(1, "a")], "k int, v string")
-    ledger.stage(spark.createDataFrame([(9, "lost")], "k int, v string"), path)
+    lost = ledger.stage(spark.createDataFrame([(9, "lost")], "k int, v string"), path)
     assert A.read_once(df, path).count() == 0
     A.write_once(df, path, ["k"]).collect()
     assert [r.k for r in A.read_once(df, path).collect()] == [1]
+    assert ledger.vacuum(spark, path) == [] and ledger.vacuum(spark, path, -1.0) == [lost]
+    assert [r.k for r in A.read_once(df, path).collect()] == [1] and len([n for n in os.listdir(path) if n.startswith("commit=")]) == 1
 
 
 def parsed(spark, ids, paragraphs):

@@ -86,6 +86,20 @@ def test_answers_that_cannot_be_used_say_why(spark, tmp_path):
         assert [r.reason for r in rejected.collect()] == [f"extraction failed for item2-chunk-001: {told}"]
 
 
+def test_another_chunker(spark, tmp_path):
+    """A chunk for each half of a section; offsets and texts are the chunker's."""
+    text = "Net sales rose. Costs fell."
+    documents = spark.createDataFrame([("d", "p", "a" * 64, "b" * 64, text, [("part-i-item-2", "I", "2", "Item 2.", 0, 0, len(text), text)])], f"document_id string, {schemas.PARSED_DOCUMENT}")
+    halves = lambda df: df.select("document_id", F.posexplode(F.split("text", r"(?<=\.) ")).alias("chunk_no", "text")).select(
+        "document_id", F.concat(F.lit("half-"), F.col("chunk_no").cast("string")).alias("chunk_id"), "chunk_no", (F.col("chunk_no") * 16).cast("int").alias("character_start"), (F.col("chunk_no") * 16 + F.length("text")).cast("int").alias("character_end"), F.array().cast("array<string>").alias("heading_context"), "text")
+    claim = {"claim_type": "risk", "statement": "s", "evidence_quote": "Costs fell"}
+    answer = lambda i, *_: {"outcome": "completed", "model": "m", "claims": [claim] if i == "half-1" else []}
+    statuses, rejected = K.extract(documents, ("v1", "find"), answer, str(tmp_path / "out"), as_of=AS_OF, chunker=halves)
+    assert [(r.claim_count, r.verified_claim_count) for r in statuses.collect()] == [(1, 1)] and rejected.count() == 0
+    p = spark.read.parquet(str(tmp_path / "out" / "proposals")).first()
+    assert [r.chunk_id for r in p.responses] == ["half-0", "half-1"] and text[p.claims[0].evidence_character_start : p.claims[0].evidence_character_end] == "Costs fell"
+
+
 class Pages(http.server.BaseHTTPRequestHandler):
     def do_GET(self):
         found = {"/a.htm": b"<p>a</p>", "/empty.htm": b""}.get(self.path)
