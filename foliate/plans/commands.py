@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliate import schemas
-from foliate.functions.text import sha256, sum_if_all
+from foliate.functions.text import artifact_name, safe_name, sha256, sum_if_all
 from foliate.operators import chunks as C
 from foliate.operators import evaluate as E
 from foliate.operators import extract as X
@@ -246,3 +246,14 @@ def evaluate(proposals: DataFrame, gold: DataFrame, path: str) -> tuple[DataFram
     statuses = A.write_once(sound, path, ["case_name", "schema_version", "prompt_version"], ["case_name", "schema_version"])
     lost = absent.select("case_name", "reason", F.lit("evaluate").alias("stage"))
     return sound, statuses, bad.select("case_name", "reason", "stage").union(lost).union(odd.select("case_name", "reason", "stage"))
+
+
+def export(artifacts: DataFrame, path: str, kind: str) -> None:
+    """Write stored artifacts as JSON files, one for each record, in a folder named by what tells them apart."""
+    by = {"documents": ["document_id"], "proposals": ["document_id", "name"], "reviews": ["document_id", "name"], "gold": ["document_id", "case_name"], "reports": ["case_name", "name"]}[kind]
+    names = {"proposals": artifact_name(F.col("response_id"), F.col("generated_at")), "reviews": artifact_name(F.col("proposal_response_id"), F.col("created_at")), "reports": safe_name(F.col("prompt_version"))}
+    named = artifacts.drop("commit").withColumns({"name": names[kind]} if kind in names else {})
+    if kind == "gold":  # a case is named inside its record, too
+        named = named.withColumn("folder", F.col("case_name"))
+        by = ["document_id", "folder"]
+    A.export_records(named, path, by)

@@ -6,6 +6,10 @@ has stored. Regenerated tables are plain Parquet, where one writer at a time is
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -116,3 +120,32 @@ def export_json(df: DataFrame, path: str, omit: tuple[str, ...] = ()) -> None:
     """One JSON object a row; columns in omit are left out where null, other nulls are written."""
     kept = [F.when(F.col(c).isNotNull() if c in omit else F.lit(True), F.substring(F.to_json(F.struct(F.col(c)), {"ignoreNullFields": "false"}), F.lit(2), F.length(F.to_json(F.struct(F.col(c)), {"ignoreNullFields": "false"})) - 2)) for c in df.columns]
     df.select(F.concat(F.lit("{"), F.array_join(F.array_compact(F.array(*kept)), ","), F.lit("}")).alias("value")).write.text(path)
+
+
+#: Fields that records leave out where they are null, at any depth (fixed by the record format).
+OPTIONAL = ("scope_quote", "scope_character_start", "scope_character_end")
+
+
+def _without(value, omit: frozenset):
+    """A JSON value without the null fields of those names."""
+    if isinstance(value, dict):
+        return {k: _without(v, omit) for k, v in value.items() if v is not None or k not in omit}
+    return [_without(v, omit) for v in value] if isinstance(value, list) else value
+
+
+def export_records(df: DataFrame, path: str, by: list[str], omit: tuple[str, ...] = OPTIONAL) -> None:
+    """One indented JSON file for each record, under a folder for each value of the columns `by`.
+
+    Null fields are written, but for those in omit. The columns `by` name the folder and aren't in the
+    file. read_records reads the files back.
+    """
+    left_out = frozenset(omit)
+
+    def pretty(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [json.dumps(_without(json.loads(x), left_out), indent=2, ensure_ascii=False) for x in batch.column(batch.num_columns - 1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=batch.schema.names)
+
+    fields = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in by)
+    body = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in by]), {"ignoreNullFields": "false"})
+    df.select(*by, body.alias("value")).mapInArrow(pretty, f"{fields}, value string").write.partitionBy(*by).text(path)

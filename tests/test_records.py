@@ -67,3 +67,24 @@ def test_domains(spark):
     x = spark.createDataFrame([("risk", "", HASH), ("other", "a", "A" * 64), (None, None, None)], "t string, s string, h string")
     got = x.select(schemas.in_domain(F.col("t"), schemas.CLAIM_TYPES), schemas.not_empty(F.col("s")), schemas.is_hash(F.col("h"))).collect()
     assert [tuple(r) for r in got] == [(True, False, True), (False, True, False), (False, False, False)]
+
+
+def test_exported_records_are_read_back(spark, tmp_path):
+    """Indented files, one a record, that leave out null scopes at any depth and keep other nulls."""
+    from foliate.plans import commands as K
+
+    ddl, record = RECORDS["proposals"]
+    rows, _ = RD.parse_records(spark.createDataFrame([(json.dumps(record),), (json.dumps(record | {"response_id": "r/1", "claims": []}),)], "body string"), ddl)
+    K.export(rows.withColumn("document_id", F.lit("7-1")), str(tmp_path / "out"), "proposals")
+    files = sorted(p for p in (tmp_path / "out").rglob("*.txt"))
+    assert sorted(str(p.parent.relative_to(tmp_path / "out")) for p in files) == ["document_id=7-1/name=20240506T070809.000000Z", "document_id=7-1/name=r-1"]
+    first = json.loads(files[0].read_text(encoding="utf-8"))
+    assert "scope_quote" not in first["claims"][0] and first["claims"][0]["metric"] is None and first["response_id"] is None and "document_id" not in first
+    assert files[0].read_text(encoding="utf-8").startswith('{\n  "schema_version": "v",\n')
+    back, bad = RD.read_records(spark, str(tmp_path / "out"), ddl)
+    assert bad.count() == 0 and sorted(map(repr, back.select(*rows.columns).collect())) == sorted(map(repr, rows.collect()))
+    ddl, record = RECORDS["gold_cases"]
+    gold, _ = RD.parse_records(spark.createDataFrame([(json.dumps(record),)], "body string"), ddl)
+    K.export(gold.withColumn("document_id", F.lit("7-1")), str(tmp_path / "gold"), "gold")
+    back, bad = RD.read_records(spark, str(tmp_path / "gold"), ddl)
+    assert bad.count() == 0 and back.select(*gold.columns).collect() == gold.collect()
