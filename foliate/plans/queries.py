@@ -454,14 +454,13 @@ def record_rejects(spark, sf_dir):
     """Documents as JSON records of parsed documents, five in six with a fault: cut off, a field too many in the
     record or in a section, a wrong type, a wrong hash."""
     docs, kind = _t(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang"), F.col("doc_id") % 6
-    given = {"section_id": F.lit("item-1"), "part": F.lit(None).cast("string"), "item_number": F.lit("1"), "heading": F.col("lang"), "order": F.lit(0), "character_start": F.lit(0), "character_end": F.length("text"), "text": F.col("text")}
+    given = {"section_id": F.lit("item-1"), "part": F.lit(None).cast("string"), "item_number": F.lit("1"), "heading": F.col("lang"), "order": F.lit(0), "character_start": F.lit(0), "character_end": F.length("lang"), "text": F.col("lang")}
     section = lambda **more: F.to_json(F.struct(*[c.alias(n) for n, c in (given | more).items()]), {"ignoreNullFields": "false"})
     head = F.to_json(F.struct(F.lit("v1").alias("parser_version"), F.when(kind == 3, F.lit("0")).otherwise(T.sha256(F.lit(""))).alias("source_content_sha256"), T.sha256(F.col("text")).alias("text_content_sha256"), "text", F.when(kind == 1, F.col("lang")).alias("lang")))
     listed = F.concat(F.when(kind == 2, section(order=F.lit("first"))).otherwise(section()), F.lit(","), F.when(kind == 4, section(page=F.lit(3))).otherwise(section()))
     body = F.concat(F.regexp_replace(head, r"\}\z", ""), F.lit(',"sections":['), listed, F.when(kind == 0, F.lit("]")).otherwise(F.lit("]}")))
-    good, bad = RD.parse_records(docs.select("doc_id", body.alias("body")), PARSED_DOCUMENT)
-    none = F.lit(None).cast("string")
-    return bad.select("doc_id", "reason", none.alias("text_content_sha256"), F.lit(None).cast("int").alias("n_sections")).union(good.select("doc_id", none, "text_content_sha256", F.size("sections")))
+    judged = RD.judge_records(docs.select("doc_id", body.alias("body")), PARSED_DOCUMENT)
+    return judged.select("doc_id", "reason", F.col("record.text_content_sha256").alias("text_content_sha256"), F.when(F.col("record").isNotNull(), F.size("record.sections")).alias("n_sections"))
 
 
 QUERIES = {f.__name__: f for f in (

@@ -45,25 +45,29 @@ def faults(v: Column, kind: DataType, path: Column | None = None) -> Column:
     return F.when(v.isNull() | (held == "VOID"), none).when(~F.coalesce(fits, F.lit(False)), _told(path, f"no {kind.simpleString().split('<')[0]}")).otherwise(found)
 
 
-def bad_hash(row: StructType) -> Column:
-    """The first hash column of a record that isn't 64 hexadecimal digits, else null; absent hashes count."""
-    return F.coalesce(*[F.when(~schemas.is_hash(F.col(f.name)), F.lit(f"$.{f.name}: no hash")) for f in row.fields if f.name.endswith("_sha256")], F.lit(None).cast("string"))
+def judge_records(bodies: DataFrame, ddl: str, body: str = "body") -> DataFrame:
+    """bodies with reason (the first fault with its path, else null) and record (null where there is a fault).
 
-
-def parse_records(bodies: DataFrame, ddl: str, body: str = "body") -> tuple[DataFrame, DataFrame]:
-    """Records of JSON texts, beside the other columns of bodies, and rejected texts with reason and stage.
-
-    Rejected is what isn't JSON, isn't one object, has a field that the record hasn't (at any depth), a
-    value of another type, or a hash that is none; the reason names the first fault with its path.
+    Faults are: what isn't JSON or isn't one object, a field that the record hasn't (at any depth), a
+    value of another type, a hash that is none. Each step is a column of its own, so a text is parsed
+    once for its faults and, without any, once for its record.
     """
     row = StructType.fromDDL(ddl)
-    others = [c for c in bodies.columns if c != body]
-    v = F.try_parse_json(F.col(body))
-    judged = bodies.select(*others, body, v.alias("_v"))
+    parsed = bodies.withColumn("_v", F.try_parse_json(F.col(body)))
     first = F.when(F.col("_v").isNull(), "not JSON").when(F.schema_of_variant("_v") == "VOID", "$: no struct").otherwise(F.get(faults(F.col("_v"), row), F.lit(0)))
-    marked = judged.select(*others, body, first.alias("_fault"), F.when(first.isNull(), F.from_json(body, row)).alias("_r"))
-    good, bad = schemas.split_rejected(marked.select(*others, body, "_fault", "_r.*"), F.coalesce("_fault", bad_hash(row)), "read")
-    return good.drop(body, "_fault"), bad.select(*others, body, "reason", "stage")
+    judged = parsed.withColumn("_fault", first).drop("_v")
+    record = judged.withColumn("record", F.when(F.col("_fault").isNull(), F.from_json(body, row)))
+    hashes = [F.when(F.col("record").isNotNull() & ~schemas.is_hash(F.col(f"record.{f.name}")), F.lit(f"$.{f.name}: no hash")) for f in row.fields if f.name.endswith("_sha256")]
+    told = record.withColumn("reason", F.coalesce("_fault", *hashes)).drop("_fault")
+    return told.withColumn("record", F.when(F.col("reason").isNull(), F.col("record")))
+
+
+def parse_records(bodies: DataFrame, ddl: str, body: str = "body") -> tuple[DataFrame, DataFrame]:
+    """Records of JSON texts, beside the other columns of bodies, and rejected texts with reason and stage, by judge_records."""
+    others = [c for c in bodies.columns if c != body]
+    judged = judge_records(bodies, ddl, body)
+    good = judged.where("reason IS NULL").select(*others, "record.*")
+    return good, judged.where("reason IS NOT NULL").select(*others, body, "reason", F.lit("read").alias("stage"))
 
 
 def read_records(spark: SparkSession, path: str, ddl: str, lines: bool = False) -> tuple[DataFrame, DataFrame]:
