@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from foliate.llm.bpe import byte_alphabet
-from foliate.llm.common import discard, materialize, one_thread, prepare, releasing, session_settings, table, text_or_empty
+from foliate.llm.common import discard, materialize, one_thread, prepare, releasing, session_settings, shared_folder, table, text_or_empty
 
 #: Characters of text of a block: bounds a task's memory.
 BLOCK_CHARS = 32 << 20
@@ -48,6 +49,16 @@ def _write(df: DataFrame, tag: str) -> DataFrame:
         return materialize(df, tag)
 
 
+def _write_apart(df: DataFrame, tag: str, by: str, values: tuple[str, ...]) -> list[DataFrame]:
+    """A table written once, and its rows of each value of a column, each in a folder of its own."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/foliate/{tag}-{uuid.uuid4().hex}"
+    df.write.partitionBy(by).parquet(path)
+    schema = df.drop(by).schema
+    there = {r[0] for r in spark.read.schema(df.schema).parquet(path).select(by).distinct().collect()}
+    return [spark.read.schema(schema).parquet(f"{path}/{by}={v}") if v in there else spark.createDataFrame([], schema) for v in values]
+
+
 def stretches(text: str) -> list[str]:
     """The text behind a space, cut before spaces that follow a non-space; each without its own first space."""
     if not text:
@@ -137,8 +148,31 @@ def load(byte_path: str, piece_path: str) -> TokenPair:
     return _loaded[byte_path, piece_path]
 
 
-def blocks(docs: DataFrame, id_col: str, text_col: str, block_chars: int) -> DataFrame:
-    """block, then either doc_id and places (of its stretches in the block's list) or place and stretch."""
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers below 2 ** 28 as bytes of seven bits each, the lowest first; all but a number's last have the high bit."""
+    v = values.astype(np.int64)
+    size = 1 + (v >= 1 << 7) + (v >= 1 << 14) + (v >= 1 << 21)
+    first = np.cumsum(size) - size
+    out = np.zeros(int(size.sum()), dtype=np.uint8)
+    for k in range(4):
+        there = size > k
+        out[first[there] + k] = ((v[there] >> (7 * k)) & 127) | ((size[there] > k + 1) << 7)
+    return out.tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    b = np.frombuffer(data, dtype=np.uint8).astype(np.int64)
+    last = np.flatnonzero(b < 128)
+    first = np.concatenate(([0], last[:-1] + 1)) if len(last) else last
+    out = np.zeros(len(last), dtype=np.int64)
+    for k in range(4):
+        there = first + k <= last
+        out[there] |= (b[first[there] + k] & 127) << (7 * k)
+    return out
+
+
+def blocks(docs: DataFrame, id_col: str, text_col: str, block_chars: int) -> tuple[DataFrame, DataFrame]:
+    """Documents: block, doc_id and places (packed, of its stretches in the block's list); lists: block, place, stretch."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,7 +185,7 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, block_chars: int) -> Dat
             for at in range(0, len(keys), 1 << 16):
                 part = keys[at : at + (1 << 16)]
                 n = len(part)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, block)), pa.nulls(n, id_type), pa.nulls(n, pa.list_(pa.int32())), pa.array(np.arange(at, at + n, dtype=np.int32)), pa.array(part, pa.string())], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, block)), pa.nulls(n, id_type), pa.nulls(n, pa.binary()), pa.array(np.arange(at, at + n, dtype=np.int32)), pa.array(part, pa.string())], names=names)
 
         id_type = None
         for batch in batches:
@@ -163,17 +197,17 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, block_chars: int) -> Dat
                     places, block, chars = {}, block + 1, 0
                 chars += len(text)
                 of.append(block)
-                own.append(np.fromiter((places.setdefault(x, len(places)) for x in stretches(text)), dtype=np.int32))
+                own.append(packed(np.fromiter((places.setdefault(x, len(places)) for x in stretches(text)), dtype=np.int64)))
             n = len(own)
-            ends = np.concatenate(([0], np.cumsum(list(map(len, own))))).astype(np.int32)
-            held = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(own) if own else np.empty(0, dtype=np.int32)))
-            yield pa.RecordBatch.from_arrays([pa.array(of, pa.int64()), batch.column(0), held, pa.nulls(n, pa.int32()), pa.nulls(n, pa.string())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(of, pa.int64()), batch.column(0), pa.array(own, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.string())], names=names)
             yield from closed
         if places:
             yield from listed(id_type)
 
     source = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return _write(source.mapInArrow(releasing(run), f"block long, doc_id {kind}, places array<int>, place int, stretch string"), "alignment-blocks")
+    made = source.mapInArrow(releasing(run), f"block long, doc_id {kind}, places binary, place int, stretch string")
+    held, listed = _write_apart(made.withColumn("of", F.when(F.col("place").isNull(), "documents").otherwise("lists")), "alignment-blocks", "of", ("documents", "lists"))
+    return held.select("block", "doc_id", "places"), listed.select("block", "place", "stretch")
 
 
 def tokenized(distinct: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
@@ -210,19 +244,15 @@ def groups(tokens: DataFrame, key: str = "sid") -> DataFrame:
     return numbered.groupBy(key, "g").agg(side("a"), side("b"))
 
 
-def pair_key(a: Column, b: Column) -> Column:
-    return F.shiftleft(a.cast("long"), 32) + b
-
-
-def aligned(tokens: DataFrame, key: str = "sid") -> DataFrame:
+def aligned(tokens: DataFrame, width: int, kind: str, key: str = "sid") -> DataFrame:
     """key, text of the groups, n_a, n_b, n_groups, n_links and pairs (array of pair and times) of each stretch.
 
-    Ids that repeat in a group are counted and not multiplied out.
+    A pair is a * width + b, of that kind. Ids that repeat in a group are counted and not multiplied out.
     """
     found = groups(tokens, key)
     text = F.concat(F.array_join(F.col("a").cast("array<string>"), ","), F.lit("|"), F.array_join(F.col("b").cast("array<string>"), ","))
     times = lambda c, x: F.when(F.size(c) == 1, F.lit(1)).otherwise(F.size(F.filter(c, lambda y: y == x)))
-    pairs = F.flatten(F.transform(F.array_distinct("a"), lambda a: F.transform(F.array_distinct("b"), lambda b: F.struct(pair_key(a, b).alias("pair"), (times("a", a).cast("long") * times("b", b)).alias("times")))))
+    pairs = F.flatten(F.transform(F.array_distinct("a"), lambda a: F.transform(F.array_distinct("b"), lambda b: F.struct((a.cast(kind) * width + b).cast(kind).alias("pair"), (times("a", a).cast("long") * times("b", b)).alias("times")))))
     rows = found.select(key, "g", text.alias("text"), F.size("a").cast("long").alias("na"), F.size("b").cast("long").alias("nb"), pairs.alias("pairs"))
     return rows.groupBy(key).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("g", "text"))), lambda x: x["text"]), ";").alias("groups"), F.sum("na").alias("n_a"), F.sum("nb").alias("n_b"), F.count("*").alias("n_groups"),
@@ -236,15 +266,14 @@ def _sorted(rows: pa.Table) -> pa.Table:
 
 def _places(docs: pa.Table) -> Iterator[np.ndarray]:
     for chunk in docs.column("places").chunks:
-        ends, flat = chunk.offsets.to_numpy(), chunk.values.to_numpy()
-        for k in range(len(chunk)):
-            yield flat[ends[k] : ends[k + 1]]
+        for x in chunk:
+            yield unpacked(x.as_py())
 
 
 def _count_pairs(docs: pa.Table, rows: pa.Table) -> pa.Table:
     """pair and the number of this block's documents that hold it."""
     if not rows.num_rows:
-        return pa.table({"pair": pa.array([], pa.int64()), "docs": pa.array([], pa.int64())})
+        return pa.table({"pair": pa.array([], rows.schema.field("pairs").type.value_type), "docs": pa.array([], pa.int64())})
     rows = _sorted(rows)
     lists = rows.column("pairs").chunk(0)
     sound = rows.column("sound").to_numpy()
@@ -259,7 +288,7 @@ def _count_pairs(docs: pa.Table, rows: pa.Table) -> pa.Table:
             inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             counts[np.unique(own[np.repeat(first[at], n) + inside])] += 1
     there = counts > 0
-    return pa.table({"pair": pa.array(keys[there]), "docs": pa.array(counts[there])})
+    return pa.table({"pair": pa.array(keys[there], lists.type.value_type), "docs": pa.array(counts[there])})
 
 
 def _assemble(docs: pa.Table, rows: pa.Table) -> pa.Table:
@@ -286,21 +315,24 @@ def align(docs: DataFrame, byte_path: str, piece_path: str, id_col: str = "doc_i
     """
     prepare(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
-    made = blocks(docs, id_col, text_col, block_chars)
-    held, listed = made.where("place IS NULL").select("block", "doc_id", "places"), made.where("place IS NOT NULL").select("block", "place", "stretch")
-    tokens = tokenized(listed.select("stretch").distinct(), byte_path, piece_path)
-    own = _write(aligned(tokens.where("sound").select("sid", "a", "a_len", "b", "b_len").repartition("sid")), "alignment-stretches")
-    listed = _write(listed.join(tokens.select("sid", "stretch", "sound"), "stretch").select("block", "place", "sid", "sound"), "alignment-places")
+    pair = load(byte_path, piece_path)
+    width = len(pair.b_bytes)
+    small = "int" if len(pair.a_lengths) * width < 1 << 31 else "long"  # a pair's number
+    held, lists = blocks(docs, id_col, text_col, block_chars)
+    tokens = tokenized(lists.select("stretch").distinct(), byte_path, piece_path)
+    own = _write(aligned(tokens.where("sound").select("sid", "a", "a_len", "b", "b_len").repartition("sid"), width, small), "alignment-stretches")
+    listed = _write(lists.join(tokens.select("sid", "stretch", "sound"), "stretch").select("block", "place", "sid", "sound"), "alignment-places")
 
-    discard(tokens)  # all later tables are made from those written since
+    for table_ in (tokens, lists):  # all later tables are made from those written since
+        discard(table_)
 
     pairs = listed.join(own.select("sid", F.transform("pairs", lambda p: p["pair"]).alias("pairs")), "sid", "left")
-    pairs = pairs.select("block", "place", F.col("sound").cast("byte").alias("sound"), F.coalesce("pairs", F.array().cast("array<long>")).alias("pairs"))
-    counted = held.select("block", "places").groupBy("block").cogroup(pairs.groupBy("block")).applyInArrow(_count_pairs, "pair long, docs long")
+    pairs = pairs.select("block", "place", F.col("sound").cast("byte").alias("sound"), F.coalesce("pairs", F.array().cast(f"array<{small}>")).alias("pairs"))
+    counted = held.select("block", "places").groupBy("block").cogroup(pairs.groupBy("block")).applyInArrow(_count_pairs, f"pair {small}, docs long")
     counts = _write(counted.groupBy("pair").agg(F.sum("docs").alias("docs")), "alignment-counts")
-    a = F.shiftright("pair", 32).cast("int")
+    a = F.floor(F.col("pair") / width).cast("int")
     top = counts.groupBy(a.alias("a")).agg(F.max("docs").alias("top"))
-    links = counts.withColumn("a", a).join(top, "a").select("pair", "a", F.col("pair").bitwiseAND((1 << 32) - 1).cast("int").alias("b"), "docs", (F.col("docs") == F.col("top")).alias("best"))
+    links = counts.withColumn("a", a).join(top, "a").select("pair", "a", F.pmod("pair", F.lit(width)).cast("int").alias("b"), "docs", (F.col("docs") == F.col("top")).alias("best"))
 
     scored = own.select("sid", F.explode("pairs").alias("p")).select("sid", "p.pair", "p.times").join(links.select("pair", "docs", "best"), "pair")
     scored = _write(scored.groupBy("sid").agg(F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"), F.sum(F.col("times") * F.col("docs")).alias("count_sum")), "alignment-scores")

@@ -95,6 +95,13 @@ def test_long_words_of_the_table_are_encoded_by_the_tree(spark, sf_dir, monkeypa
     assert len(joins) > 100
 
 
+def test_places_pack_into_bytes():
+    r = random.Random(7)
+    for values in ([], [0], [127, 128, 16383, 16384, 2097151, 2097152, (1 << 28) - 1], [r.randrange(1 << r.randint(1, 28)) for _ in range(500)]):
+        data = alignment.packed(np.array(values, dtype=np.int64))
+        assert alignment.unpacked(data).tolist() == values and (not values or len(data) <= 4 * len(values))
+
+
 def test_stretches_join_to_the_text():
     r = random.Random(5)
     for _ in range(300):
