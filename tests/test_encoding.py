@@ -69,3 +69,25 @@ def test_only_spaces_go_from_styles():
 def test_null_pages_have_no_blocks(spark):
     df = spark.createDataFrame([(1, None), (2, b"")], "page_id int, html binary")
     assert html_blocks(df).count() == 0 and [tuple(r) for r in decoded(df, "page_id", "html").orderBy("page_id").collect()] == [(1, None, None), (2, "", "utf-8")]
+
+
+@pytest.mark.parametrize("made", ["decoded", "html_blocks"])
+def test_pages_reach_workers_in_bounded_batches(spark, made):
+    """A worker's memory follows a batch, so not the rows of a table."""
+    from foliate.arrow import ARROW_BYTES, ARROW_ROWS
+
+    rows, size = (f"spark.sql.execution.arrow.{k}" for k in ("maxRecordsPerBatch", "maxBytesPerBatch"))
+    pages = spark.createDataFrame([(1, bytearray(b"<p>a")), (2, None)], "page_id long, content binary")
+    run = (lambda: decoded(pages)) if made == "decoded" else (lambda: html_blocks(pages, html="content"))
+    before = {k: spark.conf.get(k) for k in (rows, size)}
+    try:
+        spark.conf.set(rows, "10000")
+        spark.conf.set(size, "67108864b")
+        assert run().count() == (2 if made == "decoded" else 1)
+        assert (spark.conf.get(rows), spark.conf.get(size)) == (str(ARROW_ROWS), f"{ARROW_BYTES}b")
+        spark.conf.set(rows, "7")  # what the user has set stays
+        run()
+        assert spark.conf.get(rows) == "7"
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
