@@ -11,8 +11,9 @@ from foliate.functions.text import is_heading, is_period, pad_number, strip
 MAX_CHARS = 12_000
 SPLIT_CHARS = 6_000
 MIN_CHARS = 1_000
-#: A paragraph (a fixed pattern): from a character that is no line feed, lazily, up to blank lines or the end.
-PARAGRAPH = r"(?s)[^\n](?:.*?[^\n])?(?=\n{2,}|\z)"
+#: A paragraph (a fixed pattern): from a character that is no line feed, lazily, up to blank lines or the end;
+#: (?s)[^\n](?:.*?[^\n])?(?=\n{2,}|\z) by lines instead of characters, which takes back none of them.
+PARAGRAPH = r"[^\n](?:(?:[^\n]++|\n++[^\n]++)(?:\n[^\n]++)*+)?(?=\n{2,}|\z)"
 
 
 def _pieces(text: Column) -> Column:
@@ -69,6 +70,29 @@ def chunk_starts(items: Column, limit: Column) -> Column:
     return F.aggregate(items, zero, step)["out"]
 
 
+def _cut(sections: DataFrame, key: str, text: str, limit: Column, prefix: Column, carry: dict[str, Column], other: Column | None = None) -> DataFrame:
+    """Rows of chunks(), with n_chunks (chunks of their section) and the columns to carry.
+
+    other: a limit that takes the place of the first one where that cuts nothing and other isn't null.
+    """
+    own = {"_limit": limit.cast("int"), "_prefix": prefix} | ({} if other is None else {"_other": other.cast("int")}) | carry
+    rows = with_headings(paragraphs(sections, key, text, carry=tuple(c.alias(n) for n, c in own.items())), key)
+    ordered = F.array_sort(F.collect_list(F.struct("idx", "start", "end", "is_period", "heading_context", "gap", "raw")))
+    packed = rows.groupBy(key).agg(ordered.alias("items"), *[F.first(n).alias(n) for n in own])
+    places = packed.withColumn("_places", F.transform("items", lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"), p["is_period"].alias("is_period"))))
+    packed = places.withColumn("starts", chunk_starts(F.col("_places"), F.col("_limit")))
+    if other is not None:
+        again = (F.size("starts") < 2) & F.col("_other").isNotNull()
+        packed = packed.withColumn("starts", F.when(again, chunk_starts(F.col("_places"), F.col("_other"))).otherwise(F.col("starts")))
+    cut = F.transform("starts", lambda s, k: F.slice("items", s + 1, F.coalesce(F.get("starts", k + 1), F.size("items")) - s))
+    flat = packed.select(key, "_prefix", *carry, F.size("starts").alias("n_chunks"), F.posexplode(cut).alias("chunk_no", "own"))
+    first, body = F.element_at("own", 1), F.transform("own", lambda p, k: F.when(k == 0, p["raw"]).otherwise(F.concat(p["gap"], p["raw"])))
+    return flat.select(
+        key, F.concat("_prefix", pad_number(F.col("chunk_no") + 1)).alias("chunk_id"), "chunk_no", first["start"].alias("character_start"), F.element_at("own", -1)["end"].alias("character_end"),
+        first["heading_context"].alias("heading_context"), F.array_join(body, "").alias("text"), "n_chunks", *carry,
+    )
+
+
 def chunks(sections: DataFrame, key: str = "doc", text: str = "text", limit: Column | int = MAX_CHARS, prefix: Column | str = "item2-chunk-") -> DataFrame:
     """key, chunk_id, chunk_no, character_start, character_end, heading_context, text; offsets within the section.
 
@@ -79,40 +103,26 @@ def chunks(sections: DataFrame, key: str = "doc", text: str = "text", limit: Col
         raise ValueError(f"a chunk has {MIN_CHARS} characters at least")
     limit = F.lit(limit) if isinstance(limit, int) else limit
     prefix = F.lit(prefix) if isinstance(prefix, str) else prefix
-    rows = with_headings(paragraphs(sections, key, text, carry=(limit.cast("int").alias("_limit"), prefix.alias("_prefix"))), key)
-    ordered = F.array_sort(F.collect_list(F.struct("idx", "start", "end", "is_period", "heading_context", "gap", "raw")))
-    packed = rows.groupBy(key).agg(ordered.alias("items"), F.first("_limit").alias("_limit"), F.first("_prefix").alias("_prefix"))
-    starts = F.transform("items", lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"), p["is_period"].alias("is_period")))
-    packed = packed.withColumn("starts", chunk_starts(starts, F.col("_limit")))
-    cut = F.transform("starts", lambda s, k: F.slice("items", s + 1, F.coalesce(F.get("starts", k + 1), F.size("items")) - s))
-    flat = packed.select(key, "_prefix", F.posexplode(cut).alias("chunk_no", "own"))
-    first, body = F.element_at("own", 1), F.transform("own", lambda p, k: F.when(k == 0, p["raw"]).otherwise(F.concat(p["gap"], p["raw"])))
-    return flat.select(
-        key, F.concat("_prefix", pad_number(F.col("chunk_no") + 1)).alias("chunk_id"), "chunk_no", first["start"].alias("character_start"), F.element_at("own", -1)["end"].alias("character_end"),
-        first["heading_context"].alias("heading_context"), F.array_join(body, "").alias("text"),
-    )
+    return _cut(sections, key, text, limit, prefix, {}).drop("n_chunks")
 
 
 def adaptive_limit(text: Column) -> Column:
     return F.greatest(F.lit(MIN_CHARS), F.floor(F.length(text) / 2)).cast("int")
 
 
-def resplit(parents: DataFrame, key: str = "chunk_key", limit: Column | int = SPLIT_CHARS) -> DataFrame:
+def resplit(parents: DataFrame, key: str = "chunk_key", limit: Column | int = SPLIT_CHARS, other: Column | None = None) -> DataFrame:
     """Children of chunks: ids parent.NNN, offsets within the section; none where a parent wouldn't be cut.
 
-    parents: key, chunk_id, character_start, heading_context, text. A child without headings has its parent's.
+    parents: key (one row each), chunk_id, character_start, heading_context, text. A child without
+    headings has its parent's. Where limit cuts nothing, the limit other is tried, unless it is null.
+    A parent's columns go along with its paragraphs, so parents are made once and join nothing.
     """
     limit = F.lit(limit) if isinstance(limit, int) else limit
-    parts = chunks(parents, key, "text", limit, F.concat("chunk_id", F.lit(".")))
-    many = parts.groupBy(key).count().where("count > 1").select(key)
-    own = parents.select(key, F.col("chunk_id").alias("parent_id"), F.col("character_start").alias("parent_start"), F.col("heading_context").alias("parent_context"))
-    return (
-        parts.join(many, key, "left_semi").join(own, key)
-        .withColumns({
-            "character_start": F.col("character_start") + F.col("parent_start"), "character_end": F.col("character_end") + F.col("parent_start"),
-            "heading_context": F.when(F.size("heading_context") > 0, F.col("heading_context")).otherwise(F.col("parent_context")),
-        })
-        .drop("parent_start", "parent_context")
+    own = {"parent_id": F.col("chunk_id"), "_start": F.col("character_start"), "_context": F.col("heading_context")}
+    parts = _cut(parents, key, "text", limit, F.concat("chunk_id", F.lit(".")), own, other).where("n_chunks > 1")
+    return parts.select(
+        key, "chunk_id", "chunk_no", (F.col("character_start") + F.col("_start")).alias("character_start"), (F.col("character_end") + F.col("_start")).alias("character_end"),
+        F.when(F.size("heading_context") > 0, F.col("heading_context")).otherwise(F.col("_context")).alias("heading_context"), "text", "parent_id",
     )
 
 

@@ -123,10 +123,7 @@ def ask(pending: DataFrame, extractor: Extractor, parallelism: int | None = None
 
 def children_of(parents: DataFrame, split_chars: int = SPLIT_CHARS) -> DataFrame:
     """Children of chunks: cut at split_chars, else, for texts over MIN_CHARS, at half their length."""
-    children = resplit(parents, "chunk_key", split_chars)
-    left = parents.join(children.select("chunk_key").distinct(), "chunk_key", "left_anti").where(F.length("text") > MIN_CHARS)
-    again = resplit(left, "chunk_key", adaptive_limit(F.col("text")))
-    both = children.unionByName(again)
+    both = resplit(parents, "chunk_key", split_chars, F.when(F.length("text") > MIN_CHARS, adaptive_limit(F.col("text"))))
     return both.withColumn("parent_key", F.col("chunk_key")).withColumn("chunk_key", F.concat_ws("/", "chunk_key", "chunk_id"))
 
 

@@ -315,3 +315,31 @@ def test_one_case_of_very_many_candidates(spark):
     got = {(x.p_index, x.e_index) for x in E.greedy_match(df, ("k",)).collect()}
     rows = [(x.p_index, x.e_index, "m", x.score) for x in df.collect()]
     assert got == {(p, e) for p, e, *_ in E.fold(rows)} and len(got) > n // 2
+
+
+def test_resplit_makes_its_parents_once(spark, sf_dir):
+    """Children are cut from their parents' rows: no join, and the table is scanned once."""
+    from foliate.plans import queries as Q
+
+    for query in (Q.split_rounds, Q.chunks_resplit):
+        plan = query(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [") == 1 and "Join" not in plan
+
+
+def test_resplit_takes_the_other_limit_where_the_first_cuts_nothing(spark):
+    part = lambda n: "x" * n
+    texts = {"cut": "\n\n".join(part(600) for _ in range(6)), "half": "\n\n".join((part(700), part(700))), "whole": part(1800), "short": "\n\n".join((part(400), part(400)))}
+    parents = spark.createDataFrame([(k, "c", 10, ["H"], t) for k, t in texts.items()], "chunk_key string, chunk_id string, character_start int, heading_context array<string>, text string")
+    rows = sorted((r["parent_key"], r["chunk_id"], r["character_start"], r["character_end"], r["heading_context"]) for r in X.children_of(parents, 1500).collect())
+    assert rows == [("cut", "c.001", 10, 1212, ["H"]), ("cut", "c.002", 1214, 2416, ["H"]), ("cut", "c.003", 2418, 3620, ["H"]), ("half", "c.001", 10, 710, ["H"]), ("half", "c.002", 712, 1412, ["H"])]
+
+
+def test_paragraph_pattern_equals_the_lazy_one(spark):
+    import itertools
+
+    from foliate.operators.chunks import PARAGRAPH
+
+    texts = [("".join(t),) for n in range(11) for t in itertools.product("a\n", repeat=n)] + [("ab\ncd\n" * 5000 + "\nx\n\ny",)]
+    df = spark.createDataFrame(texts, "t string")
+    found = lambda p: F.concat(F.regexp_extract_all("t", F.lit(p), F.lit(0)), F.split("t", p))
+    assert df.where(found(PARAGRAPH) != found(r"(?s)[^\n](?:.*?[^\n])?(?=\n{2,}|\z)")).count() == 0
