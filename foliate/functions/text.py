@@ -146,6 +146,6 @@ def is_heading(x: Column) -> Column:
     return (
         F.when(x.isin("PART I", "Item 2"), False)
         .when(F.contains(x, F.lit("\n")) | (F.length(x) > 120) | F.regexp_like(x, F.lit(r"[.:;]\z")), False)
-        .when(is_period(x) | ((F.upper(x) == x) & (F.lower(x) != x)), True)
+        .when(is_period(x) | (~F.regexp_like(x, F.lit("[a-z]")) & (F.upper(x) == x) & (F.lower(x) != x)), True)  # case mapping is slow
         .otherwise((F.size(words) <= 8) & (F.length(collapse_space(x)) > 0) & title)
     )
