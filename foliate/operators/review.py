@@ -55,21 +55,28 @@ def first_violation(reviews: DataFrame, proposed: DataFrame, key: str = "doc") -
     reviews: key, ord, claim_index, fingerprint, claim, decision; proposed: key, claim_index, fingerprint, claim.
     Rules, in order: as many reviews as claims; then for each review in turn: index not seen
     before, index in range, claim unchanged, fingerprint right, no longer pending.
+
+    Both sides meet in one exchange, by case, and texts go there as SHA-256 digests.
     """
-    sizes = proposed.groupBy(key).agg(F.count("*").alias("n_claims"))
-    own = reviews.groupBy(key).agg(F.count("*").alias("n_reviews"))
-    p = proposed.select(key, F.col("claim_index"), F.col("fingerprint").alias("p_fingerprint"), F.col("claim").alias("p_claim"))
-    seen = F.row_number().over(W.partitionBy(key, "claim_index").orderBy("ord"))
-    rows = reviews.withColumn("_nth", seen).join(p, [key, "claim_index"], "left").join(sizes, key, "left")
+    short = lambda df, c: F.unhex(sha256(F.col(c))) if df.schema[c].dataType.simpleString() == "string" else F.col(c)
+    same = lambda df: (key, "claim_index", F.struct(short(df, "claim").alias("claim"), short(df, "fingerprint").alias("fingerprint")).alias("said"))
+    own = reviews.select(*same(reviews), F.lit(1).alias("side"), "ord", F.coalesce(F.col("decision") == "pending", F.lit(False)).alias("pending"))
+    rows = own.unionByName(proposed.select(*same(proposed), F.lit(0).alias("side")), allowMissingColumns=True)
+    # The window by case comes first, so that its exchange serves the other one and the aggregate.
+    rows = rows.withColumn("n_claims", F.count_if(F.col("side") == 0).over(W.partitionBy(key)))
+    so_far = W.partitionBy(key, "claim_index").orderBy("side", "ord").rowsBetween(W.unboundedPreceding, 0)
+    meant = F.collect_list(F.when((F.col("side") == 0) & F.col("claim_index").isNotNull(), F.col("said"))).over(so_far)
+    rows = rows.withColumn("nth", F.count_if(F.col("side") == 1).over(so_far)).withColumn("meant", meant)
+    differs = lambda c: F.when(F.size("meant") == 0, F.col(f"said.{c}").isNotNull()).otherwise(F.exists("meant", lambda m: ~m[c].eqNullSafe(F.col(f"said.{c}"))))
     broken = (
-        F.when(F.col("_nth") > 1, "duplicate_index").when(F.col("claim_index") >= F.coalesce("n_claims", F.lit(0)), "index_out_of_range")
-        .when(~F.col("claim").eqNullSafe(F.col("p_claim")), "claim_differs").when(~F.col("fingerprint").eqNullSafe(F.col("p_fingerprint")), "fingerprint_differs")
-        .when(F.col("decision") == "pending", "pending")
+        F.when(F.col("nth") > 1, "duplicate_index").when(F.col("claim_index") >= F.col("n_claims"), "index_out_of_range")
+        .when(differs("claim"), "claim_differs").when(differs("fingerprint"), "fingerprint_differs").when(F.col("pending"), "pending")
     )
-    first = rows.withColumn("_b", broken).where("_b IS NOT NULL").groupBy(key).agg(F.min_by("_b", "ord").alias("row_violation"))
-    cases = sizes.join(own, key, "full").join(first, key, "left")
-    count = F.when(F.coalesce("n_claims", F.lit(0)) != F.coalesce("n_reviews", F.lit(0)), "count_differs")
-    return cases.select(key, F.coalesce(count, F.col("row_violation")).alias("violation"))
+    rows = rows.withColumn("_b", F.when(F.col("side") == 1, broken))
+    cases = rows.groupBy(key).agg(
+        F.count_if(F.col("side") == 0).alias("n_claims"), F.count_if(F.col("side") == 1).alias("n_reviews"), F.min_by("_b", F.when(F.col("_b").isNotNull(), F.col("ord"))).alias("row_violation")
+    )
+    return cases.select(key, F.when(F.col("n_claims") != F.col("n_reviews"), "count_differs").otherwise(F.col("row_violation")).alias("violation"))
 
 
 def decided_claim(decision: Column, proposed: Column, corrected: Column) -> Column:

@@ -343,3 +343,40 @@ def test_paragraph_pattern_equals_the_lazy_one(spark):
     df = spark.createDataFrame(texts, "t string")
     found = lambda p: F.concat(F.regexp_extract_all("t", F.lit(p), F.lit(0)), F.split("t", p))
     assert df.where(found(PARAGRAPH) != found(r"(?s)[^\n](?:.*?[^\n])?(?=\n{2,}|\z)")).count() == 0
+
+
+def test_first_violation_in_one_exchange_equals_brute_force(spark):
+    r = random.Random(4)
+    proposed, reviews, want = [], [], {}
+    for doc in range(80):
+        mine = [(doc, i, f"f{i}", r.choice(("a", "b", None))) for i in range(r.randint(0, 4))]
+        given = [(doc, k, r.choice((i, i, i, i, r.randint(0, 5), None)), r.choice((f, f, f, None)), r.choice((c, c, c, "ab")), r.choice(("accepted", "accepted", "pending", None))) for k, (_, i, f, c) in enumerate(mine)]
+        given = given[: len(given) - (r.random() < 0.1)] if given else [(doc, 0, 0, "f0", None, "accepted")] * (r.random() < 0.3)
+        proposed += mine
+        reviews += given
+        known, seen, verdict = {i: (f, c) for _, i, f, c in mine}, set(), None
+        for _, _, i, f, c, decision in given:
+            meant = known.get(i, (None, None))
+            verdict = verdict or ("duplicate_index" if i in seen else "index_out_of_range" if i is not None and i >= len(mine) else "claim_differs" if c != meant[1] else "fingerprint_differs" if f != meant[0] else "pending" if decision == "pending" else None)
+            seen.add(i)
+        if mine or given:
+            want[doc] = "count_differs" if len(mine) != len(given) else verdict
+    found = R.first_violation(
+        spark.createDataFrame(reviews, "doc long, ord int, claim_index int, fingerprint string, claim string, decision string"), spark.createDataFrame(proposed, "doc long, claim_index int, fingerprint string, claim string")
+    )
+    assert {x["doc"]: x["violation"] for x in found.collect()} == want and len(set(want.values())) == 7
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan.split("Initial Plan")[0] and plan.split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
+
+
+def test_greedy_match_query_matches_cases_in_their_rows(spark, sf_dir, monkeypatch):
+    """No pair is written or shuffled, and of a case only its key and matches come back from Python."""
+    from foliate.plans import queries as Q
+
+    def no(*_):
+        raise AssertionError("a table was written")
+
+    monkeypatch.setattr(E, "materialize", no)
+    found = Q.greedy_match(spark, sf_dir)
+    assert "Window" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count() == Q.evaluation_report(spark, sf_dir).agg(F.sum("matched_claim_count")).first()[0]
