@@ -380,3 +380,15 @@ def test_greedy_match_query_matches_cases_in_their_rows(spark, sf_dir, monkeypat
     found = Q.greedy_match(spark, sf_dir)
     assert "Window" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert found.count() == Q.evaluation_report(spark, sf_dir).agg(F.sum("matched_claim_count")).first()[0]
+
+
+def test_rejected_pairs_compare_no_fields(monkeypatch):
+    """Most pairs that share a key are rejected on span and statement; their fields aren't looked at."""
+    seen, alike = [], E._alike
+    monkeypatch.setattr(E, "_alike", lambda a, b: seen.append((a, b)) or alike(a, b))
+    text = "alpha beta gamma. delta epsilon"
+    p, e = E._Claim(text, 0, "alpha", None, "alpha beta", "m", "v", None), E._Claim(text, 0, "delta", None, "alpha delta zeta", "m", "v", None)
+    assert E.judged(p, e) is None and len(seen) == 1
+    assert E.judged(p, E._Claim(text, 1, "alpha", None, "other", "m", "w", None)) == ("exact_evidence", 1.0, 1.0, 0.0, 0.5)
+    words = ["bb", "a", "ccc", "aa", "b", "abc"]
+    assert E.prefix_tokens(words, 0.5) == sorted(words, key=lambda w: (-len(w), w))[:4]
