@@ -17,17 +17,20 @@ from __future__ import annotations
 import hashlib
 import re
 import uuid
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from foliate.llm.bpe import byte_alphabet
-from foliate.llm.common import discard, materialize, one_thread, prepare, releasing, session_settings, shared_folder, table, text_or_empty
+from foliate.llm.common import ARROW_ROWS, discard, materialize, one_thread, prepare, release_memory, releasing, session_settings, shared_folder, table, text_or_empty
 
 #: Characters of text of a block: bounds a task's memory.
 BLOCK_CHARS = 32 << 20
@@ -38,14 +41,22 @@ _CUT = re.compile(r"(?<=\S)(?= )")
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>\Z")
 #: What a document or a stretch is summed up by.
 COUNTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
+#: Those of them that need no count of pairs.
+KNOWN = COUNTS[:4]
 #: Characters of stretches that are encoded in one string.
 JOINED = 1 << 13
-#: Joins and windows on a stretch reuse its partitioning, and a table's shuffles go once it is written.
-_SETTINGS = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+#: Bytes of stretches that are sent to their blocks at once, each block its own in one row.
+SENT_BYTES = 16 << 20
+#: Rows of an Arrow batch of stretches, which are short; its bytes are bounded too.
+STRETCH_ROWS = 10_000
+#: Joins and windows on a stretch reuse its partitioning, a table's shuffles go once it is written, kinds of rows are written apart without a sort, and lists are collected from rows that the window has sorted.
+_SETTINGS = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.maxConcurrentOutputFileWriters": "2", "spark.sql.execution.useObjectHashAggregateExec": "false"}
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def _write(df: DataFrame, tag: str) -> DataFrame:
-    with session_settings(df.sparkSession, _SETTINGS):
+    rows = {_ROWS: str(STRETCH_ROWS)} if df.sparkSession.conf.get(_ROWS) == str(ARROW_ROWS) else {}
+    with session_settings(df.sparkSession, _SETTINGS | rows):
         return materialize(df, tag)
 
 
@@ -53,7 +64,8 @@ def _write_apart(df: DataFrame, tag: str, by: str, values: tuple[str, ...]) -> l
     """A table written once, and its rows of each value of a column, each in a folder of its own."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/foliate/{tag}-{uuid.uuid4().hex}"
-    df.write.partitionBy(by).parquet(path)
+    with session_settings(spark, _SETTINGS):
+        df.write.partitionBy(by).parquet(path)
     schema = df.drop(by).schema
     there = {r[0] for r in spark.read.schema(df.schema).parquet(path).select(by).distinct().collect()}
     return [spark.read.schema(schema).parquet(f"{path}/{by}={v}") if v in there else spark.createDataFrame([], schema) for v in values]
@@ -171,76 +183,110 @@ def unpacked(data: bytes) -> np.ndarray:
     return out
 
 
+def shut(rows: pa.Table) -> bytes:
+    """Rows as bytes of a compressed Arrow stream: a block's rows travel together, and columns of few values cost little."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def opened(data: pa.Scalar) -> pa.Table:
+    return pa.ipc.open_stream(data.as_buffer()).read_all()
+
+
 def blocks(docs: DataFrame, id_col: str, text_col: str, block_chars: int) -> tuple[DataFrame, DataFrame]:
-    """Documents: block, doc_id and places (packed, of its stretches in the block's list); lists: block, place, stretch."""
-    kind = docs.schema[id_col].dataType.simpleString()
+    """Documents: block, part (numbers its rows) and data (shut: doc_id and places, packed, of its stretches
+    in the block's list) of several documents each; lists: block, place, stretch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, chars = TaskContext.get().partitionId() << 32, 0
-        places: dict[str, int] = {}
-        names = ["block", "doc_id", "places", "place", "stretch"]
+        block, part, chars = TaskContext.get().partitionId() << 32, 0, 0
+        places: defaultdict[str, int] = defaultdict(count().__next__)
+        names = ["of", "block", "part", "data", "place", "stretch"]
 
-        def listed(id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+        def held(ids: pa.Array, own: list[bytes]) -> Iterator[pa.RecordBatch]:
+            data = shut(pa.table({"doc_id": ids, "places": pa.array(own, pa.binary())}))
+            yield pa.RecordBatch.from_arrays([pa.array(["documents"]), pa.array([block]), pa.array([part], pa.int32()), pa.array([data], pa.binary()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.string())], names=names)
+
+        def listed() -> Iterator[pa.RecordBatch]:
             keys = list(places)
             for at in range(0, len(keys), 1 << 16):
-                part = keys[at : at + (1 << 16)]
-                n = len(part)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, block)), pa.nulls(n, id_type), pa.nulls(n, pa.binary()), pa.array(np.arange(at, at + n, dtype=np.int32)), pa.array(part, pa.string())], names=names)
+                own = keys[at : at + (1 << 16)]
+                n = len(own)
+                yield pa.RecordBatch.from_arrays([pa.array(["lists"] * n), pa.array(np.full(n, block)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.array(np.arange(at, at + n, dtype=np.int32)), pa.array(own, pa.string())], names=names)
 
-        id_type = None
         for batch in batches:
-            id_type = batch.column(0).type
-            of, own, closed = [], [], []
-            for text in batch.column(1).to_pylist():
+            first, own = 0, []
+            for k, text in enumerate(batch.column(1).to_pylist()):
                 if chars and chars + len(text) > block_chars:
-                    closed += listed(id_type)
-                    places, block, chars = {}, block + 1, 0
+                    if own:
+                        yield from held(batch.column(0).slice(first, k - first), own)
+                    yield from listed()
+                    places, block, part, chars, first, own = defaultdict(count().__next__), block + 1, 0, 0, k, []
                 chars += len(text)
-                of.append(block)
-                own.append(packed(np.fromiter((places.setdefault(x, len(places)) for x in stretches(text)), dtype=np.int64)))
-            n = len(own)
-            yield pa.RecordBatch.from_arrays([pa.array(of, pa.int64()), batch.column(0), pa.array(own, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.string())], names=names)
-            yield from closed
+                own.append(packed(np.fromiter(map(places.__getitem__, stretches(text)), dtype=np.int64)))
+            if own:
+                yield from held(batch.column(0).slice(first), own)
+                part += 1
         if places:
-            yield from listed(id_type)
+            yield from listed()
 
     source = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
-    made = source.mapInArrow(releasing(run), f"block long, doc_id {kind}, places binary, place int, stretch string")
-    held, listed = _write_apart(made.withColumn("of", F.when(F.col("place").isNull(), "documents").otherwise("lists")), "alignment-blocks", "of", ("documents", "lists"))
-    return held.select("block", "doc_id", "places"), listed.select("block", "place", "stretch")
+    made = source.mapInArrow(releasing(run), "of string, block long, part int, data binary, place int, stretch string")
+    held, listed = _write_apart(made, "alignment-blocks", "of", ("documents", "lists"))
+    return held.select("block", "part", "data"), listed.select("block", "place", "stretch")
 
 
-def tokenized(distinct: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
-    """sid, stretch, sound (whether both sides' bytes are the stretch's) and a, a_len, b, b_len of distinct stretches."""
-    lists = ("a", "a_len", "b", "b_len")
+def tokenized(lists: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
+    """Of each distinct stretch: sid, blocks and places (where it is listed), and tokens and ends: A's ids,
+    then B's as -1 - id, each with the place of its last byte; both null where a side's bytes aren't the stretch's.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = load(byte_path, piece_path)
-        for batch in batches:
-            sound, ids, sizes = pair.encode(batch.column(1).to_pylist())
-            columns = []
-            for own, size, lengths in zip(ids, sizes, (pair.a_lengths, pair.b_lengths), strict=True):
-                ends = pa.array(np.concatenate(([0], np.cumsum(size))).astype(np.int32))
-                columns += [pa.ListArray.from_arrays(ends, pa.array(own)), pa.ListArray.from_arrays(ends, pa.array(lengths[own]))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sound), *columns], names=["sid", "stretch", "sound", *lists])
-
-    numbered = distinct.withColumn("sid", F.monotonically_increasing_id()).select("sid", "stretch")
-    return _write(numbered.mapInArrow(releasing(run), "sid long, stretch string, sound boolean, " + ", ".join(f"{c} array<int>" for c in lists)), "alignment-tokens")
+        number = TaskContext.get().partitionId() << 40
 
+        def encoded(rows: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
+            nonlocal number
+            n = len(starts)
+            sound, ids, sizes = pair.encode(rows.column("stretch").take(pa.array(starts)).to_pylist())
+            ends = []
+            for own, size, lengths in zip(ids, sizes, (pair.a_lengths, pair.b_lengths), strict=True):
+                total = np.concatenate(([0], np.cumsum(lengths[own], dtype=np.int64)))
+                last = np.cumsum(size)
+                ends.append(total[1:] - np.repeat(total[last - size], size))
+            size = sizes[0] + sizes[1]
+            order = np.argsort(np.concatenate([np.repeat(np.arange(n), s) for s in sizes]), kind="stable")
+            at = pa.array(np.concatenate(([0], np.cumsum(size))).astype(np.int32), mask=np.append(~sound, False))
+            columns = [pa.array(np.arange(number, number + n))]
+            runs = pa.array(np.append(starts, rows.num_rows).astype(np.int32))
+            columns += [pa.ListArray.from_arrays(runs, rows.column(c).combine_chunks()) for c in ("block", "place")]
+            columns += [pa.ListArray.from_arrays(at, pa.array(np.concatenate(x)[order].astype(np.int32))) for x in ((ids[0], -1 - ids[1]), ends)]
+            number += n
+            return pa.RecordBatch.from_arrays(columns, names=["sid", "blocks", "places", "tokens", "ends"])
+
+        rest: list[pa.RecordBatch] = []  # rows of the last stretch, which the next batch may go on with
+        for batch in batches:
+            rows = pa.Table.from_batches([*rest, batch]).combine_chunks()
+            own = rows.column("stretch").chunk(0)
+            starts = np.concatenate(([0], 1 + np.flatnonzero(pc.not_equal(own.slice(1), own.slice(0, len(own) - 1)).to_numpy(zero_copy_only=False))))
+            if len(starts) > 1:
+                yield encoded(rows.slice(0, starts[-1]), starts[:-1])
+            rest = rows.slice(starts[-1]).to_batches()
+        if rest:
+            yield encoded(pa.Table.from_batches(rest), np.zeros(1, dtype=np.int64))
 
-def token_ends(tokens: DataFrame, ids: str, lengths: str, key: str = "sid") -> DataFrame:
-    """key, id and end of every token: ends are running sums of the lengths."""
-    rows = tokens.select(key, F.posexplode(F.arrays_zip(F.col(ids).alias("id"), F.col(lengths).alias("len"))).alias("pos", "t"))
-    end = F.sum("t.len").over(W.partitionBy(key).orderBy("pos").rowsBetween(W.unboundedPreceding, 0))
-    return rows.select(key, F.col("t.id").alias(ids), end.alias("end"))
+    equal = lists.select("stretch", "block", "place").repartition("stretch").sortWithinPartitions("stretch")
+    return _write(equal.mapInArrow(releasing(run), "sid long, blocks array<long>, places array<int>, tokens array<int>, ends array<int>"), "alignment-tokens")
 
 
 def groups(tokens: DataFrame, key: str = "sid") -> DataFrame:
     """key, g, a and b: the ids of both sides in each group between places where both have an end."""
-    both = token_ends(tokens, "a", "a_len", key).join(token_ends(tokens, "b", "b_len", key), [key, "end"], "full")
+    rows = tokens.select(key, F.explode(F.arrays_zip("tokens", "ends")).alias("t")).select(key, F.col("t.ends").alias("end"), F.col("t.tokens").alias("token"))
+    both = rows.groupBy(key, "end").agg(F.max(F.when(F.col("token") >= 0, F.col("token"))).alias("a"), F.max(F.when(F.col("token") < 0, -1 - F.col("token"))).alias("b"))
     cuts = F.count_if(F.col("a").isNotNull() & F.col("b").isNotNull())
     numbered = both.withColumn("g", F.coalesce(cuts.over(W.partitionBy(key).orderBy("end").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    side = lambda c: F.transform(F.array_sort(F.collect_list(F.when(F.col(c).isNotNull(), F.struct("end", c)))), lambda x: x[c]).alias(c)
+    side = lambda c: F.sort_array(F.collect_list(F.when(F.col(c).isNotNull(), F.struct("end", c))))[c].alias(c)
     return numbered.groupBy(key, "g").agg(side("a"), side("b"))
 
 
@@ -252,57 +298,147 @@ def aligned(tokens: DataFrame, width: int, kind: str, key: str = "sid") -> DataF
     found = groups(tokens, key)
     text = F.concat(F.array_join(F.col("a").cast("array<string>"), ","), F.lit("|"), F.array_join(F.col("b").cast("array<string>"), ","))
     times = lambda c, x: F.when(F.size(c) == 1, F.lit(1)).otherwise(F.size(F.filter(c, lambda y: y == x)))
-    pairs = F.flatten(F.transform(F.array_distinct("a"), lambda a: F.transform(F.array_distinct("b"), lambda b: F.struct((a.cast(kind) * width + b).cast(kind).alias("pair"), (times("a", a).cast("long") * times("b", b)).alias("times")))))
+    pair = lambda a, b, n: F.struct((a.cast(kind) * width + b).cast(kind).alias("pair"), n.cast("long").alias("times"))
+    several = F.flatten(F.transform(F.array_distinct("a"), lambda a: F.transform(F.array_distinct("b"), lambda b: pair(a, b, times("a", a).cast("long") * times("b", b)))))
+    pairs = F.when((F.size("a") == 1) & (F.size("b") == 1), F.array(pair(F.col("a")[0], F.col("b")[0], F.lit(1)))).otherwise(several)
     rows = found.select(key, "g", text.alias("text"), F.size("a").cast("long").alias("na"), F.size("b").cast("long").alias("nb"), pairs.alias("pairs"))
     return rows.groupBy(key).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("g", "text"))), lambda x: x["text"]), ";").alias("groups"), F.sum("na").alias("n_a"), F.sum("nb").alias("n_b"), F.count("*").alias("n_groups"),
+        F.array_join(F.sort_array(F.collect_list(F.struct("g", "text")))["text"], ";").alias("groups"), F.sum("na").alias("n_a"), F.sum("nb").alias("n_b"), F.count("*").alias("n_groups"),
         F.sum(F.col("na") * F.col("nb")).alias("n_links"), F.flatten(F.collect_list("pairs")).alias("pairs"),
     )
 
 
-def _sorted(rows: pa.Table) -> pa.Table:
-    return rows.sort_by("place").combine_chunks()
-
-
-def _places(docs: pa.Table) -> Iterator[np.ndarray]:
-    for chunk in docs.column("places").chunks:
-        for x in chunk:
-            yield unpacked(x.as_py())
+def for_blocks(found: DataFrame) -> DataFrame:
+    """block and data (shut: place, and found's other columns) from rows with their blocks and places."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            lists = rows.column("blocks").chunk(0)
+            of, own = pc.list_parent_indices(lists).to_numpy(), lists.flatten().to_numpy()
+            place = rows.column("places").chunk(0).flatten().to_numpy()
+            rest = rows.drop_columns(["blocks", "places"])
+            order = np.argsort(own, kind="stable")
+            for at in np.split(order, 1 + np.flatnonzero(np.diff(own[order]))):
+                data = shut(rest.take(pa.array(of[at])).append_column("place", pa.array(place[at])))
+                yield pa.RecordBatch.from_arrays([pa.array(own[at[:1]]), pa.array([data], pa.binary())], names=["block", "data"])
 
-def _count_pairs(docs: pa.Table, rows: pa.Table) -> pa.Table:
-    """pair and the number of this block's documents that hold it."""
-    if not rows.num_rows:
-        return pa.table({"pair": pa.array([], rows.schema.field("pairs").type.value_type), "docs": pa.array([], pa.int64())})
-    rows = _sorted(rows)
-    lists = rows.column("pairs").chunk(0)
-    sound = rows.column("sound").to_numpy()
-    sizes = np.diff(lists.offsets.to_numpy())
-    first = np.concatenate(([0], np.cumsum(sizes)))
-    keys, own = np.unique(lists.flatten().to_numpy(), return_inverse=True)
-    counts = np.zeros(len(keys), dtype=np.int64)
-    for at in _places(docs):
-        at = np.unique(at)
-        if len(at) and sound[at].all():
+        for batch in batches:
+            held.append(batch)
+            size += batch.nbytes
+            if size >= SENT_BYTES:
+                yield from sent()
+                held, size = [], 0
+        if size:
+            yield from sent()
+
+    return found.mapInArrow(releasing(run), "block long, data binary")
+
+
+def _parts(docs: pa.Table) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+    """A block's documents, several at once, the places of all their stretches, and where each document's begin and the last end."""
+    for data in docs.sort_by("part").column("data"):
+        part = opened(data)
+        lists = part.column("places").combine_chunks()
+        joined = b"".join(lists.to_pylist())
+        ends = np.concatenate(([0], np.cumsum(pc.binary_length(lists).to_numpy())))
+        ended = np.concatenate(([0], np.cumsum(np.frombuffer(joined, dtype=np.uint8) < 128)))
+        yield part, unpacked(joined), ended[ends]
+
+
+def _once(values: np.ndarray, stamp: np.ndarray) -> np.ndarray:
+    """Each of the values once; stamp has room for the largest and any content."""
+    at = np.arange(len(values))
+    stamp[values] = at
+    return values[stamp[values] == at]
+
+
+def _gather(docs: pa.Table, rows: pa.Table, kind: pa.DataType) -> pa.Table:
+    """A block's pairs with a number and how many of its documents hold them, and its book (shut): by document
+    what can be said before pairs are counted corpus-wide, by place the numbers of its pairs and their times.
+    """
+    _loaded.clear()  # workers that have encoded go on here
+    release_memory()
+    block = docs.column("block")[0].as_py()
+    empty = {"place": pa.int32(), "groups": pa.string(), **{c: pa.int64() for c in KNOWN}, "pairs": pa.list_(kind), "times": pa.list_(pa.int64())}
+    parts = [opened(x) for x in rows.column("data")]
+    rows = pa.concat_tables(parts or [pa.schema(list(empty.items())).empty_table()])
+    row = np.zeros(rows.num_rows, dtype=np.int32)  # of each place
+    row[rows.column("place").to_numpy()] = np.arange(rows.num_rows, dtype=np.int32)
+    texts = rows.column("groups").combine_chunks().take(pa.array(row))
+    sound = texts.is_valid().to_numpy(zero_copy_only=False)
+    values = [np.append(pc.fill_null(rows.column(c), 0).to_numpy()[row], 0) for c in KNOWN]
+    sizes = pc.fill_null(pc.list_value_length(rows.column("pairs")), 0).to_numpy().astype(np.int64)
+    first = (np.cumsum(sizes) - sizes)[row]
+    sizes = sizes[row]
+    inside = (np.arange(sizes.sum()) + np.repeat(first - np.cumsum(sizes) + sizes, sizes)).astype(np.int32)
+    listed = pc.list_flatten(rows.column("pairs")).combine_chunks().dictionary_encode()
+    keys, own = listed.dictionary, listed.indices.to_numpy()[inside]
+    times = pc.list_flatten(rows.column("times")).to_numpy()[inside]
+    first = np.cumsum(sizes) - sizes
+    del parts, rows, inside, listed
+    held = np.zeros(len(keys), dtype=np.int64)
+    stamps = np.zeros(len(sizes), dtype=np.int64), np.zeros(len(keys), dtype=np.int64)
+    sums: list[list[np.ndarray]] = [[] for _ in KNOWN]
+    said = []
+    for _, places, ends in _parts(docs):
+        n = np.diff(ends)
+        good = (n > 0) & (np.diff(np.concatenate(([0], np.cumsum(~sound[places])))[ends]) == 0)
+        for known, value in zip(sums, values, strict=True):
+            known.append(np.where(good, np.diff(np.concatenate(([0], np.cumsum(value[places])))[ends]), 0))
+        for k, (begin, end) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
+            if not good[k]:
+                said.append("")
+                continue
+            at = places[begin:end]
+            text = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(at)], pa.int32()), texts.take(pa.array(at))), ";")
+            said.append(hashlib.sha256(text.buffers()[2]).hexdigest())
+            at = _once(at, stamps[0])
             n = sizes[at]
-            inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            counts[np.unique(own[np.repeat(first[at], n) + inside])] += 1
-    there = counts > 0
-    return pa.table({"pair": pa.array(keys[there], lists.type.value_type), "docs": pa.array(counts[there])})
+            held[_once(own[np.arange(n.sum()) + np.repeat(first[at] - np.cumsum(n) + n, n)], stamps[1])] += 1
+    by_document = pa.table({**{c: pa.array(np.concatenate(v)) for c, v in zip(KNOWN, sums, strict=True)}, "groups_sha256": pa.array(said, pa.string())})
+    by_place = pa.table({"size": pa.array(sizes.astype(np.int32))})
+    by_pair = pa.table({"number": pa.array(own), "times": pa.array(times)})
+    used = np.flatnonzero(held)
+    n = len(used)
+    book = pa.array([None] * n + [shut(x) for x in (by_document, by_place, by_pair)], pa.binary())
+    number = pa.array(np.concatenate((used, np.arange(3))).astype(np.int32))
+    return pa.table({
+        "of": pa.array(["pairs"] * n + ["books"] * 3), "block": pa.array(np.full(n + 3, block)), "number": number, "pair": pa.concat_arrays([keys.take(pa.array(used)), pa.nulls(3, kind)]),
+        "docs": pa.concat_arrays([pa.array(held[used]), pa.nulls(3, pa.int64())]), "data": book,
+    })
 
 
 def _assemble(docs: pa.Table, rows: pa.Table) -> pa.Table:
-    """The documents of a block from its stretches: sums and the text of all groups."""
-    rows = _sorted(rows)
-    texts, sound = np.array(rows.column("groups").to_pylist(), dtype=object), rows.column("sound").to_numpy(zero_copy_only=False)
-    values = np.array([rows.column(c).to_numpy() for c in COUNTS], dtype=np.int64).reshape(len(COUNTS), -1)
-    sums, said = [], []
-    for at in _places(docs):
-        good = len(at) > 0 and bool(sound[at].all())
-        sums.append(values[:, at].sum(axis=1) if good else np.zeros(len(COUNTS), dtype=np.int64))
-        said.append(hashlib.sha256(";".join(texts[at].tolist()).encode()).hexdigest() if good else "")
-    columns = np.array(sums, dtype=np.int64).reshape(-1, len(COUNTS)).T
-    return pa.table({"doc_id": docs.column("doc_id"), **{c: pa.array(v) for c, v in zip(COUNTS, columns, strict=True)}, "groups_sha256": pa.array(said, pa.string())})
+    """The documents of a block from its book and its pairs' corpus-wide counts."""
+    there = rows.column("data").is_valid()
+    by_document, by_place, by_pair = (opened(x) for x in rows.filter(there).sort_by("number").column("data"))
+    counted = rows.filter(pc.invert(there))
+    number, times = by_pair.column("number").to_numpy(), by_pair.column("times").to_numpy()
+    last = np.cumsum(by_place.column("size").to_numpy(), dtype=np.int64)
+    first = np.concatenate(([0], last[:-1])) if len(last) else last
+    good = by_document.column("n_groups").to_numpy() > 0
+    sums: dict[str, list[np.ndarray]] = {"n_best": [], "count_sum": []}
+    scores = {}
+    for name, column in (("n_best", "best"), ("count_sum", "docs")):
+        weight = np.zeros(int(number.max(initial=-1)) + 1, dtype=np.int64)
+        weight[counted.column("number").to_numpy()] = counted.column(column).to_numpy()
+        total = np.concatenate(([0], np.cumsum(times * weight[number])))
+        scores[name] = total[last] - total[first]
+    ids = []
+    for part, places, ends in _parts(docs):
+        ids.append(part.select(["doc_id"]))
+        for name, score in scores.items():
+            total = np.concatenate(([0], np.cumsum(score[places])))
+            sums[name].append(np.diff(total[ends]))
+    out = pa.concat_tables(ids).append_column("n_best", pa.array(np.where(good, np.concatenate(sums["n_best"]), 0)))
+    out = out.append_column("count_sum", pa.array(np.where(good, np.concatenate(sums["count_sum"]), 0)))
+    for name in (*KNOWN, "groups_sha256"):
+        out = out.append_column(name, by_document.column(name))
+    return out.select(["doc_id", *COUNTS, "groups_sha256"])
 
 
 def align(docs: DataFrame, byte_path: str, piece_path: str, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS) -> tuple[DataFrame, DataFrame]:
@@ -319,25 +455,26 @@ def align(docs: DataFrame, byte_path: str, piece_path: str, id_col: str = "doc_i
     width = len(pair.b_bytes)
     small = "int" if len(pair.a_lengths) * width < 1 << 31 else "long"  # a pair's number
     held, lists = blocks(docs, id_col, text_col, block_chars)
-    tokens = tokenized(lists.select("stretch").distinct(), byte_path, piece_path)
-    own = _write(aligned(tokens.where("sound").select("sid", "a", "a_len", "b", "b_len").repartition("sid"), width, small), "alignment-stretches")
-    listed = _write(lists.join(tokens.select("sid", "stretch", "sound"), "stretch").select("block", "place", "sid", "sound"), "alignment-places")
-
-    for table_ in (tokens, lists):  # all later tables are made from those written since
-        discard(table_)
-
-    pairs = listed.join(own.select("sid", F.transform("pairs", lambda p: p["pair"]).alias("pairs")), "sid", "left")
-    pairs = pairs.select("block", "place", F.col("sound").cast("byte").alias("sound"), F.coalesce("pairs", F.array().cast(f"array<{small}>")).alias("pairs"))
-    counted = held.select("block", "places").groupBy("block").cogroup(pairs.groupBy("block")).applyInArrow(_count_pairs, f"pair {small}, docs long")
-    counts = _write(counted.groupBy("pair").agg(F.sum("docs").alias("docs")), "alignment-counts")
+    tokens = tokenized(lists, byte_path, piece_path)
+    discard(lists)
+    own = aligned(tokens.where("tokens is not null").select("sid", "tokens", "ends").repartition("sid"), width, small)
+    found = tokens.select("sid", "blocks", "places").join(own, "sid", "left")
+    found = found.select("blocks", "places", "groups", *KNOWN, F.col("pairs.pair").alias("pairs"), F.col("pairs.times").alias("times"))
+    sent = _write(for_blocks(found), "alignment-stretches")
+    discard(tokens)
+
+    arrow = pa.int32() if small == "int" else pa.int64()
+    gathered = held.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(lambda d, r: _gather(d, r, arrow), f"of string, block long, number int, pair {small}, docs long, data binary")
+    pairs, books = _write_apart(gathered, "alignment-books", "of", ("pairs", "books"))
+    discard(sent)
+
+    counts = _write(pairs.groupBy("pair").agg(F.sum("docs").alias("docs")), "alignment-counts")
     a = F.floor(F.col("pair") / width).cast("int")
     top = counts.groupBy(a.alias("a")).agg(F.max("docs").alias("top"))
     links = counts.withColumn("a", a).join(top, "a").select("pair", "a", F.pmod("pair", F.lit(width)).cast("int").alias("b"), "docs", (F.col("docs") == F.col("top")).alias("best"))
 
-    scored = own.select("sid", F.explode("pairs").alias("p")).select("sid", "p.pair", "p.times").join(links.select("pair", "docs", "best"), "pair")
-    scored = _write(scored.groupBy("sid").agg(F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"), F.sum(F.col("times") * F.col("docs")).alias("count_sum")), "alignment-scores")
-    whole = own.drop("pairs").join(scored, "sid", "left")
-    rows = listed.join(whole, "sid", "left").select("block", "place", F.coalesce("sound", F.lit(False)).alias("sound"), F.coalesce("groups", F.lit("")).alias("groups"), *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in COUNTS])
+    known = pairs.select("block", "number", "pair").join(links.select("pair", "docs", F.col("best").cast("long").alias("best")), "pair").select("block", "number", "docs", "best", F.lit(None).cast("binary").alias("data"))
+    rows = known.unionByName(books.select("block", "number", "data"), allowMissingColumns=True)
     out = held.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(_assemble, f"doc_id {kind}, " + ", ".join(f"{c} long" for c in COUNTS) + ", groups_sha256 string")
     return out, links.drop("pair")
 

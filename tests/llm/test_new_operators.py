@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import pathlib
 import random
 import zlib
 
@@ -76,6 +77,21 @@ def test_alignment_of_the_table_matches_brute_force(spark, sf_dir):
     assert got == dict(zip([r.doc_id for r in rows], aligned_by_brute_force([r.text for r in rows])[0], strict=True))
 
 
+def test_no_row_of_the_last_passes_stands_for_a_stretch(spark, sf_dir):
+    """What blocks fetch goes in few rows, so that disk doesn't hold a row for each stretch of each block."""
+    from foliate.sources.shared import shared_folder
+
+    folder = pathlib.Path(shared_folder(spark).removeprefix("file://")) / "foliate"
+    before = set(folder.glob("alignment-*"))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    out, links = alignment.align(docs, *FILES)
+    assert out.count() == docs.count() and links.count()
+    distinct = len({s for r in docs.select("text").collect() for s in alignment.stretches(r.text or "")})
+    rows = {p: spark.read.parquet(str(p)).count() for p in set(folder.glob("alignment-*")) - before}
+    assert rows
+    assert sum(n for p, n in rows.items() if not p.name.startswith(("alignment-counts", "alignment-books"))) < distinct / 4
+
+
 def test_alignment_of_an_empty_table(spark):
     out, links = alignment.align(spark.createDataFrame([], "doc_id long, text string"), *FILES)
     assert out.count() == 0 and links.count() == 0
