@@ -1,15 +1,16 @@
 """Alignment of two tokenizers' tokens by their byte ranges, corpus-wide.
 
 Neither vocabulary merges across a space that follows a non-space, so a text is a row of stretches
-that are aligned each for itself, and each distinct one once. Of every distinct stretch both token
-lists are exploded, running sums of their lengths are the tokens' ends, and an equi-join on stretch
-and end finds the places where both end: these cut it into groups, numbered by a running count of
-the cuts before a token. A group links all its A tokens with all its B tokens.
+that are aligned each for itself, and each distinct one once. Of every distinct stretch both sides'
+tokens are exploded with their ends, those that end at one place meet by grouping on stretch and end,
+and a running count of the places where both end numbers the groups. A group links all its A tokens
+with all its B tokens.
 
 Documents are gathered in blocks of BLOCK_CHARS characters with a list of their stretches, as
-places in it; a text beyond that is a block of its own. Blocks fetch what their stretches have by
-joins, so no row repeats it for a document: first the id pairs, which are counted once a document,
-then, with the corpus-wide counts, the sums.
+places in it; a text beyond that is a block of its own. A block fetches the tokens of its stretches,
+in groups, in a few compressed rows, and no row repeats them for a document. It gives its documents'
+sums and texts of groups and its pairs, which are counted once a document; their corpus-wide counts
+come back to the block for the last sums.
 """
 
 from __future__ import annotations
@@ -281,35 +282,27 @@ def tokenized(lists: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
 
 
 def groups(tokens: DataFrame, key: str = "sid") -> DataFrame:
-    """key, g, a and b: the ids of both sides in each group between places where both have an end."""
+    """key and found: end, g, a and b of each place where a token ends, in order; g numbers the groups
+    between places where tokens of both sides end, a and b are the ids of the tokens that end there.
+    """
     rows = tokens.select(key, F.explode(F.arrays_zip("tokens", "ends")).alias("t")).select(key, F.col("t.ends").alias("end"), F.col("t.tokens").alias("token"))
     both = rows.groupBy(key, "end").agg(F.max(F.when(F.col("token") >= 0, F.col("token"))).alias("a"), F.max(F.when(F.col("token") < 0, -1 - F.col("token"))).alias("b"))
     cuts = F.count_if(F.col("a").isNotNull() & F.col("b").isNotNull())
-    numbered = both.withColumn("g", F.coalesce(cuts.over(W.partitionBy(key).orderBy("end").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    side = lambda c: F.sort_array(F.collect_list(F.when(F.col(c).isNotNull(), F.struct("end", c))))[c].alias(c)
-    return numbered.groupBy(key, "g").agg(side("a"), side("b"))
-
+    numbered = both.withColumn("g", F.coalesce(cuts.over(W.partitionBy(key).orderBy("end").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).cast("int"))
+    return numbered.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("end", "g", "a", "b"))).alias("found"))
 
-def aligned(tokens: DataFrame, width: int, kind: str, key: str = "sid") -> DataFrame:
-    """key, text of the groups, n_a, n_b, n_groups, n_links and pairs (array of pair and times) of each stretch.
 
-    A pair is a * width + b, of that kind. Ids that repeat in a group are counted and not multiplied out.
-    """
-    found = groups(tokens, key)
-    text = F.concat(F.array_join(F.col("a").cast("array<string>"), ","), F.lit("|"), F.array_join(F.col("b").cast("array<string>"), ","))
-    times = lambda c, x: F.when(F.size(c) == 1, F.lit(1)).otherwise(F.size(F.filter(c, lambda y: y == x)))
-    pair = lambda a, b, n: F.struct((a.cast(kind) * width + b).cast(kind).alias("pair"), n.cast("long").alias("times"))
-    several = F.flatten(F.transform(F.array_distinct("a"), lambda a: F.transform(F.array_distinct("b"), lambda b: pair(a, b, times("a", a).cast("long") * times("b", b)))))
-    pairs = F.when((F.size("a") == 1) & (F.size("b") == 1), F.array(pair(F.col("a")[0], F.col("b")[0], F.lit(1)))).otherwise(several)
-    rows = found.select(key, "g", text.alias("text"), F.size("a").cast("long").alias("na"), F.size("b").cast("long").alias("nb"), pairs.alias("pairs"))
-    return rows.groupBy(key).agg(
-        F.array_join(F.sort_array(F.collect_list(F.struct("g", "text")))["text"], ";").alias("groups"), F.sum("na").alias("n_a"), F.sum("nb").alias("n_b"), F.count("*").alias("n_groups"),
-        F.sum(F.col("na") * F.col("nb")).alias("n_links"), F.flatten(F.collect_list("pairs")).alias("pairs"),
-    )
+def _spans(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers from each first on, size of them, one after the other."""
+    return np.arange(size.sum()) + np.repeat(first - np.cumsum(size) + size, size)
 
 
 def for_blocks(found: DataFrame) -> DataFrame:
-    """block and data (shut: place, and found's other columns) from rows with their blocks and places."""
+    """block and data (shut: places, sizes and tokens) from blocks, places and found (null: unsound, size -1).
+
+    Tokens go as 2 * id for A and 2 * id + 1 for B, group by group and A first, so a group starts where
+    A follows B. They are cut in two halves of 16 bits, of which the high one costs little.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -317,13 +310,25 @@ def for_blocks(found: DataFrame) -> DataFrame:
 
         def sent() -> Iterator[pa.RecordBatch]:
             rows = pa.Table.from_batches(held).combine_chunks()
-            lists = rows.column("blocks").chunk(0)
+            lists, ends = rows.column("blocks").chunk(0), rows.column("found").chunk(0)
+            g, a, b = (ends.flatten().field(c) for c in ("g", "a", "b"))
+            n = pc.fill_null(pc.list_value_length(ends), 0).to_numpy().astype(np.int64)
+            stretch, g = np.repeat(np.arange(len(n)), n), g.to_numpy().astype(np.int64)
+            new = np.append(True, (stretch[1:] != stretch[:-1]) | (g[1:] != g[:-1]))[: len(g)]
+            group = np.cumsum(new)
+            sides = [(x.is_valid().to_numpy(zero_copy_only=False), pc.fill_null(x, 0).to_numpy().astype(np.int64)) for x in (a, b)]
+            order = np.argsort(np.concatenate([2 * group[there] + k for k, (there, _) in enumerate(sides)]), kind="stable")
+            tokens = np.concatenate([2 * x[there] + k for k, (there, x) in enumerate(sides)])[order]
+            sizes = np.bincount(np.concatenate([stretch[there] for there, _ in sides]), minlength=len(n))
+            first = np.cumsum(sizes) - sizes
+            said = np.where(ends.is_valid().to_numpy(zero_copy_only=False), sizes, -1)
             of, own = pc.list_parent_indices(lists).to_numpy(), lists.flatten().to_numpy()
             place = rows.column("places").chunk(0).flatten().to_numpy()
-            rest = rows.drop_columns(["blocks", "places"])
-            order = np.argsort(own, kind="stable")
-            for at in np.split(order, 1 + np.flatnonzero(np.diff(own[order]))):
-                data = shut(rest.take(pa.array(of[at])).append_column("place", pa.array(place[at])))
+            by = np.argsort(own, kind="stable")
+            for at in np.split(by, 1 + np.flatnonzero(np.diff(own[by]))):
+                mine = tokens[_spans(first[of[at]], sizes[of[at]])]
+                columns = {"place": place[at], "size": said[of[at]].astype(np.int32), "low": (mine & 0xFFFF).astype(np.uint16), "high": (mine >> 16).astype(np.uint16)}
+                data = shut(pa.table({c: pa.array([v]) for c, v in columns.items()}))
                 yield pa.RecordBatch.from_arrays([pa.array(own[at[:1]]), pa.array([data], pa.binary())], names=["block", "data"])
 
         for batch in batches:
@@ -338,6 +343,47 @@ def for_blocks(found: DataFrame) -> DataFrame:
     return found.mapInArrow(releasing(run), "block long, data binary")
 
 
+def linked(group: np.ndarray, side: np.ndarray, ids: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of tokens, group by group: each group's pairs (a * width + b), times and group, by group.
+
+    Ids that repeat in a group are counted and not multiplied out.
+    """
+    n = np.bincount(group)
+    alone = n[group] == 2  # one of each side
+    a, b = alone & (side == 0), alone & (side == 1)
+    found = [(ids[a] * width + ids[b], np.ones(int(a.sum()), dtype=np.int64), group[a])]
+    if not alone.all():
+        most = int(ids.max()) + 1
+        parts = [np.unique(group[x] * most + ids[x], return_counts=True) for x in (~alone & (side == k) for k in (0, 1))]
+        (own, own_times), (other, other_times) = parts
+        size = np.bincount(other // most, minlength=len(n))
+        first = np.cumsum(size) - size
+        of = own // most
+        at, met = np.repeat(np.arange(len(own)), size[of]), _spans(first[of], size[of])
+        found.append(((own % most)[at] * width + (other % most)[met], own_times[at] * other_times[met], of[at]))
+    pairs, times, groups_ = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.argsort(groups_, kind="stable")
+    return pairs[order], times[order], groups_[order]
+
+
+def _read(data: pa.Scalar, width: int, said: pa.Array) -> tuple[np.ndarray, ...]:
+    """Of a row of for_blocks: places, whether sound, text of the groups (each behind ';'), KNOWN, numbers of pairs; pairs and times."""
+    place, size, low, high = (opened(data).column(c).combine_chunks().flatten().to_numpy() for c in ("place", "size", "low", "high"))
+    n = np.maximum(size, 0).astype(np.int64)
+    tokens = low.astype(np.int64) + (high.astype(np.int64) << 16)
+    ids, side, stretch = tokens >> 1, tokens & 1, np.repeat(np.arange(len(n)), n)
+    starts = np.append(True, (side[1:] < side[:-1]) | (stretch[1:] != stretch[:-1]))[: len(side)]
+    turns = np.append(False, side[1:] > side[:-1])[: len(side)] & ~starts
+    group = np.cumsum(starts) - 1
+    pieces = said.take(pa.array(3 * ids + np.where(starts, 0, np.where(turns, 1, 2))))
+    texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)).astype(np.int32)), pieces), "")
+    of = stretch[starts]
+    na, nb = (np.bincount(group[side == k], minlength=len(of)) for k in (0, 1))
+    count_by = lambda x: np.bincount(of, weights=x, minlength=len(n)).astype(np.int64)
+    pairs, times, by = linked(group, side, ids, width) if len(ids) else (ids, ids, ids)
+    return place, size >= 0, texts, np.array([count_by(na), count_by(nb), np.bincount(of, minlength=len(n)), count_by(na * nb)]), np.bincount(of[by], minlength=len(n)), pairs, times
+
+
 def _parts(docs: pa.Table) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
     """A block's documents, several at once, the places of all their stretches, and where each document's begin and the last end."""
     for data in docs.sort_by("part").column("data"):
@@ -356,30 +402,31 @@ def _once(values: np.ndarray, stamp: np.ndarray) -> np.ndarray:
     return values[stamp[values] == at]
 
 
-def _gather(docs: pa.Table, rows: pa.Table, kind: pa.DataType) -> pa.Table:
+def _gather(docs: pa.Table, rows: pa.Table, width: int, ids: int, kind: pa.DataType) -> pa.Table:
     """A block's pairs with a number and how many of its documents hold them, and its book (shut): by document
     what can be said before pairs are counted corpus-wide, by place the numbers of its pairs and their times.
     """
     _loaded.clear()  # workers that have encoded go on here
     release_memory()
     block = docs.column("block")[0].as_py()
-    empty = {"place": pa.int32(), "groups": pa.string(), **{c: pa.int64() for c in KNOWN}, "pairs": pa.list_(kind), "times": pa.list_(pa.int64())}
-    parts = [opened(x) for x in rows.column("data")]
-    rows = pa.concat_tables(parts or [pa.schema(list(empty.items())).empty_table()])
-    row = np.zeros(rows.num_rows, dtype=np.int32)  # of each place
-    row[rows.column("place").to_numpy()] = np.arange(rows.num_rows, dtype=np.int32)
-    texts = rows.column("groups").combine_chunks().take(pa.array(row))
-    sound = texts.is_valid().to_numpy(zero_copy_only=False)
-    values = [np.append(pc.fill_null(rows.column(c), 0).to_numpy()[row], 0) for c in KNOWN]
-    sizes = pc.fill_null(pc.list_value_length(rows.column("pairs")), 0).to_numpy().astype(np.int64)
-    first = (np.cumsum(sizes) - sizes)[row]
+    said = pa.array([f"{c}{i}" for i in range(ids) for c in ";|,"], pa.string())
+    read = [_read(x, width, said) for x in rows.column("data")]
+    empty = np.empty(0, dtype=np.int64)
+    joined = lambda k: np.concatenate([x[k] for x in read] or [empty])
+    place = joined(0)
+    row = np.zeros(len(place), dtype=np.int32)  # of each place
+    row[place] = np.arange(len(place), dtype=np.int32)
+    texts = pa.concat_arrays([x[2] for x in read] or [pa.array([], pa.string())]).take(pa.array(row))
+    sound = joined(1).astype(bool)[row]
+    values = np.concatenate([x[3] for x in read] or [np.empty((len(KNOWN), 0), dtype=np.int64)], axis=1)[:, row]
+    sizes = joined(4).astype(np.int64)
+    inside = _spans((np.cumsum(sizes) - sizes)[row], sizes[row]).astype(np.int32)
     sizes = sizes[row]
-    inside = (np.arange(sizes.sum()) + np.repeat(first - np.cumsum(sizes) + sizes, sizes)).astype(np.int32)
-    listed = pc.list_flatten(rows.column("pairs")).combine_chunks().dictionary_encode()
-    keys, own = listed.dictionary, listed.indices.to_numpy()[inside]
-    times = pc.list_flatten(rows.column("times")).to_numpy()[inside]
     first = np.cumsum(sizes) - sizes
-    del parts, rows, inside, listed
+    times = joined(6)[inside]
+    listed = pa.array(joined(5), kind).dictionary_encode()
+    keys, own = listed.dictionary, listed.indices.to_numpy()[inside]
+    del read, inside, listed, said, place, row
     held = np.zeros(len(keys), dtype=np.int64)
     stamps = np.zeros(len(sizes), dtype=np.int64), np.zeros(len(keys), dtype=np.int64)
     sums: list[list[np.ndarray]] = [[] for _ in KNOWN]
@@ -394,11 +441,11 @@ def _gather(docs: pa.Table, rows: pa.Table, kind: pa.DataType) -> pa.Table:
                 said.append("")
                 continue
             at = places[begin:end]
-            text = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(at)], pa.int32()), texts.take(pa.array(at))), ";")
-            said.append(hashlib.sha256(text.buffers()[2]).hexdigest())
+            text = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(at)], pa.int32()), texts.take(pa.array(at))), "")
+            said.append(hashlib.sha256(memoryview(text.buffers()[2])[1:]).hexdigest())
             at = _once(at, stamps[0])
             n = sizes[at]
-            held[_once(own[np.arange(n.sum()) + np.repeat(first[at] - np.cumsum(n) + n, n)], stamps[1])] += 1
+            held[_once(own[_spans(first[at], n)], stamps[1])] += 1
     by_document = pa.table({**{c: pa.array(np.concatenate(v)) for c, v in zip(KNOWN, sums, strict=True)}, "groups_sha256": pa.array(said, pa.string())})
     by_place = pa.table({"size": pa.array(sizes.astype(np.int32))})
     by_pair = pa.table({"number": pa.array(own), "times": pa.array(times)})
@@ -457,14 +504,14 @@ def align(docs: DataFrame, byte_path: str, piece_path: str, id_col: str = "doc_i
     held, lists = blocks(docs, id_col, text_col, block_chars)
     tokens = tokenized(lists, byte_path, piece_path)
     discard(lists)
-    own = aligned(tokens.where("tokens is not null").select("sid", "tokens", "ends").repartition("sid"), width, small)
-    found = tokens.select("sid", "blocks", "places").join(own, "sid", "left")
-    found = found.select("blocks", "places", "groups", *KNOWN, F.col("pairs.pair").alias("pairs"), F.col("pairs.times").alias("times"))
+    own = groups(tokens.where("tokens is not null").select("sid", "tokens", "ends").repartition("sid"))
+    found = tokens.select("sid", "blocks", "places").join(own, "sid", "left").select("blocks", "places", "found")
     sent = _write(for_blocks(found), "alignment-stretches")
     discard(tokens)
 
+    ids = max(len(pair.a_lengths), width)
     arrow = pa.int32() if small == "int" else pa.int64()
-    gathered = held.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(lambda d, r: _gather(d, r, arrow), f"of string, block long, number int, pair {small}, docs long, data binary")
+    gathered = held.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(lambda d, r: _gather(d, r, width, ids, arrow), f"of string, block long, number int, pair {small}, docs long, data binary")
     pairs, books = _write_apart(gathered, "alignment-books", "of", ("pairs", "books"))
     discard(sent)
 
