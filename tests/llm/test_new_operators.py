@@ -111,6 +111,37 @@ def test_long_words_of_the_table_are_encoded_by_the_tree(spark, sf_dir, monkeypa
     assert len(joins) > 100
 
 
+def test_words_of_the_table_are_merged_side_by_side(spark, sf_dir, monkeypatch):
+    """The library gets few pieces of ordinary text, one by one words were what op9 cost."""
+    from foliate.llm import bpe
+
+    encoder, asked = bpe.ByteBpe(FILES[0]), []
+    plain = bpe.encode_many
+    monkeypatch.setattr(bpe, "encode_many", lambda t, sep, sep_id, pieces, *more: asked.extend(pieces) or plain(t, sep, sep_id, pieces, *more))
+    texts = [r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()]
+    list(encoder.digests(texts))
+    assert len(asked) < 0.02 * len(set().union(*map(encoder.pieces, texts)))
+
+
+def test_words_merged_side_by_side_are_exact():
+    from tokenizers import Tokenizer
+
+    from foliate.llm import bpe
+
+    library, r = Tokenizer.from_file(FILES[0]), random.Random(3)
+    parts = ["a", "the", "ing", "Heit", "z", "\u00e9", "\u00ff", "\u00c0", "\u024f", "\u0250", "\u00d7", "\u00f7", "\u00aa", "\u00b2", "\u00a0", "\u0085", "\u0301", "7", "12", "\u0663", ".", ",", "$$$", "_", "'", "'ll", "-", "\x00", "\x7f", "\x0b", "\x1c", " ", "  ", "\n", "\n\n", "\t", " \n", "\r\n", "\u4e2d", "\U0001f600", "<|endoftext|>"]
+    texts = ["".join(r.choice(parts[:k]) for _ in range(r.randint(0, 25))) for k in (8, 27, len(parts)) for _ in range(3000)]
+    texts += ["".join(r.choice(parts[:8] + [" ", "\n", ".", " \n "]) for _ in range(r.randint(0, 300))) for _ in range(500)] + ["".join(map(chr, range(k, k + 200))) for k in range(0, 0x3000, 97)]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    for leaf in (3, bpe.LEAF, 40):
+        encoder = bpe.ByteBpe(FILES[0], leaf=leaf)
+        assert [encoder.encode(t) for t in texts[::5]] == want[::5]
+        got = list(encoder.digests(texts))
+        assert [n for n, _, _ in got] == [len(ids) for ids in want]
+        assert [x for _, x, _ in got] == [hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest() for ids in want]
+        assert [x for _, _, x in got] == [hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest() for ids in want]
+
+
 def test_places_pack_into_bytes():
     r = random.Random(7)
     for values in ([], [0], [127, 128, 16383, 16384, 2097151, 2097152, (1 << 28) - 1], [r.randrange(1 << r.randint(1, 28)) for _ in range(500)]):
