@@ -35,31 +35,31 @@ _CUT = re.compile(r"(?= \S)")
 _UNSAFE = re.compile(r" (?:\s|\Z)")
 
 #: Kinds of bytes by which plain pieces are cut into words: ends of pieces, letters, digits, signs, white space.
-_END, _LETTER, _DIGIT, _SIGN, _SPACE, _OTHER = range(6)
+_END, _LETTER, _DIGIT, _SIGN, _SPACE, OTHER = range(6)
 
 
-def _kinds() -> np.ndarray:
+def byte_kinds() -> np.ndarray:
     """The kind of each byte: plain are ASCII without apostrophes (contractions) and most controls, and letters from U+00C0 to U+027F."""
-    kinds = np.full(256, _OTHER, dtype=np.uint8)
+    kinds = np.full(256, OTHER, dtype=np.uint8)
     for b in range(33, 127):
         kinds[b] = _LETTER if chr(b).isalpha() else _DIGIT if chr(b).isdigit() else _SIGN
-    kinds[ord("'")] = _OTHER
+    kinds[ord("'")] = OTHER
     kinds[list(b" \t\n\r")] = _SPACE
     kinds[0x80:0xC0] = kinds[0xC3:0xCA] = _LETTER
     kinds[0] = _END
     return kinds
 
 
-_KINDS = _kinds()
+_KINDS = byte_kinds()
 
 
-def plain_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def plain_words(data: np.ndarray, kinds: np.ndarray = _KINDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For pieces in UTF-8, each with a zero byte behind it: which are plain, starts of words and of the zero bytes, and which of these starts are zero bytes.
 
     The words of a plain piece are those of the splitting pattern of byte-level vocabularies.
     """
-    kind = _KINDS[data]
-    other = kind == _OTHER
+    kind = kinds[data]
+    other = kind == OTHER
     other[1:] |= (data[:-1] == 0xC3) & ((data[1:] & 0xDF) == 0x97)  # the signs for times and divided by
     end = kind == _END
     ends = np.flatnonzero(end)
@@ -75,6 +75,21 @@ def plain_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return plain, starts, end[starts]
 
 
+def words_of(pieces: list[str], kinds: np.ndarray = _KINDS) -> tuple[np.ndarray, ...]:
+    """For pieces without zero bytes: their bytes, which are plain, and of each word of a plain one its start, bytes and piece."""
+    data = np.frombuffer(("\0".join(pieces) + "\0").encode(), dtype=np.uint8)
+    plain, starts, ends = plain_words(data, kinds)
+    piece = (np.cumsum(ends) - ends)[~ends]
+    sizes = np.diff(starts, append=len(data))[~ends]
+    mine = plain[piece]
+    return data, plain, starts[~ends][mine], sizes[mine], piece[mine]
+
+
+def packed_ends(counts: np.ndarray, piece: np.ndarray, pieces: int) -> list[int]:
+    """Where the ids of each piece end, in bytes of 4 for an id, given how many each word has."""
+    return (4 * np.cumsum(np.bincount(piece, weights=counts, minlength=pieces).astype(np.int64))).tolist()
+
+
 def byte_alphabet() -> list[str]:
     """The character that stands for each byte in byte-level vocabularies.
 
@@ -107,9 +122,9 @@ class TwoGenerations:
 
 
 class Merges:
-    """The merges of a byte-level vocabulary, applied to many short words side by side."""
+    """The merges of a byte-level vocabulary, applied to many short words side by side. suffix: what the last byte of a word bears."""
 
-    def __init__(self, vocab: dict[str, int], merges: list, alphabet: list[str]) -> None:
+    def __init__(self, vocab: dict[str, int], merges: list, alphabet: list[str], suffix: str = "") -> None:
         pairs = [m if isinstance(m, list) else m.split(" ") for m in merges]
         self.size = max(vocab.values()) + 1
         self.none = len(pairs)  # a rank behind all others
@@ -119,7 +134,9 @@ class Merges:
         self.ranks = np.array([*map(rank.get, keys), self.none], dtype=np.int32)
         self.made = np.array([vocab[a + b] for a, b in pairs], dtype=np.int32)
         self.first = np.array([vocab[c] for c in alphabet], dtype=np.int32)
+        self.last = np.array([vocab[c + suffix] for c in alphabet], dtype=np.int32)
         self.bytes = self.rank(np.repeat(self.first, 256), np.tile(self.first, 256))
+        self.last_bytes = self.rank(np.repeat(self.first, 256), np.tile(self.last, 256))
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left.astype(np.int64) * self.size + right
@@ -139,8 +156,10 @@ class Merges:
         for width in range(widest, 0, -1):
             new = np.flatnonzero(sizes == width)
             raw = data[starts[new] + np.arange(width)[:, None]]
-            ids = np.concatenate((ids, self.first[raw]), axis=1)
-            ranks = np.concatenate((ranks, self.bytes[raw[:-1].astype(np.int32) * 256 + raw[1:]]), axis=1)
+            pair = raw[:-1].astype(np.int32) * 256 + raw[1:]
+            fresh, pairs = self.first[raw], self.bytes[pair]
+            fresh[-1:], pairs[-1:] = self.last[raw[-1:]], self.last_bytes[pair[-1:]]
+            ids, ranks = np.concatenate((ids, fresh), axis=1), np.concatenate((ranks, pairs), axis=1)
             owner = np.concatenate((owner, new))
             row = np.arange(width, dtype=np.int32)[:, None]
             best, place = np.divmod((ranks * np.int32(width) + row[:-1]).min(axis=0, initial=self.none * width), np.int32(width))
@@ -278,12 +297,7 @@ class ByteBpe:
         pieces = [p for p in pieces if "\0" not in p] if rest else pieces
         if not pieces:
             return rest
-        data = np.frombuffer(("\0".join(pieces) + "\0").encode(), dtype=np.uint8)
-        plain, starts, ends = plain_words(data)
-        piece = (np.cumsum(ends) - ends)[~ends]
-        sizes = np.diff(starts, append=len(data))[~ends]
-        mine = plain[piece]
-        starts, sizes, piece = starts[~ends][mine], sizes[mine], piece[mine]
+        data, plain, starts, sizes, piece = words_of(pieces)
         short = sizes <= self.leaf
         counts = np.zeros(len(starts), dtype=np.int64)
         found = [self.merges.encode(data, starts[short][k : k + SIDE], sizes[short][k : k + SIDE]) for k in range(0, int(short.sum()), SIDE)]
@@ -294,9 +308,8 @@ class ByteBpe:
         of_short = np.repeat(short, counts)
         ids[of_short] = np.concatenate([np.empty(0, dtype=np.uint32), *[x for x, _ in found]])
         ids[~of_short] = [i for x in trees for i in x]
-        ends = 4 * np.cumsum(np.bincount(piece, weights=counts, minlength=len(pieces)).astype(np.int64))
         packed, young, at = ids.tobytes(), self.cache.young, 0
-        for p, ok, end in zip(pieces, plain.tolist(), ends.tolist(), strict=True):
+        for p, ok, end in zip(pieces, plain.tolist(), packed_ends(counts, piece, len(pieces)), strict=True):
             if ok:
                 young[p] = packed[at:end]
                 at = end

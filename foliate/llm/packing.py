@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliate.llm.bpe import CACHE, TwoGenerations, byte_alphabet
+from foliate.llm.bpe import CACHE, OTHER, SIDE, Merges, TwoGenerations, byte_alphabet, byte_kinds, packed_ends, words_of
 from foliate.llm.common import one_thread, prepare, releasing, table, text_or_empty
 
 #: Context sizes, longest first; each a power of two.
@@ -41,6 +41,20 @@ _NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Re
 _SPLIT = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
 _BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
 
+#: Bytes of a word that is merged side by side with others, at most.
+LONGEST = 32
+
+
+def _plain_kinds() -> np.ndarray:
+    """Plain pieces here have ASCII letters and signs and letters from U+00C0 to U+00FF, which NFC keeps and whose lower case is 32 behind."""
+    kinds = byte_kinds()
+    kinds[list(b"0123456789 \t\n\r")] = OTHER
+    kinds[0xC4:0xCA] = OTHER
+    return kinds
+
+
+_PLAIN = _plain_kinds()
+
 
 class WordIds:
     """Ids of a text under a vocabulary file whose pre-tokenizer drops white space, as little-endian bytes."""
@@ -56,10 +70,12 @@ class WordIds:
         self.sep, self.sep_id = added[-1]["content"], added[-1]["id"]
         self.cache = TwoGenerations(2 * CACHE)
         # Where each word ends with a marked id, pieces need no special token between them.
-        self.bare, self.ends = None, np.zeros(1 + max(spec["model"]["vocab"].values()), dtype=bool)
+        self.bare, self.merges, self.ends = None, None, np.zeros(1 + max(spec["model"]["vocab"].values()), dtype=bool)
         if _ends_marked(spec):
             self.bare = Tokenizer.from_str(json.dumps(spec | {"added_tokens": []}))
             suffix = spec["model"]["end_of_word_suffix"]
+            if not spec["model"].get("ignore_merges") and not spec["model"].get("continuing_subword_prefix"):
+                self.merges = Merges(spec["model"]["vocab"], spec["model"]["merges"], byte_alphabet(), suffix)
             self.ends[[i for t, i in spec["model"]["vocab"].items() if t.endswith(suffix)]] = True
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
@@ -70,8 +86,10 @@ class WordIds:
         young[""] = b""
         gone = self.cache.missing(set().union(*cut).difference(young))
         plain = rest = [p for p in gone if not self.special.search(p)]
+        if self.merges:
+            rest = [p for k in range(0, len(rest), SIDE) for p in self._merge(rest[k : k + SIDE])]
         if self.bare:
-            words, counts, rest = counted(plain)
+            words, counts, rest = counted(rest)
             young.update(zip(words, self._packed_words(words, counts), strict=True))
         young.update(zip(rest, self._packed(rest), strict=True))
         for p in set(gone).difference(plain):
@@ -79,6 +97,30 @@ class WordIds:
         for pieces in cut:
             yield b"".join(map(young.__getitem__, pieces))
 
+    def _merge(self, pieces: list[str]) -> list[str]:
+        """Encode the plain pieces without long words side by side; return the others."""
+        left = [p for p in pieces if "\0" in p]
+        pieces = [p for p in pieces if "\0" not in p] if left else pieces
+        if not pieces:
+            return left
+        data, plain, starts, sizes, piece = words_of(pieces, _PLAIN)
+        plain[piece[sizes > LONGEST]] = False
+        mine = plain[piece]
+        starts, sizes, piece = starts[mine], sizes[mine], piece[mine]
+        capital = (data >= 65) & (data <= 90)
+        capital[1:] |= (data[:-1] == 0xC3) & (data[1:] < 0x9F)
+        data = data + np.uint8(32) * capital
+        found = [self.merges.encode(data, starts[k : k + SIDE], sizes[k : k + SIDE]) for k in range(0, len(starts), SIDE)]
+        counts = np.concatenate([np.empty(0, dtype=np.int64), *[n for _, n in found]])
+        packed, young, at = b"".join([x.astype("<u4").tobytes() for x, _ in found]), self.cache.young, 0
+        for p, ok, end in zip(pieces, plain.tolist(), packed_ends(counts, piece, len(pieces)), strict=True):
+            if ok:
+                young[p] = packed[at:end]
+                at = end
+            else:
+                left.append(p)
+        return left
+
     def _packed_words(self, pieces: list[str], counts: list[int], joined: int = 1000) -> Iterator[bytes]:
         """Ids of each piece for itself, given the fewest words that it can have; many share a call, set apart by spaces.
 

@@ -149,6 +149,21 @@ def test_packing_sets_words_apart_without_special_tokens(tmp_path):
     assert list(other.ids(plain + odd + several)) == [ids(t) for t in plain + odd + several]
 
 
+def test_packing_merges_words_side_by_side():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    words, library, r = packing.WordIds(path), Tokenizer.from_file(path), random.Random(4)
+    words.bare, words.tokenizer = bare, tokenizer = _Sent(words.bare), _Sent(words.tokenizer)
+    parts = ["a", "The", "ING", "heit", "Z", "\u00e9", "\u00c9", "\u00ff", "\u00df", "\u00de", ".", ",", "$$$", "_", "-", "</w>", "A" * 33, "\u00d7", "\u00f7", "\u0130", "\u0100", "\u212a", "\u0301", "'", "'LL", "7", "12", "\u00b2", "\x00", "\t", "\u00a0", "<|endoftext|>", "\u03a3"]
+    plain = [" ".join("".join(r.choice(parts[:k]) for _ in range(r.randint(1, 7))) for _ in range(20000 if k == 16 else 4000)) for k in (16, len(parts))]
+    texts = ["".join(map(chr, range(k, k + 200))) for k in range(0, 0x3000, 97)]
+    want = [packing.pack_ids(e.ids) for e in library.encode_batch(plain + texts, add_special_tokens=False)]
+    assert list(words.ids(plain[:1])) == want[:1]
+    assert sum(map(len, bare.texts + tokenizer.texts)) < 0.1 * len(plain[0])  # before: each new word went to the library
+    assert list(words.ids(plain + texts)) == want
+
+
 def test_packing_encodes_in_its_own_thread():
     code = """
 import os, sys
