@@ -156,6 +156,12 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, t
     return materialize(_linked(joined, threshold), "near-links")
 
 
+def _both_ways(rows: DataFrame, *ends: tuple[str, str]) -> DataFrame:
+    """Edges (u, v) between each two columns in ends, made where a row stands: a union would plan rows anew for each."""
+    made = F.array(*[F.struct(F.col(a).alias("u"), F.col(b).alias("v")) for a, b in ends])
+    return rows.select(F.explode(made).alias("edge")).select("edge.u", "edge.v")
+
+
 def components(links: DataFrame) -> DataFrame:
     """key and component (the least key that can be reached) of every key in links (a, b)."""
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
@@ -165,13 +171,11 @@ def components(links: DataFrame) -> DataFrame:
         if state[0] == 0 or tuple(state) == seen:
             break
         seen = tuple(state)
-        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = _both_ways(edges, ("u", "v"), ("v", "u"))
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(down, "u").select("u", "v", "m")
-        edges = small.select("u", F.col("m").alias("v")).union(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
-        edges = materialize(edges, "near-edges")
+        edges = materialize(_both_ways(large.join(down, "u"), ("u", "m"), ("v", "m")).where("u <> v").distinct(), "near-edges")
     else:
         raise RuntimeError("components didn't settle")
     ends = edges.groupBy("u").agg(F.min("v").alias("component"))
@@ -185,15 +189,18 @@ def _open(placed: DataFrame, bucket: list[str]) -> DataFrame:
     return placed.join(largest, bucket)
 
 
-def _block_pairs(rows: DataFrame, payload: str, block: int, body, schema: str) -> DataFrame:
+def _block_pairs(rows: DataFrame, payload: str, block: int, body, schema: str, narrow: DataFrame | None = None) -> DataFrame:
     """Run body over pairs of blocks of each group g: classes outside the largest component x all.
 
-    rows: g, key, component, outside and the payload. A block has about `block` classes by hash, or
-    fewer where their payloads are large, so that a pair of blocks stays within a few MB; every pair
-    is a row of its own, dealt by the pair, so a large group is shared out. A group of more than one
-    block learns its size by a salted join, so its rows never meet in a task.
+    rows: g, key, component, outside and the payload; narrow: g and bytes (the payload's) of the same
+    rows, by which groups are measured without the joins that fetch payloads. A block has about
+    `block` classes by hash, or fewer where their payloads are large, so that a pair of blocks stays
+    within a few MB; every pair is a row of its own, dealt by the pair, so a large group is shared
+    out. A group of more than one block learns its size by a salted join, so its rows never meet in
+    a task.
     """
-    sizes = rows.groupBy("g").agg(F.ceil(F.greatest(F.count("*") / F.lit(block), F.sum(F.octet_length(payload)) / F.lit(BLOCK_BYTES))).cast("int").alias("parts")).where("parts > 1")
+    measured = rows.select("g", F.octet_length(payload).alias("bytes")) if narrow is None else narrow
+    sizes = measured.groupBy("g").agg(F.ceil(F.greatest(F.count("*") / F.lit(block), F.sum("bytes") / F.lit(BLOCK_BYTES))).cast("int").alias("parts")).where("parts > 1")
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("key", F.lit("salt")), F.lit(SALTS)).cast("int"))
     sized = salted.join(sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["g", "salt"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     cell = F.struct("key", "component", "outside", F.col(payload).alias("data"))
@@ -315,14 +322,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = members.join(groups, "key", "left").select("j", "band", "key", F.coalesce("component", "key").alias("component"))
     open_ = _open(materialize(placed, "near-placed"), ["j", "band"])
     rows_ = open_.select(F.col("largest").alias("g"), "key", "component", (F.col("component") != F.col("largest")).alias("outside")).distinct()
-    near = materialize(_block_pairs(rows_.join(classes.select("key", "sig"), "key"), "sig", 256, _likely, "g binary, key binary").distinct(), "near-likely")
-    sets = _needed_sets(near.join(classes, "key").select("id").distinct(), docs, id_col, text_col)
-    full = near.join(rows_, ["g", "key"]).join(sets, "key")
-    found_links = _block_pairs(full, "shingles", 128, _exact(threshold), "a binary, b binary")
+    rows_ = materialize(rows_, "near-open")
+    signed = rows_.join(classes.select("key", "sig"), "key")
+    likely = _block_pairs(signed, "sig", 256, _likely, "g binary, key binary", rows_.select("g", F.lit(2 * COORDINATES).alias("bytes")))
+    near = materialize(likely.distinct(), "near-likely")
+    needed = near.join(classes.select("key", "id", (F.col("n_shingles") * 8).alias("bytes")), "key")
+    sets = _needed_sets(needed.select("id").distinct(), docs, id_col, text_col)
+    full = materialize(needed.drop("id").join(rows_, ["g", "key"]), "near-open")
+    found_links = _block_pairs(full.join(sets, "key"), "shingles", 128, _exact(threshold), "a binary, b binary", full)
     links = links.union(materialize(found_links, "near-links"))
     groups = components(links)
 
     found = classes.select("key", "id").join(groups, "key", "left").select("key", "id", F.coalesce("component", "key").alias("component"))
+    found = materialize(found, "near-found")
     least = found.groupBy("component").agg(F.min("id").alias("component_id"))
     named = found.join(least, "component").select("key", "component_id")
     linked = rows.where("n_shingles > 0").join(named, "key").select("doc_id", "n_shingles", "component_id")

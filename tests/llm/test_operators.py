@@ -380,6 +380,26 @@ def test_near_duplicates_match_brute_force(spark):
     assert {(x.doc_id, x.component_id, x.kept) for x in twice} == {(None, 7, False), (7, 7, True)}
 
 
+def test_near_duplicates_plans_stay_small(spark, monkeypatch):
+    """The driver plans and describes each written table again after every stage; a round of components once read its edges at 16 places."""
+    sizes = []
+
+    def scans(df):
+        sizes.append(df._jdf.queryExecution().optimizedPlan().collectLeaves().size())
+
+    def counted(df, tag, write=near_dup.materialize):
+        scans(df)
+        return write(df, tag)
+
+    monkeypatch.setattr(near_dup, "materialize", counted)
+    words = [f"w{k}" for k in range(60)]
+    texts = [" ".join(words), " ".join([*words, "x"]), " ".join(words[1:]), "a b c d e f"]
+    out = near_dup.near_duplicates(docs(spark, texts))
+    scans(out)
+    assert {r.doc_id: r.component_id for r in out.collect()} == {0: 0, 1: 0, 2: 0, 3: 3}
+    assert max(sizes) <= 5
+
+
 def test_block_pairs_meet_once(spark):
     rows = [(g, b"k%d" % k, b"c", k % 3 == 0, b"x") for g, n in ((b"hot", 23), (b"small", 3), (b"calm", 2)) for k in range(1, n)]
     df = spark.createDataFrame(rows, "g binary, key binary, component binary, outside boolean, data binary")
